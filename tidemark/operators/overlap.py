@@ -54,15 +54,15 @@ def projected_edges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def plane_area_km2(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Planar area per key from projected edges, heights taken above each geometry's floor."""
-    strip = (
-        F.col("w")
-        * (F.col("xb") - F.col("xa"))
-        * ((F.col("ya") - F.col("_floor")) + (F.col("yb") - F.col("_floor")))
-        / 2
+def plane_area_km2(edges: Column, floor: Column) -> Column:
+    """Planar area of directed lon/lat edges, heights taken above the geometry's floor."""
+    base = geo.project_y(floor)
+    strips = F.transform(
+        edges,
+        lambda e: (geo.project_x(e["x0"]) - geo.project_x(e["x1"]))
+        * ((geo.project_y(e["y0"]) - base) + (geo.project_y(e["y1"]) - base)),
     )
-    return edges.groupBy(*keys).agg((F.sum(strip) / 1e6).alias("area_km2"))
+    return F.aggregate(strips, F.lit(0.0), lambda acc, v: acc + v) / F.lit(2e6)
 
 
 def _pack(col: Column, row: Column) -> Column:
@@ -176,13 +176,12 @@ def merge_ceilings(fragments: DataFrame, keys: Sequence[str], cell_m: float = CE
 def unit_fragments(units: DataFrame, cell_m: float = CELL_M) -> DataFrame:
     """The join-ready side of all levels at once: ``units(level, code, edges, extent)``.
 
-    The result depends on the hierarchy only, so it is checkpointed once and reused.
+    The result depends on the hierarchy only, so it is written once and reused.
     """
-    keys = ["level", "code"]
-    edges = projected_edges(units, keys)
-    areas = plane_area_km2(edges, keys).withColumnRenamed("area_km2", "unit_area_km2")
-    pieces = merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m)
-    return cut_lineage(pieces.join(areas, keys))
+    keys = ["level", "code", "unit_area_km2"]
+    area = plane_area_km2(F.col("edges"), F.col("extent.ymin")).alias("unit_area_km2")
+    edges = projected_edges(units.select("level", "code", "edges", "extent", area), keys)
+    return cut_lineage(merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m))
 
 
 def _pair_integral() -> Column:

@@ -11,23 +11,29 @@ from tidemark.plans import star
 from tidemark.plans.catalog import sql
 
 
-def _fragments(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.unit_fragments(star.unit_shapes(spark, d))
-
-
 def _measured(spark: SparkSession, d: str) -> DataFrame:
     fp = star.footprints(spark, d)
     return fp.withColumn("footprint_area_km2", geo.area_km2(F.col("rings")))
 
 
 def _bridge(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.bridge(_measured(spark, d), _fragments(spark, d))
+    return overlap.bridge(_measured(spark, d), star.unit_fragments(spark, d))
 
 
 def _round(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+def unit_cell_area(spark, d):
+    """The prepared unit side: cell pieces of a unit add up to its area."""
+    pieces = overlap.unit_fragments(star.unit_shapes(spark, d))
+    area = F.sum(F.col("w") * (F.col("r") - F.col("l")) * (F.col("hl") + F.col("hr")) / 2e6)
+    return pieces.groupBy("level", "code").agg(
+        F.round(area, 3).alias("piece_area_km2"),
+        F.round(F.max("unit_area_km2"), 3).alias("unit_area_km2"),
+    )
+
+
 def footprint_unit_bridge(spark, d):
     return _round(
         _bridge(spark, d),
@@ -40,29 +46,29 @@ def footprint_unit_bridge(spark, d):
 
 
 def daily_facts(spark, d):
-    b = overlap.overlap(star.footprints(spark, d), _fragments(spark, d))
+    b = overlap.overlap(star.footprints(spark, d), star.unit_fragments(spark, d))
     return _round(facts.daily_facts(b), sum_intersection_area_km2=4, max_coverage_ratio=5)
 
 
 def daily_facts_shuffled(spark, d):
     """The same facts with the unit side beyond any broadcast limit."""
-    b = overlap.overlap(star.footprints(spark, d), _fragments(spark, d), broadcast_bytes=0)
+    b = overlap.overlap(star.footprints(spark, d), star.unit_fragments(spark, d), broadcast_bytes=0)
     return _round(facts.daily_facts(b), sum_intersection_area_km2=4, max_coverage_ratio=5)
 
 
 def monthly_facts(spark, d):
-    b = overlap.overlap(star.footprints(spark, d), _fragments(spark, d))
+    b = overlap.overlap(star.footprints(spark, d), star.unit_fragments(spark, d))
     m = facts.monthly_facts(facts.daily_facts(b))
     return _round(m, sum_intersection_area_km2=3, max_coverage_ratio=5)
 
 
 def intersecting_events(spark, d):
-    b = overlap.overlap(star.footprints(spark, d), _fragments(spark, d), carry=())
+    b = overlap.overlap(star.footprints(spark, d), star.unit_fragments(spark, d), carry=())
     return facts.distinct_events(b)
 
 
 def event_sample(spark, d):
-    b = overlap.overlap(star.footprints(spark, d), _fragments(spark, d), carry=())
+    b = overlap.overlap(star.footprints(spark, d), star.unit_fragments(spark, d), carry=())
     s = facts.event_sample(_measured(spark, d), b)
     return s.select("uuid", "start_date", "end_date", F.round("area_km2", 4).alias("area_km2"))
 
@@ -76,7 +82,7 @@ def extent_prefilter(spark, d):
 def diamond_partition(spark, d):
     """Overlaps of slanted footprints with a full tiling add up to the footprint."""
     fp = star.footprints(spark, d, shape="diamond")
-    b = overlap.overlap(fp, _fragments(spark, d).filter("level = 'regency'"), carry=())
+    b = overlap.overlap(fp, star.unit_fragments(spark, d).filter("level = 'regency'"), carry=())
     return b.groupBy("row_id").agg(F.round(F.sum("intersection_area_km2"), 4).alias("area_km2"))
 
 
@@ -106,6 +112,7 @@ def _as_villages(spark, d):
 
 
 QUERIES = {
+    "unit_cell_area": unit_cell_area,
     "footprint_unit_bridge": footprint_unit_bridge,
     "daily_facts": daily_facts,
     "daily_facts_shuffled": daily_facts_shuffled,
@@ -135,6 +142,11 @@ pst AS (SELECT code AS village_code, lpad(CAST(c_custkey % 97 AS VARCHAR), 5, '0
 _BASE_POSTAL = sql.with_(sql.ADMIN, sql.SQUARES, sql.TILES, sql.pairs(), _POSTAL)
 
 ORACLES = {
+    "unit_cell_area": sql.with_(sql.ADMIN, sql.TILES)
+    + f"""
+, m AS (SELECT level, code, round(({sql.project_x('xmax')} - {sql.project_x('xmin')})
+        * ({sql.project_y('ymax')} - {sql.project_y('ymin')}) / 1e6, 3) AS a FROM tile)
+SELECT level, code, a AS piece_area_km2, a AS unit_area_km2 FROM m""",
     "footprint_unit_bridge": _BASE
     + """
 SELECT row_id, uuid, start_date, level, code, round(area, 4) AS intersection_area_km2,

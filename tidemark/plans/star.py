@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo
+from tidemark.operators import overlap
 from tidemark.session import spread
 
 WEST, SOUTH = 100.0, -5.0
@@ -120,6 +121,17 @@ def unit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_prepared: dict[tuple[str, str], DataFrame] = {}
+
+
+def unit_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell fragments of all tiles, prepared once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _prepared:
+        _prepared[key] = overlap.unit_fragments(unit_shapes(spark, sf_dir))
+    return _prepared[key]
+
+
 def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as squares: ``row_id, uuid, start_date, end_date, lon, lat, half``."""
     k = F.col("event_id")

@@ -34,8 +34,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder; without one the plan is left as it is."""
-    return df if checkpoint_root(df.sparkSession) is None else df.checkpoint()
+    """Write a table to the shared folder and read it back, so that later jobs start from
+    files that survive lost executors; without a folder the plan is left as it is."""
+    spark = df.sparkSession
+    if checkpoint_root(spark) is None:
+        return df
+    path = work_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import lowered, or_empty, strip
+from tidemark.functions.text import let, lowered, or_empty, strip
 
 # Hosts that are never public.
 LOCAL_HOSTS = ("localhost", "127.0.0.1", "0.0.0.0")
 BLOCKED_PATTERN = r"(?:^|\.)example\.(?:com|org|net)$|\.local$"
 
 # Video hosts accepted without a scheme, and the id pattern of their links.
-BARE_VIDEO_PATTERN = r"(?i)^(?:www\.)?(?:youtube\.com|m\.youtube\.com|youtu\.be|youtube-nocookie\.com)/"
+BARE_VIDEO_PATTERN = r"(?i)^((?:www\.)?(?:youtube\.com|m\.youtube\.com|youtu\.be|youtube-nocookie\.com)/)"
 VIDEO_ID_PATTERN = (
     r"(?i)(?:youtu\.be/|youtube(?:-nocookie)?\.com/(?:watch\?v=|embed/|shorts/|live/))"
     r"([A-Za-z0-9_-]{6,})"
@@ -66,34 +66,43 @@ def url_path(url: Column) -> Column:
 
 
 def is_blocked_host(host: Column) -> Column:
-    h = F.regexp_replace(lowered(host), r"^www\.", "")
-    return (h == "") | h.isin(*LOCAL_HOSTS) | h.rlike(BLOCKED_PATTERN)
+    return let(
+        F.regexp_replace(lowered(host), r"^www\.", ""),
+        lambda h: (h == "") | h.isin(*LOCAL_HOSTS) | h.rlike(BLOCKED_PATTERN),
+    )
 
 
 def public_url(raw: Column) -> Column:
     """Absolute http(s) address on a public host, host in lower case and the root path
     spelled out; anything else is empty."""
-    text = strip(raw)
-    text = F.when(F.startswith(text, F.lit("//")), F.concat(F.lit("https:"), text)).otherwise(text)
-    text = F.when(text.rlike(BARE_VIDEO_PATTERN), F.concat(F.lit("https://"), text)).otherwise(text)
-    scheme = F.lower(F.regexp_extract(text, r"(?i)^(https?)://", 1))
-    user = F.regexp_extract(text, r"(?i)^https?://([^/?#@]*@)", 1)
-    port = F.regexp_extract(text, r"(?i)^https?://(?:[^/?#@]*@)?[^/?#:]*(:\d+)?", 1)
-    default = F.when(scheme == "http", F.lit(":80")).otherwise(F.lit(":443"))
-    path = url_path(text)
-    rest = F.regexp_extract(text, r"(?i)^https?://[^?#]*(.*)$", 1)
-    host = url_host(text)
-    ok = (scheme != "") & ~is_blocked_host(host) & ~host.rlike(r"[\s<>^|%]")
-    clean = F.concat(
-        scheme,
-        F.lit("://"),
-        user,
-        host,
-        F.when(port == default, F.lit("")).otherwise(port),
-        F.when(path == "", F.lit("/")).otherwise(F.replace(path, F.lit(" "), F.lit("%20"))),
-        F.replace(rest, F.lit(" "), F.lit("%20")),
-    )
-    return F.when(ok, clean).otherwise(F.lit(""))
+    text = F.regexp_replace(strip(raw), r"^//", "https://")
+    text = F.regexp_replace(text, BARE_VIDEO_PATTERN, "https://$1")
+
+    def parts(t: Column) -> Column:
+        return F.struct(
+            F.lower(F.regexp_extract(t, r"(?i)^(https?)://", 1)).alias("scheme"),
+            F.regexp_extract(t, r"(?i)^https?://([^/?#@]*@)", 1).alias("user"),
+            url_host(t).alias("host"),
+            F.regexp_extract(t, r"(?i)^https?://(?:[^/?#@]*@)?[^/?#:]*(:\d+)?", 1).alias("port"),
+            F.replace(url_path(t), F.lit(" "), F.lit("%20")).alias("path"),
+            F.replace(F.regexp_extract(t, r"(?i)^https?://[^?#]*(.*)$", 1), F.lit(" "), F.lit("%20")).alias("rest"),
+        )
+
+    def joined(u: Column) -> Column:
+        default = F.when(u["scheme"] == "http", F.lit(":80")).otherwise(F.lit(":443"))
+        ok = (u["scheme"] != "") & ~is_blocked_host(u["host"]) & ~u["host"].rlike(r"[\s<>^|%]")
+        clean = F.concat(
+            u["scheme"],
+            F.lit("://"),
+            u["user"],
+            u["host"],
+            F.when(u["port"] == default, F.lit("")).otherwise(u["port"]),
+            F.coalesce(F.nullif(u["path"], F.lit("")), F.lit("/")),
+            u["rest"],
+        )
+        return F.when(ok, clean).otherwise(F.lit(""))
+
+    return let(let(text, parts), joined)
 
 
 def asset_path(path: Column) -> Column:
@@ -103,51 +112,70 @@ def asset_path(path: Column) -> Column:
 
 def video_embed_url(url: Column) -> Column:
     """Embed address of a video link in any of its written forms, else empty."""
-    raw = strip(url)
-    linked = F.regexp_extract(raw, r"(?i)^\[[^\]]*\]\((https?://[^)\s]+)\)$", 1)
-    text = F.when(linked != "", linked).otherwise(F.regexp_replace(raw, r"^<|>$", ""))
-    text = F.when(F.startswith(text, F.lit("//")), F.concat(F.lit("https:"), text)).otherwise(text)
-    bare = ~text.rlike(r"(?i)^https?://") & text.rlike(r"(?i)(youtube\.com|youtu\.be)")
-    text = F.when(bare, F.concat(F.lit("https://"), F.regexp_replace(text, r"^/+", ""))).otherwise(text)
-
-    host = F.regexp_replace(url_host(text), r"^www\.", "")
-    path = url_path(text)
-    query_id = F.regexp_extract(text, r"^[^?#]*\?(?:[^#]*&)?v=([^&#]*)", 1)
-    long_host = host.isin("youtube.com", "m.youtube.com", "youtube-nocookie.com")
-    by_host = (
-        F.when(host == "youtu.be", F.regexp_extract(path, r"^/+([^/]+)", 1))
-        .when(long_host & (path == "/watch"), query_id)
-        .when(long_host, F.regexp_extract(path, r"^/(?:embed|shorts|live)/([^/]*)", 1))
-        .otherwise(F.lit(""))
+    text = F.regexp_replace(strip(url), r"(?i)^\[[^\]]*\]\((https?://[^)\s]+)\)$", "$1")
+    text = F.regexp_replace(F.regexp_replace(text, r"^<|>$", ""), r"^//", "https://")
+    text = F.regexp_replace(
+        text, r"(?is)^(?!https?://)/*(?=.*(?:youtube\.com|youtu\.be))", "https://"
     )
-    video = F.when(by_host != "", by_host).otherwise(F.regexp_extract(text, VIDEO_ID_PATTERN, 1))
-    return F.when(video != "", F.concat(F.lit(EMBED_PREFIX), video)).otherwise(F.lit(""))
+
+    def parts(t: Column) -> Column:
+        return F.struct(
+            F.regexp_replace(url_host(t), r"^www\.", "").alias("host"),
+            url_path(t).alias("path"),
+            F.regexp_extract(t, r"^[^?#]*\?(?:[^#]*&)?v=([^&#]*)", 1).alias("query_id"),
+            F.regexp_extract(t, VIDEO_ID_PATTERN, 1).alias("anywhere"),
+        )
+
+    def pick(u: Column) -> Column:
+        long_host = u["host"].isin("youtube.com", "m.youtube.com", "youtube-nocookie.com")
+        by_host = (
+            F.when(u["host"] == "youtu.be", F.regexp_extract(u["path"], r"^/+([^/]+)", 1))
+            .when(long_host & (u["path"] == "/watch"), u["query_id"])
+            .when(long_host, F.regexp_extract(u["path"], r"^/(?:embed|shorts|live)/([^/]*)", 1))
+        )
+        blank = F.lit("")
+        video = F.coalesce(F.nullif(by_host, blank), F.nullif(u["anywhere"], blank))
+        return F.coalesce(F.concat(F.lit(EMBED_PREFIX), video), blank)
+
+    return let(let(text, parts), pick)
 
 
 def is_image_url(url: Column) -> Column:
-    path = F.when(url_path(url) != "", url_path(url)).otherwise(F.regexp_replace(or_empty(url), r"[?#].*$", ""))
+    bare = F.regexp_replace(or_empty(url), r"[?#].*$", "")
+    path = F.coalesce(F.nullif(url_path(url), F.lit("")), bare)
     return path.rlike(IMAGE_PATTERN)
 
 
 def media(media_type: Column, media_url: Column, source_url: Column) -> Column:
     """``struct(kind, url, fallback)``; kind is video, image, link or empty."""
-    kind = lowered(media_type)
-    own, source = public_url(media_url), public_url(source_url)
-    embed = F.coalesce(
-        F.nullif(video_embed_url(media_url), F.lit("")), video_embed_url(source_url)
+    blank = F.lit("")
+    embed = F.coalesce(F.nullif(video_embed_url(media_url), blank), video_embed_url(source_url))
+    found = F.struct(
+        lowered(media_type).alias("type"),
+        public_url(media_url).alias("own"),
+        public_url(source_url).alias("source"),
+        embed.alias("embed"),
     )
-    source_first = F.when(source != "", source).otherwise(own)
 
-    def candidate(k: str, url: Column, fallback: Column) -> Column:
-        return F.struct(F.lit(k).alias("kind"), url.alias("url"), fallback.alias("fallback"))
-
-    return (
-        F.when(embed != "", candidate("video", embed, source_first))
-        .when(own == "", candidate("", F.lit(""), source))
-        .when(kind == "video", candidate("link", own, source_first))
-        .when((kind == "image") | is_image_url(own), candidate("image", own, source_first))
-        .otherwise(candidate("link", source_first, source_first))
-    )
+    def classify(m: Column) -> Column:
+        source_first = F.coalesce(F.nullif(m["source"], blank), m["own"])
+        image = (m["type"] == "image") | is_image_url(m["own"])
+        kind = (
+            F.when(m["embed"] != "", F.lit("video"))
+            .when(m["own"] == "", blank)
+            .when((m["type"] != "video") & image, F.lit("image"))
+            .otherwise(F.lit("link"))
+        )
+        url = (
+            F.when(m["embed"] != "", m["embed"])
+            .when(m["own"] == "", blank)
+            .when((m["type"] == "video") | image, m["own"])
+            .otherwise(source_first)
+        )
+        fallback = F.when((m["embed"] == "") & (m["own"] == ""), m["source"]).otherwise(source_first)
+        return F.struct(kind.alias("kind"), url.alias("url"), fallback.alias("fallback"))
+
+    return let(found, classify)
 
 
 def supporting_media(records: Column) -> Column:
@@ -184,11 +212,14 @@ def media_rank(own: Column, others: Column) -> Column:
 
 def source_site(name: Column) -> Column:
     """Home page for a source label, by the first matching fragment."""
-    label = lowered(name)
-    site = F.lit("")
-    for fragment, url in reversed(SOURCE_SITES):
-        site = F.when(F.contains(label, F.lit(fragment)), F.lit(url)).otherwise(site)
-    return site
+    rules = F.array(
+        *(F.struct(F.lit(f).alias("fragment"), F.lit(u).alias("url")) for f, u in SOURCE_SITES)
+    )
+    first = let(
+        lowered(name),
+        lambda label: F.get(F.filter(rules, lambda r: F.contains(label, r["fragment"])), F.lit(0)),
+    )
+    return F.coalesce(first["url"], F.lit(""))
 
 
 def source_href(source_url: Column, media_url: Column, name: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,6 +47,11 @@ HEADLINE_MAX = 92
 HEADLINE_CUT = 89
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value used several times, so that the expression tree stays small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(value: Column) -> Column:
     """Trim all white space; null becomes empty."""
     return F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
@@ -105,15 +110,19 @@ def consistent_language(value: Column, language: str) -> Column:
     text = lowered(value)
     if language != "id":
         return text != ""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    hits = sum((F.contains(padded, F.lit(m)).cast("int") for m in ENGLISH_MARKERS), F.lit(0))
-    return (text != "") & (hits < 2)
+    markers = F.array(*(F.lit(m) for m in ENGLISH_MARKERS))
+    return let(
+        F.concat(F.lit(" "), text, F.lit(" ")),
+        lambda p: (p != "  ") & (F.size(F.filter(markers, lambda m: F.contains(p, m))) < 2),
+    )
 
 
 def summary_for_language(summary_id: Column, summary_en: Column, language: str) -> Column:
     source = summary_id if language == "id" else F.coalesce(F.nullif(summary_en, F.lit("")), summary_id)
-    text = strip(source)
-    return F.when(consistent_language(text, language), text).otherwise(F.lit(""))
+    return let(
+        strip(source),
+        lambda s: F.when(consistent_language(s, language), s).otherwise(F.lit("")),
+    )
 
 
 def is_generic_headline(value: Column) -> Column:
@@ -122,17 +131,20 @@ def is_generic_headline(value: Column) -> Column:
 
 def headline_from_summary(value: Column) -> Column:
     """First sentence, cut with an ellipsis when too long."""
-    text = squeeze(value)
-    sentence = F.regexp_extract(text, r"^(.*?[.!?]) ", 1)
-    first = F.when(sentence == "", text).otherwise(sentence)
-    cut = F.concat(F.regexp_replace(F.substring(first, 1, HEADLINE_CUT), f"{SPACE}+$", ""), F.lit("..."))
-    return F.when(F.length(first) <= HEADLINE_MAX, first).otherwise(cut)
+
+    def shorten(first: Column) -> Column:
+        head = F.regexp_replace(F.substring(first, 1, HEADLINE_CUT), f"{SPACE}+$", "")
+        return F.when(F.length(first) <= HEADLINE_MAX, first).otherwise(F.concat(head, F.lit("...")))
+
+    sentence = F.regexp_replace(squeeze(value), r"^(.*?[.!?]) .*$", "$1")
+    return let(sentence, shorten)
 
 
 def summary_matches_headline(summary: Column, headline: Column) -> Column:
     s = comparable(summary)
     h = comparable(F.regexp_replace(or_empty(headline), r"\.\.\.$", ""))
-    return (s != "") & (h != "") & F.startswith(s, h)
+    both = F.struct(s.alias("s"), h.alias("h"))
+    return let(both, lambda v: (v["s"] != "") & (v["h"] != "") & F.startswith(v["s"], v["h"]))
 
 
 def preferred_headline(
@@ -153,11 +165,10 @@ def preferred_headline(
     if language == "id":
         return place
     from_summary = headline_from_summary(summary_for_language(summary_id, summary_en, language))
-    primary = strip(headline)
-    usable = (primary != "") & ~is_generic_headline(primary)
-    return (
-        F.when(from_summary != "", from_summary).when(usable, primary).otherwise(place)
+    primary = let(
+        strip(headline), lambda h: F.when(~is_generic_headline(h), F.nullif(h, blank))
     )
+    return F.coalesce(F.nullif(from_summary, blank), primary, place)
 
 
 def show_headline(headline: Column, location: Column) -> Column:

@@ -79,8 +79,19 @@ def choose_levels(raw: DataFrame, admin: DataFrame) -> tuple[DataFrame, DataFram
         .withColumn("target_code", target)
         .filter(F.coalesce(F.col("target_code"), F.lit("")) != "")
     )
-    known = admin.select(F.col("code").alias("target_code"))
-    return kept, members.join(known, "target_code", "left_semi")
+    # A level derived on the way up must be a known unit too, or its members stop there.
+    members = members.withColumn("_k0", F.col("target_code"))
+    keys = ["_k0"]
+    rank, top, low = codes.level_rank, F.col("target_level"), F.col("source_level")
+    for lv in LEVELS[1:3]:
+        between = (rank(top) < rank(F.lit(lv))) & (rank(F.lit(lv)) < rank(low))
+        members = members.withColumn(
+            f"_{lv}", F.when(between, codes.parent_code(lv)).otherwise(F.col("target_code"))
+        )
+        keys.append(f"_{lv}")
+    for k in keys:
+        members = members.join(admin.select(F.col("code").alias(k)), k, "left_semi")
+    return kept, members.drop(*keys)
 
 
 def admin_totals(admin: DataFrame) -> DataFrame:

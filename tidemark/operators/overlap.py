@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import geo
 from tidemark.schemas import AREA_EPS_M2
-from tidemark.session import BROADCAST_BYTES, broadcast_if_small, cut_lineage
+from tidemark.session import BROADCAST_BYTES, broadcast_if_small
 
 CELL_M = 20_000.0
 FRAGMENT_BYTES = 160
@@ -176,12 +176,12 @@ def merge_ceilings(fragments: DataFrame, keys: Sequence[str], cell_m: float = CE
 def unit_fragments(units: DataFrame, cell_m: float = CELL_M) -> DataFrame:
     """The join-ready side of all levels at once: ``units(level, code, edges, extent)``.
 
-    The result depends on the hierarchy only, so it is written once and reused.
+    The result depends on the hierarchy only; callers write it once and reuse it.
     """
     keys = ["level", "code", "unit_area_km2"]
     area = plane_area_km2(F.col("edges"), F.col("extent.ymin")).alias("unit_area_km2")
     edges = projected_edges(units.select("level", "code", "edges", "extent", area), keys)
-    return cut_lineage(merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m))
+    return merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m)
 
 
 def _pair_integral() -> Column:

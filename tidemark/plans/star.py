@@ -6,12 +6,14 @@ events become square footprints; regions, nations and customers become tiles of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo
 from tidemark.operators import overlap
-from tidemark.session import spread
+from tidemark.session import cut_lineage, spread
 
 WEST, SOUTH = 100.0, -5.0
 
@@ -121,17 +123,24 @@ def unit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_prepared: dict[tuple[str, str], DataFrame] = {}
+_prepared: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def unit_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cell fragments of all tiles, prepared once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def prepared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A written hand-off table between stages, made once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _prepared:
-        _prepared[key] = overlap.unit_fragments(unit_shapes(spark, sf_dir))
+        _prepared[key] = cut_lineage(build())
     return _prepared[key]
 
 
+def unit_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell fragments of all tiles."""
+    return prepared(
+        "unit_fragments", spark, sf_dir, lambda: overlap.unit_fragments(unit_shapes(spark, sf_dir))
+    )
+
+
 def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as squares: ``row_id, uuid, start_date, end_date, lon, lat, half``."""
     k = F.col("event_id")

@@ -84,8 +84,16 @@ def facts_manifest(
     """One row: status, counts per level, warnings. ``counts`` is `facts.row_counts`,
     ``source_rows`` and ``intersecting`` one-row counts, ``warnings`` has ``warning``."""
     levels = _levels(counts, "built_levels").scalar()
+    ordered = F.sort_array(
+        F.collect_list(F.struct(level_rank(F.col("level")).alias("k"), "level", "day_rows", "month_rows"))
+    )
     per_level = counts.agg(
-        F.sort_array(F.collect_list(F.struct(level_rank(F.col("level")).alias("k"), "level", "day_rows", "month_rows"))).alias("r")
+        F.transform(
+            ordered,
+            lambda r: F.struct(
+                r["level"].alias("level"), r["day_rows"].alias("day_rows"), r["month_rows"].alias("month_rows")
+            ),
+        ).alias("r")
     ).scalar()
     built = warnings.agg(F.sort_array(F.collect_set("warning")).alias("warnings"))
     return built.select(
@@ -95,7 +103,7 @@ def facts_manifest(
         intersecting.scalar().alias("intersecting_events"),
         sample.agg(F.count(F.lit(1)).alias("n")).scalar().alias("event_sample_size"),
         levels.alias("built_levels"),
-        F.transform(per_level, lambda r: F.struct(r["level"], r["day_rows"], r["month_rows"])).alias("level_row_counts"),
+        per_level.alias("level_row_counts"),
         "warnings",
     )
 

@@ -141,10 +141,15 @@ def files(spark, d):
     )
 
 
+def registry(spark, d):
+    e, s = published(spark, d)
+    s = s.withColumn("position", F.struct(F.col("period_start"), F.col("admin_code")))
+    e = e.filter("page = 0").withColumn("position", F.struct(F.col("event_date"), F.col("event_id")))
+    return q.regency_index(files(spark, d), e, s)
+
+
 def regency_registry(spark, d):
-    s = states(spark, d).withColumn("position", F.struct(F.col("period_start"), F.col("admin_code")))
-    e = events(spark, d).withColumn("position", F.struct(F.col("event_date"), F.col("event_id")))
-    out = q.regency_index(files(spark, d), e, s)
+    out = registry(spark, d)
     hist = F.array_join(
         F.transform(
             F.array_sort(F.map_entries("public_state_summary")),

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\u000b\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+BLANKS = " \t\n\r\x0b\x0c\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 # Strings read as true.
 TRUE_WORDS = ("1", "true", "yes", "y")
@@ -54,7 +55,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(value: Column) -> Column:
     """Trim all white space; null becomes empty."""
-    return F.regexp_replace(F.coalesce(value, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(F.coalesce(value, F.lit("")), F.lit(BLANKS))
 
 
 def or_empty(value: Column) -> Column:
@@ -81,7 +82,7 @@ def squeeze(value: Column) -> Column:
 
 def comparable(value: Column) -> Column:
     """Lower case without punctuation, single spaces."""
-    return squeeze(F.regexp_replace(F.lower(or_empty(value)), r'[.,!?;:"]', ""))
+    return squeeze(F.translate(F.lower(or_empty(value)), '.,!?;:"', ""))
 
 
 def humanize_claim(value: Column, translations: Mapping[str, str] | None = None) -> Column:

@@ -184,22 +184,37 @@ def unit_fragments(units: DataFrame, cell_m: float = CELL_M) -> DataFrame:
     return merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m)
 
 
-def _pair_integral() -> Column:
-    """Integral of the lower of two linear heights over the shared x interval."""
-    lo = F.greatest("a_l", "b_l")
-    hi = F.least("a_r", "b_r")
+def _with_integral(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Add ``m2``, the integral of the lower of two linear heights over the shared x
+    interval. Steps are separate projections, so each value is computed once per pair."""
+    lo = F.greatest("a_l", "b_l").alias("lo")
+    hi = F.least("a_r", "b_r").alias("hi")
 
-    def height(side: str, x: Column) -> Column:
+    def rise(side: str) -> Column:
         l, hl, r, hr = (F.col(f"{side}_{n}") for n in _PIECE)
-        return hl + (hr - hl) * (x - l) / (r - l)
+        return ((hr - hl) / (r - l)).alias(f"{side}_rise")
 
-    d0 = height("a", lo) - height("b", lo)
-    d1 = height("a", hi) - height("b", hi)
-    mean = (height("a", lo) + height("a", hi) + height("b", lo) + height("b", hi)) / 4
-    gap = F.when(d0 * d1 < 0, (d0 * d0 + d1 * d1) / (F.abs(d0) + F.abs(d1))).otherwise(
-        F.abs(d0) + F.abs(d1)
+    def height(side: str, x: str) -> Column:
+        return (F.col(f"{side}_hl") + F.col(f"{side}_rise") * (F.col(x) - F.col(f"{side}_l"))).alias(
+            f"{side}_{x}"
+        )
+
+    weight = (F.col("a_w") * F.col("b_w")).alias("w")
+    sides = ("a_l", "a_hl", "b_l", "b_hl")
+    p = pairs.select(*keep, *sides, weight, lo, hi, rise("a"), rise("b"))
+    p = p.select(
+        *keep, "w", (F.col("hi") - F.col("lo")).alias("width"),
+        height("a", "lo"), height("a", "hi"), height("b", "lo"), height("b", "hi"),
+    )
+    total = F.col("a_lo") + F.col("a_hi") + F.col("b_lo") + F.col("b_hi")
+    p = p.select(
+        *keep, "w", "width", total.alias("total"),
+        (F.col("a_lo") - F.col("b_lo")).alias("d0"), (F.col("a_hi") - F.col("b_hi")).alias("d1"),
     )
-    return (hi - lo) * (mean - gap / 4)
+    apart = F.abs("d0") + F.abs("d1")
+    crossed = (F.col("d0") * F.col("d0") + F.col("d1") * F.col("d1")) / apart
+    gap = F.when(F.col("d0") * F.col("d1") < 0, crossed).otherwise(apart)
+    return p.select(*keep, (F.col("w") * F.col("width") * (F.col("total") - gap) / 4).alias("m2"))
 
 
 def within_extent(footprints: DataFrame, units: DataFrame, level: str = "district") -> DataFrame:
@@ -266,10 +281,11 @@ def overlap(
         fa = fa.withColumn("a_salt", F.pmod(F.xxhash64("row_id"), F.lit(salt)).cast("int"))
         fb = fb.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         pairs = fa.join(fb.hint("shuffle_hash"), on & (F.col("a_salt") == F.col("b_salt")))
-    area_m2 = F.sum(F.col("a_w") * F.col("b_w") * _pair_integral())
+    by_pair = [*keys, "level", "code", "unit_area_km2"]
     return (
-        pairs.groupBy(*keys, "level", "code")
-        .agg(area_m2.alias("_m2"), F.max("unit_area_km2").alias("unit_area_km2"))
+        _with_integral(pairs, by_pair)
+        .groupBy(*keys, "level", "code")
+        .agg(F.sum("m2").alias("_m2"), F.max("unit_area_km2").alias("unit_area_km2"))
         .filter(F.col("_m2") > eps_m2)
         .select(
             *keys,

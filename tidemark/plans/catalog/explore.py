@@ -17,36 +17,37 @@ TERMS = ("nation_1", "AMERICA", "customer#00000001", "12.0", " asia ", "")
 
 
 def window_rollup(spark, d):
-    return explore.window_rollup(facts.monthly(spark, d), "district", FROM, TO)
+    return explore.window_rollup(facts.written(spark, d)[1], "district", FROM, TO)
 
 
 def window_rollup_full(spark, d):
     """An open window answers from the all-time summary."""
-    return explore.window_rollup(facts.monthly(spark, d), "regency")
+    _, month, total = facts.written(spark, d)
+    return explore.window_rollup(month, "regency", summary=total)
 
 
 def window_defaults(spark, d):
-    m = facts.monthly(spark, d)
+    m = facts.written(spark, d)[1]
     return explore.window_defaults(m, "regency", FROM, "2030-01")
 
 
 def timeline(spark, d):
-    return explore.timeline(facts.monthly(spark, d), "district", FROM)
+    return explore.timeline(facts.written(spark, d)[1], "district", FROM)
 
 
 def trend(spark, d):
-    return explore.trend(facts.monthly(spark, d), "regency", "12.02", FROM, TO)
+    return explore.trend(facts.written(spark, d)[1], "regency", "12.02", FROM, TO)
 
 
 def trend_axis(spark, d):
-    return explore.trend_series(facts.monthly(spark, d), "district", FROM, TO)
+    return explore.trend_series(facts.written(spark, d)[1], "district", FROM, TO)
 
 
 def _features(spark, d):
     a = admin_queries.admin_units(spark, d)
     b = admin_queries.boundaries(spark, d).select("code", "boundary_source")
     feats = b.join(a, "code")
-    lookup = explore.window_rollup(facts.monthly(spark, d), "district", FROM, TO)
+    lookup = explore.window_rollup(facts.written(spark, d)[1], "district", FROM, TO)
     return feats, lookup, a
 
 
@@ -62,7 +63,7 @@ def selection_cards(spark, d):
     """Cards of every regency; the single-card form filters the same plan by code."""
     a = admin_queries.admin_units(spark, d)
     b = admin_queries.boundaries(spark, d).select("code", "boundary_source").join(a, "code")
-    lookup = explore.window_rollup(facts.monthly(spark, d), "regency", FROM, TO)
+    lookup = explore.window_rollup(facts.written(spark, d)[1], "regency", FROM, TO)
     out = explore.map_features(b, lookup, a, "regency", "unique_event_count", "id")
     return out.select("name", "code", "parent_name", "boundary_source", "metric_display")
 
@@ -70,7 +71,7 @@ def selection_cards(spark, d):
 def selection_card(spark, d):
     a = admin_queries.admin_units(spark, d)
     b = admin_queries.boundaries(spark, d).select("code", "boundary_source").join(a, "code")
-    lookup = explore.window_rollup(facts.monthly(spark, d), "province", FROM, TO)
+    lookup = explore.window_rollup(facts.written(spark, d)[1], "province", FROM, TO)
     return explore.selection_card(b, lookup, a, "province", METRIC, "12")
 
 
@@ -80,7 +81,7 @@ def dashboard_stats(spark, d):
 
 
 def legend(spark, d):
-    lookup = explore.window_rollup(facts.monthly(spark, d), "district", FROM, TO)
+    lookup = explore.window_rollup(facts.written(spark, d)[1], "district", FROM, TO)
     return explore.metric_max(lookup, METRIC).select(F.inline(metrics.legend(F.col("max_value"))))
 
 
@@ -101,12 +102,12 @@ def search_index(spark, d):
 
 
 def available_levels(spark, d):
-    return explore.available_levels(admin_queries.boundaries(spark, d), facts.monthly(spark, d))
+    return explore.available_levels(admin_queries.boundaries(spark, d), facts.written(spark, d)[1])
 
 
 def evidence(spark, d):
     """Months of a unit as evidence, coverage as internal score."""
-    m = facts.monthly(spark, d).select(
+    m = facts.written(spark, d)[1].select(
         "level",
         "code",
         F.substring("month_start", 1, 7).alias("month"),

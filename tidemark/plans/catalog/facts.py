@@ -52,6 +52,14 @@ def all_time(spark: SparkSession, d: str) -> DataFrame:
     return facts.all_time(monthly(spark, d))
 
 
+def written(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Day, month and all-time facts as the build stage leaves them for later stages."""
+    day = star.prepared("line_daily", spark, d, lambda: daily(spark, d))
+    month = star.prepared("line_monthly", spark, d, lambda: facts.monthly_facts(day))
+    total = star.prepared("line_all_time", spark, d, lambda: facts.all_time(month))
+    return day, month, total
+
+
 def fact_row_counts(spark, d):
     return facts.row_counts(daily(spark, d), monthly(spark, d))
 

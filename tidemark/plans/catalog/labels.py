@@ -21,7 +21,7 @@ SITE_LABELS = {
 
 def summaries(spark, d):
     """Whole documents as summaries in both languages, with their headlines and flags."""
-    docs = star.table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    docs = star.documents(spark, d).select("doc_id", "text", "lang", "source")
     c = F.col
     sid = F.when(c("lang") == "en", F.lit("")).otherwise(c("text"))
     base = docs.select(
@@ -40,12 +40,12 @@ def summaries(spark, d):
 
 
 def comparable_text(spark, d):
-    docs = star.table(spark, d, "documents")
+    docs = star.documents(spark, d)
     return docs.select("doc_id", text.comparable(F.col("text")).alias("comparable"))
 
 
 def impact_tags(spark, d):
-    docs = star.table(spark, d, "documents")
+    docs = star.documents(spark, d)
     tags = F.array(
         "lang", F.upper("lang"), F.lit("2023-01"), F.concat("source", F.lit("-X  y")), F.lit(" "), F.lit("2023-01-05"), "source"
     )
@@ -55,7 +55,7 @@ def impact_tags(spark, d):
 
 def headline_choice(spark, d):
     """Headlines without a usable summary: informative ones stay, generic ones give the place."""
-    docs = star.table(spark, d, "documents").join(star.table(spark, d, "labels"), "doc_id", "left")
+    docs = star.documents(spark, d).join(star.table(spark, d, "labels"), "doc_id", "left")
     c = F.col
     head = F.when(c("quality") == 1, F.lit(" Laporan ")).when(c("toxic") == 0, c("source")).otherwise(F.lit(""))
     place = F.when(c("lang") == "fr", F.lit("")).otherwise(c("lang"))
@@ -64,7 +64,7 @@ def headline_choice(spark, d):
 
 
 def source_links(spark, d):
-    docs = star.table(spark, d, "documents")
+    docs = star.documents(spark, d)
     name = F.create_map(*(F.lit(x) for kv in SITE_LABELS.items() for x in kv))[F.col("source")]
     name = F.coalesce(name, F.col("lang"))
     own = F.when(F.col("lang") == "fr", F.lit("https://own.site.org")).otherwise(F.lit("http://localhost/x"))

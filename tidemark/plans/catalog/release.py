@@ -52,16 +52,8 @@ def reference_manifest(spark, d):
     )
 
 
-def _written_facts(spark, d):
-    """Day, month and all-time facts as the build stage leaves them."""
-    daily = star.prepared("line_daily", spark, d, lambda: facts.daily(spark, d))
-    monthly = star.prepared("line_monthly", spark, d, lambda: fact_ops.monthly_facts(daily))
-    summary = star.prepared("line_all_time", spark, d, lambda: fact_ops.all_time(monthly))
-    return daily, monthly, summary
-
-
 def _facts_manifest(spark, d):
-    daily, monthly, _ = _written_facts(spark, d)
+    daily, monthly, _ = facts.written(spark, d)
     counts = fact_ops.row_counts(daily, monthly)
     rows = star.table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
     hits = facts.line_bridge(spark, d).filter("level = 'district'").agg(F.count(F.lit(1)).alias("n"))
@@ -82,7 +74,7 @@ def facts_manifest(spark, d):
 
 def _release(spark, d):
     """All assets of one release."""
-    daily, monthly, summary = _written_facts(spark, d)
+    daily, monthly, summary = facts.written(spark, d)
     units = admin_queries.admin_units(spark, d)
     b = admin_queries.boundaries(spark, d).drop("province_code", "level").join(units, "code")
     overall = admin.coverage(units, b)

@@ -111,7 +111,7 @@ def filled_areas(spark, d):
 def month_shards(spark, d):
     """Shards written per month; the window prunes folders."""
     path = work_path(spark, "month-shards")
-    writers.write_month_shards(facts.monthly(spark, d), path)
+    writers.write_month_shards(facts.written(spark, d)[1], path)
     s = assets.read_month_shards(spark, path)
     return explore.window_rollup(s, "district", "1996-03", "1998-07")
 
@@ -119,7 +119,7 @@ def month_shards(spark, d):
 def trend_shards(spark, d):
     """A district series from its two-segment bundle."""
     path = work_path(spark, "trend-shards")
-    writers.write_trend_shards(facts.monthly(spark, d), path)
+    writers.write_trend_shards(facts.written(spark, d)[1], path)
     s = assets.read_trend(spark, path, f"{path}-none")
     return explore.trend(s, "district", "13.03.0000000", "1996-03", "")
 
@@ -127,7 +127,7 @@ def trend_shards(spark, d):
 def trend_from_months(spark, d):
     """The same series scanned from month shards when there are no trend shards."""
     path = work_path(spark, "month-shards")
-    writers.write_month_shards(facts.monthly(spark, d), path)
+    writers.write_month_shards(facts.written(spark, d)[1], path)
     s = assets.read_trend(spark, f"{path}-none", path)
     return explore.trend(s, "district", "13.03.0000000", "1996-03", "")
 
@@ -160,7 +160,7 @@ def geo_sidecar(spark, d):
 def missing_source(spark, d):
     """Rows of an absent source next to those of a present one."""
     gone = assets.read_month_shards(spark, f"{d}/absent")
-    monthly = facts.monthly(spark, d)
+    monthly = facts.written(spark, d)[1]
     both = gone.select(*METRICS).withColumn("src", F.lit("absent")).unionByName(
         monthly.select(*METRICS).withColumn("src", F.lit("present"))
     )

@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread for text work; one file of long texts is a single split."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def province_code(key: Column) -> Column:
     return F.lpad((key + 11).cast("string"), 2, "0")
 

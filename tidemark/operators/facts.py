@@ -43,6 +43,12 @@ def all_time(monthly: DataFrame) -> DataFrame:
     return _fold(monthly, ["level", "code"], F.sum("flood_days"))
 
 
+def fact_order(df: DataFrame) -> DataFrame:
+    """Facts as written: by level, then time when there is one, then code."""
+    time = [c for c in ("event_date", "month_start") if c in df.columns]
+    return df.orderBy("level", *time, "code")
+
+
 def bad_dates(footprints: DataFrame) -> DataFrame:
     """Count of start dates that are no calendar date; they still keep their sliced keys."""
     return footprints.agg(

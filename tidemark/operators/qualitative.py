@@ -221,6 +221,21 @@ def build_states(reports: DataFrame, events: DataFrame, reviewed_at: str) -> Dat
     )
 
 
+def publication_order(events: DataFrame) -> DataFrame:
+    """Events as published: latest first, ties by id."""
+    return events.orderBy(F.col("event_date").desc(), F.col("event_id").desc())
+
+
+def global_order(rows: DataFrame, date: str) -> DataFrame:
+    """Rows of all places together: latest ``date`` first, ties by place."""
+    return rows.orderBy(F.col(date).desc(), F.col("admin_code").desc())
+
+
+def related_order(items: DataFrame) -> DataFrame:
+    """Related items of each place, latest source first."""
+    return items.orderBy("level", "code", F.col("source_date").desc(), "kind", F.col("event_id").desc())
+
+
 def bundle_counts(slugs: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
     """Events, states and bundles of one build."""
     return slugs.agg(F.countDistinct("slug").alias("regency_bundle_count")).select(
@@ -438,9 +453,11 @@ def qualitative_summary(
     effective states in the window.
     """
     keys = ["level", "code"]
+    counted = "supporting_count" in ordered.columns
+    records = F.col("supporting_count") if counted else F.size("supporting_records")
     per_place = ordered.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("events"),
-        F.sum(F.size("supporting_records")).alias("_supporting"),
+        F.sum(records).alias("_supporting"),
         F.max(F.when(F.col("position") == 1, F.col("event_id"))).alias("featured_event_id"),
     )
     reg = registry_codes.select("code").distinct().withColumn("_reg", F.lit("regency"))

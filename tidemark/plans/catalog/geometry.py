@@ -10,12 +10,16 @@ from tidemark.plans import star
 from tidemark.plans.catalog import sql
 
 
-def decoded_footprints(spark, d):
-    """Squares written as WKB and decoded, as a footprint scan delivers them."""
-    raw = star.footprints(spark, d).select(
+def raw_footprints(spark, d):
+    """Squares as a footprint source holds them, geometry in WKB."""
+    return star.footprints(spark, d).select(
         "row_id", "uuid", "start_date", "end_date", wkb.encode_wkb("rings").alias("geometry")
     )
-    dec = raw.withColumn("g", wkb.decode_wkb("geometry")).filter(~geo.is_empty(F.col("g.rings")))
+
+
+def decoded_footprints(spark, d):
+    """The same decoded, as a footprint scan delivers them."""
+    dec = raw_footprints(spark, d).withColumn("g", wkb.decode_wkb("geometry")).filter(~geo.is_empty(F.col("g.rings")))
     return dec.select(
         "row_id", "uuid", "start_date", "end_date", "g.*", geo.bounds(F.col("g.rings")).alias("extent")
     )

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import admin, explore, release, validation
+from tidemark.operators import admin, explore, overlap, release, validation
 from tidemark.operators import facts as fact_ops
 from tidemark.plans import star
 from tidemark.plans.catalog import admin as admin_queries
-from tidemark.plans.catalog import facts, reports, sql
+from tidemark.plans.catalog import facts, geometry, reports, sql
+from tidemark.plans.catalog import overlap as overlap_queries
 from tidemark.sinks import writers
+from tidemark.sources import footprints
 from tidemark.streaming import refresh
 
 STAMP = "2024-01-01T00:00:00+00:00"
@@ -172,8 +174,25 @@ def check_totals(spark, d):
 
 
 def refreshed_daily_facts(spark, d):
-    """Day facts kept by the file stream over order line files, one run after another."""
-    return refresh.replay(spark, facts.line_bridge(spark, d))
+    """Day facts kept by the file stream over line files, one run after another."""
+    return refresh.replay(spark, facts.line_bridge(spark, d), lambda batch: batch)
+
+
+def refreshed_footprint_facts(spark, d):
+    """WKB footprints arriving in files, overlapped batch by batch with the prepared units."""
+    fragments = star.unit_fragments(spark, d)
+
+    def to_bridge(batch):
+        return overlap.overlap(footprints.decode_footprints(batch), fragments)
+
+    raw = geometry.raw_footprints(spark, d).withColumn("area_km2", F.lit(None).cast("double"))
+    day = refresh.replay(spark, raw, to_bridge)
+    return day.withColumns(
+        {
+            "sum_intersection_area_km2": F.round("sum_intersection_area_km2", 4),
+            "max_coverage_ratio": F.round("max_coverage_ratio", 5),
+        }
+    )
 
 
 QUERIES = {
@@ -190,6 +209,7 @@ QUERIES = {
     "check_domains": check_domains,
     "check_totals": check_totals,
     "refreshed_daily_facts": refreshed_daily_facts,
+    "refreshed_footprint_facts": refreshed_footprint_facts,
 }
 
 _LINES = sql.with_(sql.ADMIN, sql.LINES)
@@ -287,4 +307,5 @@ UNION ALL SELECT 'search_index', 'search_index', 'error', 'unsupported level: vi
 SELECT DISTINCT 'totals' AS check_id, level AS asset, 'error' AS severity, 'month and all-time facts differ' AS message
 FROM alltime WHERE level = 'province'""",
     "refreshed_daily_facts": _LINES + "SELECT * FROM day",
+    "refreshed_footprint_facts": overlap_queries.ORACLES["daily_facts"],
 }

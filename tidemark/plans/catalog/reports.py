@@ -205,7 +205,7 @@ def event_display_order(spark, d):
 
 def related_items(spark, d):
     _, _, e, _ = _effective(spark, d)
-    items = q.related_items(q.display_order(q.with_media(e)))
+    items = q.related_items(q.display_order(q.with_media(e)), e.filter("page > 0"))
     return items.select(
         "level", "code", "kind", "event_id", "headline", "source_date", "source_name", "location_label",
         F.array_join("impact_tags", "~").alias("impact_tags"), "claim_type",

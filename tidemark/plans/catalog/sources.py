@@ -83,7 +83,7 @@ def registry_forms(spark, d):
 
 def source_profile(spark, d):
     p = footprints.profile(spark, f"{d}/lineitem.parquet", ["l_quantity", "l_extendedprice"])
-    return p.drop("block_start")
+    return p.drop("file_path", "block_start")
 
 
 def source_fields(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
-from tidemark.operators.admin import classify
+from tidemark.operators.admin import classify, last_wins
 from tidemark.session import cut_lineage
 
 # A quoted literal with doubled quotes, a whole tuple, one field of a tuple.
@@ -23,7 +23,9 @@ def read_statements(spark: SparkSession, path: str, separator: str = ";\n", recu
     splittable; dump tools escape line ends inside literals."""
     reader = spark.read.option("lineSep", separator).option("recursiveFileLookup", recursive)
     return reader.option("pathGlobFilter", "*.sql").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path")
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.monotonically_increasing_id().alias("statement"),
     )
 
 
@@ -55,14 +57,26 @@ def pairs(tuples: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def read_admin(spark: SparkSession, path: str) -> DataFrame:
-    """Admin units of a dump; codes stay text."""
+    """All admin rows of a dump; codes stay text."""
     return classify(pairs(insert_tuples(read_statements(spark, path)), "code", "name"))
 
 
-def read_postal(spark: SparkSession, path: str) -> DataFrame:
-    return pairs(insert_tuples(read_statements(spark, path)), "village_code", "postal_code").select(
-        "village_code", "postal_code"
+def _latest(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:
+    rows = insert_tuples(read_statements(spark, path))
+    placed = rows.select(
+        F.get("fields", F.lit(0)).alias(first), F.get("fields", F.lit(1)).alias(second), "statement", "position"
     )
+    return last_wins(placed, [first], ["statement", "position"]).select(first, second)
+
+
+def read_units(spark: SparkSession, path: str) -> DataFrame:
+    """One admin row per code, the last of the dump."""
+    return classify(_latest(spark, path, "code", "name"))
+
+
+def read_postal(spark: SparkSession, path: str) -> DataFrame:
+    """One postal code per village, the last of the dump."""
+    return _latest(spark, path, "village_code", "postal_code")
 
 
 def boundary_rows(tuples: DataFrame) -> DataFrame:

@@ -44,11 +44,12 @@ def filled_area(area: Column, rings: Column) -> Column:
 def profile(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows, minimum and maximum per input split, the scan's unit of work."""
     df = spark.read.parquet(path)
-    where = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start")]
+    names = {"file_path": "file_path", "file_name": "file_name", "file_block_start": "block_start"}
+    where = [F.col(f"_metadata.{k}").alias(v) for k, v in names.items()]
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return df.select(*columns, *where).groupBy("file_name", "block_start").agg(*aggs)
+    return df.select(*columns, *where).groupBy(*names.values()).agg(*aggs)
 
 
 def fields(spark: SparkSession, path: str) -> DataFrame:

@@ -73,12 +73,14 @@ def compact(spark: SparkSession, partials: str, target: str) -> None:
     combined(spark, partials).write.mode("overwrite").parquet(target)
 
 
-def replay(spark: SparkSession, bridge: DataFrame) -> DataFrame:
-    """Feed bridge rows through the stream in several files and read the combined facts."""
+def replay(
+    spark: SparkSession, rows: DataFrame, to_bridge: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Feed rows through the stream in several files and read the combined facts."""
     root = work_path(spark, "refresh")
-    bridge.write.parquet(f"{root}/in")
+    rows.write.parquet(f"{root}/in")
     for _ in range(2):
         start(
-            spark, f"{root}/in", bridge.schema, lambda b: b, f"{root}/partials", f"{root}/state", files_per_batch=4
+            spark, f"{root}/in", rows.schema, to_bridge, f"{root}/partials", f"{root}/state", files_per_batch=4
         ).awaitTermination()
     return combined(spark, f"{root}/partials")

@@ -118,6 +118,47 @@ def test_self_overlap_is_the_area_and_a_tiling_adds_up(spark):
     assert sum(pairs(spark, {"s": s}, tiles).values()) == pytest.approx(area, abs=1e-9)
 
 
+def test_only_hot_cells_are_salted(spark):
+    rng = np.random.default_rng(9)
+    a = {f"a{i}": star(rng, 12, 0, 0, 1.0) for i in range(40)} | {"far": star(rng, 12, 9, 9, 1.0)}
+    b = {"u": star(rng, 30, 0, 0, 3.0), "v": shape([box(7, 7, 11, 11)])}
+    fp = frame(spark, a, "row_id")
+    hot = overlap.hot_cells(fp, cell_m=1500.0, rows_per_task=60)
+    salts = {r["cell"]: r["salt"] for r in hot.collect()}
+    assert salts and all(s > 1 for s in salts.values())
+    plain = pairs(spark, a, b)
+    spread = pairs(spark, a, b, broadcast_bytes=0, hot=hot)
+    assert spread.keys() == plain.keys()
+    assert all(spread[k] == pytest.approx(plain[k], abs=1e-9) for k in plain)
+
+
+def test_valid_and_invalid_geometry_are_told_apart(spark):
+    cases = {
+        "square": (shape([box(0, 0, 4, 4)]), True, 16),
+        "hole": (shape([box(0, 0, 4, 4), box(1, 1, 3, 3)]), True, 12),
+        "parts": (shape([box(0, 0, 1, 1)], [box(2, 0, 3, 1)]), True, 2),
+        "bow tie": (shape([ring((0, 0), (2, 2), (2, 0), (0, 2))]), False, 2),
+        "overlapping parts": (shape([box(0, 0, 2, 2)], [box(1, 1, 3, 3)]), False, 6),
+        "nested parts": (shape([box(0, 0, 4, 4)], [box(1, 1, 2, 2)]), False, 15),
+        "figure eight": (shape([ring((0, 0), (2, 2), (4, 0), (4, 4), (2, 2), (0, 4))]), False, 8),
+        "spike": (shape([ring((0, 0), (4, 0), (2, 0), (2, 3))]), False, 3),
+        "on an edge": (shape([ring((0, 0), (2, 0), (4, 0), (4, 4), (0, 4))]), True, 16),
+    }
+    df = frame(spark, {k: v[0] for k, v in cases.items()}, "k")
+    area = overlap.plane_area_km2(F.col("edges"), F.col("extent.ymin")).alias("a")
+    got = {r["k"]: (r["valid"], r["a"]) for r in df.select("k", "valid", area).collect()}
+    for k, (_, valid, want) in cases.items():
+        assert got[k] == (valid, pytest.approx(want)), k
+
+
+def test_large_rings_take_the_exact_test(spark):
+    rng = np.random.default_rng(1)
+    big = star(rng, 200, 0, 0, 3.0)
+    crossed = [dict(big[0], pts=[big[0]["pts"][0], *big[0]["pts"][100:0:-1], *big[0]["pts"][101:]])]
+    df = frame(spark, {"ok": big, "bad": crossed}, "k")
+    assert {r["k"]: r["valid"] for r in df.collect()} == {"ok": True, "bad": False}
+
+
 def test_interior_cells_hold_one_fragment(spark):
     units = frame(spark, {"u": shape([box(0, 0, 10, 10)])}, "code").withColumn("level", F.lit("district"))
     per_cell = overlap.unit_fragments(units, cell_m=1000.0).groupBy("cell").count()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import geo
 from tidemark.schemas import AREA_EPS_M2
-from tidemark.session import BROADCAST_BYTES, broadcast_if_small
+from tidemark.session import BROADCAST_BYTES, broadcast_if_small, cut_lineage
 
 CELL_M = 20_000.0
 FRAGMENT_BYTES = 160
@@ -241,6 +241,18 @@ def within_extent(footprints: DataFrame, units: DataFrame, level: str = "distric
     )
 
 
+def hot_cells(footprints: DataFrame, cell_m: float = CELL_M, rows_per_task: int = 2_000_000) -> DataFrame:
+    """Cells holding more footprint pieces than one task should, with their salt.
+
+    Counts are combined on the map side; at most (all pieces / ``rows_per_task``) cells
+    qualify, so the result is small whatever the input.
+    """
+    pieces = cell_fragments(projected_edges(footprints, ["row_id"]), ["row_id"], cell_m)
+    counts = pieces.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    salt = F.ceil(F.col("n") / rows_per_task).cast("int")
+    return counts.filter(F.col("n") > rows_per_task).select("cell", salt.alias("salt"))
+
+
 def overlap(
     footprints: DataFrame,
     fragments: DataFrame,
@@ -249,13 +261,15 @@ def overlap(
     eps_m2: float = AREA_EPS_M2,
     broadcast_bytes: int = BROADCAST_BYTES,
     salt: int = UNIT_SALT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Bridge rows ``row_id, *carry, level, code, intersection_area_km2, unit_area_km2,
     coverage_ratio``; one per footprint row and unit whose overlap exceeds ``eps_m2``.
 
     A unit side proven small is broadcast, so footprints are not moved before the sum.
     Otherwise both sides are shuffled on (cell, salt): a crowded cell is spread over
-    ``salt`` partitions and the unit side is repeated that many times.
+    ``salt`` partitions and the unit side is repeated that many times. With ``hot`` (see
+    `hot_cells`) only those cells are salted, each by its own weight.
     """
     keys = ["row_id", *carry]
     fa = cell_fragments(projected_edges(footprints, keys), keys, cell_m).select(
@@ -278,8 +292,15 @@ def overlap(
     if small is not None:
         pairs = fa.join(small, on)
     else:
-        fa = fa.withColumn("a_salt", F.pmod(F.xxhash64("row_id"), F.lit(salt)).cast("int"))
-        fb = fb.withColumn("b_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        factor_a = factor_b = F.lit(salt)
+        if hot is not None:
+            known = cut_lineage(hot)
+            known = broadcast_if_small(known, 16) or known
+            fa = fa.join(known, "cell", "left")
+            fb = fb.join(known.select(F.col("cell").alias("b_cell"), "salt"), "b_cell", "left")
+            factor_a = factor_b = F.coalesce(F.col("salt"), F.lit(1))
+        fa = fa.withColumn("a_salt", F.pmod(F.xxhash64("row_id"), factor_a).cast("int")).drop("salt")
+        fb = fb.withColumn("b_salt", F.explode(F.sequence(F.lit(0), factor_b - 1))).drop("salt")
         pairs = fa.join(fb.hint("shuffle_hash"), on & (F.col("a_salt") == F.col("b_salt")))
     by_pair = [*keys, "level", "code", "unit_area_km2"]
     return (

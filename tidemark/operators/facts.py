@@ -70,13 +70,18 @@ def event_sample(
 ) -> DataFrame:
     """First ``n`` intersecting footprints in source order.
 
-    The left-semi join keeps rows unique; ``orderBy().limit()`` runs as a top-n per task.
+    The ``n`` rows are found on row ids and order columns alone (a top-n per task), so that
+    geometry is joined to a broadcast of ``n`` ids and never shuffled.
     """
     hits = bridge.filter(F.col("level") == "district").select("row_id")
+    if order == ("row_id",):
+        placed = hits.distinct()
+    else:
+        placed = footprints.select("row_id", *order).join(hits, "row_id", "left_semi")
+    first = placed.orderBy(*order).limit(n).select("row_id")
     return (
-        footprints.join(hits, "row_id", "left_semi")
+        footprints.join(F.broadcast(first), "row_id")
         .orderBy(*order)
-        .limit(n)
         .select(
             "uuid",
             "start_date",

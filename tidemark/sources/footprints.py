@@ -14,17 +14,20 @@ def read_footprints(spark: SparkSession, path: str) -> DataFrame:
     """Decoded, repaired, non-empty footprints.
 
     Five columns are read; rows without uuid, start date or geometry are filtered before
-    decoding. ``row_id`` identifies a source row within a run, ``source_file`` and
-    ``source_row`` give its place. Missing areas are filled from the geometry.
+    decoding. ``row_id`` is the place of a source row (hashed file, row in file), the same in
+    every job over the source; ``source_file`` and ``source_row`` give it in order. Missing
+    areas are filled from the geometry.
     """
     if not path_exists(spark, path):
         return decode_footprints(spark.createDataFrame([], FOOTPRINT))
     raw = spark.read.schema(FOOTPRINT).parquet(path)
     place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row")]
-    return decode_footprints(raw.select("*", *place))
+    at = F.struct(F.xxhash64("source_file").alias("file"), F.col("source_row").alias("row"))
+    return decode_footprints(raw.select("*", *place).withColumn("row_id", at))
 
 
 def decode_footprints(raw: DataFrame) -> DataFrame:
+    """The same for rows at hand; without ``row_id`` rows are numbered within the job."""
     kept = raw.filter("uuid IS NOT NULL AND start_date IS NOT NULL AND geometry IS NOT NULL")
     if "row_id" not in kept.columns:
         kept = kept.withColumn("row_id", F.monotonically_increasing_id())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,21 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for the Arrow functions."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp(prefix='tidemark-')}/{package.name}"
+    shutil.make_archive(archive, "zip", package.parent, package.name)
+    sc.addPyFile(f"{archive}.zip")
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder; a temporary one only for local masters."""
     sc = spark.sparkContext

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, vafile
+from tidemark.llm import mixing, packing, vafile
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,9 +68,14 @@ select doc_id, size, source_size, target,
 from p
 """
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {

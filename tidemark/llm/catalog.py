@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, rules, vafile
-from tidemark.llm.common import table
+from tidemark.llm import langid, mixing, packing, rules, vafile
+from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,11 +78,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = langid.train(docs.where(~out))
+    rows = langid.predict(docs.select("doc_id", out.alias("held_out"), "text"), model)
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, rules, vafile
+from tidemark.llm import langid, mixing, packing, quality_zip, rules, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,14 @@ select doc_id, size, source_size, target,
 from p
 """
 
+def op5_quality_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality_zip.train(docs.where(~out), table(spark, sf_dir, "labels").where(~out))
+    rows = quality_zip.predict(docs.select("doc_id", out.alias("held_out"), "text"), model)
+    return rows.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -89,6 +97,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
+    "op5_quality_zip": op5_quality_zip,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, quality_zip, rules, vafile
+from tidemark.llm import langid, mixing, packing, pii, quality_zip, rules, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,21 @@ select doc_id, size, source_size, target,
 from p
 """
 
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"], s["end"])), ",")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pii.find(docs, pii.train(docs))
+    counts = [
+        F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    digest = F.sha2(_joined("base_spans").cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", *counts, digest, _joined("spans").alias("spans"))
+
+
 def op5_quality_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 5, 0)
@@ -97,6 +112,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
+    "op4_pii": op4_pii,
     "op5_quality_zip": op5_quality_zip,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,

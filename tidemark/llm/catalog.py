@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, pii, quality_zip, rules, vafile
+from tidemark.llm import langid, mixing, near_dup, packing, pii, quality_zip, rules, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,10 @@ def op5_quality_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -114,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_pii": op4_pii,
     "op5_quality_zip": op5_quality_zip,
+    "op6_near_dup": op6_near_dup,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,

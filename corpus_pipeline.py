@@ -5,24 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import langid, mixing, near_dup, packing, pii
 from tidemark.llm.common import table
 from tidemark.session import cut_lineage, ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Chance of the best language below which a document is rejected.
+LEAST_LANGUAGE = 0.4
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; texts without a letter go, and those whose best
+    language stays below ``LEAST_LANGUAGE``. The model learns from the rows that name one; if
+    none does, only texts without a letter go."""
+    model = langid.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.predict(docs, model)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, that of the smallest id."""
+    return near_dup.representatives(docs)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
+    clean = pii.redacted(docs, pii.train(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids with their sequence and offset."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("near_dup", drop_near_duplicates),
+    ("pii", redact_personal_data),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-#: The stages hold trained models and tokenizers, which SQL can't express.
+#: The stages hold trained models and a tokenizer, which SQL can't express.
 ORACLE_SQL: str | None = None
 
 

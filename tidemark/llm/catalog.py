@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, near_dup, packing, pii, quality_zip, rules, vafile
+from tidemark.llm import langid, lattice_lm, mixing, near_dup, packing, pii, quality_zip, rules, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,12 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 5, 1)
+    return lattice_lm.score_documents(docs.select("doc_id", out.alias("held_out"), "text"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -119,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op4_pii": op4_pii,
     "op5_quality_zip": op5_quality_zip,
     "op6_near_dup": op6_near_dup,
+    "op7_lattice_lm": op7_lattice_lm,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,

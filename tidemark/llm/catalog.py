@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lattice_lm, mixing, near_dup, packing, pii, quality_zip, rules, vafile
+from tidemark.llm import langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ select doc_id, size, source_size, target,
 from p
 """
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def _joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"], s["end"])), ",")
 
@@ -122,6 +126,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
+    "op3_license_scan": op3_license_scan,
     "op4_pii": op4_pii,
     "op5_quality_zip": op5_quality_zip,
     "op6_near_dup": op6_near_dup,

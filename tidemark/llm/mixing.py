@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,24 +106,17 @@ def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), share: float = 1.
 
     Rows alike in id, source and word count share their copies.
     """
-    keyed = docs.withColumn("_size", word_count(F.col("text")))
-    copies = sampled(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, share, cap)
-    picks = (
-        copies.where("copies > 0")
-        .withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(1))))
-        .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_words"), "_n", "copies")
-    )
-    rows = keyed.withColumn(
-        "_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text")))
-    )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_size") == F.col("_words"))
-        & (rows["_n"] == picks["_n"])
-    )
+    # other names than the caller's columns have
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    key = [F.col(names[c]) for c in ("doc_id", "source")] + [word_count(F.col(names["text"]))]
+    plain = docs.toDF(*names.values()).select("*", *(c.alias(a) for c, a in zip(key, ("doc_id", "source", "size"))))
+    same = ["doc_id", "source", "size"]
+    copies = sampled(plain.select(*same), weights, share, cap).where("copies > 0")
+    picks = copies.withColumn("nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.col("copies").desc()))).alias("p")
+    rows = plain.withColumn("nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64(names["text"])))).alias("r")
+    meet = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*same, "nth")]
     return (
-        rows.join(picks, same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*docs.columns)
+        rows.join(picks, reduce(lambda a, b: a & b, meet))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .select(*(F.col(f"r.{n}").alias(c) for c, n in names.items()))
     )

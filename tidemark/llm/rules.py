@@ -124,7 +124,7 @@ def _statistics(rows: DataFrame, bounds: dict[str, list[float]]) -> dict[str, di
     """Bad and good rows by measure and interval between bounds."""
 
     def place(m: str) -> Column:
-        below = F.filter(F.array(*map(F.lit, bounds[m])), lambda b: b < F.col(m))
+        below = F.filter(F.array(*map(F.lit, bounds[m])).cast("array<double>"), lambda b: b < F.col(m))
         return F.struct(F.lit(m).alias("m"), F.size(below).alias("at"))
 
     places = [place(m) for m in MEASURES]
@@ -173,6 +173,8 @@ def learn(labelled: DataFrame, most_rules: int = 8, most_conditions: int = 3, po
     least ``least`` growing bad rows. All counts cover all labelled rows.
     """
     bounds = _bounds(labelled, points)
+    if not any(bounds.values()):
+        return []
     rules: list[Rule] = []
     rest = labelled
     while len(rules) < most_rules:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, word_count
 from tidemark.session import cut_lineage
 
-SOURCE_KEY = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
+
+def _source_key() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), share: float = 1.0, cap: int = 3) -> DataFrame:
@@ -63,7 +65,7 @@ def sampled(rows: DataFrame, weights: Sequence[int] = (1, 2, 3), share: float =
     spark = rows.sparkSession
     order = [F.col("size"), F.col("doc_id").asc_nulls_first()]
     sliced = cut_lineage(
-        rows.select("doc_id", "source", F.col("size").cast("long").alias("size"), SOURCE_KEY.alias("_src"))
+        rows.select("doc_id", "source", F.col("size").cast("long").alias("size"), _source_key().alias("_src"))
         .repartitionByRange(partitions(spark), "_src", *order)
         .withColumn("_slice", F.spark_partition_id())
     )
@@ -75,7 +77,7 @@ def sampled(rows: DataFrame, weights: Sequence[int] = (1, 2, 3), share: float =
     offsets = (
         pieces.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .select("_src", "_slice", "_before")
-        .join(aims.withColumn("_src", SOURCE_KEY).drop("source"), "_src")
+        .join(aims.withColumn("_src", _source_key()).drop("source"), "_src")
     )
     local = F.row_number().over(Window.partitionBy("_src", "_slice").orderBy(*order))
     drawn = F.conv(F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, 5), 16, 10).cast("int") / F.lit(2.0**20)

@@ -90,3 +90,29 @@ def test_members_stop_at_an_unknown_level_between(spark):
     assert members.count() == 0
     _, members = admin.choose_levels(raw, _units(spark))
     assert sorted(r["target_level"] for r in members.collect()) == ["district", "province", "regency"]
+
+
+def test_long_keys_stay_distinct(spark):
+    keys = [1, 9_999_999, 12_345_678, 123_456_789_012]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = [r["c"] for r in df.select(codes.padded(F.col("k"), 7).alias("c")).collect()]
+    assert got == ["0000001", "9999999", "12345678", "123456789012"]
+
+
+def test_statements_on_one_line_and_across_literals(spark, tmp_path):
+    (tmp_path / "a.sql").write_bytes(
+        b"INSERT INTO t (kode, nama) VALUES ('31','A');INSERT INTO t (kode, nama) VALUES ('32','B');\r\n"
+        b"INSERT INTO t (kode, nama) VALUES\r\n('33','C''s ;\n VALUES (''x''), y'),\r\n('34','D');\r\n"
+        b"insert into t values ('35', null);\n"
+    )
+    rows = dumps.insert_tuples(dumps.read_statements(spark, str(tmp_path))).select("fields").collect()
+    got = sorted([list(r["fields"]) for r in rows])
+    assert got == [["31", "A"], ["32", "B"], ["33", "C's ;\n VALUES ('x'), y"], ["34", "D"], ["35", None]]
+
+
+def test_the_last_file_wins(spark, tmp_path):
+    for name, value in (("a", "first"), ("b", "second"), ("c", "last")):
+        filler = "".join(f"INSERT INTO t VALUES ('{name}{i}','x');\n" for i in range(50 if name == "a" else 1))
+        (tmp_path / f"{name}.sql").write_text(f"{filler}INSERT INTO t VALUES ('31','{value}');\n")
+    got = {r["code"]: r["name"] for r in dumps.read_units(spark, str(tmp_path)).collect()}
+    assert got["31"] == "last" and len(got) == 53

@@ -151,3 +151,25 @@ def test_text_rules(spark):
     assert _one(spark, "Banjir besar", lambda c: text.consistent_language(c, "id")) is True
     match = lambda c: text.summary_matches_headline(c, F.lit("a big flood..."))
     assert _one(spark, "A big, flood hits town", match) is True
+
+
+def test_missing_columns_get_their_defaults(spark, tmp_path):
+    from tidemark.sources import reports
+
+    (tmp_path / "kota_inputs.reviewed.csv").write_text('"event_id","admin_code","odd, name"\n"e1","11.01","x"\n')
+    r = reports.read_reports(spark, str(tmp_path)).first()
+    assert (r["slug"], r["event_id"], r["admin_code"], r["admin_level"]) == ("kota", "e1", "11.01", "regency")
+
+
+def test_latest_row_names_a_bundle(spark):
+    rows = spark.createDataFrame(
+        [("s", 1, "11.01"), ("s", 2, "11.02"), ("s", 3, "")], "slug string, position int, admin_code string"
+    )
+    assert q.first_values(rows, {"admin_code": ("admin_code",)}).first()["admin_code"] == "11.02"
+
+
+def test_numbers_round_away_from_zero(spark):
+    from tidemark.functions import metrics
+
+    for value, want in ((0.125, "0.13"), (-0.125, "-0.13"), (0.375, "0.38"), (1234.5, "1,234.5"), (0.001, "0")):
+        assert _one(spark, str(value), lambda c: metrics.display_number(c.cast("double"))) == want

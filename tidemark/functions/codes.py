@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.schemas import LEVELS
 
 
+def padded(key: Column, width: int) -> Column:
+    """A number in at least ``width`` digits; a longer one is never cut."""
+    digits = key.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def segments(code: Column) -> Column:
     return F.size(F.split(code, r"\."))
 

@@ -30,8 +30,10 @@ def legend(max_value: Column) -> Column:
 
 
 def display_number(value: Column, language: str = "en") -> Column:
-    """At most two decimals, grouped thousands, separators of the language."""
-    text = F.format_number(F.coalesce(value, F.lit(0)).cast("double"), 2)
+    """At most two decimals, grouped thousands, separators of the language; ties round away
+    from zero."""
+    v = F.coalesce(value, F.lit(0)).cast("double")
+    text = F.format_number(F.signum(v) * F.floor(F.abs(v) * 100 + 0.5) / 100, 2)
     text = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     text = F.when(text == "-0", F.lit("0")).otherwise(text)
     return F.translate(text, ",.", ".,") if language == "id" else text

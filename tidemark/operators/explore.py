@@ -215,11 +215,8 @@ def selection_card(
 
 
 def search_index(admin: DataFrame, levels: Sequence[str] = PUBLIC_LEVELS) -> DataFrame:
-    """Units of the published levels with the index order ``level_rank, name``."""
-    return (
-        admin.filter(F.col("level").isin(*levels))
-        .select(*ADMIN_COLUMNS, codes.level_rank(F.col("level")).alias("level_rank"))
-    )
+    """Units of the published levels; the index order is that of levels, then of names."""
+    return admin.filter(F.col("level").isin(*levels)).select(*ADMIN_COLUMNS)
 
 
 def search(
@@ -242,7 +239,9 @@ def search(
         .select(F.explode(hits).alias("query"), *index.columns)
         .withColumn(
             "position",
-            F.row_number().over(Window.partitionBy("query").orderBy("level_rank", "name", "code")),
+            F.row_number().over(
+                Window.partitionBy("query").orderBy(codes.level_rank(F.col("level")), "name", "code")
+            ),
         )
         .filter(F.col("position") <= k)
     )

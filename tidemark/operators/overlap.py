@@ -334,7 +334,5 @@ def bridge(footprints: DataFrame, fragments: DataFrame, **options) -> DataFrame:
         "footprint_area_km2",
         "unit_area_km2",
         F.col("coverage_ratio").alias("coverage_ratio_of_unit"),
-        (F.col("intersection_area_km2") / F.col("footprint_area_km2")).alias(
-            "coverage_ratio_of_footprint"
-        ),
+        F.try_divide("intersection_area_km2", "footprint_area_km2").alias("coverage_ratio_of_footprint"),
     )

@@ -260,14 +260,14 @@ def state_histogram(states: DataFrame) -> DataFrame:
 
 
 def first_values(rows: DataFrame, alternatives: dict[str, Sequence[str]]) -> DataFrame:
-    """Per slug and output name, the first non-empty value over rows ordered by
-    ``position``, trying the alternative columns of a row in turn."""
+    """Per slug and output name, the first non-empty value over the rows of a bundle, which
+    stand by descending ``position``, trying the alternative columns of a row in turn."""
     blank = F.lit("")
     out = []
     for name, columns in alternatives.items():
         present = [F.nullif(c, blank) for c in columns if c in rows.columns]
         value = F.coalesce(*present) if present else F.lit(None).cast("string")
-        out.append(F.min_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), F.col("position"))).alias(name))
+        out.append(F.max_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), F.col("position"))).alias(name))
     return rows.groupBy("slug").agg(*out)
 
 

@@ -34,7 +34,7 @@ def boundaries(spark, d):
     o = star.table(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
     vil = o.join(dis, F.col("o_custkey") == F.col("c_custkey")).select(
         F.lit("village").alias("level"),
-        F.concat_ws(".", "code", F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("code"),
+        F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)).alias("code"),
         F.lit("raw").alias("boundary_source"),
     )
     return (
@@ -51,7 +51,7 @@ def postal(spark, d):
     li = star.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rows = li.select(
         F.col("l_orderkey").alias("village"),
-        F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("postal_code"),
+        codes.padded(F.col("l_suppkey"), 5).alias("postal_code"),
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
@@ -85,7 +85,7 @@ def enriched_boundaries(spark, d):
     dis = star.district_codes(spark, d)
     villages = o.join(dis, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey",
-        F.concat_ws(".", "code", F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("village_code"),
+        F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)).alias("village_code"),
     )
     post = p.join(villages, F.col("village") == F.col("o_orderkey")).select("village_code", "postal_code")
     b = boundaries(spark, d).select("code", "boundary_source")
@@ -196,7 +196,7 @@ _COV = sql.with_(sql.ADMIN, sql.BOUNDARIES, _COVERAGE, _GATE)
 
 _POSTAL = """
 pst AS (
-  SELECT l_orderkey AS village, lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS postal_code
+  SELECT l_orderkey AS village, printf('%05d', l_suppkey) AS postal_code
   FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_orderkey
     ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1)

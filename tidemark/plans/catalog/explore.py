@@ -133,7 +133,7 @@ def evidence_notes(spark, d):
 
 def number_display(spark, d):
     o = star.table(spark, d, "orders")
-    v = F.when(F.col("o_orderstatus") == "F", F.round("o_totalprice")).otherwise(F.col("o_totalprice"))
+    v = F.when(F.col("o_orderstatus") == "F", F.round("o_totalprice")).otherwise(-F.col("o_orderkey") / 8)
     return o.select(
         "o_orderkey",
         metrics.display_number(v).alias("en"),
@@ -204,7 +204,8 @@ def _window(level: str, name: str = "win") -> str:
 
 
 def _display(v: str) -> str:
-    return f"rtrim(rtrim(format('{{:,.2f}}', CAST({v} AS DOUBLE)), '0'), '.')"
+    rounded = f"sign({v}) * floor(abs(CAST({v} AS DOUBLE)) * 100 + 0.5) / 100"
+    return f"rtrim(rtrim(format('{{:,.2f}}', CAST({rounded} AS DOUBLE)), '0'), '.')"
 
 
 def _swap(v: str) -> str:
@@ -288,8 +289,7 @@ FROM hits QUALIFY position <= 8""",
     + "SELECT code, 'district' AS resolved_level, district_code AS resolved_code FROM adm WHERE level = 'village'",
     "search_index": _BASE
     + """
-SELECT *, CAST(CASE level WHEN 'province' THEN 1 WHEN 'regency' THEN 2 ELSE 3 END AS BIGINT) AS level_rank
-FROM adm WHERE level <> 'village'""",
+SELECT * FROM adm WHERE level <> 'village'""",
     "available_levels": _BND
     + """
 SELECT DISTINCT level, CAST(CASE level WHEN 'province' THEN 1 WHEN 'regency' THEN 2 ELSE 3 END AS BIGINT) AS level_rank
@@ -307,7 +307,7 @@ SELECT 'evidence.gap.note.' || CASE WHEN l_linestatus <> 'F' THEN lower(l_return
        count(*) AS rows
 FROM lineitem GROUP BY ALL""",
     "number_display": f"""
-WITH v AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice) ELSE o_totalprice END AS v FROM orders)
+WITH v AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice) ELSE -o_orderkey / 8 END AS v FROM orders)
 SELECT o_orderkey, {_display('v')} AS en, {_swap(_display('v'))} AS id FROM v""",
     "date_labels": f"""
 SELECT o_orderkey, strftime(o_orderdate, '%b %Y') AS month_label,

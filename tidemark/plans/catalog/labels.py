@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import media, text
+from tidemark.functions import codes, media, text
 from tidemark.plans import star
 
 SITE_LABELS = {
@@ -78,7 +78,7 @@ def source_links(spark, d):
 
 def _forms(spark, d):
     p = star.table(spark, d, "pages").select("page_id", "url")
-    vid = F.concat(F.lit("vid_"), F.lpad(F.col("page_id").cast("string"), 7, "0"))
+    vid = F.concat(F.lit("vid_"), codes.padded(F.col("page_id"), 7))
     src = F.replace("url", F.lit(".example."), F.lit(".sample."))
     form = F.col("page_id") % 6
     url = (
@@ -116,7 +116,7 @@ def best_media(spark, d):
     """Each page's media with the two neighbouring forms of the same page as supporting
     records."""
     f = _forms(spark, d)
-    vid = F.concat(F.lit("https://youtu.be/vid_"), F.lpad(F.col("page_id").cast("string"), 7, "0"))
+    vid = F.concat(F.lit("https://youtu.be/vid_"), codes.padded(F.col("page_id"), 7))
     records = F.array(
         F.struct(F.lit("").alias("media_type"), F.lit("").alias("media_url"), F.lit("").alias("source_url")),
         F.struct(F.lit("").alias("media_type"), F.lit("https://a.site.org/z").alias("media_url"), F.lit("").alias("source_url")),
@@ -156,7 +156,7 @@ _MARKERS = ", ".join(f"'{m}'" for m in text.ENGLISH_MARKERS)
 _FORMS = """
 WITH f AS (
   SELECT page_id, url, replace(url, '.example.', '.sample.') AS src, page_id % 6 AS form,
-         'vid_' || lpad(CAST(page_id AS VARCHAR), 7, '0') AS vid FROM pages),
+         'vid_' || printf('%07d', page_id) AS vid FROM pages),
 e AS (SELECT *, 'https://www.youtube-nocookie.com/embed/' || vid AS embed,
              'https://img.site.org/a%20b/' || vid || '.JPG?w=1' AS img FROM f)
 """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import geo
+from tidemark.functions import codes, geo
 from tidemark.operators import facts, overlap
 from tidemark.plans import star
 from tidemark.plans.catalog import sql
@@ -106,7 +106,7 @@ def _as_villages(spark, d):
     b = _bridge(spark, d).filter("level = 'district'").withColumn("level", F.lit("village"))
     postal = star.district_codes(spark, d).select(
         F.col("code").alias("village_code"),
-        F.lpad((F.col("c_custkey") % 97).cast("string"), 5, "0").alias("postal_code"),
+        codes.padded(F.col("c_custkey") % 97, 5).alias("postal_code"),
     )
     return b, postal
 
@@ -136,7 +136,7 @@ FROM pairs GROUP BY ALL
 """
 
 _POSTAL = """
-pst AS (SELECT code AS village_code, lpad(CAST(c_custkey % 97 AS VARCHAR), 5, '0') AS postal_code FROM dis)
+pst AS (SELECT code AS village_code, printf('%05d', c_custkey % 97) AS postal_code FROM dis)
 """
 
 _BASE_POSTAL = sql.with_(sql.ADMIN, sql.SQUARES, sql.TILES, sql.pairs(), _POSTAL)

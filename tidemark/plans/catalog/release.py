@@ -59,7 +59,12 @@ def _facts_manifest(spark, d):
     counts = fact_ops.row_counts(daily, monthly)
     rows = star.table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
     hits = facts.line_bridge(spark, d).filter("level = 'district'").agg(F.count(F.lit(1)).alias("n"))
-    sample = star.table(spark, d, "lineitem").limit(500)
+    sample = (
+        facts.line_bridge(spark, d)
+        .filter("level = 'district'")
+        .orderBy("start_date", "code", "intersection_area_km2", "coverage_ratio")
+        .limit(fact_ops.EVENT_SAMPLE_LIMIT)
+    )
     gate = fact_ops.enabled_levels(False, admin_queries.coverage_overall(spark, d)).select("warning")
     return release.facts_manifest(counts, rows, hits, sample, gate, STAMP)
 
@@ -247,10 +252,10 @@ SELECT level, CASE level WHEN 'district' THEN split_part(code, '.', 1) || '.' ||
     + """
 , t AS (SELECT max(unique_event_count) AS a, max(flood_days) AS b, max(sum_intersection_area_km2) AS c,
                max(max_coverage_ratio) AS d FROM alltime)
-SELECT 'unique_event_count' AS metric, 'Count of intersecting footprint events.' AS definition, CAST(a AS DOUBLE) AS largest FROM t
-UNION ALL SELECT 'flood_days', 'Number of day buckets with at least one intersecting event.', b FROM t
-UNION ALL SELECT 'sum_intersection_area_km2', 'Summed intersection area across matched events in square kilometers.', c FROM t
-UNION ALL SELECT 'max_coverage_ratio', 'Largest observed share of a geography covered by a single event in the selected period.', d FROM t""",
+SELECT 'unique_event_count' AS metric, 'How many footprints touch the unit, one for each pair of footprint and unit.' AS definition, CAST(a AS DOUBLE) AS largest FROM t
+UNION ALL SELECT 'flood_days', 'Days on which the unit has any footprint.', b FROM t
+UNION ALL SELECT 'sum_intersection_area_km2', 'Square kilometres shared by footprints and the unit, added over all pairs.', c FROM t
+UNION ALL SELECT 'max_coverage_ratio', 'Greatest part of the unit that any one footprint covers, between 0 and 1.', d FROM t""",
     "reference_manifest": _BND
     + f"""
 SELECT 'reference' AS dataset, '{STAMP}' AS generated_at, 'province,regency,district,village' AS available_levels,
@@ -264,7 +269,7 @@ SELECT 'reference' AS dataset, '{STAMP}' AS generated_at, 'province,regency,dist
         FROM (VALUES ('province', 1), ('regency', 2), ('district', 3)) l(level, k))
 SELECT '{STAMP}' AS generated_at, 'ok' AS status, (SELECT count(*) FROM lineitem) AS source_rows,
        (SELECT count(*) FROM lines) AS intersecting_events,
-       least((SELECT count(*) FROM lineitem), 500) AS event_sample_size, 'province,regency,district' AS built_levels,
+       least((SELECT count(*) FROM lines), 500) AS event_sample_size, 'province,regency,district' AS built_levels,
        string_agg(level || ':' || dn || ':' || mn, ',' ORDER BY k) AS level_row_counts,
        'village_metrics_skipped_by_default' AS warnings FROM c""",
     "release_manifest": _ALL
@@ -278,30 +283,30 @@ SELECT 'v1' AS dataset_version, 'province' AS default_level, 'unique_event_count
     "validate_release": sql.with_(sql.ADMIN, reports._REPORTS, reports._NORM)
     + """
 , known AS (SELECT DISTINCT source AS slug FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
-fst AS (SELECT slug, arg_min(admin_code, (period_start, admin_code)) AS admin_code FROM st GROUP BY slug)
+fst AS (SELECT slug, arg_max(admin_code, (period_start, admin_code)) AS admin_code FROM st GROUP BY slug)
 SELECT 'registry' AS check_id, 'regency index' AS asset, 'error' AS severity, count(*) AS messages
 FROM (SELECT admin_code FROM fst JOIN known USING (slug) GROUP BY admin_code HAVING count(*) > 1) HAVING count(*) > 0""",
     "check_registry": sql.with_(sql.ADMIN)
     + """
 , s AS (SELECT s_name, s_acctbal, code FROM supplier JOIN nat ON s_nationkey = n_nationkey)
-SELECT 'registry' AS check_id, 'regency index' AS asset, 'error' AS severity, 'duplicate admin_code: ' || code AS message
+SELECT 'registry' AS check_id, 'regency index' AS asset, 'error' AS severity, 'repeats admin_code ' || code AS message
 FROM s GROUP BY code HAVING count(*) > 1
-UNION ALL SELECT 'registry', s_name, 'error', 'must use admin_level regency' FROM s WHERE s_acctbal < 0
-UNION ALL SELECT 'registry', s_name, 'error', 'has a mismatched province_code' FROM s WHERE split_part(code, '.', 1) <> '11'
-UNION ALL SELECT 'registry', s_name, 'error', 'points to missing file ' || s_name || '/s' FROM s
-UNION ALL SELECT 'registry', s_name, 'error', 'points to missing file ' || s_name || '/e' FROM s WHERE s_acctbal <= 0""",
+UNION ALL SELECT 'registry', s_name, 'error', 'admin_level differs from regency' FROM s WHERE s_acctbal < 0
+UNION ALL SELECT 'registry', s_name, 'error', 'province_code is not the first segment of admin_code' FROM s WHERE split_part(code, '.', 1) <> '11'
+UNION ALL SELECT 'registry', s_name, 'error', 'names a file that was not written: ' || s_name || '/s' FROM s
+UNION ALL SELECT 'registry', s_name, 'error', 'names a file that was not written: ' || s_name || '/e' FROM s WHERE s_acctbal <= 0""",
     "check_metrics": _LINES
     + _RARE
     + """
-SELECT 'metrics' AS check_id, level AS asset, 'error' AS severity, 'missing shard of month ' || month AS message
+SELECT 'metrics' AS check_id, level AS asset, 'error' AS severity, 'no shard for month ' || month AS message
 FROM (SELECT DISTINCT level, month_start[1:7] AS month FROM mon EXCEPT SELECT level, month FROM rmon)
-UNION ALL SELECT 'metrics', 'district', 'error', 'has no trend shards'""",
+UNION ALL SELECT 'metrics', 'district', 'error', 'no trend bundle'""",
     "check_domains": """
-SELECT DISTINCT 'qualitative' AS check_id, 'states' AS asset, 'error' AS severity, 'unsupported public_state: ' || o_orderstatus AS message
+SELECT DISTINCT 'qualitative' AS check_id, 'states' AS asset, 'error' AS severity, 'public_state outside its domain: ' || o_orderstatus AS message
 FROM orders
-UNION ALL SELECT 'qualitative', 'events', 'error', 'null in field source_name'
-UNION ALL SELECT 'qualitative', 'events', 'error', 'missing field summary'
-UNION ALL SELECT 'search_index', 'search_index', 'error', 'unsupported level: village'""",
+UNION ALL SELECT 'qualitative', 'events', 'error', 'null in column source_name'
+UNION ALL SELECT 'qualitative', 'events', 'error', 'lacks the column summary'
+UNION ALL SELECT 'search_index', 'search_index', 'error', 'level outside its domain: village'""",
     "check_totals": _LINES
     + """
 SELECT DISTINCT 'totals' AS check_id, level AS asset, 'error' AS severity, 'month and all-time facts differ' AS message

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import text
+from tidemark.functions import codes, text
 from tidemark.functions.dates import normalize_date
 from tidemark.operators import qualitative as q
 from tidemark.plans import star
@@ -45,7 +45,7 @@ def raw_reports(spark: SparkSession, d: str) -> DataFrame:
         "summary_en": c("text"),
         "media_type": when(lang == "fr", F.lit("image")),
         "media_url": F.when(
-            lang == "en", F.concat(F.lit("https://youtu.be/vid"), F.lpad(c("doc_id").cast("string"), 8, "0"))
+            lang == "en", F.concat(F.lit("https://youtu.be/vid"), codes.padded(c("doc_id"), 8))
         ).when(lang == "fr", F.concat(F.lit("https://img.site.org/"), c("doc_id").cast("string"), F.lit(".jpg"))).otherwise(blank),
         "claim_type": F.when(c("quality") == 0, F.concat(F.lit("dup-"), c("doc_id").cast("string"))).otherwise(
             F.lit("river-flood")
@@ -275,7 +275,7 @@ rpt AS (
     CASE WHEN toxic = 1 THEN 'News' WHEN toxic = 0 THEN '' ELSE lang || ' report' END AS headline,
     CASE WHEN lang <> 'en' THEN text ELSE '' END AS summary_id, text AS summary_en,
     CASE WHEN lang = 'fr' THEN 'image' ELSE '' END AS media_type,
-    CASE lang WHEN 'en' THEN 'https://youtu.be/vid' || lpad(CAST(doc_id AS VARCHAR), 8, '0')
+    CASE lang WHEN 'en' THEN 'https://youtu.be/vid' || printf('%08d', doc_id)
               WHEN 'fr' THEN 'https://img.site.org/' || doc_id || '.jpg' ELSE '' END AS media_url,
     CASE WHEN quality = 0 THEN 'dup-' || doc_id ELSE 'river-flood' END AS claim_type,
     CASE WHEN quality = 1 THEN lang || '; ' || source WHEN quality = 0 THEN '2023-01-01' ELSE '' END AS impact_tags,
@@ -434,7 +434,7 @@ SELECT (SELECT count(DISTINCT slug) FROM norm) AS regency_bundle_count,
     "regency_registry": _BASE
     + """
 , known AS (SELECT DISTINCT source AS slug FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
-fst AS (SELECT slug, arg_min(admin_code, (period_start, admin_code)) AS admin_code FROM st GROUP BY slug),
+fst AS (SELECT slug, arg_max(admin_code, (period_start, admin_code)) AS admin_code FROM st GROUP BY slug),
 his AS (SELECT slug, string_agg(public_state || '=' || n, ',' ORDER BY public_state) AS h
         FROM (SELECT slug, public_state, count(*) AS n FROM st GROUP BY ALL) GROUP BY slug)
 SELECT admin_code, 'regency' AS admin_level, split_part(admin_code, '.', 1) AS province_code, slug,

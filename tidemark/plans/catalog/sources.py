@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import geo
+from tidemark.functions import codes, geo, wkb
 from tidemark.operators import explore
 from tidemark.operators.admin import classify
 from tidemark.plans import star
@@ -29,20 +29,28 @@ def dump_admin(spark, d):
     return classify(dumps.pairs(dumps.insert_tuples(text), "code", "name"))
 
 
-def boundary_dump(spark, d):
-    """Tiles through boundary dumps: level from the folder, lat/lng text to shapes."""
+def _boundary_text(spark, d):
+    """Tiles as columns of a boundary dump, coordinates as nested lists of latitude, longitude."""
     def pair(y, x):
         return F.format_string("[%s,%s]", y.cast("string"), x.cast("string"))
 
     a, b, c, e = (F.col(n) for n in ("xmin", "ymin", "xmax", "ymax"))
     ring = F.concat(F.lit("[[["), F.concat_ws(",", pair(b, a), pair(b, c), pair(e, c), pair(e, a), pair(b, a)), F.lit("]]]"))
-    t = star.tiles(spark, d).select("level", "code", F.lit("n").alias("name"), b.alias("lat"), a.alias("lng"), ring.alias("path"))
+    return star.tiles(spark, d).select("level", "code", F.lit("n").alias("name"), b.alias("lat"), a.alias("lng"), ring.alias("path"))
+
+
+def boundary_dump(spark, d):
+    """Tiles through boundary dumps: level from the folder, lat/lng text to shapes."""
+    t = _boundary_text(spark, d)
     folders = F.create_map(*(F.lit(x) for f, lv in dumps.BOUNDARY_FOLDERS.items() for x in (lv, f)))
     path = F.concat(F.lit("file:/raw/boundaries/"), folders[F.col("level")], F.lit("/all.sql"))
     out = dumps.to_statements(
         t.withColumn("file_path", path), "b", ["code", "name", "lat", "lng", "path"], keys=("file_path",)
     )
-    shapes = dumps.with_shapes(dumps.boundary_rows(dumps.insert_tuples(out)))
+    return _shape_columns(dumps.with_shapes(dumps.boundary_rows(dumps.insert_tuples(out))))
+
+
+def _shape_columns(shapes):
     return shapes.select(
         "level", "code", F.round("centroid_lat", 6).alias("lat"), F.round("extent.xmax", 6).alias("xmax"),
         F.size("edges").alias("edges"), F.round(geo.area_km2(F.col("rings")), 3).alias("area_km2"), "boundary_source",
@@ -104,10 +112,72 @@ def filled_areas(spark, d):
         .alias("area_km2"),
     )
     return f.join(a, "row_id").select(
-        "row_id", F.round(footprints.filled_area(F.col("area_km2"), F.col("rings")), 4).alias("area_km2")
+        "row_id", F.round(footprints.filled_area(F.col("area_km2"), geo.area_km2(F.col("rings"))), 4).alias("area_km2")
     )
 
 
+#: Spark's text writer names its files so.
+_WRITTEN = "part-*"
+
+
+def _dumped(df, path, table, columns):
+    """A table as dump files: the writer ends each statement's line, the text its statement."""
+    text = dumps.to_statements(df, table, columns)
+    text.select(F.concat("value", F.lit(";")).alias("value")).write.text(path)
+    return path
+
+
+def unit_files(spark, d):
+    """Units through dump files, a statement break inside every district's name."""
+    u = star.admin_codes(spark, d, village=False)
+    name = F.when(F.length("code") > 5, F.concat("name", F.lit(";\n'x'); VALUES ("))).otherwise(F.col("name"))
+    path = _dumped(u.select("code", name.alias("name")), work_path(spark, "unit-files"), "units", ["code", "name"])
+    return dumps.read_units(spark, path, _WRITTEN).select("code", "name", "level")
+
+
+def postal_files(spark, d):
+    """Postal codes of suppliers' nations through dump files; missing ones are NULL."""
+    s = star.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("village_code"),
+        F.when(F.col("s_acctbal") > 0, codes.padded(F.col("s_nationkey"), 5)).alias("postal_code"),
+    )
+    path = _dumped(s, work_path(spark, "postal-files"), "postal", ["village_code", "postal_code"])
+    return dumps.read_postal(spark, path, _WRITTEN).select("village_code", "postal_code")
+
+
+def boundary_files(spark, d):
+    """Tiles through one folder of boundary dump files per level."""
+    root = work_path(spark, "boundary-files")
+    t = _boundary_text(spark, d)
+    columns = ["code", "name", "lat", "lng", "path"]
+    for folder, level in dumps.BOUNDARY_FOLDERS.items():
+        if level != "village":
+            _dumped(t.filter(F.col("level") == level).select(*columns), f"{root}/boundaries/{folder}/all", "b", columns)
+    return _shape_columns(dumps.read_boundaries(spark, root, _WRITTEN))
+
+
+def footprint_files(spark, d):
+    """Footprints through a Parquet source with null fields, an empty geometry, an invalid one
+    and areas to fill: what is kept, and the area of each."""
+    x, y, h, k = F.col("lon"), F.col("lat"), F.col("half"), F.col("row_id")
+    a, b, c, e = (geo.point(x + dx * h, y + dy * h) for dx, dy in ((-1, -1), (1, 1), (1, -1), (-1, 1)))
+    bow_tie = geo.single_ring(a, b, c, e, a)
+    square = geo.box(x - h, y - h, x + h, y + h)
+    none = F.filter(square, lambda r: F.lit(False))
+    rings = F.when(k % 11 == 0, bow_tie).when(k % 13 == 0, none).otherwise(square)
+    rows = star.squares(spark, d).withColumn("rings", rings).withColumn("geometry", wkb.encode_wkb("rings")).select(
+        F.when(k % 17 != 0, F.concat("uuid", F.lit("-"), k.cast("string"))).alias("uuid"),
+        F.when(k % 3 == 0, F.lit(None).cast("double")).when(k % 3 == 1, F.lit(float("nan"))).otherwise(F.lit(1.5)).alias("area_km2"),
+        F.when(k % 19 != 0, F.col("geometry")).alias("geometry"),
+        F.when(k % 23 != 0, F.col("start_date")).alias("start_date"),
+        "end_date",
+    )
+    path = work_path(spark, "footprint-files")
+    rows.write.parquet(path)
+    back = footprints.read_footprints(spark, path)
+    return back.select("uuid", "start_date", F.round("footprint_area_km2", 3).alias("area_km2"))
+
+
 def month_shards(spark, d):
     """Shards written per month; the window prunes folders."""
     path = work_path(spark, "month-shards")
@@ -171,6 +241,10 @@ QUERIES = {
     "dump_rows": dump_rows,
     "dump_admin": dump_admin,
     "boundary_dump": boundary_dump,
+    "unit_files": unit_files,
+    "postal_files": postal_files,
+    "boundary_files": boundary_files,
+    "footprint_files": footprint_files,
     "document_rows": document_rows,
     "registry_forms": registry_forms,
     "source_profile": source_profile,
@@ -190,6 +264,9 @@ _AREA = (
     f"({sql.project_x('xmax')} - {sql.project_x('xmin')}) * "
     f"({sql.project_y('ymax')} - {sql.project_y('ymin')}) / 1e6"
 )
+_SQUARE = f"2 * {sql.project_x('half')} * ({sql.project_y('(lat + half)')} - {sql.project_y('(lat - half)')}) / 1e6"
+# the diagonals cross in the middle of the projected square: two triangles, half of it
+_BOW_TIE = f"({_SQUARE}) / 2"
 _TREND = (
     _LINES
     + "SELECT * EXCLUDE (level) FROM mon WHERE level = 'district' AND code = '13.03.0000000' AND month_start >= '1996-03'"
@@ -202,6 +279,25 @@ ORACLES = {
     + f"""
 SELECT level, code, round(ymin, 6) AS lat, round(xmax, 6) AS xmax, 4 AS edges, round({_AREA}, 3) AS area_km2,
        'raw' AS boundary_source FROM tile""",
+    "unit_files": sql.with_(sql.ADMIN)
+    + """
+SELECT code, CASE WHEN length(code) > 5 THEN name || ';' || chr(10) || chr(39) || 'x' || chr(39) || '); VALUES ('
+             ELSE name END AS name, level
+FROM adm WHERE level <> 'village'""",
+    "postal_files": """
+SELECT CAST(s_suppkey AS VARCHAR) AS village_code,
+       CASE WHEN s_acctbal > 0 THEN printf('%05d', s_nationkey) END AS postal_code FROM supplier""",
+    "boundary_files": _TILES
+    + f"""
+SELECT level, code, round(ymin, 6) AS lat, round(xmax, 6) AS xmax, 4 AS edges, round({_AREA}, 3) AS area_km2,
+       'raw' AS boundary_source FROM tile""",
+    "footprint_files": sql.with_(sql.SQUARES)
+    + f"""
+SELECT uuid || '-' || row_id AS uuid, start_date,
+       CASE WHEN row_id % 3 = 2 THEN 1.5
+            WHEN row_id % 11 = 0 THEN round({_BOW_TIE}, 3)
+            ELSE round({_SQUARE}, 3) END AS area_km2
+FROM sq WHERE row_id % 17 <> 0 AND row_id % 19 <> 0 AND row_id % 23 <> 0 AND (row_id % 13 <> 0 OR row_id % 11 = 0)""",
     "document_rows": """
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS INTEGER) AS position, turn, role
 FROM conversations""",

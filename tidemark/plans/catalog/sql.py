@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 ADMIN = """
-reg AS (SELECT lpad(CAST(r_regionkey + 11 AS VARCHAR), 2, '0') AS code, r_name AS name FROM region),
+reg AS (SELECT printf('%02d', r_regionkey + 11) AS code, r_name AS name FROM region),
 nat AS (SELECT n_nationkey,
-               lpad(CAST(n_regionkey + 11 AS VARCHAR), 2, '0') || '.' ||
-               lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS code, n_name AS name
+               printf('%02d', n_regionkey + 11) || '.' ||
+               printf('%02d', n_nationkey + 1) AS code, n_name AS name
         FROM nation),
-dis AS (SELECT c_custkey, c_acctbal, nat.code || '.' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS code,
+dis AS (SELECT c_custkey, c_acctbal, nat.code || '.' || printf('%07d', c_custkey) AS code,
                c_name AS name, nat.code AS regency
         FROM customer JOIN nat ON c_nationkey = n_nationkey),
 vil AS (SELECT o_orderkey, o_orderstatus,
-               dis.code || '.' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS code,
+               dis.code || '.' || printf('%09d', o_orderkey) AS code,
                o_orderpriority AS name
         FROM orders JOIN dis ON o_custkey = c_custkey),
 adm AS (
@@ -101,13 +101,14 @@ sq AS (
          CASE WHEN event_type = 'click' THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS end_date,
          100.0::DOUBLE + ((event_id * 7919) % 9000 + 500)::DOUBLE / 1000.0::DOUBLE AS lon,
          -5.0::DOUBLE + ((event_id * 104729) % 9000 + 500)::DOUBLE / 1000.0::DOUBLE AS lat,
-         0.01::DOUBLE + value / 5000.0::DOUBLE AS half
+         (0.01::DOUBLE + value / 5000.0::DOUBLE) * 100.0::DOUBLE / (
+           SELECT s + (s % 37 = 0)::BIGINT FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer)) AS half
   FROM events)
 """
 
 TILES = """
 tile AS (
-  SELECT 'province' AS level, lpad(CAST(r_regionkey + 11 AS VARCHAR), 2, '0') AS code,
+  SELECT 'province' AS level, printf('%02d', r_regionkey + 11) AS code,
          r_regionkey * 2.0::DOUBLE + 100.0::DOUBLE AS xmin, -5.0::DOUBLE AS ymin,
          r_regionkey * 2.0::DOUBLE + 102.0::DOUBLE AS xmax, 5.0::DOUBLE AS ymax
   FROM region
@@ -118,11 +119,13 @@ tile AS (
          (n_nationkey // 5) * 2.0::DOUBLE - 3.0::DOUBLE
   FROM nat
   UNION ALL
-  SELECT 'district', code, slot % 100 / 10.0::DOUBLE + 100.0::DOUBLE,
-         (slot // 100) / 10.0::DOUBLE - 5.0::DOUBLE,
-         (slot % 100 + 1) / 10.0::DOUBLE + 100.0::DOUBLE,
-         (slot // 100 + 1) / 10.0::DOUBLE - 5.0::DOUBLE
-  FROM (SELECT code, (c_custkey * 37) % 10000 AS slot FROM dis))
+  SELECT 'district', code, slot % side * 10.0::DOUBLE / side + 100.0::DOUBLE,
+         (slot // side) * 10.0::DOUBLE / side - 5.0::DOUBLE,
+         (slot % side + 1) * 10.0::DOUBLE / side + 100.0::DOUBLE,
+         (slot // side + 1) * 10.0::DOUBLE / side - 5.0::DOUBLE
+  FROM (SELECT code, (c_custkey * 37) % (side * side) AS slot, side
+        FROM dis, (SELECT s + (s % 37 = 0)::BIGINT AS side
+                   FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer))))
 """
 
 

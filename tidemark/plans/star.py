@@ -28,11 +28,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def province_code(key: Column) -> Column:
-    return F.lpad((key + 11).cast("string"), 2, "0")
+    return codes.padded(key + 11, 2)
 
 
 def regency_suffix(key: Column) -> Column:
-    return F.lpad((key + 1).cast("string"), 2, "0")
+    return codes.padded(key + 1, 2)
 
 
 def regencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def district_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         "c_name",
         "c_acctbal",
-        F.concat_ws(".", "_r", F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias("code"),
+        F.concat_ws(".", "_r", codes.padded(F.col("c_custkey"), 7)).alias("code"),
     )
 
 
@@ -66,7 +66,7 @@ def admin_codes(spark: SparkSession, sf_dir: str, village: bool = True) -> DataF
         o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         parts.append(
             o.join(d.select("c_custkey", "code"), F.col("o_custkey") == F.col("c_custkey")).select(
-                F.concat_ws(".", "code", F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias(
+                F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)).alias(
                     "code"
                 ),
                 F.col("o_orderpriority").alias("name"),
@@ -84,6 +84,14 @@ def admin_units(spark: SparkSession, sf_dir: str, village: bool = True) -> DataF
     return base.select("code", "name", *(c.alias(n) for n, c in h.items()))
 
 
+def grid_side(spark: SparkSession, sf_dir: str) -> Column:
+    """Tiles along one side of the district grid: 100, or what gives every customer a tile of
+    its own. A multiple of 37 would fold tiles together and is passed over."""
+    c = table(spark, sf_dir, "customer")
+    least = F.greatest(F.lit(100), F.ceil(F.sqrt(F.coalesce(F.max("c_custkey"), F.lit(0)) + 1)).cast("long"))
+    return c.agg((least + (least % 37 == 0).cast("long")).alias("side")).scalar()
+
+
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``level, code, xmin, ymin, xmax, ymax`` of province, regency and district tiles."""
     reg = table(spark, sf_dir, "region").select(
@@ -103,15 +111,16 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k % 5) * 2.0 + WEST + 2.0).alias("xmax"),
         (F.floor(k / 5) * 2.0 + SOUTH + 2.0).alias("ymax"),
     )
-    slot = (F.col("c_custkey") * 37) % 10000
-    col, row = slot % 100, F.floor(slot / 100)
-    cus = district_codes(spark, sf_dir).select(
+    side = F.col("side")
+    slot = (F.col("c_custkey") * 37) % (side * side)
+    col, row = slot % side, F.floor(slot / side)
+    cus = district_codes(spark, sf_dir).withColumn("side", grid_side(spark, sf_dir)).select(
         F.lit("district").alias("level"),
         "code",
-        (col / 10.0 + WEST).alias("xmin"),
-        (row / 10.0 + SOUTH).alias("ymin"),
-        ((col + 1) / 10.0 + WEST).alias("xmax"),
-        ((row + 1) / 10.0 + SOUTH).alias("ymax"),
+        (col * 10.0 / side + WEST).alias("xmin"),
+        (row * 10.0 / side + SOUTH).alias("ymin"),
+        ((col + 1) * 10.0 / side + WEST).alias("xmax"),
+        ((row + 1) * 10.0 / side + SOUTH).alias("ymax"),
     )
     return reg.unionByName(nat).unionByName(cus)
 
@@ -147,7 +156,10 @@ def unit_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as squares: ``row_id, uuid, start_date, end_date, lon, lat, half``."""
+    """Events as squares: ``row_id, uuid, start_date, end_date, lon, lat, half``.
+
+    Squares shrink with the tiles, so that one meets as many districts at any size of the tables.
+    """
     k = F.col("event_id")
     return spread(table(spark, sf_dir, "events").drop("props")).select(
         k.alias("row_id"),
@@ -158,7 +170,7 @@ def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("end_date"),
         (F.lit(WEST) + ((k * 7919) % 9000 + 500) / 1000.0).alias("lon"),
         (F.lit(SOUTH) + ((k * 104729) % 9000 + 500) / 1000.0).alias("lat"),
-        (F.lit(0.01) + F.col("value") / 5000.0).alias("half"),
+        ((F.lit(0.01) + F.col("value") / 5000.0) * 100.0 / grid_side(spark, sf_dir)).alias("half"),
     )
 
 

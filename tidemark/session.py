@@ -28,8 +28,9 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; a temporary one only for local masters."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a temporary one only for local masters. A
+    cluster without the setting is refused."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
@@ -39,23 +40,18 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     if sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         return sc.getCheckpointDir()
-    return None
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written intermediate table."""
-    root = checkpoint_root(spark)
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back, so that later jobs start from
-    files that survive lost executors; without a folder the plan is left as it is."""
+    files that survive lost executors."""
     spark = df.sparkSession
-    if checkpoint_root(spark) is None:
-        return df
     path = work_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
@@ -14,31 +14,67 @@ LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 TUPLE = rf"\((?:[^()']++|{LITERAL})*+\)"
 FIELD = rf"{LITERAL}|[^,()'\s][^,()']*+"
 
+#: The tuples of one statement: whatever follows VALUES. Text in literals is consumed with
+#: its tuple, so a VALUES inside a literal does not count.
+TUPLES = rf"(?i)\bVALUES\s*+((?:{TUPLE}\s*+,?+\s*+)*+)"
+
 # Folder of each level's boundary dumps.
 BOUNDARY_FOLDERS = {"prov": "province", "kab": "regency", "kec": "district", "kel": "village"}
 
 
-def read_statements(spark: SparkSession, path: str, separator: str = ";\n", recursive: bool = False) -> DataFrame:
-    """Statements as ``value`` and their file. Splitting at the separator keeps big dumps
-    splittable; dump tools escape line ends inside literals."""
+PATTERN = "*.sql"
+
+#: Where a chunk stands: file, split of the file, order within the task that reads the split.
+PLACE = ("file_path", "block", "statement")
+
+
+def read_statements(
+    spark: SparkSession, path: str, separator: str = ";\n", recursive: bool = False, pattern: str = PATTERN
+) -> DataFrame:
+    """Chunks of a dump as ``value`` with their place, each of one or more whole statements.
+
+    Splitting at the separator keeps big dumps splittable. A separator inside a literal leaves
+    chunks with an odd number of quotes; running parity over places alone finds them, and the
+    texts of each such run are put together again.
+    """
     reader = spark.read.option("lineSep", separator).option("recursiveFileLookup", recursive)
-    return reader.option("pathGlobFilter", "*.sql").text(path).select(
+    chunks = reader.option("pathGlobFilter", pattern).text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("statement"),
     )
+    odd = ((F.length("value") - F.length(F.replace("value", F.lit("'")))) % 2).alias("odd")
+    before = Window.partitionBy("file_path").orderBy("block", "statement").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file_path").orderBy("block", "statement")
+    places = (
+        chunks.select(*PLACE, odd)
+        .withColumn("open", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+        .filter("odd = 1 OR open = 1")
+        .withColumn("run", F.sum((F.col("open") == 0).cast("int")).over(upto))
+        .select(*PLACE, "run")
+    )
+    placed = chunks.join(places, list(PLACE), "left")
+    part = F.struct("block", "statement", "value")
+    mended = placed.filter("run IS NOT NULL").groupBy("file_path", "run").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda p: p["value"]), separator).alias("value"),
+        F.min(F.struct("block", "statement")).alias("at"),
+    )
+    return placed.filter("run IS NULL").select("value", *PLACE).unionByName(
+        mended.select("value", "file_path", "at.block", "at.statement")
+    )
 
 
 def insert_tuples(statements: DataFrame) -> DataFrame:
     """One row per tuple after each ``VALUES``: ``fields`` as text, NULL as null.
 
-    Quoted text may hold doubled quotes, commas, parentheses and semicolons.
+    A text may hold several statements. Quoted text may hold doubled quotes, commas,
+    parentheses, semicolons and line ends; column lists are no tuples.
     """
-    at = F.locate("VALUES", F.col("value"))
-    body = F.expr("substring(value, locate('VALUES', value) + 6)")
-    found = F.regexp_extract_all(body, F.lit(TUPLE), F.lit(0))
+    lists = F.regexp_extract_all("value", F.lit(TUPLES), F.lit(1))
+    found = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(TUPLE), F.lit(0))))
     keep = [c for c in statements.columns if c != "value"]
-    rows = statements.filter(at > 0).select(*keep, F.posexplode(found).alias("position", "t"))
+    rows = statements.select(*keep, F.posexplode(found).alias("position", "t"))
     fields = F.transform(
         F.regexp_extract_all("t", F.lit(FIELD), F.lit(0)), lambda v: _unquote(F.trim(v))
     )
@@ -56,27 +92,27 @@ def pairs(tuples: DataFrame, first: str, second: str) -> DataFrame:
     )
 
 
-def read_admin(spark: SparkSession, path: str) -> DataFrame:
+def read_admin(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """All admin rows of a dump; codes stay text."""
-    return classify(pairs(insert_tuples(read_statements(spark, path)), "code", "name"))
+    return classify(pairs(insert_tuples(read_statements(spark, path, pattern=pattern)), "code", "name"))
 
 
-def _latest(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:
-    rows = insert_tuples(read_statements(spark, path))
+def _latest(spark: SparkSession, path: str, first: str, second: str, pattern: str) -> DataFrame:
+    rows = insert_tuples(read_statements(spark, path, pattern=pattern))
     placed = rows.select(
-        F.get("fields", F.lit(0)).alias(first), F.get("fields", F.lit(1)).alias(second), "statement", "position"
+        F.get("fields", F.lit(0)).alias(first), F.get("fields", F.lit(1)).alias(second), *PLACE, "position"
     )
-    return last_wins(placed, [first], ["statement", "position"]).select(first, second)
+    return last_wins(placed, [first], [*PLACE, "position"]).select(first, second)
 
 
-def read_units(spark: SparkSession, path: str) -> DataFrame:
+def read_units(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """One admin row per code, the last of the dump."""
-    return classify(_latest(spark, path, "code", "name"))
+    return classify(_latest(spark, path, "code", "name", pattern))
 
 
-def read_postal(spark: SparkSession, path: str) -> DataFrame:
+def read_postal(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """One postal code per village, the last of the dump."""
-    return _latest(spark, path, "village_code", "postal_code")
+    return _latest(spark, path, "village_code", "postal_code", pattern)
 
 
 def boundary_rows(tuples: DataFrame) -> DataFrame:
@@ -115,10 +151,10 @@ def with_shapes(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_boundaries(spark: SparkSession, root: str) -> DataFrame:
+def read_boundaries(spark: SparkSession, root: str, pattern: str = PATTERN) -> DataFrame:
     """All boundary dumps under ``root/boundaries/<folder>``, rows with other nesting of
     coordinates left to `rejected_boundaries`."""
-    rows = boundary_rows(insert_tuples(read_statements(spark, f"{root}/boundaries", recursive=True)))
+    rows = boundary_rows(insert_tuples(read_statements(spark, f"{root}/boundaries", recursive=True, pattern=pattern)))
     return with_shapes(rows.filter(F.col("rings").isNotNull()))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
+from tidemark.operators.overlap import plane_area_km2
 from tidemark.schemas import FOOTPRINT
 from tidemark.sources.assets import path_exists
 
@@ -34,14 +35,15 @@ def decode_footprints(raw: DataFrame) -> DataFrame:
     dec = kept.withColumn("g", wkb.decode_wkb("geometry")).filter(~geo.is_empty(F.col("g.rings")))
     own = [c for c in kept.columns if c not in ("geometry",)]
     shaped = dec.select(*own, "g.rings", "g.edges", "g.valid", geo.bounds(F.col("g.rings")).alias("extent"))
-    return shaped.withColumn("footprint_area_km2", filled_area(F.col("area_km2"), F.col("rings")))
+    own_area = plane_area_km2(F.col("edges"), F.col("extent.ymin"))
+    return shaped.withColumn("footprint_area_km2", filled_area(F.col("area_km2"), own_area))
 
 
-def filled_area(area: Column, rings: Column) -> Column:
-    """The source's area when finite, else the geometry's own."""
+def filled_area(area: Column, own: Column) -> Column:
+    """The source's area when finite, else that of the repaired geometry."""
     infinite = F.lit(float("inf"))
     finite = area.isNotNull() & ~F.isnan(area) & (F.abs(area) < infinite)
-    return F.when(finite, area).otherwise(geo.area_km2(rings))
+    return F.when(finite, area).otherwise(own)
 
 
 def profile(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,9 @@ from tidemark.schemas import REPORT_COLUMNS
 # Name suffix of reviewed files; what precedes it is the slug.
 SUFFIX = "_inputs.reviewed.csv"
 
+# What a file without the column says.
+DEFAULTS = {"admin_level": "regency"}
+
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of all reviewed files with ``slug`` and ``source_row``.
@@ -27,7 +32,7 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
     out = None
     for head in heads.toLocalIterator():
-        names = [n.strip().strip('"').lstrip("\ufeff") for n in head["h"].split(",")]
+        names = [n.strip() for n in next(csv.reader([head["h"].lstrip("\ufeff")]), [])]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_tail0", "_tail1"]])
         rows = (
             spark.read.schema(schema)
@@ -35,7 +40,7 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
             .option("enforceSchema", True)
             .csv(head["files"])
             .select(
-                *(F.col(n) if n in names else F.lit("").alias(n) for n in REPORT_COLUMNS),
+                *(F.col(n) if n in names else F.lit(DEFAULTS.get(n, "")).alias(n) for n in REPORT_COLUMNS),
                 "_tail0", "_tail1",
                 F.regexp_extract(F.col("_metadata.file_name"), f"^(.*){SUFFIX}$", 1).alias("slug"),
                 F.monotonically_increasing_id().alias("source_row"),

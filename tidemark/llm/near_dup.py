@@ -19,20 +19,19 @@ LEAST = 0.8
 #: k-mers sampled by a sketch among all occurrences and among first occurrences, and sketches.
 SAMPLED, SAMPLED_FIRST, SKETCHES = 6, 3, 56
 #: Words of 64 bits in a signature, and the bits in which two with similarity 0.8 may differ:
-#: one bit differs with chance 0.1, so 1024 bits exceed 134 with chance 0.0005.
-LONGS, DIFFER = 16, 134
-
-_A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: one bit differs with chance 0.1, so 2048 bits exceed 252 with chance 0.0003.
+LONGS, DIFFER = 32, 252
+#: Turns one order of hashes into another.
+_OTHER = np.uint64(0xA5C3_96E1_5B2D_784F)
 
 
 def _keys(n: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64)
+    return np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
 
 
 def _hashed(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    h = (values[None, :] ^ keys[:, None]) * _A
-    h ^= h >> np.uint64(32)
-    return h * _B
+    """An order of well-mixed values for each odd key."""
+    return values[None, :] * keys[:, None]
 
 
 def occurrences(grams: np.ndarray) -> np.ndarray:
@@ -50,8 +49,8 @@ def sketch(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """One bucket per key: the smallest labelled k-mers under the key, in text order, as one hash.
 
     A k-mer is labelled with the number of its earlier occurrences. ``SAMPLED`` of the smallest
-    come from all labels and ``SAMPLED_FIRST`` from first occurrences, so that a line repeated
-    many times can't fill the sample. A text with fewer gives all it has.
+    come from all labels and ``SAMPLED_FIRST``, by another order, from first occurrences, so that
+    a line repeated many times can't fill the sample. A text with fewer gives all it has.
     """
     if not len(grams):
         return np.zeros(0, np.int64)
@@ -63,7 +62,7 @@ def sketch(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
     for at in range(0, len(keys), step):
         h = _hashed(labelled, keys[at : at + step])
         picks = []
-        for rows, base, n in ((h, np.arange(len(labelled)), SAMPLED), (h[:, once], once, SAMPLED_FIRST)):
+        for rows, base, n in ((h, np.arange(len(labelled)), SAMPLED), (h[:, once] ^ _OTHER, once, SAMPLED_FIRST)):
             if rows.shape[1] > n:
                 picks.append(base[np.argpartition(rows, n - 1, axis=1)[:, :n]])
             else:
@@ -84,15 +83,12 @@ def first_occurrences(words: np.ndarray) -> np.ndarray:
 
 
 def signature(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """One bit of each of 64 * LONGS minima; two per key."""
+    """One bit of each of 64 * LONGS minima."""
     if not len(distinct):
         return np.zeros(LONGS, np.int64)
     step = max(1, (1 << 18) // len(distinct))
-    low = [
-        _hashed(distinct, keys[at : at + step]).view(np.uint32).reshape(-1, len(distinct), 2).min(axis=1)
-        for at in range(0, len(keys), step)
-    ]
-    return np.packbits((np.concatenate(low).ravel() & 1).astype(np.uint8)).view(np.int64)
+    low = np.concatenate([_hashed(distinct, keys[at : at + step]).min(axis=1) for at in range(0, len(keys), step)])
+    return np.packbits((low >> np.uint64(9) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def alignment(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
@@ -152,7 +148,7 @@ _SIGNATURE = [f"s{i}" for i in range(LONGS)]
 
 def _described(rows: DataFrame) -> DataFrame:
     """Node, word hashes of 32 bits, number of distinct k-mers and signature of each text."""
-    keys = _keys(32 * LONGS, 2)
+    keys = _keys(64 * LONGS, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +219,7 @@ def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     First every text meets the head of each of its buckets, the text with the most company over
     all buckets: an original among its copies. Then buckets whose texts are not all connected
     yet pair each text outside the largest part with all texts of other parts, so that no
-    candidate is skipped.
+    candidate is skipped. Two texts meet in the smallest bucket they share, once.
     """
     facts = texts.select("node", "n", *_SIGNATURE)
     company = entries.groupBy("node").agg(F.sum("size").alias("company"))
@@ -250,7 +246,9 @@ def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         .where("parts > 1")
         .select("bucket", F.col("top.comp").alias("main"))
     )
-    open_ = cut_lineage(placed.join(largest, "bucket").join(facts, "node"))
+    unsettled = cut_lineage(placed.join(largest, "bucket"))
+    shared = unsettled.groupBy("node").agg(F.collect_list("bucket").alias("all"))  # at most SKETCHES
+    open_ = cut_lineage(unsettled.join(shared, "node").join(facts, "node"))
     outside = open_.where("comp <> main").alias("x")
     rest = (
         outside.join(
@@ -258,10 +256,10 @@ def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             (F.col("x.bucket") == F.col("y.bucket"))
             & (F.col("x.comp") != F.col("y.comp"))
             & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-            & _alike("x", "y", least),
+            & _alike("x", "y", least)
+            & (F.array_min(F.array_intersect("x.all", "y.all")) == F.col("x.bucket")),
         )
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     return links.unionByName(_verified(rest, texts, least))

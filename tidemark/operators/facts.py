@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start
+from tidemark.operators.ranking import staged_rank
 from tidemark.schemas import EVENT_SAMPLE_LIMIT, VILLAGE_THRESHOLD
 
 
@@ -43,10 +44,18 @@ def all_time(monthly: DataFrame) -> DataFrame:
     return _fold(monthly, ["level", "code"], F.sum("flood_days"))
 
 
+def _time(df: DataFrame) -> list[str]:
+    return [c for c in ("event_date", "month_start") if c in df.columns]
+
+
 def fact_order(df: DataFrame) -> DataFrame:
     """Facts as written: by level, then time when there is one, then code."""
-    time = [c for c in ("event_date", "month_start") if c in df.columns]
-    return df.orderBy("level", *time, "code")
+    return df.orderBy("level", *_time(df), "code")
+
+
+def fact_positions(df: DataFrame) -> DataFrame:
+    """Each fact with its ``position`` in that order, counted per level and time."""
+    return staged_rank(df, [], [F.col(c) for c in ("level", *_time(df))], [F.col("code").asc()])
 
 
 def bad_dates(footprints: DataFrame) -> DataFrame:

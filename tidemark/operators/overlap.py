@@ -178,9 +178,10 @@ def unit_fragments(units: DataFrame, cell_m: float = CELL_M) -> DataFrame:
 
     The result depends on the hierarchy only; callers write it once and reuse it.
     """
-    keys = ["level", "code", "unit_area_km2"]
+    keys = ["level", "code", "unit_area_km2", "u_south", "u_north"]
     area = plane_area_km2(F.col("edges"), F.col("extent.ymin")).alias("unit_area_km2")
-    edges = projected_edges(units.select("level", "code", "edges", "extent", area), keys)
+    reach = (F.col("extent.ymin").alias("u_south"), F.col("extent.ymax").alias("u_north"))
+    edges = projected_edges(units.select("level", "code", "edges", "extent", area, *reach), keys)
     return merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m)
 
 
@@ -269,16 +270,22 @@ def overlap(
     A unit side proven small is broadcast, so footprints are not moved before the sum.
     Otherwise both sides are shuffled on (cell, salt): a crowded cell is spread over
     ``salt`` partitions and the unit side is repeated that many times. With ``hot`` (see
-    `hot_cells`) only those cells are salted, each by its own weight.
+    `hot_cells`) only those cells are salted, each by its own weight. Pieces of a cell reach
+    down to a common floor; a pair whose latitudes do not meet would sum to nothing and is
+    left out of the join.
     """
     keys = ["row_id", *carry]
-    fa = cell_fragments(projected_edges(footprints, keys), keys, cell_m).select(
-        *keys, "cell", F.col("w").alias("a_w"), *(F.col(n).alias(f"a_{n}") for n in _PIECE)
+    sided = [*keys, "f_south", "f_north"]
+    reach = {"f_south": F.col("extent.ymin"), "f_north": F.col("extent.ymax")}
+    fa = cell_fragments(projected_edges(footprints.withColumns(reach), sided), sided, cell_m).select(
+        *sided, "cell", F.col("w").alias("a_w"), *(F.col(n).alias(f"a_{n}") for n in _PIECE)
     )
     fb = fragments.select(
         "level",
         "code",
         "unit_area_km2",
+        "u_south",
+        "u_north",
         F.col("cell").alias("b_cell"),
         F.col("w").alias("b_w"),
         *(F.col(n).alias(f"b_{n}") for n in _PIECE),
@@ -287,6 +294,8 @@ def overlap(
         (F.col("cell") == F.col("b_cell"))
         & (F.col("a_l") < F.col("b_r"))
         & (F.col("b_l") < F.col("a_r"))
+        & (F.col("f_south") < F.col("u_north"))
+        & (F.col("u_south") < F.col("f_north"))
     )
     small = broadcast_if_small(fb, FRAGMENT_BYTES, broadcast_bytes)
     if small is not None:

@@ -221,19 +221,26 @@ def build_states(reports: DataFrame, events: DataFrame, reviewed_at: str) -> Dat
     )
 
 
-def publication_order(events: DataFrame) -> DataFrame:
-    """Events as published: latest first, ties by id."""
-    return events.orderBy(F.col("event_date").desc(), F.col("event_id").desc())
-
-
-def global_order(rows: DataFrame, date: str) -> DataFrame:
-    """Rows of all places together: latest ``date`` first, ties by place."""
-    return rows.orderBy(F.col(date).desc(), F.col("admin_code").desc())
-
-
-def related_order(items: DataFrame) -> DataFrame:
-    """Related items of each place, latest source first."""
-    return items.orderBy("level", "code", F.col("source_date").desc(), "kind", F.col("event_id").desc())
+def bundle_order(rows: DataFrame, date: str, tie: str) -> DataFrame:
+    """Rows of every slug as its bundle lists them: latest ``date`` first, ties by descending
+    ``tie``. Slugs are ranged, so that a crowded one spreads over tasks."""
+    order = [F.col("slug"), F.col(date).desc(), F.col(tie).desc()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def publication_positions(rows: DataFrame, date: str, tie: str) -> DataFrame:
+    """``bundle_position`` of each row within its slug and ``global_position`` over all slugs,
+    both latest first; ties by ``tie`` in the bundle and by place overall."""
+    by_date = [F.coalesce(date, F.lit(""))]
+    placed = staged_rank(rows, ["slug"], by_date, [F.col(tie).desc()], "bundle_position", [True])
+    everywhere = [F.col("admin_code").desc(), F.col("slug").desc(), F.col(tie).desc()]
+    return staged_rank(placed, [], by_date, everywhere, "global_position", [True])
+
+
+def related_positions(items: DataFrame) -> DataFrame:
+    """``position`` of each related item of a place, latest source first."""
+    order = [F.col("kind").asc(), F.col("event_id").desc()]
+    return staged_rank(items, ["level", "code"], [F.coalesce("source_date", F.lit(""))], order, "position", [True])
 
 
 def bundle_counts(slugs: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:

@@ -164,7 +164,18 @@ def window_drag(spark, d):
     )
 
 
+def level_extent(spark, d):
+    """Extent of all features of a level, of both kinds of level there are."""
+    shapes = star.unit_shapes(spark, d)
+    parts = [
+        explore.extent_of(shapes.filter(F.col("level") == lv)).withColumn("level", F.lit(lv))
+        for lv in ("province", "district")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
+    "level_extent": level_extent,
     "window_rollup": window_rollup,
     "window_rollup_full": window_rollup_full,
     "window_defaults": window_defaults,
@@ -306,6 +317,10 @@ SELECT 'evidence.gap.note.' || CASE WHEN l_linestatus <> 'F' THEN lower(l_return
        concat_ws(chr(10), l_returnflag, CASE WHEN l_tax > 0.05 THEN NULL ELSE 'v1' END, l_linestatus) AS tooltip,
        count(*) AS rows
 FROM lineitem GROUP BY ALL""",
+    "level_extent": sql.with_(sql.ADMIN, sql.TILES)
+    + """
+SELECT min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax, level
+FROM tile WHERE level IN ('province', 'district') GROUP BY level""",
     "number_display": f"""
 WITH v AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice) ELSE -o_orderkey / 8 END AS v FROM orders)
 SELECT o_orderkey, {_display('v')} AS en, {_swap(_display('v'))} AS id FROM v""",

@@ -99,7 +99,14 @@ def month_keys(spark, d):
     )
 
 
+def fact_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Place of every month fact in the published order."""
+    _, month, _ = written(spark, d)
+    return facts.fact_positions(month).select("level", "month_start", "code", "position")
+
+
 QUERIES = {
+    "fact_positions": fact_positions,
     "line_daily_facts": daily,
     "line_monthly_facts": monthly,
     "line_all_time": all_time,
@@ -113,6 +120,8 @@ _BASE = sql.with_(sql.ADMIN, sql.LINES)
 
 ORACLES = {
     "line_daily_facts": _BASE + "SELECT * FROM day",
+    "fact_positions": _BASE
+    + "SELECT level, month_start, code, row_number() OVER (ORDER BY level, month_start, code) AS position FROM mon",
     "line_monthly_facts": _BASE + "SELECT * FROM mon",
     "line_all_time": _BASE + "SELECT * FROM alltime",
     "fact_row_counts": _BASE

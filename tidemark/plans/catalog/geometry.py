@@ -192,16 +192,16 @@ SELECT split_part(code, '.', 1) || '.' || split_part(code, '.', 2) AS target_cod
 FROM tile WHERE level = 'district' GROUP BY 1""",
     "outline_edges": sql.with_(sql.ADMIN)
     + """
-, t AS (SELECT regency, (c_custkey * 37) % 10000 AS slot FROM dis),
+, t AS (SELECT regency, (c_custkey * 37) % (side * side) AS slot, side FROM dis, (SELECT s + (s % 37 = 0)::BIGINT AS side FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer))),
 n AS (SELECT a.regency, count(*) AS touching FROM t a JOIN t b ON a.regency = b.regency
-      AND ((b.slot = a.slot + 1 AND a.slot % 100 <> 99) OR b.slot = a.slot + 100) GROUP BY 1)
+      AND ((b.slot = a.slot + 1 AND a.slot % a.side <> a.side - 1) OR b.slot = a.slot + a.side) GROUP BY 1)
 SELECT t.regency AS target_code, 4 * count(*) - 2 * coalesce(any_value(touching), 0) AS edges
 FROM t LEFT JOIN n ON n.regency = t.regency GROUP BY 1""",
     "sibling_overlaps": sql.with_(sql.ADMIN)
     + """
 SELECT 'district' AS level, count(*) AS pairs
-FROM (SELECT (c_custkey * 37) % 10000 AS slot, code FROM dis) a
-JOIN (SELECT (c_custkey * 37) % 10000 AS slot, code FROM dis) b ON a.slot = b.slot AND a.code < b.code
+FROM (SELECT (c_custkey * 37) % (side * side) AS slot, code FROM dis, (SELECT s + (s % 37 = 0)::BIGINT AS side FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer))) a
+JOIN (SELECT (c_custkey * 37) % (side * side) AS slot, code FROM dis, (SELECT s + (s % 37 = 0)::BIGINT AS side FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer))) b ON a.slot = b.slot AND a.code < b.code
 HAVING count(*) > 0""",
     "representative_points": _TILES
     + """

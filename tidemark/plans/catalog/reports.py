@@ -231,7 +231,23 @@ def date_normalisation(spark, d):
     )
 
 
+def publication_positions(spark, d):
+    """Places of events in their bundle and among all events."""
+    e, _ = published(spark, d)
+    out = q.publication_positions(e.filter("page = 0"), "event_date", "event_id")
+    return out.select("slug", "admin_code", "event_date", "event_id", "bundle_position", "global_position")
+
+
+def related_positions(spark, d):
+    """Places of related items, latest source first."""
+    _, _, e, _ = _effective(spark, d)
+    items = q.related_items(q.display_order(q.with_media(e)), e.filter("page > 0"))
+    return q.related_positions(items).select("level", "code", "kind", "event_id", "source_date", "position")
+
+
 QUERIES = {
+    "publication_positions": publication_positions,
+    "related_positions": related_positions,
     "normalized_reports": normalized_reports,
     "publishable_reports": publishable_reports,
     "report_positions": report_positions,
@@ -443,6 +459,17 @@ SELECT admin_code, 'regency' AS admin_level, split_part(admin_code, '.', 1) AS p
 FROM known JOIN fst USING (slug) JOIN his USING (slug)""",
     "event_display_order": _SHOW + "SELECT level, code, event_id, CAST(media_rank AS INTEGER) AS media_rank, position FROM ord",
     "related_items": _SHOW + "SELECT * FROM rel",
+    "related_positions": _SHOW
+    + """
+SELECT level, code, kind, event_id, source_date,
+       row_number() OVER (PARTITION BY level, code ORDER BY coalesce(source_date, '') DESC, kind, event_id DESC) AS position
+FROM rel""",
+    "publication_positions": _BASE
+    + """
+SELECT slug, admin_code, event_date, event_id,
+       row_number() OVER (PARTITION BY slug ORDER BY coalesce(event_date, '') DESC, event_id DESC) AS bundle_position,
+       row_number() OVER (ORDER BY coalesce(event_date, '') DESC, admin_code DESC, slug DESC, event_id DESC) AS global_position
+FROM ev""",
     "qualitative_summary": _SHOW
     + """
 SELECT *, CASE WHEN public_state = '' THEN '' ELSE 'qualitative.state.' || public_state END AS state_label_key,

@@ -90,8 +90,8 @@ def registry_forms(spark, d):
 
 
 def source_profile(spark, d):
-    p = footprints.profile(spark, f"{d}/lineitem.parquet", ["l_quantity", "l_extendedprice"])
-    return p.drop("file_path", "block_start")
+    columns = ["l_quantity", "l_extendedprice"]
+    return footprints.whole_profile(footprints.profile(spark, f"{d}/lineitem.parquet", columns), columns)
 
 
 def source_fields(spark, d):

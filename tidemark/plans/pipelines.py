@@ -99,9 +99,9 @@ def build_facts(
     bridge = spark.read.parquet(f"{out}/bridge")
 
     pairs = bridge.withColumnRenamed("coverage_ratio_of_unit", "coverage_ratio")
-    writers.write_table(facts.daily_facts(pairs), f"{out}/fact_day", "level")
+    writers.write_table(facts.fact_order(facts.daily_facts(pairs)), f"{out}/fact_day", "level")
     daily = spark.read.parquet(f"{out}/fact_day")
-    writers.write_table(facts.monthly_facts(daily), f"{out}/fact_month", "level")
+    writers.write_table(facts.fact_order(facts.monthly_facts(daily)), f"{out}/fact_month", "level")
     monthly = spark.read.parquet(f"{out}/fact_month")
     writers.write_table(facts.all_time(monthly), f"{out}/fact_all_time", "level")
     if include_village:
@@ -133,8 +133,10 @@ def build_reports(spark: SparkSession, reviewed: str, out: str, reviewed_at: str
     writers.write_table(nested, f"{out}/events")
     writers.write_table(states, f"{out}/states")
     slugs = report_slugs(spark, reviewed)
-    writers.write_bundles(spark.read.parquet(f"{out}/events"), slugs, f"{out}/regencies/events")
-    writers.write_bundles(spark.read.parquet(f"{out}/states"), slugs, f"{out}/regencies/states")
+    published = qualitative.bundle_order(spark.read.parquet(f"{out}/events"), "event_date", "event_id")
+    writers.write_bundles(published, slugs, f"{out}/regencies/events")
+    reviewed_states = qualitative.bundle_order(spark.read.parquet(f"{out}/states"), "period_start", "admin_code")
+    writers.write_bundles(reviewed_states, slugs, f"{out}/regencies/states")
     writers.write_table(slugs, f"{out}/slugs")
 
 
@@ -159,19 +161,12 @@ def package_release(
     writers.write_geojson(public, f"{out}/boundaries", SIMPLIFY_TOLERANCE_DEG)
     writers.write_table(explore.search_index(units), f"{out}/search_index")
     writers.write_table(release.methodology(spark), f"{out}/methodology")
+    writers.write_table(read(f"{reference}/coverage/overall"), f"{out}/coverage_report/overall")
+    writers.write_table(read(f"{reference}/coverage/by_province"), f"{out}/coverage_report/by_province")
+    writers.write_table(gate, f"{out}/coverage_report/gate")
 
     events, states = read(f"{reports}/events"), read(f"{reports}/states")
-    files = read(f"{reports}/slugs").select(
-        "slug",
-        F.inline(
-            F.array(
-                *(
-                    F.struct(F.lit(k).alias("kind"), F.concat(F.lit(f"regencies/{k}/rows/slug="), "slug").alias("path"))
-                    for k in ("events", "states")
-                )
-            )
-        ),
-    ).withColumn("modified", F.lit(generated_at).cast("timestamp"))
+    files = assets.bundle_files(spark, f"{reports}/regencies")
     named = qualitative.regency_index(
         files,
         events.filter("page = 0").withColumn("position", F.struct("event_date", "event_id")),
@@ -184,7 +179,7 @@ def package_release(
     )
     writers.write_table(manifest, f"{out}/build_manifest")
     return {
-        "assets": spark.createDataFrame([(n,) for n in validation.ROOT_ASSETS], "name string"),
+        "assets": assets.folder_names(spark, out),
         "manifest": read(f"{out}/build_manifest"),
         "coverage": read(f"{reference}/coverage/overall"),
         "coverage_by_province": read(f"{reference}/coverage/by_province"),

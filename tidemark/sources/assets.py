@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,37 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+CODE_PATTERN = r"^[0-9]+([.][0-9]+)*$"
+
+
+def folder_names(spark: SparkSession, root: str) -> DataFrame:
+    """``name`` of each asset folder written under ``root``, from the file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return spark.createDataFrame([(n,) for n in names], "name string")
+
+
+def bundle_files(spark: SparkSession, root: str) -> DataFrame:
+    """``slug, kind, path, modified`` of the bundles written under ``root``, one folder for
+    each kind; the time is that of the file that lists the slugs."""
+    parts = []
+    for kind in ("events", "states"):
+        if path_exists(spark, f"{root}/{kind}/slugs"):
+            listed = spark.read.schema("slug string").json(f"{root}/{kind}/slugs")
+            parts.append(
+                listed.select(
+                    "slug",
+                    F.lit(kind).alias("kind"),
+                    F.concat(F.lit(f"regencies/{kind}/rows/slug="), "slug").alias("path"),
+                    F.col("_metadata.file_modification_time").alias("modified"),
+                )
+            )
+    if not parts:
+        return spark.createDataFrame([], "slug string, kind string, path string, modified timestamp")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON rows of an asset, or an empty typed table when it is absent."""
     if not path_exists(spark, path):
@@ -74,17 +106,23 @@ def read_documents(spark: SparkSession, path: str, key: str, row: T.StructType)
 
 
 def registry_rows(docs: DataFrame) -> DataFrame:
-    """Registry rows of either form: a list of rows, or a map keyed by admin code whose
-    rows are regencies. Rows without a code are dropped, missing values defaulted."""
+    """Registry rows of any form: a list of rows, or a map keyed by admin code whose rows are
+    regencies, or a map keyed by slug whose rows name their code. Rows without a code are
+    dropped, missing values defaulted; a slug defaults to its key."""
     listed = document_rows(docs, "rows", REGISTRY_ROW).drop("position")
     keyed = (
         docs.filter(F.startswith(F.ltrim("value"), F.lit("{")))
         .select(F.explode(F.from_json("value", T.MapType(T.StringType(), REGISTRY_ROW))).alias("k", "r"))
         .select("k", "r.*")
-        .withColumn("admin_code", F.col("k"))
-        .withColumn("admin_level", F.lit("regency"))
-        .withColumn("province_code", F.substring_index("k", ".", 1))
-        .drop("k")
+        .withColumn("is_code", F.col("k").rlike(CODE_PATTERN))
+        .withColumn("admin_code", F.when(F.col("is_code"), F.col("k")).otherwise(F.col("admin_code")))
+        .withColumn("admin_level", F.when(F.col("is_code"), F.lit("regency")).otherwise(F.col("admin_level")))
+        .withColumn(
+            "province_code",
+            F.when(F.col("is_code"), F.substring_index("k", ".", 1)).otherwise(F.col("province_code")),
+        )
+        .withColumn("slug", F.coalesce(F.nullif("slug", F.lit("")), F.when(~F.col("is_code"), F.col("k"))))
+        .drop("k", "is_code")
     )
     empty = F.lit("")
     rows = listed.select(*keyed.columns).unionByName(keyed)

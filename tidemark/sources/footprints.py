@@ -57,6 +57,14 @@ def profile(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return df.select(*columns, *where).groupBy(*names.values()).agg(*aggs)
 
 
+def whole_profile(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, minimum and maximum per file, from the profiles of its splits."""
+    aggs = [F.sum("rows").alias("rows")]
+    for c in columns:
+        aggs += [F.min(f"min_{c}").alias(f"min_{c}"), F.max(f"max_{c}").alias(f"max_{c}")]
+    return parts.groupBy("file_name").agg(*aggs)
+
+
 def fields(spark: SparkSession, path: str) -> DataFrame:
     """Field list of a source."""
     schema = spark.read.parquet(path).schema

@@ -31,7 +31,7 @@ def built(spark):
     return {
         "assets": spark.createDataFrame([(n,) for n in validation.ROOT_ASSETS], "name string"),
         "manifest": manifest, "coverage": overall, "coverage_by_province": overall, "gate": gate,
-        "methodology": release.methodology(spark), "search_index": explore.search_index(units), "boundaries": b,
+        "methodology": release.methodology(spark), "methodology_texts": release.methodology_texts(spark), "search_index": explore.search_index(units), "boundaries": b,
         "metric_assets": months, "month_shards": writers.month_shards(monthly), "trend_shards": writers.trend_shards(monthly),
         "summary": total, "daily": daily, "monthly": monthly, "registry": registry,
         "events": spark.createDataFrame([("11.71", "regency", "n", "2024-01-01", "s")], ", ".join(f"{c} string" for c in validation.EVENT_FIELDS)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,21 @@ METRIC_DEFINITIONS = {
 }
 
 
+SOURCES = ("dated footprints", "administrative units", "postal codes", "boundary dumps")
+NOTES = ("district coverage gates a release", "villages are optional", "assets are built ahead", "figures are indicative")
+
+# Where a release keeps its assets.
+ASSET_PATHS = {"coverage_report": "coverage_report", "search_index": "search_index", "methodology": "methodology"}
+ROUTE_VERSION = "1"
+METRIC_FOLDERS = ("metrics/summary_all_time", "metrics/month", "metrics/trend")
+
+
+def methodology_texts(spark: SparkSession, sources: Sequence[str] = SOURCES, notes: Sequence[str] = NOTES) -> DataFrame:
+    """``kind, text`` of the sources and notes that go with the metrics."""
+    rows = [("source", s) for s in sources] + [("note", n) for n in notes]
+    return spark.createDataFrame(rows, "kind string, text string")
+
+
 def methodology(spark: SparkSession) -> DataFrame:
     rows = [(m, METRIC_DEFINITIONS[m]) for m in METRICS]
     return spark.createDataFrame(rows, "metric string, definition string")
@@ -118,12 +135,20 @@ def missing_source_manifest(spark: SparkSession, path: str, generated_at: str) -
 def release_manifest(
     available: DataFrame, assets: DataFrame, facts: DataFrame, gate: DataFrame, version: str, generated_at: str
 ) -> DataFrame:
-    """One row: version, defaults, levels, months per level, facts status, warning codes."""
+    """One row: version, defaults, levels, asset paths, months per level, where the reports
+    are, facts status, warning codes."""
+
+    def at(folder: str):
+        return F.concat(F.lit(f"{folder}/level="), "level").alias(folder.split("/")[-1])
+
     levels = available.agg(
         F.transform(F.sort_array(F.collect_list(F.struct("level_rank", "level"))), lambda s: s["level"]).alias("l")
     ).scalar()
+    boundaries = available.agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("level", at("boundaries"))))).alias("m")
+    ).scalar()
     by_level = assets.agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("level", F.struct("months", "trend_bundle_segments"))))).alias("m")
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("level", F.struct("months", "trend_bundle_segments", *map(at, METRIC_FOLDERS)))))).alias("m")
     ).scalar()
     codes = gate.agg(F.sort_array(F.collect_set("warning_code")).alias("w")).scalar()
     return facts.select(
@@ -135,6 +160,16 @@ def release_manifest(
         levels.alias("available_levels"),
         F.array(*(F.lit(m) for m in METRICS)).alias("metrics"),
         by_level.alias("metric_assets"),
+        boundaries.alias("boundary_assets"),
+        *(F.lit(path).alias(name) for name, path in ASSET_PATHS.items()),
+        F.struct(
+            F.lit("events").alias("global_events_path"),
+            F.lit("states").alias("global_states_path"),
+            F.lit("regencies").alias("regency_index_path"),
+            F.lit("regencies").alias("regency_assets_base_path"),
+            F.array(*(F.lit(v) for v in PUBLIC_LEVELS)).alias("supported_levels"),
+            F.lit(ROUTE_VERSION).alias("route_version"),
+        ).alias("qualitative"),
         F.col("status").alias("source_status"),
         F.struct("intersecting_events", "built_levels", "event_sample_size").alias("source_summary"),
         codes.alias("warning_codes"),

@@ -10,6 +10,8 @@ from tidemark.plans import star
 from tidemark.plans.catalog import admin as admin_queries
 from tidemark.plans.catalog import facts, geometry, reports, sql
 from tidemark.plans.catalog import overlap as overlap_queries
+from tidemark.schemas import ADMIN_COLUMNS
+from tidemark.session import work_path
 from tidemark.sinks import writers
 from tidemark.sources import footprints
 from tidemark.streaming import refresh
@@ -100,6 +102,7 @@ def _release(spark, d):
         "coverage_by_province": admin.coverage_by_province(units, b),
         "gate": gate,
         "methodology": release.methodology(spark),
+        "methodology_texts": release.methodology_texts(spark),
         "search_index": explore.search_index(units),
         "boundaries": b,
         "metric_assets": assets,
@@ -200,7 +203,34 @@ def refreshed_footprint_facts(spark, d):
     )
 
 
+def gap_shards(spark, d):
+    """Month folders of the few lines of quantity 1 and discount 0, gap months included."""
+    few = facts.line_bridge(spark, d).filter("coverage_ratio = 0 AND intersection_area_km2 = 1")
+    path = work_path(spark, "gap-shards")
+    writers.write_month_shards(fact_ops.monthly_facts(fact_ops.daily_facts(few)), path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1).alias(name)
+    return files.select(part("level"), part("month")).distinct()
+
+
+def broken_release(spark, d):
+    """A release without a month's shards, one summary column too many, a lost property,
+    no notes and a path that leads nowhere."""
+    a = dict(_release(spark, d))
+    a["assets"] = a["assets"].filter("name <> 'methodology'")
+    a["month_shards"] = a["month_shards"].filter("NOT (level = 'regency' AND month = '1995-05')")
+    a["summary"] = a["summary"].withColumn("extra", F.lit(1))
+    a["methodology_texts"] = a["methodology_texts"].filter("kind = 'source'")
+    a["manifest"] = a["manifest"].withColumn("search_index", F.lit("elsewhere"))
+    a["features"] = a["boundaries"].select(
+        "level", F.create_map(*(F.lit(x) for c in (*ADMIN_COLUMNS,) for x in (c, ""))).alias("properties")
+    )
+    return validation.validate_release(a).filter("check_id <> 'registry'")
+
+
 QUERIES = {
+    "gap_shards": gap_shards,
+    "broken_release": broken_release,
     "month_spine": month_spine,
     "metric_assets": metric_assets,
     "shard_keys": shard_keys,
@@ -239,6 +269,24 @@ spine AS (
   FROM ends)
 SELECT spine.level, spine.month, coalesce(n, 0) AS rows, n IS NOT NULL AS observed
 FROM spine LEFT JOIN rmon USING (level, month)""",
+    "gap_shards": _LINES
+    + _RARE
+    + """
+, ends AS (SELECT level, min(month) AS a, max(month) AS b FROM rmon GROUP BY level)
+SELECT level, strftime(unnest(generate_series(CAST(a || '-01' AS DATE), CAST(b || '-01' AS DATE), INTERVAL 1 MONTH)), '%Y-%m') AS month
+FROM ends""",
+    "broken_release": """
+SELECT * FROM (VALUES
+  ('required_assets', 'methodology', 'error', 'not among the published files'),
+  ('manifest', 'build_manifest', 'error', 'search_index does not name its asset'),
+  ('methodology', 'methodology', 'error', 'no text of kind note'),
+  ('metrics', 'regency', 'error', 'no shard for month 1995-05'),
+  ('metrics', 'summary', 'error', 'column outside the contract: extra'),
+  ('features', 'province', 'error', 'features lack the property boundary_source'),
+  ('features', 'regency', 'error', 'features lack the property boundary_source'),
+  ('features', 'district', 'error', 'features lack the property boundary_source'),
+  ('features', 'village', 'error', 'features lack the property boundary_source')
+) t(check_id, asset, severity, message)""",
     "metric_assets": _LINES
     + """
 SELECT level, string_agg(DISTINCT month_start[1:7], ',' ORDER BY month_start[1:7]) AS months,

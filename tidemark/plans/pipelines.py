@@ -160,7 +160,9 @@ def package_release(
     writers.write_table(total, f"{out}/metrics/summary_all_time", "level")
     writers.write_geojson(public, f"{out}/boundaries", SIMPLIFY_TOLERANCE_DEG)
     writers.write_table(explore.search_index(units), f"{out}/search_index")
-    writers.write_table(release.methodology(spark), f"{out}/methodology")
+    writers.write_table(release.methodology(spark), f"{out}/methodology/metrics")
+    writers.write_table(release.methodology_texts(spark), f"{out}/methodology/texts")
+    writers.write_feature_collections(public, f"{out}/boundary_collections", SIMPLIFY_TOLERANCE_DEG)
     writers.write_table(read(f"{reference}/coverage/overall"), f"{out}/coverage_report/overall")
     writers.write_table(read(f"{reference}/coverage/by_province"), f"{out}/coverage_report/by_province")
     writers.write_table(gate, f"{out}/coverage_report/gate")
@@ -184,7 +186,9 @@ def package_release(
         "coverage": read(f"{reference}/coverage/overall"),
         "coverage_by_province": read(f"{reference}/coverage/by_province"),
         "gate": gate,
-        "methodology": read(f"{out}/methodology"),
+        "methodology": read(f"{out}/methodology/metrics"),
+        "methodology_texts": read(f"{out}/methodology/texts"),
+        "features": assets.read_features(spark, f"{out}/boundaries"),
         "search_index": read(f"{out}/search_index"),
         "boundaries": public,
         "metric_assets": months,

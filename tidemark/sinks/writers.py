@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import geo, wkb
 from tidemark.functions.codes import prefix
 from tidemark.operators.geometry import dataset_stats
+from tidemark.operators.release import month_spine
 from tidemark.schemas import ADMIN_COLUMNS, BUNDLE_SEGMENTS, LEVELS, METRICS
 
 FEATURE_PROPERTIES = (*ADMIN_COLUMNS, "boundary_source")
@@ -63,6 +64,20 @@ def write_geojson(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
     lines.write.mode("overwrite").partitionBy("level").text(path)
 
 
+def feature_collections(df: DataFrame, tolerance: float = 0.0, levels: Sequence[str] = ("province", "regency")) -> DataFrame:
+    """``level, value``: one collection document per level, for levels of few features. A level
+    is one row here; levels of many features stay in lines (`write_geojson`)."""
+    thinned = df.filter(F.col("level").isin(*levels)).withColumn("rings", wkb.simplify(F.col("rings"), tolerance))
+    lines = thinned.select("level", F.struct("code", geojson_feature(df.columns).alias("f")).alias("s"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["f"]), ",")
+    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}"))
+    return lines.groupBy("level").agg(whole.alias("value"))
+
+
+def write_feature_collections(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
+    feature_collections(df, tolerance).write.mode("overwrite").partitionBy("level").text(path)
+
+
 def month_shards(monthly: DataFrame) -> DataFrame:
     return monthly.select(
         "level", F.substring("month_start", 1, 7).alias("month"), "code", "month_start", *METRICS
@@ -71,9 +86,16 @@ def month_shards(monthly: DataFrame) -> DataFrame:
 
 def write_month_shards(monthly: DataFrame, path: str) -> None:
     """One folder per (level, month). Rows are ranged on code as well, so a crowded month
-    spreads over several files."""
+    spreads over several files. Months without rows between the ends of a level, few by
+    nature, get an empty shard each."""
     shards = month_shards(monthly).repartitionByRange("level", "month", "code")
     shards.write.mode("overwrite").partitionBy("level", "month").json(path)
+    spark = monthly.sparkSession
+    for r in month_spine(monthly).filter("NOT observed").select("level", "month").collect():
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/level={r['level']}/month={r['month']}/empty.json")
+        out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+        out.write(10)  # one line end: readers skip files without a byte
+        out.close()
 
 
 def trend_shards(monthly: DataFrame) -> DataFrame:

@@ -49,6 +49,13 @@ def folder_names(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """``level, properties`` of written feature lines, one folder per level."""
+    rows = spark.read.text(path).filter(F.length("value") > 0)
+    found = F.from_json(F.get_json_object("value", "$.properties"), T.MapType(T.StringType(), T.StringType()))
+    return rows.select("level", found.alias("properties"))
+
+
 def bundle_files(spark: SparkSession, root: str) -> DataFrame:
     """``slug, kind, path, modified`` of the bundles written under ``root``, one folder for
     each kind; the time is that of the file that lists the slugs."""

@@ -126,8 +126,12 @@ def test_refresh_adds_only_new_files(spark, tmp_path):
     row = refresh.combined(spark, part).first()
     assert (row["unique_event_count"], row["sum_intersection_area_km2"], row["flood_days"]) == (2, 3.0, 1)
     assert row["max_coverage_ratio"] == pytest.approx(0.2)
-    refresh.compact(spark, part, str(tmp_path / "day"))
-    assert spark.read.parquet(str(tmp_path / "day")).count() == 1
+    base = str(tmp_path / "day")
+    refresh.compact(spark, part, base)
+    assert refresh.latest_base(spark, base) == 1
+    feed(3)
+    row = refresh.combined(spark, part, base).first()
+    assert (row["unique_event_count"], row["sum_intersection_area_km2"], row["flood_days"]) == (3, 4.5, 1)
 
 
 def test_evidence_month_rules(spark):

@@ -103,19 +103,23 @@ def with_periods(reports: DataFrame) -> DataFrame:
 
 def rank_reports(reports: DataFrame) -> DataFrame:
     """Publishable reports with their position in their event group: the first report is
-    featured, the rest support it in that order."""
+    featured, the rest support it in that order. Ranks are taken over keys and dates alone and
+    joined back by source row, so that texts are moved once."""
     c = F.col
     day = normalize_date(c("event_date"))
-    return staged_rank(
-        with_periods(reports).filter(publishable()),
-        GROUP,
-        split=[
-            text.parse_bool(c("is_supporting_evidence")),
-            normalize_date(c("source_date"), day),
-            day,
-        ],
-        order=[c("event_id"), c("source_row")],
+    rows = with_periods(reports).filter(publishable())
+    light = rows.select(
+        *GROUP,
+        "event_id",
+        "source_row",
+        text.parse_bool(c("is_supporting_evidence")).alias("late"),
+        normalize_date(c("source_date"), day).alias("told"),
+        day.alias("day"),
+    )
+    ranked = staged_rank(
+        light, GROUP, split=[c("late"), c("told"), c("day")], order=[c("event_id"), c("source_row")]
     )
+    return rows.join(ranked.select("slug", "source_row", "position"), ["slug", "source_row"])
 
 
 def _event_columns() -> list[Column]:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.facts import daily_facts
 from tidemark.schemas import METRIC_FIELDS
 from tidemark.session import work_path
+from tidemark.sources.assets import folder_names, path_exists
 
 PARTIAL = T.StructType(
     [
@@ -54,9 +55,21 @@ def start(
     )
 
 
-def combined(spark: SparkSession, partials: str) -> DataFrame:
-    """Day facts over all batches so far."""
+def latest_base(spark: SparkSession, base: str) -> int | None:
+    """Last batch folded into the newest whole table under ``base``."""
+    names = [r["name"] for r in folder_names(spark, base).collect()]  # one per compaction kept
+    upto = [int(n.removeprefix("upto=")) for n in names if path_exists(spark, f"{base}/{n}/_SUCCESS")]
+    return max(upto, default=None)
+
+
+def combined(spark: SparkSession, partials: str, base: str | None = None) -> DataFrame:
+    """Day facts over all batches so far: the newest table under ``base`` and the batches after
+    it, whose folders alone are read."""
     p = spark.read.schema(PARTIAL).parquet(partials)
+    upto = latest_base(spark, base) if base else None
+    if upto is not None:
+        whole = spark.read.schema(PARTIAL).parquet(f"{base}/upto={upto}")
+        p = p.filter(F.col("batch") > upto).unionByName(whole.withColumn("batch", F.lit(upto).cast("long")))
     return (
         p.groupBy("event_date", "level", "code")
         .agg(
@@ -68,19 +81,28 @@ def combined(spark: SparkSession, partials: str) -> DataFrame:
     )
 
 
-def compact(spark: SparkSession, partials: str, target: str) -> None:
-    """Rewrite the batches so far as one table."""
-    combined(spark, partials).write.mode("overwrite").parquet(target)
+def compact(spark: SparkSession, partials: str, base: str) -> None:
+    """Fold the batches so far into a new table under ``base``. Batches and older tables may be
+    deleted once no reader uses them; a table that was not finished is never read."""
+    upto = spark.read.schema(PARTIAL).parquet(partials).agg(F.max("batch").alias("n")).first()["n"]
+    if upto is not None and upto != latest_base(spark, base):
+        combined(spark, partials, base).write.mode("overwrite").parquet(f"{base}/upto={upto}")
 
 
 def replay(
     spark: SparkSession, rows: DataFrame, to_bridge: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Feed rows through the stream in several files and read the combined facts."""
+    """Feed rows through the stream in two parts of several files, with a compaction between
+    them, and read the combined facts."""
     root = work_path(spark, "refresh")
-    rows.write.parquet(f"{root}/in")
-    for _ in range(2):
+    rows.write.parquet(f"{root}/all")
+    whole = spark.read.schema(rows.schema).parquet(f"{root}/all")
+    half = F.xxhash64(*(c for c, t in rows.dtypes if not t.startswith("map"))) % 2 == 0
+    for n, part in enumerate((whole.filter(half), whole.filter(~half))):
+        part.write.mode("append").parquet(f"{root}/in")
         start(
             spark, f"{root}/in", rows.schema, to_bridge, f"{root}/partials", f"{root}/state", files_per_batch=4
         ).awaitTermination()
-    return combined(spark, f"{root}/partials")
+        if not n:
+            compact(spark, f"{root}/partials", f"{root}/base")
+    return combined(spark, f"{root}/partials", f"{root}/base")

@@ -15,6 +15,8 @@ from tidemark.session import ship_package
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="tables not present")
+#: Held-out accuracy needs more rows than the smallest tables have.
+LARGER = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -31,9 +33,13 @@ def texts(con):
     return dict(con.execute("select doc_id, text from documents").fetchall())
 
 
-def rows(spark, name):
+def rows(spark, name, data=DATA):
     ship_package(spark)
-    return catalog.QUERIES[name](spark, DATA).collect()
+    return catalog.QUERIES[name](spark, data).collect()
+
+
+def column(con, table, name):
+    return dict(con.execute(f"select doc_id, {name} from read_parquet('{LARGER}/{table}.parquet')").fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
@@ -80,10 +86,10 @@ def test_personal_data_matches_the_patterns(spark, texts):
 
 
 def test_quality_is_learnt(spark, con):
-    labels = dict(con.execute("select doc_id, quality from labels").fetchall())
-    held = [r for r in rows(spark, "op5_quality_zip") if r.held_out and r.doc_id in labels]
+    labels = column(con, "labels", "quality")
+    held = [r for r in rows(spark, "op5_quality_zip", LARGER) if r.held_out and r.doc_id in labels]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in held)
-    assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.85 * len(held)
+    assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
 def test_near_duplicates_match_all_pairs(spark, texts):
@@ -160,10 +166,10 @@ def test_measures_match_brute_force(spark, texts):
 
 
 def test_languages_are_learnt(spark, con):
-    langs = dict(con.execute("select doc_id, lang from documents").fetchall())
-    held = [r for r in rows(spark, "op10_language_id") if r.held_out]
+    langs = column(con, "documents", "lang")
+    held = [r for r in rows(spark, "op10_language_id", LARGER) if r.held_out]
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in held)
-    assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.9 * len(held)
+    assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
 def test_pipeline_keeps_one_of_each_class(spark, con):

@@ -18,7 +18,7 @@ LEVEL = 3
 STRETCH = 256
 DICTIONARY = 112_640
 #: Bytes at which the size difference weighs as much as the share of good labels.
-EVEN = 32
+EVEN = 64
 
 
 def stretches(text: bytes) -> list[bytes]:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions import geo, wkb
+from tidemark.functions import geo
 from tidemark.functions.text import let
 from tidemark.operators import overlap
 from tidemark.schemas import RINGS
+from tidemark.session import cut_lineage
 
 
 def outline(members: DataFrame, key: str) -> DataFrame:
@@ -43,65 +43,110 @@ def outline(members: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _walk(edges: np.ndarray) -> list[np.ndarray]:
-    """Closed rings from directed edges; where several leave a point, the sharpest left
-    turn keeps rings from crossing."""
-    leaving: dict[tuple, list[int]] = {}
-    for i, (x, y) in enumerate(edges[:, :2].tolist()):
-        leaving.setdefault((x, y), []).append(i)
-    rings = []
-    while leaving:
-        start = next(iter(leaving))
-        path, here, heading = [start], start, None
-        while True:
-            out = leaving[here]
-            if len(out) > 1 and heading is not None:
-                ang = [np.arctan2(edges[i, 3] - here[1], edges[i, 2] - here[0]) for i in out]
-                turn = [(a - heading + np.pi) % (2 * np.pi) for a in ang]
-                i = out.pop(int(np.argmax(turn)))
-            else:
-                i = out.pop()
-            if not out:
-                del leaving[here]
-            nxt = (float(edges[i, 2]), float(edges[i, 3]))
-            heading = np.arctan2(nxt[1] - here[1], nxt[0] - here[0])
-            path.append(nxt)
-            here = nxt
-            if here == start or here not in leaving:
-                break
-        rings.append(np.array(path))
-    return rings
-
-
-def _assemble(rings: list[np.ndarray]) -> list[dict]:
-    """Shells with the holes they contain, as ring rows."""
-    shells = sorted((r for r in rings if wkb._twice_area(r) > 0), key=wkb._twice_area)
-    members: list[list[np.ndarray]] = [[s] for s in shells]
-    for h in (r for r in rings if wkb._twice_area(r) < 0):
-        probe = (h[0] + h[1]) / 2
-        home = next((m for m in members if wkb._inside(probe, m[0])), None)
-        if home is not None:
-            home.append(h)
-    return [
-        {"part": p, "ring": k, "pts": [{"x": float(x), "y": float(y)} for x, y in r]}
-        for p, m in enumerate(members)
-        for k, r in enumerate(m)
-    ]
+def _successors(edges: DataFrame, key: str) -> DataFrame:
+    """``key, id, next`` of directed edges: where several leave a point, the sharpest left turn
+    keeps rings from crossing. An edge that ends where none begins has no ``next``."""
+    own = edges.select(key, F.struct("x0", "y0", "x1", "y1").alias("id"))
+    leaving = own.select(
+        F.col(key).alias("_k"), F.col("id").alias("_f"), F.col("id.x0").alias("_x"), F.col("id.y0").alias("_y")
+    )
 
+    def heading(e: str) -> Column:
+        return F.atan2(F.col(f"{e}.y1") - F.col(f"{e}.y0"), F.col(f"{e}.x1") - F.col(f"{e}.x0"))
 
-def dissolve(members: DataFrame, key: str = "target_code") -> DataFrame:
-    """``key, rings`` of the union per key, for members with shared borders.
+    turn = F.pmod(heading("_f") - heading("id") + F.lit(math.pi), F.lit(2 * math.pi))
+    meet = (F.col(key) == F.col("_k")) & (F.col("id.x1") == F.col("_x")) & (F.col("id.y1") == F.col("_y"))
+    return own.join(leaving, meet, "left").groupBy(key, "id").agg(
+        F.max(F.when(F.col("_f").isNotNull(), F.struct(turn.alias("turn"), F.col("_f").alias("f")))).alias("m")
+    ).select(key, "id", F.col("m.f").alias("next"))
+
+
+def _jump(state: DataFrame, key: str, merge: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """One doubling round: every edge takes over what the edge at its pointer knows, and points
+    where that one points."""
+    far = state.select(
+        F.col(key).alias("_k"), F.col("id").alias("_id"), F.col("next").alias("_next"), *(F.col(c).alias(f"_{c}") for c in merge)
+    )
+    met = state.join(far, (F.col(key) == F.col("_k")) & (F.col("next") == F.col("_id")), "left")
+    return cut_lineage(
+        met.select(
+            key, "id", F.col("_next").alias("next"),
+            *(F.coalesce(f(F.col(c), F.col(f"_{c}")), F.col(c)).alias(c) for c, f in merge.items()),
+            *(c for c in state.columns if c not in (key, "id", "next", *merge)),
+        )
+    )
+
+
+def closed_rings(edges: DataFrame, key: str) -> DataFrame:
+    """``key, pts`` of every closed ring of directed edges, from its smallest point on.
 
-    A task stitches the outline of one unit, which is one output geometry; members that
-    overlap instead of touching are reported by `sibling_overlaps`.
+    Rings are found by pointer doubling over rows of edges, about log2 of the longest ring
+    rounds to know a ring by its smallest edge and as many to number its edges, so that a long
+    outline is spread over tasks until its points are listed. Open chains give no ring.
     """
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("rings", RINGS)])
+    start = cut_lineage(_successors(edges, key))
+    state = start.withColumn("ring", F.col("id"))
+    while True:
+        new = _jump(state.withColumn("was", F.col("ring")), key, {"ring": lambda a, b: F.least(a, b)})
+        moved = new.filter("ring <> was").limit(1).count()
+        state = new.drop("was")
+        if not moved:
+            break
+    ringed = start.join(state.select(key, "id", "ring"), [key, "id"])
+    opened = ringed.groupBy(key, "ring").agg(F.max(F.col("next").isNull()).alias("open")).filter("NOT open")
+    ringed = ringed.join(opened.select(key, "ring"), [key, "ring"])
+    last = F.col("next") == F.col("ring")
+    state = cut_lineage(
+        ringed.select(key, "id", F.when(~last, F.col("next")).alias("next"), F.when(last, 0).otherwise(1).cast("long").alias("togo"), "ring")
+    )
+    while state.filter("next IS NOT NULL").limit(1).count():
+        state = _jump(state, key, {"togo": lambda a, b: a + b})
+    point = F.struct(F.col("id.x0").alias("x"), F.col("id.y0").alias("y"))
+    listed = F.sort_array(F.collect_list(F.struct((-F.col("togo")).alias("k"), point.alias("p"))))
+    pts = F.transform(listed, lambda q: q["p"])
+    return state.groupBy(key, "ring").agg(pts.alias("pts")).select(
+        key, F.concat("pts", F.array(F.col("pts")[0])).alias("pts")
+    )
 
-    def stitch(pdf: pd.DataFrame) -> pd.DataFrame:
-        edges = pdf[["x0", "y0", "x1", "y1"]].sort_values(["x0", "y0", "x1", "y1"]).to_numpy()
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "rings": [_assemble(_walk(edges))]})
 
-    return outline(members, key).groupBy(key).applyInPandas(stitch, schema)
+def _within(x: Column, y: Column, pts: Column) -> Column:
+    """Even-odd test of a point against a ring."""
+
+    def crosses(e: Column) -> Column:
+        at = e["x0"] + (y - e["y0"]) * (e["x1"] - e["x0"]) / (e["y1"] - e["y0"])
+        return ((e["y0"] > y) != (e["y1"] > y)) & (at > x)
+
+    return F.size(F.filter(geo.steps(pts), crosses)) % 2 == 1
+
+
+def shapes(rings: DataFrame, key: str) -> DataFrame:
+    """``key, rings`` from oriented rings: shells by area, each with the holes whose smallest
+    surrounding shell it is; a hole outside every shell is left out."""
+    sized = cut_lineage(rings.withColumn("area", geo.twice_ring_area(F.col("pts"))))
+    by_size = Window.partitionBy(key).orderBy("area", "pts")
+    shells = sized.filter("area > 0").withColumn("part", F.row_number().over(by_size) - 1)
+    a, b = F.col("pts")[0], F.col("pts")[1]
+    holes = sized.filter("area < 0").select(
+        key, F.col("pts").alias("hole"), F.col("area").alias("size"), ((a["x"] + b["x"]) / 2).alias("px"), ((a["y"] + b["y"]) / 2).alias("py")
+    )
+    homes = (
+        holes.join(shells.select(key, "part", "pts"), key)
+        .filter(_within(F.col("px"), F.col("py"), F.col("pts")))
+        .groupBy(key, "hole", "size")
+        .agg(F.min("part").alias("part"))
+        .withColumn("ring", F.row_number().over(Window.partitionBy(key, "part").orderBy("size", "hole")))
+    )
+    rows = shells.select(key, "part", F.lit(0).alias("ring"), "pts").unionByName(
+        homes.select(key, "part", "ring", F.col("hole").alias("pts"))
+    )
+    row = F.struct(F.col("part").cast("int").alias("part"), F.col("ring").cast("int").alias("ring"), "pts")
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(row)).cast(RINGS).alias("rings"))
+
+
+def dissolve(members: DataFrame, key: str = "target_code") -> DataFrame:
+    """``key, rings`` of the union per key, for members with shared borders; members that
+    overlap instead of touching are reported by `sibling_overlaps`."""
+    return shapes(closed_rings(outline(members, key), key), key)
 
 
 def sibling_overlaps(units: DataFrame) -> DataFrame:

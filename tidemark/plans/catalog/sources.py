@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo, wkb
-from tidemark.operators import explore
+from tidemark.operators import explore, overlap
 from tidemark.operators.admin import classify
 from tidemark.plans import star
 from tidemark.plans.catalog import facts, sql
@@ -156,9 +156,9 @@ def boundary_files(spark, d):
     return _shape_columns(dumps.read_boundaries(spark, root, _WRITTEN))
 
 
-def footprint_files(spark, d):
+def _footprint_files(spark, d):
     """Footprints through a Parquet source with null fields, an empty geometry, an invalid one
-    and areas to fill: what is kept, and the area of each."""
+    and areas to fill."""
     x, y, h, k = F.col("lon"), F.col("lat"), F.col("half"), F.col("row_id")
     a, b, c, e = (geo.point(x + dx * h, y + dy * h) for dx, dy in ((-1, -1), (1, 1), (1, -1), (-1, 1)))
     bow_tie = geo.single_ring(a, b, c, e, a)
@@ -174,10 +174,26 @@ def footprint_files(spark, d):
     )
     path = work_path(spark, "footprint-files")
     rows.write.parquet(path)
-    back = footprints.read_footprints(spark, path)
+    return footprints.read_footprints(spark, path)
+
+
+def footprint_files(spark, d):
+    """What a Parquet source keeps, and the area of each."""
+    back = _footprint_files(spark, d)
     return back.select("uuid", "start_date", F.round("footprint_area_km2", 3).alias("area_km2"))
 
 
+def bridged_files(spark, d):
+    """The same footprints over the provinces: shared areas add up to the repaired shape, whatever
+    area the source gives."""
+    provinces = star.unit_fragments(spark, d).filter("level = 'province'")
+    rows = overlap.bridge(_footprint_files(spark, d), provinces)
+    share = F.sum(F.col("coverage_ratio_of_footprint") * F.col("footprint_area_km2"))
+    return rows.groupBy("uuid").agg(
+        F.round(F.sum("intersection_area_km2"), 2).alias("shared_km2"), F.round(share, 2).alias("by_ratio_km2")
+    )
+
+
 def month_shards(spark, d):
     """Shards written per month; the window prunes folders."""
     path = work_path(spark, "month-shards")
@@ -245,6 +261,7 @@ QUERIES = {
     "postal_files": postal_files,
     "boundary_files": boundary_files,
     "footprint_files": footprint_files,
+    "bridged_files": bridged_files,
     "document_rows": document_rows,
     "registry_forms": registry_forms,
     "source_profile": source_profile,
@@ -298,6 +315,11 @@ SELECT uuid || '-' || row_id AS uuid, start_date,
             WHEN row_id % 11 = 0 THEN round({_BOW_TIE}, 3)
             ELSE round({_SQUARE}, 3) END AS area_km2
 FROM sq WHERE row_id % 17 <> 0 AND row_id % 19 <> 0 AND row_id % 23 <> 0 AND (row_id % 13 <> 0 OR row_id % 11 = 0)""",
+    "bridged_files": sql.with_(sql.SQUARES)
+    + f"""
+SELECT uuid || '-' || row_id AS uuid, round(a, 2) AS shared_km2, round(a, 2) AS by_ratio_km2
+FROM (SELECT *, CASE WHEN row_id % 11 = 0 THEN {_BOW_TIE} ELSE {_SQUARE} END AS a FROM sq)
+WHERE row_id % 17 <> 0 AND row_id % 19 <> 0 AND row_id % 23 <> 0 AND (row_id % 13 <> 0 OR row_id % 11 = 0)""",
     "document_rows": """
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS INTEGER) AS position, turn, role
 FROM conversations""",

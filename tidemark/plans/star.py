@@ -137,12 +137,19 @@ def unit_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_prepared: dict[tuple[str, str, str], DataFrame] = {}
+_prepared: dict[tuple, DataFrame] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> int:
+    """Newest change among the tables of a folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return max((s.getModificationTime() for s in found), default=0)
 
 
 def prepared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A written hand-off table between stages, made once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A written hand-off table between stages, made once per application and state of the input."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), name)
     if key not in _prepared:
         _prepared[key] = cut_lineage(build())
     return _prepared[key]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -22,7 +23,9 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent
-    archive = f"{tempfile.mkdtemp(prefix='tidemark-')}/{package.name}"
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}"
     shutil.make_archive(archive, "zip", package.parent, package.name)
     sc.addPyFile(f"{archive}.zip")
     _shipped.add(sc.applicationId)
@@ -38,7 +41,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 

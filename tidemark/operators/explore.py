@@ -49,17 +49,25 @@ def window_rollup(
     month_from: str = "",
     month_to: str = "",
     summary: DataFrame | None = None,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """Metrics per unit within the window and the mode that answered.
 
     The full window, or a window without months, is answered from the all-time summary.
-    The choice reads one row of month bounds; the window itself is a partition filter.
+    The choice reads one row of month bounds: from ``months`` (`release.metric_assets`, as the
+    manifest lists them) or, without it, from the facts of the level. The window itself is a
+    partition filter.
     """
     own = monthly.filter(F.col("level") == level)
     month = month_of(monthly)
     inside = in_window(month, month_from, month_to)
-    span = own.agg(
-        F.min(month).alias("lo"), F.max(month).alias("hi"), F.max(inside.cast("int")).alias("any")
+    if months is not None:
+        listed = months.filter(F.col("level") == level).select(F.explode("months").alias("month"))
+        bounds, seen, hit = listed, F.col("month"), in_window(F.col("month"), month_from, month_to)
+    else:
+        bounds, seen, hit = own, month, inside
+    span = bounds.agg(
+        F.min(seen).alias("lo"), F.max(seen).alias("hi"), F.max(hit.cast("int")).alias("any")
     ).first()
     full = (
         not span["any"]

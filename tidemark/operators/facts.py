@@ -44,6 +44,10 @@ def all_time(monthly: DataFrame) -> DataFrame:
     return _fold(monthly, ["level", "code"], F.sum("flood_days"))
 
 
+#: Row ids, of some tens of bytes each, that a sample may broadcast.
+BROADCAST_IDS = 100_000
+
+
 def _time(df: DataFrame) -> list[str]:
     return [c for c in ("event_date", "month_start") if c in df.columns]
 
@@ -80,7 +84,7 @@ def event_sample(
     """First ``n`` intersecting footprints in source order.
 
     The ``n`` rows are found on row ids and order columns alone (a top-n per task), so that
-    geometry is joined to a broadcast of ``n`` ids and never shuffled.
+    geometry is joined to a broadcast of ``n`` ids, up to `BROADCAST_IDS`, and not shuffled.
     """
     hits = bridge.filter(F.col("level") == "district").select("row_id")
     if order == ("row_id",):
@@ -89,7 +93,7 @@ def event_sample(
         placed = footprints.select("row_id", *order).join(hits, "row_id", "left_semi")
     first = placed.orderBy(*order).limit(n).select("row_id")
     return (
-        footprints.join(F.broadcast(first), "row_id")
+        footprints.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "row_id")
         .orderBy(*order)
         .select(
             "uuid",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo, wkb
-from tidemark.operators import explore, overlap
+from tidemark.operators import explore, overlap, release
 from tidemark.operators.admin import classify
 from tidemark.plans import star
 from tidemark.plans.catalog import facts, sql
@@ -199,7 +199,8 @@ def month_shards(spark, d):
     path = work_path(spark, "month-shards")
     writers.write_month_shards(facts.written(spark, d)[1], path)
     s = assets.read_month_shards(spark, path)
-    return explore.window_rollup(s, "district", "1996-03", "1998-07")
+    listed = star.prepared("metric_assets", spark, d, lambda: release.metric_assets(facts.written(spark, d)[1]))
+    return explore.window_rollup(s, "district", "1996-03", "1998-07", months=listed)
 
 
 def trend_shards(spark, d):

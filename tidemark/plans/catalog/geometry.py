@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
-from tidemark.operators import facts, geometry, overlap
+from tidemark.operators import facts, geometry, overlap, thinning
 from tidemark.plans import star
 from tidemark.plans.catalog import sql
 
@@ -97,7 +97,7 @@ def simplified_tiles(spark, d):
         geo.point(a, b), geo.point(mx, b), geo.point(c, b), geo.point(c, my), geo.point(c, e),
         geo.point(mx, e), geo.point(a, e), geo.point(a, my), geo.point(a, b),
     )
-    t = star.tiles(spark, d).select("level", "code", wkb.simplify(ring, 0.001).alias("rings"))
+    t = thinning.simplify(star.tiles(spark, d).select("level", "code", ring.alias("rings")), 0.001)
     return t.select(
         "level", "code", F.size(F.col("rings")[0]["pts"]).alias("points"),
         F.round(geo.area_km2(F.col("rings")), 3).alias("area_km2"),

@@ -11,6 +11,7 @@ from tidemark.functions import geo, wkb
 from tidemark.functions.codes import prefix
 from tidemark.operators.geometry import dataset_stats
 from tidemark.operators.release import month_spine
+from tidemark.operators.thinning import simplify
 from tidemark.schemas import ADMIN_COLUMNS, BUNDLE_SEGMENTS, LEVELS, METRICS
 
 FEATURE_PROPERTIES = (*ADMIN_COLUMNS, "boundary_source")
@@ -59,7 +60,7 @@ def geojson_feature(columns: Sequence[str]) -> Column:
 def write_geojson(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
     """One feature per line and a partition per level, so files split and append; geometry
     is thinned when a tolerance is given."""
-    thinned = df.withColumn("rings", wkb.simplify(F.col("rings"), tolerance))
+    thinned = simplify(df, tolerance)
     lines = thinned.select("level", geojson_feature(df.columns).alias("value"))
     lines.write.mode("overwrite").partitionBy("level").text(path)
 
@@ -67,7 +68,7 @@ def write_geojson(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
 def feature_collections(df: DataFrame, tolerance: float = 0.0, levels: Sequence[str] = ("province", "regency")) -> DataFrame:
     """``level, value``: one collection document per level, for levels of few features. A level
     is one row here; levels of many features stay in lines (`write_geojson`)."""
-    thinned = df.filter(F.col("level").isin(*levels)).withColumn("rings", wkb.simplify(F.col("rings"), tolerance))
+    thinned = simplify(df.filter(F.col("level").isin(*levels)), tolerance)
     lines = thinned.select("level", F.struct("code", geojson_feature(df.columns).alias("f")).alias("s"))
     listed = F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["f"]), ",")
     whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import admin, explore, facts, geometry, overlap, qualitative, release, validation
+from tidemark.operators import admin, explore, facts, geometry, overlap, qualitative, release
 from tidemark.schemas import (
     ADMIN_COLUMNS,
     EVENT_SAMPLE_LIMIT,

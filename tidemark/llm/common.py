@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,27 +29,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_batch(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict[str, list]]], schema: str
-) -> DataFrame:
-    """Apply ``fn`` to Arrow batches; it yields column lists, one Arrow batch each."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    kind = _parse_datatype_string(schema)
-    assert isinstance(kind, StructType)
-    arrow = to_arrow_schema(kind)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cols in fn(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow
-                )
-
-    return df.mapInArrow(run, schema)
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts of a string column as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

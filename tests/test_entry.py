@@ -20,7 +20,7 @@ CHECKED = (
     "dissolved_regencies", "line_monthly_facts", "window_rollup", "timeline", "map_features", "search",
     "coverage_overall", "enriched_boundaries", "featured_events", "review_states", "qualitative_summary",
     "summaries", "media_candidates", "dump_rows", "month_spine", "unit_files", "postal_files", "boundary_files",
-    "footprint_files", "gap_shards", "broken_release", "fact_positions", "publication_positions",
+    "footprint_files", "gap_shards", "fact_positions", "publication_positions",
     "related_positions", "level_extent", "number_display", "regency_registry", "refreshed_daily_facts",
     "outline_edges", "release_manifest", "facts_manifest",
 )

@@ -251,7 +251,8 @@ _LINES = sql.with_(sql.ADMIN, sql.LINES)
 _BND = sql.with_(sql.ADMIN, sql.BOUNDARIES)
 _ALL = sql.with_(sql.ADMIN, sql.BOUNDARIES, sql.LINES)
 _GATE = """
-CASE WHEN (SELECT count(DISTINCT code) FROM bnd WHERE level = 'district') >= 0.98 * (SELECT count(*) FROM dis)
+CASE WHEN (SELECT count(DISTINCT level) FROM bnd WHERE level <> 'village') < 3 THEN 'missing_required_levels'
+     WHEN (SELECT count(DISTINCT code) FROM bnd WHERE level = 'district') >= 0.98 * (SELECT count(*) FROM dis)
      THEN NULL ELSE 'district_threshold_not_met' END
 """
 _RARE = """
@@ -306,10 +307,12 @@ UNION ALL SELECT 'sum_intersection_area_km2', 'Square kilometres shared by footp
 UNION ALL SELECT 'max_coverage_ratio', 'Greatest part of the unit that any one footprint covers, between 0 and 1.', d FROM t""",
     "reference_manifest": _BND
     + f"""
-SELECT 'reference' AS dataset, '{STAMP}' AS generated_at, 'province,regency,district,village' AS available_levels,
+SELECT 'reference' AS dataset, '{STAMP}' AS generated_at, string_agg(level, ',' ORDER BY k) AS available_levels,
        {_GATE} AS warning_code,
-       'dim_admin_unit,bridge_village_postal_code,coverage_report,dim_boundary_province,dim_boundary_regency,'
-       || 'dim_boundary_district,dim_boundary_village' AS artifacts""",
+       'dim_admin_unit,bridge_village_postal_code,coverage_report,'
+       || string_agg('dim_boundary_' || level, ',' ORDER BY k) AS artifacts
+FROM (VALUES ('province', 1), ('regency', 2), ('district', 3), ('village', 4)) v(level, k)
+WHERE level IN (SELECT level FROM bnd)""",
     "facts_manifest": _LINES
     + f"""
 , c AS (SELECT level, (SELECT count(*) FROM day d WHERE d.level = l.level) AS dn,
@@ -323,7 +326,8 @@ SELECT '{STAMP}' AS generated_at, 'ok' AS status, (SELECT count(*) FROM lineitem
     "release_manifest": _ALL
     + f"""
 SELECT 'v1' AS dataset_version, 'province' AS default_level, 'unique_event_count' AS default_metric, 'id' AS default_language,
-       'province,regency,district' AS available_levels,
+       (SELECT string_agg(level, ',' ORDER BY k) FROM (VALUES ('province', 1), ('regency', 2), ('district', 3)) v(level, k)
+        WHERE level IN (SELECT level FROM bnd) AND level IN (SELECT level FROM mon)) AS available_levels,
        'unique_event_count,flood_days,sum_intersection_area_km2,max_coverage_ratio' AS metrics,
        CAST((SELECT count(DISTINCT month_start) FROM mon WHERE level = 'regency') AS INTEGER) AS regency_months,
        'ok' AS source_status, (SELECT count(*) FROM lines) AS intersecting_events,

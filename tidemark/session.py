@@ -12,13 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 128 * 1024 * 1024
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+DEFAULT_BATCH = "67108864b"
+BATCH_BYTES = "8m"
 
 
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for the Arrow functions."""
+    """Send this package to the executors once per application, for the Arrow functions, and
+    have their batches end at `BATCH_BYTES`, so that a worker holds little beside its models."""
+    if spark.conf.get(BATCH_SETTING, DEFAULT_BATCH) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

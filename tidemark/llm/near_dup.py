@@ -58,7 +58,7 @@ def sketch(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
     labelled = mix(grams + nth * np.uint64(0x9E3779B97F4A7C15))
     once = np.flatnonzero(nth == 0)
     out = np.empty(len(keys), np.uint64)
-    step = max(1, (1 << 20) // len(grams))
+    step = max(1, (1 << 17) // len(grams))
     for at in range(0, len(keys), step):
         h = _hashed(labelled, keys[at : at + step])
         picks = []
@@ -86,7 +86,7 @@ def signature(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """One bit of each of 64 * LONGS minima."""
     if not len(distinct):
         return np.zeros(LONGS, np.int64)
-    step = max(1, (1 << 18) // len(distinct))
+    step = max(1, (1 << 17) // len(distinct))
     low = np.concatenate([_hashed(distinct, keys[at : at + step]).min(axis=1) for at in range(0, len(keys), step)])
     return np.packbits((low >> np.uint64(9) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 

@@ -140,6 +140,39 @@ def test_near_copies_around_one_text(spark):
     assert {found[i] for i in range(60)} == {0} and found[100] == 100
 
 
+def test_short_texts_of_the_least_similarity_are_linked(spark):
+    rows, want, new = [], {}, iter(range(10**6))
+    for copy in range(40):
+        # words of the text, words cut at its end: 4/5, 5/6, 7/8, 8/9, 8/10, 12/15, 16/20, 51/63, 63/78, 64/80 common runs
+        for words, cut in ((9, 1), (10, 1), (12, 1), (13, 1), (14, 2), (19, 3), (24, 4), (67, 12), (82, 15), (84, 16)):
+            text = [f"w{next(new)}" for _ in range(words)]
+            for part in (text, text[: words - cut]):
+                want[len(rows)] = len(rows) - (part is not text)
+                rows.append((len(rows), " ".join(part)))
+    # one text of 5 runs among many that share 4 of them, each with a similarity of 4/6 to the others
+    line = [f"v{i}" for i in range(8)]
+    for i in range(50):
+        want[len(rows)] = len(rows)
+        rows.append((len(rows), " ".join([*line, f"u{i}"])))
+    ship_package(spark)
+    found = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i in want if found[i] != want[i]} == set()
+
+
+@pytest.mark.parametrize("common, union", [(4, 5), (5, 6), (6, 7), (7, 8), (8, 10), (12, 15), (16, 20), (20, 25), (40, 50), (63, 78), (64, 80)])
+def test_short_candidates_by_size(common, union):
+    keys = near_dup._keys(near_dup.SKETCHES, 1)
+    rng = np.random.default_rng(union)
+    for _ in range(150):
+        words = rng.integers(1, 1 << 63, union + 4, dtype=np.uint64)
+        cut = rng.integers(0, union - common + 1) if union - common > 1 else 0
+        for a, b in ((words, words[: common + 4]), (words[: union + 4 - cut], words[union - common - cut :])):
+            if near_dup.alignment(near_dup.first_occurrences(a), near_dup.first_occurrences(b)) < 0.8:
+                continue
+            (x, whole_x, less_x), (y, whole_y, less_y) = near_dup.buckets(a, keys), near_dup.buckets(b, keys)
+            assert set(x.tolist()) & set(y.tolist()) or whole_y in less_x or whole_x in less_y
+
+
 def test_alignment_sees_order():
     a = np.arange(1, 101, dtype=np.uint64)
     assert near_dup.alignment(a, a) == 1

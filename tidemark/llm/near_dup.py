@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -18,6 +19,10 @@ K = 5
 LEAST = 0.8
 #: k-mers sampled by a sketch among all occurrences and among first occurrences, and sketches.
 SAMPLED, SAMPLED_FIRST, SKETCHES = 6, 3, 56
+#: Pairs whose smaller text has fewer distinct k-mers than ``LONG`` meet in sketches of
+#: ``SAMPLED_SHORT`` of them, pairs whose smaller text has at most ``TINY`` as one set and the same
+#: set with one k-mer left out: with a similarity of 0.8 they can't differ by more.
+LONG, SAMPLED_SHORT, TINY = 64, 6, 7
 #: Words of 64 bits in a signature, and the bits in which two with similarity 0.8 may differ:
 #: one bit differs with chance 0.1, so 2048 bits exceed 252 with chance 0.0003.
 LONGS, DIFFER = 32, 252
@@ -75,6 +80,44 @@ def sketch(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def short_sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One bucket per key: ``SAMPLED_SHORT`` smallest distinct k-mers under the key, in text order."""
+    h = _hashed(mix(distinct), keys)
+    places = np.sort(np.argpartition(h, SAMPLED_SHORT - 1, axis=1)[:, :SAMPLED_SHORT], axis=1)
+    total = keys ^ _OTHER
+    for column in distinct[places].T:
+        total = total * np.uint64(0x9E3779B97F4A7C15) + column
+    return mix(total).view(np.int64)
+
+
+def whole_key(distinct: np.ndarray) -> int:
+    """All distinct k-mers in text order as one hash."""
+    return int(np.frombuffer(xxhash.xxh3_64_digest(distinct.tobytes()), np.int64)[0])
+
+
+def less_keys(distinct: np.ndarray) -> list[int]:
+    """``whole_key`` of the k-mers without each one of them."""
+    return [whole_key(np.delete(distinct, i)) for i in range(len(distinct))]
+
+
+def buckets(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, int | None, list[int]]:
+    """Buckets of a text, its ``whole_key`` if it is tiny, and its ``less_keys`` if a tiny text may
+    be alike. A text is in the sketches of every length that a text alike may have."""
+    distinct = first_occurrences(words)
+    n = len(distinct)
+    least = math.ceil(LEAST * n - 1e-9)
+    found, whole = [], None
+    if 0 < n <= TINY:
+        whole = whole_key(distinct)
+        found.append(np.array([whole], np.int64))
+    if n > TINY and least < LONG:
+        found.append(short_sketch(distinct, keys))
+    if n >= LONG:
+        found.append(sketch(shingles(words, K), keys))
+    less = less_keys(distinct) if n > 1 and least <= TINY and n - 1 >= LEAST * n - 1e-9 else []
+    return np.concatenate([np.zeros(0, np.int64), *found]), whole, less
+
+
 def first_occurrences(words: np.ndarray) -> np.ndarray:
     """The distinct k-mers of a text, in text order."""
     grams = shingles(words, K)
@@ -130,17 +173,18 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, buckets = [], []
+            nodes, found = [], []
             for text in utf8(batch.column("text")):
                 words = word_hashes(text)
                 nodes.append(_node(words))
-                buckets.append(sketch(shingles(words, K), keys))
+                found.append(buckets(words, keys))
+            some, whole, less = zip(*found) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "buckets"],
+                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(some, pa.list_(pa.int64())), pa.array(whole, pa.int64()), pa.array(less, pa.list_(pa.int64()))],
+                names=["doc_id", "node", "buckets", "whole", "less"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, buckets array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node binary, buckets array<long>, whole long, less array<long>")
 
 
 _SIGNATURE = [f"s{i}" for i in range(LONGS)]
@@ -213,13 +257,23 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _tiny_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a tiny text and one with a single k-mer more. Of tiny texts with the same
+    k-mers one stands for all, as these share a bucket."""
+    whole = nodes.where("whole is not null").groupBy("whole").agg(F.min("node").alias("x"))
+    less = nodes.select(F.col("node").alias("y"), F.explode("less").alias("whole"))
+    pairs = less.join(whole, "whole").where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _links(entries: DataFrame, tiny: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Verified links that join all texts which any bucket brings together.
 
     First every text meets the head of each of its buckets, the text with the most company over
     all buckets: an original among its copies. Then buckets whose texts are not all connected
     yet pair each text outside the largest part with all texts of other parts, so that no
-    candidate is skipped. Two texts meet in the smallest bucket they share, once.
+    candidate is skipped. Two texts meet in the smallest bucket they share, once. The pairs
+    ``tiny`` are verified unscreened.
     """
     facts = texts.select("node", "n", *_SIGNATURE)
     company = entries.groupBy("node").agg(F.sum("size").alias("company"))
@@ -236,7 +290,7 @@ def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         .join(facts.alias("y"), (F.col("b") == F.col("y.node")) & _alike("x", "y", least))
         .select("a", "b")
     )
-    links = cut_lineage(_verified(possible, texts, least))
+    links = cut_lineage(_verified(possible.unionByName(tiny).distinct(), texts, least))
     labels = components(links)
     placed = entries.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     parts = cut_lineage(placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size")))
@@ -247,7 +301,7 @@ def _links(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         .select("bucket", F.col("top.comp").alias("main"))
     )
     unsettled = cut_lineage(placed.join(largest, "bucket"))
-    shared = unsettled.groupBy("node").agg(F.collect_list("bucket").alias("all"))  # at most SKETCHES
+    shared = unsettled.groupBy("node").agg(F.collect_list("bucket").alias("all"))  # at most 2 * SKETCHES
     open_ = cut_lineage(unsettled.join(shared, "node").join(facts, "node"))
     outside = open_.where("comp <> main").alias("x")
     rest = (
@@ -269,13 +323,14 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
     """doc_id and node of every document with the (doc_id, node) that stands for its class."""
     sketched = cut_lineage(_sketched(docs))
     nodes = cut_lineage(
-        sketched.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("buckets").alias("buckets"))
+        sketched.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("buckets").alias("buckets"), F.first("whole").alias("whole"), F.first("less").alias("less"))
     )
     size = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
     entries = cut_lineage(
         nodes.select("node", F.explode("buckets").alias("bucket")).withColumn("size", size).where("size > 1")
     )
-    members = entries.select("node").distinct()
+    tiny = cut_lineage(_tiny_pairs(nodes))
+    members = entries.select("node").unionByName(tiny.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
     wanted = members.join(nodes.select("node", "id"), "node")
     texts = cut_lineage(
         _described(
@@ -284,7 +339,7 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
             )).join(members, "node", "left_semi")
         ).dropDuplicates(["node"])
     )
-    labels = components(_links(entries, texts, least))
+    labels = components(_links(entries, tiny, texts, least))
     ranked = nodes.select("node", "id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     heads = ranked.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("head"))
     placed = ranked.join(heads, "comp").select("node", F.col("head.id").alias("class_id"), F.col("head.node").alias("head"))

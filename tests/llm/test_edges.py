@@ -173,6 +173,24 @@ def test_short_candidates_by_size(common, union):
             assert set(x.tolist()) & set(y.tolist()) or whole_y in less_x or whole_x in less_y
 
 
+def test_repeated_texts_are_linked(spark):
+    rows, texts = [], []
+    for i in range(12):
+        text = [f"w{i}x{j}" for j in range(60 + 40 * i)]
+        line = text[:12]
+        for words in (text, 2 * text, 3 * text, 5 * text, text[:30] + 9 * line + text[30:]):
+            rows.append((len(rows), " ".join(words)))
+            texts.append(near_dup.first_occurrences(near_dup.word_hashes(rows[-1][1].encode())))
+    ship_package(spark)
+    found = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    least = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if near_dup.alignment(texts[a], texts[b]) >= near_dup.LEAST:
+                least = [min(least[a], least[b]) if c in (least[a], least[b]) else c for c in least]
+    assert len(set(least)) < len(texts) / 2 and [found[i] for i in range(len(texts))] == least
+
+
 def test_alignment_sees_order():
     a = np.arange(1, 101, dtype=np.uint64)
     assert near_dup.alignment(a, a) == 1

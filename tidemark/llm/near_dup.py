@@ -17,8 +17,8 @@ from tidemark.session import cut_lineage
 
 K = 5
 LEAST = 0.8
-#: k-mers sampled by a sketch among all occurrences and among first occurrences, and sketches.
-SAMPLED, SAMPLED_FIRST, SKETCHES = 6, 3, 56
+#: Distinct k-mers sampled by a sketch in one order and in another, and sketches.
+SAMPLED, SAMPLED_OTHER, SKETCHES = 6, 3, 56
 #: Pairs whose smaller text has fewer distinct k-mers than ``LONG`` meet in sketches of
 #: ``SAMPLED_SHORT`` of them, pairs whose smaller text has at most ``TINY`` as one set and the same
 #: set with one k-mer left out: with a similarity of 0.8 they can't differ by more.
@@ -39,42 +39,28 @@ def _hashed(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return values[None, :] * keys[:, None]
 
 
-def occurrences(grams: np.ndarray) -> np.ndarray:
-    """How often each k-mer came before in the text."""
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    index = np.arange(len(grams))
-    first = np.r_[True, ranked[1:] != ranked[:-1]] if len(grams) else np.zeros(0, bool)
-    out = np.empty(len(grams), np.uint64)
-    out[order] = (index - np.maximum.accumulate(np.where(first, index, 0))).astype(np.uint64)
-    return out
+def sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One bucket per key: the smallest distinct k-mers under the key, in text order, as one hash.
 
-
-def sketch(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """One bucket per key: the smallest labelled k-mers under the key, in text order, as one hash.
-
-    A k-mer is labelled with the number of its earlier occurrences. ``SAMPLED`` of the smallest
-    come from all labels and ``SAMPLED_FIRST``, by another order, from first occurrences, so that
-    a line repeated many times can't fill the sample. A text with fewer gives all it has.
+    ``SAMPLED`` of the smallest come from one order and ``SAMPLED_OTHER`` from another. Repeats
+    don't count, as they don't in the similarity. A text with fewer gives all it has.
     """
-    if not len(grams):
+    if not len(distinct):
         return np.zeros(0, np.int64)
-    nth = occurrences(grams)
-    labelled = mix(grams + nth * np.uint64(0x9E3779B97F4A7C15))
-    once = np.flatnonzero(nth == 0)
+    mixed = mix(distinct)
     out = np.empty(len(keys), np.uint64)
-    step = max(1, (1 << 17) // len(grams))
+    step = max(1, (1 << 17) // len(distinct))
     for at in range(0, len(keys), step):
-        h = _hashed(labelled, keys[at : at + step])
+        h = _hashed(mixed, keys[at : at + step])
         picks = []
-        for rows, base, n in ((h, np.arange(len(labelled)), SAMPLED), (h[:, once] ^ _OTHER, once, SAMPLED_FIRST)):
+        for rows, n in ((h, SAMPLED), (h ^ _OTHER, SAMPLED_OTHER)):
             if rows.shape[1] > n:
-                picks.append(base[np.argpartition(rows, n - 1, axis=1)[:, :n]])
+                picks.append(np.argpartition(rows, n - 1, axis=1)[:, :n])
             else:
-                picks.append(np.broadcast_to(base, (len(h), len(base))))
+                picks.append(np.broadcast_to(np.arange(len(mixed)), rows.shape))
         places = np.sort(np.concatenate(picks, axis=1), axis=1)
         total = keys[at : at + step].copy()
-        for column in labelled[places].T:
+        for column in mixed[places].T:
             total = total * np.uint64(0x9E3779B97F4A7C15) + column
         out[at : at + step] = mix(total)
     return out.view(np.int64)
@@ -113,7 +99,7 @@ def buckets(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, int | None
     if n > TINY and least < LONG:
         found.append(short_sketch(distinct, keys))
     if n >= LONG:
-        found.append(sketch(shingles(words, K), keys))
+        found.append(sketch(distinct, keys))
     less = less_keys(distinct) if n > 1 and least <= TINY and n - 1 >= LEAST * n - 1e-9 else []
     return np.concatenate([np.zeros(0, np.int64), *found]), whole, less
 

@@ -87,6 +87,49 @@ def test_licenses(docs, none, spark):
     assert (share >= 0.8) == (licenses.scan(partly).where("license = 'MIT'").count() == 1)
 
 
+def test_license_templates_are_told_apart():
+    known = licenses.Templates(licenses.NOTICES)
+    names = lambda text: [m[0] for m in known.matches(text.encode())]
+    for name, text in licenses.NOTICES:
+        assert set(names(text)) == {name}, (name, text)
+    between = " ".join(f"w{i}" for i in range(40))
+    for name, text in licenses.NOTICES:
+        for other, second in licenses.NOTICES:
+            assert set(names(f"{text} {between} {second}")) == {name, other}, (text, second)
+
+
+def test_near_forms_of_license_notices():
+    known = licenses.Templates(licenses.NOTICES)
+    gnu = (
+        "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation; either version {}, or (at your option) any later version. This {} is distributed"
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: {} Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. {} Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. {} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS"
+    )
+    third = "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    cases = {
+        gnu.format("library", "Lesser General Public License", "2.1 of the License", "library"): "LGPL-2.1",
+        gnu.format("library", "Lesser General Public License", "3 of the License", "library"): "LGPL-3.0",
+        gnu.format("library", "Library General Public License", "2", "library"): "LGPL-2.0",
+        gnu.format("program", "Affero General Public License", "3 of the License", "program"): "AGPL-3.0",
+        gnu.format("program", "General Public License", "2", "program"): "GPL-2.0",
+        gnu.format("program", "General Public License", "3", "program"): "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2 only": "GPL-2.0",
+        bsd.format("1.", "2.", ""): "BSD-2-Clause",
+        bsd.format("(1)", "(2)", ""): "BSD-2-Clause",
+        bsd.format("1.", "2.", "3. " + third.format("the copyright holder")): "BSD-3-Clause",
+        bsd.format("*", "*", "* " + third.format("Example Inc.")): "BSD-3-Clause",
+        bsd.format("a)", "b)", "c) " + third.format("the University")): "BSD-3-Clause",
+    }
+    for text, name in cases.items():
+        assert {m[0] for m in known.matches(text.encode())} == {name}, text
+
+
 def test_personal_data(docs, none):
     model = pii.train(docs)
     found = {r.doc_id: r for r in pii.find(docs, model).collect()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -71,6 +72,92 @@ NOTICES: tuple[tuple[str, str], ...] = (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted",
     ),
+    *(
+        (name, f"it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation, either {version}")
+        for name, kind, number in (
+            ("GPL-1.0", "", "1"),
+            ("GPL-2.0", "", "2"),
+            ("GPL-3.0", "", "3"),
+            ("LGPL-2.0", "Library ", "2"),
+            ("LGPL-2.1", "Lesser ", "2.1"),
+            ("LGPL-3.0", "Lesser ", "3"),
+            ("AGPL-3.0", "Affero ", "3"),
+        )
+        for version in (
+            f"version {number} of the License, or (at your option) any later version.",
+            f"version {number}, or (at your option) any later version.",
+        )
+        if (name, version[:14]) not in (("GPL-2.0", "version 2 of t"), ("GPL-3.0", "version 3 of t"))
+    ),
+    *(
+        (name, f"{work} licensed under the {before}GNU {kind}General Public License{after}.")
+        for name, kind, number in (
+            ("GPL-2.0", "", "2"),
+            ("GPL-3.0", "", "3"),
+            ("LGPL-2.1", "Lesser ", "2.1"),
+            ("LGPL-3.0", "Lesser ", "3"),
+            ("AGPL-3.0", "Affero ", "3"),
+        )
+        for work, before, after in (
+            ("This work is", "", f", version {number}"),
+            ("This program is", "terms of the ", f", version {number}"),
+        )
+        if (name, before) != ("GPL-3.0", "")
+    ),
+    (
+        "GPL-2.0",
+        "it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    ),
+    (
+        "GPL-3.0",
+        "it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS",
+    ),
+    *(
+        (
+            "BSD-3-Clause",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+            f"that the following conditions are met: {one} Redistributions of source code must retain the above "
+            f"copyright notice, this list of conditions and the following disclaimer. {two} Redistributions in binary "
+            "form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+            f"the documentation and/or other materials provided with the distribution. {three} Neither the name of the "
+            "copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+            "from this software without specific prior written permission.",
+        )
+        for one, two, three in (("1.", "2.", "3."), ("a.", "b.", "c."), ("i.", "ii.", "iii."), ("*", "*", "*"), ("-", "-", "-"), ("o", "o", "o"), ("", "", ""))
+    ),
+    (
+        "BSD-3-Clause",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.",
+    ),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to this work"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
 )
 
 _PLAIN = bytes.maketrans(b",.;:()\"'", b"        ")
@@ -100,14 +187,16 @@ class Templates:
         self.keys = np.random.default_rng(9).integers(0, 1 << 63, bands(contained), dtype=np.uint64)
         self.names: list[str] = []
         self.grams: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
         self.by_block: dict[int, list[int]] = {}
         for name, text in texts:
-            grams = np.unique(shingles(word_hashes(normal(text.encode())), K))
+            grams, places = np.unique(shingles(word_hashes(normal(text.encode())), K), return_index=True)
             if len(grams):
                 block = 1 << (len(grams) - 1).bit_length()
                 self.by_block.setdefault(block, []).append(len(self.names))
                 self.names.append(name)
                 self.grams.append(grams)
+                self.places.append(places)
         self.minima = {
             block: np.stack([self.hashed(self.grams[i]).min(axis=1) for i in members])
             for block, members in self.by_block.items()
@@ -142,16 +231,17 @@ class Templates:
     def matches(self, text: bytes) -> list[tuple[str, int, int, float]]:
         """License, first and end byte, and the share of the template's shingles found.
 
-        A match starts at a shingle of the template and reaches over at most 1.25 times its
-        length; matches of one template do not overlap, and of several that cover each other
-        with the same license the longest share stays.
+        A match starts and ends at a shingle of the template that is nowhere else in it and
+        reaches over at most 1.25 times its length; matches of one template do not overlap, of
+        several that cover each other with the same license one stays, and of different
+        licenses at one place those with the most shingles in the template's order.
         """
         plain = normal(text)
         _, starts, ends = word_bounds(plain)
         if not len(starts):
             return []
         grams = shingles(word_hashes(plain), K)
-        out: set[tuple[str, int, int, float]] = set()
+        out: set[tuple[str, int, int, float, int]] = set()
         for member, windows in self.retrieved(grams).items():
             own = self.grams[member]
             inside = np.unique(np.concatenate([np.arange(a, b) for a, b in windows]))
@@ -159,20 +249,46 @@ class Templates:
             reach, i = math.ceil(1.25 * len(own)), 0
             while i < len(places):
                 j = int(np.searchsorted(places, places[i] + reach))
-                share = len(np.unique(grams[places[i:j]])) / len(own)
-                if share >= self.contained:
-                    last = min(int(places[j - 1]) + K, len(ends)) - 1
-                    out.add((self.names[member], int(starts[places[i]]), int(ends[last]), share))
-                    i = j
-                else:
+                if len(np.unique(grams[places[i:j]])) / len(own) < self.contained:
                     i += 1
-        return sorted(_longest(out), key=lambda m: (m[1], m[2], m[0]))
+                    continue
+                # shingles before and after a notice may be its own as well: of all starts within
+                # reach take that with the most in order, then at all, then in the least space, and end
+                # with the last new one
+                best, at, to = (0, 0, 0), i, j
+                for k in range(i, j):
+                    _, new = np.unique(grams[places[k : np.searchsorted(places, places[k] + reach)]], return_index=True)
+                    end = k + int(new.max()) + 1
+                    wide = int(places[end - 1] - places[k])
+                    held = (_rising(self.places[member][np.searchsorted(own, grams[places[k:end]])]), len(new), -wide)
+                    if held > best and len(new) / len(own) >= self.contained:
+                        best, at, to = held, k, end
+                last = min(int(places[to - 1]) + K, len(ends)) - 1
+                out.add((self.names[member], int(starts[places[at]]), int(ends[last]), best[1] / len(own), best[0]))
+                i = to
+        kept = _strongest(out)
+        return sorted({m[:4] for m in kept}, key=lambda m: (m[1], m[2], m[0]))
+
+
+def _rising(places: np.ndarray) -> int:
+    """Length of the longest rising run of places, others left out."""
+    tails: list[int] = []
+    for p in places.tolist():
+        i = bisect_left(tails, p)
+        tails[i : i + 1] = [p]
+    return len(tails)
 
 
-def _longest(found: set[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
-    kept: list[tuple[str, int, int, float]] = []
-    for m in sorted(found, key=lambda m: (m[1] - m[2], -m[3], m[1], m[0])):
-        if not any(m[0] == k[0] and m[1] < k[2] and k[1] < m[2] for k in kept):
+def _strongest(found: set[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+    """Matches from most to least shingles in order, without those that overlap a kept one of the
+    same license, or share most of their place with kept ones of other licenses which have more,
+    or as many and the larger share, or most of the place of one."""
+    kept: list[tuple[str, int, int, float, int]] = []
+    for m in sorted(found, key=lambda m: (-m[4], -m[3], m[1] - m[2], m[1], m[0])):
+        over = [(k, min(k[2], m[2]) - max(k[1], m[1])) for k in kept if k[1] < m[2] and m[1] < k[2]]
+        other = [(k, n) for k, n in over if k[0] != m[0] and (k[4], k[3]) > (m[4], m[3])]
+        same = any(k[0] == m[0] for k, _ in over)
+        if not same and 2 * sum(n for _, n in other) <= m[2] - m[1] and all(2 * n <= k[2] - k[1] for k, n in other):
             kept.append(m)
     return kept
 

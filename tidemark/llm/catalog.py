@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, vafile
+from tidemark.llm import langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, simhash, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
@@ -134,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_simhash_tiles": op11_simhash_tiles,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, simhash, vafile
+from tidemark.llm import langid, lattice_lm, licenses, merkle, mixing, near_dup, packing, pii, quality_zip, rules, simhash, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +127,67 @@ def op11_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0))
+
+
+def _crc32_sql(value: str) -> str:
+    """Unsigned crc32 of an integer's decimal digits."""
+    steps = f"flatten(list_transform(string_split({value}::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    turn = "case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {steps}), lambda c, x: {turn}), 4294967295::bigint)"
+
+
+def _merkle_sql() -> str:
+    """A plain tree: nodes level by level, then each document's run at each level."""
+    fields = ("doc_id", "source", "lang", "n_chars", "{text}")
+    leaf = " || ".join(f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}, '-')" for c in fields)
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(name: str, base: str) -> str:
+        return f"""{name} as (
+  select s, 0 as level, p, node, count(*) over (partition by s) as n from {base}
+  union all
+  select s, level + 1, p // 16, sha256(string_agg(node, '' order by p)), any_value((n + 15) // 16)
+  from {name} where n > 1 group by s, level, p // 16
+)"""
+
+    def climb(name: str, start: str, nodes: str) -> str:
+        return f"""{name} as (
+  select doc, s, 0 as level, p, fold, proof from {start}
+  union all
+  select c.doc, c.s, c.level + 1, c.p // 16,
+    sha256(string_agg(case when x.p = c.p then c.fold else x.node end, '' order by x.p)),
+    any_value(c.proof) || string_agg(case when x.p = c.p then '' else x.node end, '' order by x.p)
+  from {name} c join {nodes} x on x.s = c.s and x.level = c.level and x.p // 16 = c.p // 16
+  where x.n > 1 group by c.doc, c.s, c.level, c.p
+)"""
+
+    return f"""
+with recursive d as (
+  select row_number() over () as doc, doc_id, source, sha256({leaf.format(text='text')}) as leaf,
+    case when {_crc32_sql('doc_id')} % 5 = 0 then sha256({leaf.format(text=lower)}) end as altered
+  from documents
+), sources as (
+  select source, row_number() over (order by source is not null, source) - 1 as s from (select distinct source from d)
+), base as (
+  select doc, s, leaf as node, altered, row_number() over (partition by s order by doc_id nulls first, leaf) - 1 as p
+  from d join sources on d.source is not distinct from sources.source
+), {tree('nodes', 'base')}, subroots as (
+  select s as p, 0 as s, node from nodes where n = 1
+), {tree('above', 'subroots')}, start as (
+  select doc, s, p, coalesce(altered, node) as fold, '' as proof from base
+), {climb('inside', 'start', 'nodes')}, half as (
+  select doc, 0 as s, s as p, fold, proof from inside qualify row_number() over (partition by doc order by level desc) = 1
+), {climb('outside', 'half', 'above')}, done as (
+  select * from outside qualify row_number() over (partition by doc order by level desc) = 1
+)
+select d.doc_id, d.leaf, r.node as subroot, t.node as root, sha256(done.proof) as proof_sha256,
+  done.fold as folded_root, done.fold = t.node as verified
+from d join done using (doc) join base using (doc) join subroots r on r.p = base.s cross join (select node from above where n = 1) t
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_va_file": op1_va_file,
     "op2_mixing": op2_mixing,
@@ -139,9 +200,11 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_simhash_tiles": op11_simhash_tiles,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_va_file": OP1_SQL,
     "op2_mixing": OP2_SQL,
+    "op13_merkle": _merkle_sql(),
 }

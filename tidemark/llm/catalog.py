@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lattice_lm, licenses, merkle, mixing, near_dup, packing, pii, quality_zip, rules, simhash, vafile
+from tidemark.llm import langid, lattice_lm, licenses, merkle, mixing, near_dup, packing, pii, prefix_trie, quality_zip, rules, simhash, vafile
 from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +127,10 @@ def op11_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0))
 
@@ -138,6 +142,42 @@ def _crc32_sql(value: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::bigint, {steps}), lambda c, x: {turn}), 4294967295::bigint)"
 
 
+def _trie_sql() -> str:
+    """Rebuilds the conversations and groups their prefixes as lists of turns."""
+    return f"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first,
+      sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+  from conversations where conv_id is not null
+), c as (
+  select conv_id, list({{'role': role, 'text': text}} order by pos) as turns, {_crc32_sql('conv_id')} % 6 as h from t group by conv_id
+), r as (
+  select c.conv_id, list_concat(coalesce(b.turns[:c.h], []), c.turns[c.h + 1:]) as turns
+  from c left join c b on b.conv_id = c.conv_id - c.conv_id % 100
+), p as (
+  select conv_id, d, turns[:d] as prefix, d = len(turns) as ends
+  from (select conv_id, turns, unnest(range(0, len(turns) + 1)) as d from r)
+), n as (
+  select d, prefix, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from p group by d, prefix
+), k as (
+  select d - 1 as d, prefix[:d - 1] as prefix, count(*) as n_children from n where d > 0 group by all
+), w as (
+  select n.*, coalesce(n_children, 0) as n_children,
+    case when n.d = 0 then 0 else (n_convs - 1) * length(n.prefix[n.d].text) end as saved
+  from n left join k on k.d = n.d and k.prefix = n.prefix
+), s as (
+  select a.d, a.prefix, count(*) filter (u.n_children = 0) as n_leaves, sum(u.saved)::bigint as saved_tokens
+  from w u join p x on x.conv_id = u.conv_id and x.d <= u.d join w a on a.d = x.d and a.prefix = x.prefix
+  group by a.d, a.prefix
+)
+select w.conv_id, w.d as depth, parent.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+from w join s on s.d = w.d and s.prefix = w.prefix left join n parent on w.d > 0 and parent.d = w.d - 1 and parent.prefix = w.prefix[:w.d - 1]
+"""
+
+
 def _merkle_sql() -> str:
     """A plain tree: nodes level by level, then each document's run at each level."""
     fields = ("doc_id", "source", "lang", "n_chars", "{text}")
@@ -200,11 +240,13 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_simhash_tiles": op11_simhash_tiles,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_va_file": OP1_SQL,
     "op2_mixing": OP2_SQL,
+    "op12_prefix_trie": _trie_sql(),
     "op13_merkle": _merkle_sql(),
 }

@@ -15,11 +15,12 @@ def sliced(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     """The rows, written, with the range partition (``_slice``) and the place in it (``_seq``).
 
     Slices follow each other in the order of ``keys``, then ``order``. Ends of it that tie are
-    told apart by the row's place in the input, so a row repeated often is spread as well.
+    told apart by the row's place in the input, so a row repeated often is spread as well. Rows
+    are written before their ranges are sampled, so that they are computed once.
     """
     by = [F.col(k) for k in keys] + list(order)
     dealt = (
-        rows.withColumn("_tie", F.monotonically_increasing_id())
+        cut_lineage(rows.withColumn("_tie", F.monotonically_increasing_id()))
         .repartitionByRange(partitions(rows.sparkSession), *by, "_tie")
         .sortWithinPartitions(*by, "_tie")
         .withColumn("_slice", F.spark_partition_id())

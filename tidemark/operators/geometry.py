@@ -3,150 +3,192 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo
 from tidemark.functions.text import let
-from tidemark.operators import overlap
+from tidemark.operators import arrangement, overlap
+from tidemark.operators.ranking import staged_rank
 from tidemark.schemas import RINGS
 from tidemark.session import cut_lineage
 
 
-def outline(members: DataFrame, key: str) -> DataFrame:
-    """Edges of the union of members that share borders: an edge drawn once in each
-    direction cancels in the grouped sum, so interiors vanish on the map side."""
-    forward = (F.col("e.x0") < F.col("e.x1")) | (
-        (F.col("e.x0") == F.col("e.x1")) & (F.col("e.y0") < F.col("e.y1"))
-    )
-    a = F.struct(F.col("e.x0").alias("x"), F.col("e.y0").alias("y"))
-    b = F.struct(F.col("e.x1").alias("x"), F.col("e.y1").alias("y"))
-    return (
-        members.select(key, F.explode("edges").alias("e"))
-        .select(
-            key,
-            F.when(forward, a).otherwise(b).alias("p"),
-            F.when(forward, b).otherwise(a).alias("q"),
-            F.when(forward, 1).otherwise(-1).alias("d"),
-        )
-        .groupBy(key, "p", "q")
-        .agg(F.sum("d").alias("d"))
-        .filter("d <> 0")
-        .select(
-            key,
-            F.when(F.col("d") > 0, F.col("p")).otherwise(F.col("q")).alias("p"),
-            F.when(F.col("d") > 0, F.col("q")).otherwise(F.col("p")).alias("q"),
-        )
-        .select(key, F.col("p.x").alias("x0"), F.col("p.y").alias("y0"), F.col("q.x").alias("x1"), F.col("q.y").alias("y1"))
-    )
+def member_edges(members: DataFrame, key: str) -> DataFrame:
+    """Directed edges of all members' rings."""
+    edges = geo.ring_edges(F.col("rings")) if "rings" in members.columns else F.col("edges")
+    return members.select(key, F.explode(edges).alias("e")).select(key, "e.x0", "e.y0", "e.x1", "e.y1")
 
 
-def _successors(edges: DataFrame, key: str) -> DataFrame:
-    """``key, id, next`` of directed edges: where several leave a point, the sharpest left turn
-    keeps rings from crossing. An edge that ends where none begins has no ``next``."""
-    own = edges.select(key, F.struct("x0", "y0", "x1", "y1").alias("id"))
-    leaving = own.select(
-        F.col(key).alias("_k"), F.col("id").alias("_f"), F.col("id.x0").alias("_x"), F.col("id.y0").alias("_y")
-    )
-
-    def heading(e: str) -> Column:
-        return F.atan2(F.col(f"{e}.y1") - F.col(f"{e}.y0"), F.col(f"{e}.x1") - F.col(f"{e}.x0"))
-
-    turn = F.pmod(heading("_f") - heading("id") + F.lit(math.pi), F.lit(2 * math.pi))
-    meet = (F.col(key) == F.col("_k")) & (F.col("id.x1") == F.col("_x")) & (F.col("id.y1") == F.col("_y"))
-    return own.join(leaving, meet, "left").groupBy(key, "id").agg(
-        F.max(F.when(F.col("_f").isNotNull(), F.struct(turn.alias("turn"), F.col("_f").alias("f")))).alias("m")
-    ).select(key, "id", F.col("m.f").alias("next"))
+def outline(members: DataFrame, key: str) -> DataFrame:
+    """Edges of the union of members, whether they share borders, overlap or repeat. Rings must
+    be valid each; `repaired` makes them so."""
+    return arrangement.outline(member_edges(members, key), key)
 
 
-def _jump(state: DataFrame, key: str, merge: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
-    """One doubling round: every edge takes over what the edge at its pointer knows, and points
-    where that one points."""
-    far = state.select(
-        F.col(key).alias("_k"), F.col("id").alias("_id"), F.col("next").alias("_next"), *(F.col(c).alias(f"_{c}") for c in merge)
-    )
-    met = state.join(far, (F.col(key) == F.col("_k")) & (F.col("next") == F.col("_id")), "left")
-    return cut_lineage(
-        met.select(
-            key, "id", F.col("_next").alias("next"),
-            *(F.coalesce(f(F.col(c), F.col(f"_{c}")), F.col(c)).alias(c) for c, f in merge.items()),
-            *(c for c in state.columns if c not in (key, "id", "next", *merge)),
-        )
+def _successors(edges: DataFrame, key: str) -> DataFrame:
+    """``edges`` with the ``next`` edge of each: where several leave a point, the sharpest left
+    turn keeps to the same area. An edge that ends where none begins has no ``next``."""
+    leaving = edges.select(
+        F.col(key).alias("_k"), F.col("id").alias("_id"), F.col("x0").alias("_x"), F.col("y0").alias("_y"),
+        F.atan2(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")).alias("_h"),
     )
+    heading = F.atan2(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))
+    turn = F.pmod(F.col("_h") - heading + F.lit(math.pi), F.lit(2 * math.pi))
+    meet = (F.col(key) == F.col("_k")) & (F.col("x1") == F.col("_x")) & (F.col("y1") == F.col("_y"))
+    best = F.max(F.when(F.col("_id").isNotNull(), F.struct(turn.alias("turn"), "_id")))
+    return edges.join(leaving, meet, "left").groupBy(key, "id", *arrangement.ENDS).agg(best["_id"].alias("next"))
 
 
-def closed_rings(edges: DataFrame, key: str) -> DataFrame:
-    """``key, pts`` of every closed ring of directed edges, from its smallest point on.
+def _walked(edges: DataFrame) -> DataFrame:
+    """``edges`` (id, next, ...) with the smallest id of their ring, the steps to it, and whether
+    the chain is open.
 
-    Rings are found by pointer doubling over rows of edges, about log2 of the longest ring
-    rounds to know a ring by its smallest edge and as many to number its edges, so that a long
-    outline is spread over tasks until its points are listed. Open chains give no ring.
+    Every edge knows the smallest id among the next 2**n edges and how far it is. A round asks
+    the edge 2**n ahead, so that rounds grow with the logarithm of the longest ring. They end
+    when no smallest id changes: then it is that of the whole ring.
     """
-    start = cut_lineage(_successors(edges, key))
-    state = start.withColumn("ring", F.col("id"))
+    state = edges.select("id", "next", F.col("id").alias("ring"), F.lit(0).cast("long").alias("steps"), F.lit(False).alias("open"))
+    reach = 1
     while True:
-        new = _jump(state.withColumn("was", F.col("ring")), key, {"ring": lambda a, b: F.least(a, b)})
-        moved = new.filter("ring <> was").limit(1).count()
-        state = new.drop("was")
+        ahead = state.select(*(F.col(c).alias(f"_{c}") for c in ("id", "next", "ring", "steps", "open")))
+        nearer = F.coalesce(F.col("_ring") < F.col("ring"), F.lit(False))
+        opened = F.col("next").isNull() | F.coalesce("_open", F.lit(False))
+        new = cut_lineage(
+            state.join(ahead, F.col("next") == F.col("_id"), "left").select(
+                "id",
+                F.col("_next").alias("next"),
+                F.when(nearer, F.col("_ring")).otherwise(F.col("ring")).alias("ring"),
+                F.when(nearer, F.col("_steps") + reach).otherwise(F.col("steps")).alias("steps"),
+                (F.col("open") | opened).alias("open"),
+                (nearer | (opened & ~F.col("open"))).alias("moved"),
+            )
+        )
+        moved = new.filter("moved").limit(1).count()
+        state, reach = new.drop("moved"), reach * 2
         if not moved:
-            break
-    ringed = start.join(state.select(key, "id", "ring"), [key, "id"])
-    opened = ringed.groupBy(key, "ring").agg(F.max(F.col("next").isNull()).alias("open")).filter("NOT open")
-    ringed = ringed.join(opened.select(key, "ring"), [key, "ring"])
-    last = F.col("next") == F.col("ring")
-    state = cut_lineage(
-        ringed.select(key, "id", F.when(~last, F.col("next")).alias("next"), F.when(last, 0).otherwise(1).cast("long").alias("togo"), "ring")
-    )
-    while state.filter("next IS NOT NULL").limit(1).count():
-        state = _jump(state, key, {"togo": lambda a, b: a + b})
-    point = F.struct(F.col("id.x0").alias("x"), F.col("id.y0").alias("y"))
-    listed = F.sort_array(F.collect_list(F.struct((-F.col("togo")).alias("k"), point.alias("p"))))
-    pts = F.transform(listed, lambda q: q["p"])
-    return state.groupBy(key, "ring").agg(pts.alias("pts")).select(
-        key, F.concat("pts", F.array(F.col("pts")[0])).alias("pts")
+            return edges.join(state.drop("next"), "id")
+
+
+def _loops(walked: DataFrame, key: str) -> DataFrame:
+    """``id, next`` that close a ring's loops where it comes back to a point: each edge into the
+    point goes on with the edge that left it one visit earlier."""
+    visits = walked.filter("NOT open").select("id", "ring", "steps", "x0", "y0", key)
+    turn = Window.partitionBy(key, "ring", "x0", "y0").orderBy(F.col("steps").desc())
+    again = F.count(F.lit(1)).over(Window.partitionBy(key, "ring", "x0", "y0"))
+    left = visits.withColumn("n", again).filter("n > 1").select(
+        "id",
+        F.lag("id").over(turn).alias("before"),
+        F.last("id").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("latest"),
     )
+    return left.select(F.col("id").alias("next"), F.coalesce("before", "latest").alias("_new"))
 
 
-def _within(x: Column, y: Column, pts: Column) -> Column:
-    """Even-odd test of a point against a ring."""
+def ring_rows(edges: DataFrame, key: str) -> DataFrame:
+    """Rows of directed edges with their ring: key, id, x0, y0, x1, y1, ring, steps, open.
 
-    def crosses(e: Column) -> Column:
-        at = e["x0"] + (y - e["y0"]) * (e["x1"] - e["x0"]) / (e["y1"] - e["y0"])
-        return ((e["y0"] > y) != (e["y1"] > y)) & (at > x)
+    Rings come from pointer doubling over rows of edges, so that a long outline is spread over
+    tasks. A ring that comes back to a point is cut there into rings that touch in it.
+    """
+    named = cut_lineage(edges.withColumn("id", F.monotonically_increasing_id()))
+    linked = cut_lineage(_successors(named, key))
+    walked = cut_lineage(_walked(linked))
+    turned = cut_lineage(_loops(walked, key))
+    if not turned.limit(1).count():
+        return walked
+    split = linked.join(turned, "next", "left").withColumn("next", F.coalesce("_new", "next")).drop("_new")
+    return cut_lineage(_walked(cut_lineage(split)))
+
+
+def closed_rings(rows: DataFrame, key: str) -> DataFrame:
+    """``key, ring, pts, area`` of every closed ring of `ring_rows`, from its smallest id on;
+    ``area`` is twice the signed one. Open chains give no ring."""
+    point = F.struct(F.col("x0").alias("x"), F.col("y0").alias("y"))
+    listed = F.sort_array(F.collect_list(F.struct((-F.col("steps")).alias("k"), point.alias("p"))))
+    pts = F.transform(listed, lambda q: q["p"])
+    rings = rows.filter("NOT open").groupBy(key, "ring").agg(pts.alias("pts")).withColumn("pts", F.concat("pts", F.array(F.col("pts")[0])))
+    return rings.withColumn("area", geo.twice_ring_area(F.col("pts")))
 
-    return F.size(F.filter(geo.steps(pts), crosses)) % 2 == 1
 
+def hole_homes(rows: DataFrame, sized: DataFrame, key: str) -> DataFrame:
+    """``key, hole, shell`` for rings of negative area.
 
-def shapes(rings: DataFrame, key: str) -> DataFrame:
-    """``key, rings`` from oriented rings: shells by area, each with the holes whose smallest
-    surrounding shell it is; a hole outside every shell is left out."""
-    sized = cut_lineage(rings.withColumn("area", geo.twice_ring_area(F.col("pts"))))
-    by_size = Window.partitionBy(key).orderBy("area", "pts")
-    shells = sized.filter("area > 0").withColumn("part", F.row_number().over(by_size) - 1)
-    a, b = F.col("pts")[0], F.col("pts")[1]
-    holes = sized.filter("area < 0").select(
-        key, F.col("pts").alias("hole"), F.col("area").alias("size"), ((a["x"] + b["x"]) / 2).alias("px"), ((a["y"] + b["y"]) / 2).alias("py")
+    Left of a hole's leftmost vertex lies the area it is cut from, up to that area's next
+    border: its shell, or another of its holes, whose shell it is then. Edges and holes meet in
+    bands of rows, and holes that point at holes are followed by doubling.
+    """
+    holes = sized.filter("area < 0").select(F.col("ring"))
+    low = rows.join(holes, "ring", "left_semi").groupBy(key, "ring").agg(F.min(F.struct("x0", "y0")).alias("p"))
+    band = rows.groupBy(key).agg((F.avg(F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))) * 2).alias("band"))
+    at = low.join(band, key).select(
+        key, F.col("ring").alias("hole"), F.col("p.x0").alias("px"), F.col("p.y0").alias("py"), F.floor(F.col("p.y0") / F.col("band")).alias("j")
     )
-    homes = (
-        holes.join(shells.select(key, "part", "pts"), key)
-        .filter(_within(F.col("px"), F.col("py"), F.col("pts")))
-        .groupBy(key, "hole", "size")
-        .agg(F.min("part").alias("part"))
-        .withColumn("ring", F.row_number().over(Window.partitionBy(key, "part").orderBy("size", "hole")))
+    lower, upper = F.least("y0", "y1"), F.greatest("y0", "y1")
+    spans = rows.filter("NOT open AND y0 <> y1").join(band, key).withColumn(
+        "j", F.explode(F.sequence(F.floor(lower / F.col("band")), F.floor(upper / F.col("band"))))
     )
-    rows = shells.select(key, "part", F.lit(0).alias("ring"), "pts").unionByName(
-        homes.select(key, "part", "ring", F.col("hole").alias("pts"))
+    x = F.col("x0") + (F.col("py") - F.col("y0")) * (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))
+    met = at.join(spans.drop("band", "id", "steps", "open"), [key, "j"]).filter((F.col("ring") != F.col("hole")) & ((F.col("y0") <= F.col("py")) != (F.col("y1") <= F.col("py"))))
+    next_ = met.withColumn("x", x).filter(F.col("x") <= F.col("px")).groupBy(key, "hole").agg(F.max_by("ring", "x").alias("home"))
+    state = cut_lineage(next_.join(holes.select(F.col("ring").alias("home"), F.lit(True).alias("again")), "home", "left"))
+    while state.filter("again").limit(1).count():
+        ahead = state.select(F.col("hole").alias("home"), F.col("home").alias("_home"), F.col("again").alias("_again"))
+        state = cut_lineage(
+            state.join(ahead, "home", "left").select(key, "hole", F.coalesce(F.when(F.col("again"), F.col("_home")), F.col("home")).alias("home"), F.when(F.col("again"), F.col("_again")).alias("again"))
+        )
+    return state.select(key, "hole", F.col("home").alias("shell"))
+
+
+def shapes(rows: DataFrame, key: str) -> DataFrame:
+    """``key, rings`` from `ring_rows`: shells by area, each with its holes by area."""
+    sized = cut_lineage(closed_rings(rows, key))
+    light = sized.select(key, "ring", "area", F.array_min("pts").alias("corner"))
+    if light.filter("area < 0").limit(1).count():
+        homes = hole_homes(rows, light, key)
+    else:
+        homes = light.select(key, F.col("ring").alias("hole"), F.col("ring").alias("shell")).limit(0)
+    shells = staged_rank(light.filter("area > 0"), [key], [F.floor(F.log2("area"))], [F.col("area"), F.col("corner")], "part")
+    cut = homes.join(light.select(F.col("ring").alias("hole"), "area", "corner"), "hole").join(shells.select(F.col("ring").alias("shell"), "part"), "shell")
+    inner = staged_rank(cut, [key, "shell", "part"], [F.floor(F.log2(-F.col("area")))], [F.col("area").desc(), F.col("corner")], "nth")
+    placed = shells.select("ring", (F.col("part") - 1).alias("part"), F.lit(0).cast("long").alias("nth")).unionByName(
+        inner.select(F.col("hole").alias("ring"), (F.col("part") - 1).alias("part"), "nth")
     )
-    row = F.struct(F.col("part").cast("int").alias("part"), F.col("ring").cast("int").alias("ring"), "pts")
-    return rows.groupBy(key).agg(F.sort_array(F.collect_list(row)).cast(RINGS).alias("rings"))
+    row = F.struct(F.col("part").cast("int").alias("part"), F.col("nth").cast("int").alias("ring"), "pts")
+    listed = sized.select(key, "ring", "pts").join(placed, "ring")
+    return listed.groupBy(key).agg(F.sort_array(F.collect_list(row)).cast(RINGS).alias("rings"))
+
+
+def dissolve_with_rejects(members: DataFrame, key: str = "target_code") -> tuple[DataFrame, DataFrame]:
+    """``key, rings`` of the union per key, and ``key, reason`` of keys that have none.
+
+    A key is rejected if its members have no area (``no area``), or if an outline doesn't close
+    (``open outline``), which sound rings can't give; its closed rings aren't published then.
+    """
+    rows = ring_rows(outline(members, key), key)
+    opened = cut_lineage(rows.filter("open").select(key).distinct())
+    found = cut_lineage(shapes(rows.join(opened, key, "left_anti"), key))
+    none = members.select(key).distinct().join(found, key, "left_anti").join(opened, key, "left_anti")
+    rejects = opened.withColumn("reason", F.lit("open outline")).unionByName(none.withColumn("reason", F.lit("no area")))
+    return found, rejects
 
 
 def dissolve(members: DataFrame, key: str = "target_code") -> DataFrame:
-    """``key, rings`` of the union per key, for members with shared borders; members that
-    overlap instead of touching are reported by `sibling_overlaps`."""
-    return shapes(closed_rings(outline(members, key), key), key)
+    """``key, rings`` of the union of the members of each key."""
+    return dissolve_with_rejects(members, key)[0]
+
+
+def repaired(rows: DataFrame, valid: str = "valid") -> DataFrame:
+    """``rows`` with the rings of those that aren't ``valid`` replaced by the outline of what
+    they run around an odd number of times, shells with holes. Rings without such area become
+    empty. ``rows`` should be a written table, as it is read twice."""
+    kept = rows.filter(F.coalesce(F.col(valid), F.lit(False)))
+    wrong = cut_lineage(rows.filter(~F.coalesce(F.col(valid), F.lit(False))).withColumn("_row", F.monotonically_increasing_id()))
+    if not wrong.limit(1).count():
+        return kept
+    found = shapes(ring_rows(arrangement.outline(member_edges(wrong, "_row"), "_row", parity=True), "_row"), "_row")
+    mended = wrong.drop("rings").join(found, "_row", "left").withColumn("rings", F.coalesce("rings", F.array().cast(RINGS)))
+    return kept.unionByName(mended.select(*rows.columns))
 
 
 def sibling_overlaps(units: DataFrame) -> DataFrame:

@@ -108,7 +108,7 @@ def _cuts(edges: DataFrame, key: str) -> DataFrame:
 
 
 def pieces(edges: DataFrame, key: str, parity: bool = False) -> DataFrame:
-    """Edges cut until they meet at their ends only: key, x0, y0, x1, y1, net.
+    """Edges cut until they meet at their ends only: key, x0, y0, x1, y1, net, with an id and their grid.
 
     ``edges`` are directed, key, x0, y0, x1, y1. Pieces drawn twice merge, ``net`` counts them
     with their direction, and pieces that cancel are left out: of members that share borders
@@ -121,7 +121,7 @@ def pieces(edges: DataFrame, key: str, parity: bool = False) -> DataFrame:
         placed = cut_lineage(_gridded(found, key).withColumn("id", F.monotonically_increasing_id()))
         cuts = cut_lineage(_cuts(placed, key))
         if not cuts.limit(1).count():
-            return placed.drop("id")
+            return placed
         along = F.abs(F.col("x") - F.col("x0")) + F.abs(F.col("y") - F.col("y0"))
         point = F.struct(along.alias("k"), "x", "y")
         cut = placed.select("id", key, *ENDS, "net").join(cuts, "id").groupBy("id", key, *ENDS, "net").agg(F.sort_array(F.collect_set(point)).alias("c"))
@@ -147,7 +147,7 @@ def sides(cut: DataFrame, key: str) -> DataFrame:
     running sum over the column. From there to the middle of a piece only the pieces of the
     cell can be crossed.
     """
-    named = cut_lineage(cut.withColumn("id", F.monotonically_increasing_id()))
+    named = cut
     first, last = F.ceil((F.col("x0") - F.col("ox")) / F.col("w")), F.ceil((F.col("x1") - F.col("ox")) / F.col("w")) - 1
     line = F.col("ox") + F.col("i") * F.col("w")
     crossed = (

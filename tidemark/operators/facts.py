@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start
+from tidemark.operators import geometry
 from tidemark.operators.ranking import staged_rank
 from tidemark.schemas import EVENT_SAMPLE_LIMIT, VILLAGE_THRESHOLD
+from tidemark.session import cut_lineage
 
 
 def daily_facts(bridge: DataFrame) -> DataFrame:
@@ -81,7 +83,8 @@ def event_sample(
     n: int = EVENT_SAMPLE_LIMIT,
     order: tuple[str, ...] = ("row_id",),
 ) -> DataFrame:
-    """First ``n`` intersecting footprints in source order.
+    """First ``n`` intersecting footprints in source order, with the rings of their repair where
+    a column ``valid`` tells that it takes one.
 
     The ``n`` rows are found on row ids and order columns alone (a top-n per task), so that
     geometry is joined to a broadcast of ``n`` ids, up to `BROADCAST_IDS`, and not shuffled.
@@ -92,9 +95,11 @@ def event_sample(
     else:
         placed = footprints.select("row_id", *order).join(hits, "row_id", "left_semi")
     first = placed.orderBy(*order).limit(n).select("row_id")
+    found = footprints.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "row_id")
+    if "valid" in found.columns:
+        found = geometry.repaired(cut_lineage(found.select("row_id", *(c for c in order if c != "row_id"), "uuid", "start_date", "end_date", "footprint_area_km2", "rings", "valid")))
     return (
-        footprints.join(F.broadcast(first) if n <= BROADCAST_IDS else first, "row_id")
-        .orderBy(*order)
+        found.orderBy(*order)
         .select(
             "uuid",
             "start_date",

@@ -8,6 +8,7 @@ from tidemark.functions import geo, wkb
 from tidemark.operators import facts, geometry, overlap, thinning
 from tidemark.plans import star
 from tidemark.plans.catalog import sql
+from tidemark.session import cut_lineage
 
 
 def raw_footprints(spark, d):
@@ -69,6 +70,44 @@ def dissolved_regencies(spark, d):
     return out.select("target_code", F.round(geo.area_km2(F.col("rings")), 3).alias("area_km2"))
 
 
+def _grouped_members(spark, d):
+    """Events as six members a group: four overlapping squares, one of them drawn again, and a
+    ring that crosses itself, all on whole thousandths."""
+    k = F.col("event_id")
+    g, m = F.floor(k / 6), k % 6
+    drawn = F.when(m == 4, k - 1).otherwise(k)
+    size = F.when(m == 5, 2).otherwise(1 + drawn * 31 % 7)
+    west = 100000 + g % 900 * 10 + drawn * 7 % 5
+    south = -4500 + F.floor(g / 900) % 900 * 10 + drawn * 11 % 5
+
+    def at(i, j):
+        return geo.point((west + i * size) / 1000, (south + j * size) / 1000)
+
+    square = geo.single_ring(at(0, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0))
+    crossed = geo.single_ring(at(0, 1), at(2, 1), at(2, 2), at(1, 2), at(1, 0), at(0, 0), at(0, 1))
+    rows = star.table(spark, d, "events").select(
+        g.cast("long").alias("target_code"), F.when(m == 5, crossed).otherwise(square).alias("rings"), (m != 5).alias("valid")
+    )
+    return cut_lineage(rows)
+
+
+def dissolved_overlaps(spark, d):
+    """Area of unions whose members overlap, repeat and cross themselves."""
+    found = geometry.dissolve(geometry.repaired(_grouped_members(spark, d)))
+    area = F.aggregate("rings", F.lit(0.0), lambda s, r: s + geo.twice_ring_area(r["pts"]) / 2)
+    checked = found.select("target_code", area.alias("area"), wkb.repair("rings").alias("g"))
+    return checked.select("target_code", F.round("area", 9).alias("area"), "g.valid")
+
+
+def rejected_units(spark, d):
+    """Units whose members have no area or no closed outline."""
+    c = star.tiles(spark, d).filter("level = 'district'")
+    key = F.substring_index("code", ".", -1).cast("long")
+    sides = geo.ring_edges(geo.box(F.col("xmin"), F.col("ymin"), F.when(key % 10 == 3, F.col("xmin")).otherwise(F.col("xmax")), F.col("ymax")))
+    members = c.select(F.col("code").alias("target_code"), F.when(key % 10 == 7, F.slice(sides, 1, 3)).otherwise(sides).alias("edges"))
+    return geometry.dissolve_with_rejects(members)[1].withColumnRenamed("target_code", "code")
+
+
 def outline_edges(spark, d):
     """Border edges left per regency once shared borders of its tiles cancel."""
     units = star.unit_shapes(spark, d).filter("level = 'district'")
@@ -150,6 +189,8 @@ QUERIES = {
     "daily_facts_from_wkb": daily_facts_from_wkb,
     "repaired_bow_ties": repaired_bow_ties,
     "dissolved_regencies": dissolved_regencies,
+    "dissolved_overlaps": dissolved_overlaps,
+    "rejected_units": rejected_units,
     "outline_edges": outline_edges,
     "sibling_overlaps": sibling_overlaps,
     "representative_points": representative_points,
@@ -190,6 +231,20 @@ SELECT row_id, false AS valid,
 SELECT split_part(code, '.', 1) || '.' || split_part(code, '.', 2) AS target_code,
        round(sum({_TILE_AREA}), 3) AS area_km2
 FROM tile WHERE level = 'district' GROUP BY 1""",
+    "dissolved_overlaps": """
+WITH m AS (
+  SELECT event_id // 6 AS g, event_id % 6 AS m, CASE WHEN event_id % 6 = 4 THEN event_id - 1 ELSE event_id END AS k FROM events
+), r AS (
+  SELECT g, g % 900 * 10 + k * 7 % 5 AS x, g // 900 % 900 * 10 + k * 11 % 5 AS y, 1 + k * 31 % 7 AS s FROM m WHERE m < 5
+  UNION ALL SELECT g, g % 900 * 10 + k * 7 % 5 + t * 2, g // 900 % 900 * 10 + k * 11 % 5 + t * 2, 2 FROM m, range(2) u(t) WHERE m = 5
+), c AS (
+  SELECT DISTINCT g, x + i AS cx, y + j AS cy FROM r, range(7) a(i), range(7) b(j) WHERE i < s AND j < s
+)
+SELECT g AS target_code, round(count(*) * 1e-6, 9) AS area, true AS valid FROM c GROUP BY g""",
+    "rejected_units": _TILES
+    + """
+SELECT code, CASE WHEN k % 10 = 3 THEN 'no area' ELSE 'open outline' END AS reason
+FROM (SELECT code, CAST(split_part(code, '.', 3) AS BIGINT) AS k FROM tile WHERE level = 'district') WHERE k % 10 IN (3, 7)""",
     "outline_edges": sql.with_(sql.ADMIN)
     + """
 , t AS (SELECT regency, (c_custkey * 37) % (side * side) AS slot, side FROM dis, (SELECT s + (s % 37 = 0)::BIGINT AS side FROM (SELECT greatest(100, ceil(sqrt(max(c_custkey) + 1)))::BIGINT AS s FROM customer))),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo, wkb
@@ -183,6 +186,77 @@ def footprint_files(spark, d):
     return back.select("uuid", "start_date", F.round("footprint_area_km2", 3).alias("area_km2"))
 
 
+def written_repairs(spark, d):
+    """Bow-ties, crossed rings and overlapping parts, written and decoded again: valid, in as
+    many parts as their repair has, and of its area."""
+    x, y, h, k = F.col("lon"), F.col("lat"), F.col("half"), F.col("row_id")
+
+    def at(i, j):
+        return geo.point(x + i * h, y + j * h)
+
+    bow_tie = geo.single_ring(at(-1, -1), at(1, 1), at(1, -1), at(-1, 1), at(-1, -1))
+    crossed = geo.single_ring(at(0, 1), at(2, 1), at(2, 2), at(1, 2), at(1, 0), at(0, 0), at(0, 1))
+    square = geo.box(x - h, y - h, x + h, y + h)
+    over = F.concat(geo.box(x, y, x + 2 * h, y + 2 * h), F.transform(geo.box(x + h, y + h, x + 3 * h, y + 3 * h), lambda r: r.withField("part", F.lit(1))))
+    rings = F.when(k % 4 == 0, bow_tie).when(k % 4 == 1, crossed).when(k % 4 == 2, over).otherwise(square)
+    path = work_path(spark, "repairs")
+    source = star.squares(spark, d).select("row_id", rings.alias("rings"))
+    writers.write_geo(source, path)
+    back = spark.read.parquet(f"{path}/data").select("row_id", wkb.decode_wkb("geometry").alias("g"))
+    area = overlap.plane_area_km2(F.col("edges"), F.col("floor"))
+    was = source.select("row_id", (F.col("rings")[0]["pts"][0]["y"]).alias("floor"), wkb.repair("rings").alias("g"))
+    was = was.select("row_id", "floor", F.col("g.edges").alias("edges")).withColumn("was", area).select("row_id", "floor", "was")
+    found = back.join(was, "row_id").withColumn("edges", F.col("g.edges")).withColumn("now", area)
+    return found.select(
+        "row_id", "g.valid", F.size(F.array_distinct(F.transform("g.rings", lambda r: r["part"]))).alias("parts"),
+        (F.abs(F.col("now") - F.col("was")) < 1e-4).alias("same_area"),
+    )
+
+
+@F.arrow_udf("binary")
+def _wkb_form(kind: pa.Array, x: pa.Array, y: pa.Array, h: pa.Array) -> pa.Array:
+    """A square as WKB of a form: plain, with height, measure or both, with flags and a system's
+    number, in a collection; or a line, an unknown type, a broken polygon."""
+
+    def one(kind: int, x: float, y: float, h: float) -> bytes:
+        flat = [(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h), (x - h, y - h)]
+        order = ">" if kind == 4 else "<"
+        code, extra = {1: (1003, 1), 2: (2003, 1), 3: (3003, 2), 4: (0xA0000003, 1)}.get(kind, (3, 0))
+        head = struct.pack(order + "BI", order == "<", code) + (struct.pack(order + "I", 4326) if kind == 4 else b"")
+        points = b"".join(struct.pack(f"{order}{2 + extra}d", *p, *[7.0] * extra) for p in flat)
+        polygon = head + struct.pack(order + "II", 1, 5) + points
+        if kind == 5:
+            return struct.pack("<BII", 1, 7, 2) + struct.pack("<BIdd", 1, 1, x, y) + polygon
+        if kind == 6:
+            return struct.pack("<BII", 1, 2, 5) + points
+        if kind == 7:
+            return struct.pack("<BI", 1, 17) + polygon[5:]
+        return polygon[:40] if kind == 8 else polygon
+
+    return pa.array([one(*r) for r in zip(*(c.to_pylist() for c in (kind, x, y, h)))], pa.binary())
+
+
+def _forms(spark, d):
+    path = work_path(spark, "forms")
+    geometry = _wkb_form((F.col("row_id") % 9).cast("int"), "lon", "lat", "half")
+    rows = star.squares(spark, d).select(
+        F.concat("uuid", F.lit("-"), F.col("row_id").cast("string")).alias("uuid"), F.lit(None).cast("double").alias("area_km2"),
+        geometry.alias("geometry"), "start_date", "end_date",
+    )
+    rows.write.parquet(path)
+    return footprints.scan_footprints(spark, path)
+
+
+def wkb_forms(spark, d):
+    """Squares in all forms that have an area."""
+    return _forms(spark, d)[0].select("uuid", "valid", F.round("footprint_area_km2", 3).alias("area_km2"))
+
+
+def wkb_rejects(spark, d):
+    """Rows of other forms, counted by reason."""
+    return _forms(spark, d)[1]
+
+
 def bridged_files(spark, d):
     """The same footprints over the provinces: shared areas add up to the repaired shape, whatever
     area the source gives."""
@@ -262,6 +336,9 @@ QUERIES = {
     "postal_files": postal_files,
     "boundary_files": boundary_files,
     "footprint_files": footprint_files,
+    "written_repairs": written_repairs,
+    "wkb_forms": wkb_forms,
+    "wkb_rejects": wkb_rejects,
     "bridged_files": bridged_files,
     "document_rows": document_rows,
     "registry_forms": registry_forms,
@@ -316,6 +393,14 @@ SELECT uuid || '-' || row_id AS uuid, start_date,
             WHEN row_id % 11 = 0 THEN round({_BOW_TIE}, 3)
             ELSE round({_SQUARE}, 3) END AS area_km2
 FROM sq WHERE row_id % 17 <> 0 AND row_id % 19 <> 0 AND row_id % 23 <> 0 AND (row_id % 13 <> 0 OR row_id % 11 = 0)""",
+    "written_repairs": sql.with_(sql.SQUARES)
+    + "SELECT row_id, true AS valid, CASE WHEN row_id % 4 = 3 THEN 1 ELSE 2 END AS parts, true AS same_area FROM sq",
+    "wkb_forms": sql.with_(sql.SQUARES)
+    + f"SELECT uuid || '-' || row_id AS uuid, true AS valid, round({_SQUARE}, 3) AS area_km2 FROM sq WHERE row_id % 9 < 6",
+    "wkb_rejects": sql.with_(sql.SQUARES)
+    + """
+SELECT CASE row_id % 9 WHEN 6 THEN 'line string' WHEN 7 THEN 'type 17' ELSE 'broken' END AS reason, count(*) AS rows
+FROM sq WHERE row_id % 9 > 5 GROUP BY 1""",
     "bridged_files": sql.with_(sql.SQUARES)
     + f"""
 SELECT uuid || '-' || row_id AS uuid, round(a, 2) AS shared_km2, round(a, 2) AS by_ratio_km2

@@ -33,12 +33,16 @@ BOUNDARY_COLUMNS = (
 )
 
 
-def derive_levels(members: DataFrame, units: DataFrame, postal: DataFrame) -> DataFrame:
-    """Dissolved boundaries of the missing levels."""
-    shapes = geometry.dissolve(members).withColumnRenamed("target_code", "code")
+def derive_levels(members: DataFrame, units: DataFrame, postal: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dissolved boundaries of the missing levels, and ``code, reason`` of units without one:
+    those whose members have no closed outline, and outlines of codes that name no unit."""
+    found, rejects = geometry.dissolve_with_rejects(members)
+    shapes = found.withColumnRenamed("target_code", "code")
+    unknown = shapes.join(units, "code", "left_anti").select("code", F.lit("unknown unit").alias("reason"))
+    rejects = rejects.withColumnRenamed("target_code", "code").unionByName(unknown)
     named = admin.with_postal(units.join(shapes, "code"), postal)
     placed = geometry.with_centroids(named).withColumn("boundary_source", F.lit("derived"))
-    return dumps.with_shapes(placed).select(*BOUNDARY_COLUMNS)
+    return dumps.with_shapes(placed).select(*BOUNDARY_COLUMNS), rejects
 
 
 def build_reference(
@@ -50,7 +54,8 @@ def build_reference(
     postal = dumps.read_postal(spark, postal_dump)
     raw = cut_lineage(admin.enrich_boundaries(dumps.read_boundaries(spark, boundary_root), units, postal))
     kept, members = admin.choose_levels(raw, units)
-    derived = derive_levels(members, units, postal)
+    derived, rejects = derive_levels(members, units, postal)
+    writers.write_table(rejects, f"{out}/rejected_units")
     boundaries = cut_lineage(kept.select(*BOUNDARY_COLUMNS).unionByName(derived))
     overall = admin.coverage(rows, boundaries)
     gate = admin.release_gate(overall)
@@ -93,7 +98,8 @@ def build_facts(
         enabled.select(F.explode("levels").alias("level")), "level", "left_semi"
     )
     fragments = cut_lineage(overlap.unit_fragments(units))
-    source = footprints.read_footprints(spark, footprint_path)
+    source, rejects = footprints.scan_footprints(spark, footprint_path)
+    writers.write_table(rejects, f"{out}/rejected_footprints")
     prints = overlap.within_extent(source, units)
     writers.write_table(overlap.bridge(prints, fragments), f"{out}/bridge", "level")
     bridge = spark.read.parquet(f"{out}/bridge")

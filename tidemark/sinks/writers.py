@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
 from tidemark.functions.codes import prefix
-from tidemark.operators.geometry import dataset_stats
+from tidemark.operators.geometry import dataset_stats, repaired
 from tidemark.operators.release import month_spine
 from tidemark.operators.thinning import simplify
 from tidemark.schemas import ADMIN_COLUMNS, BUNDLE_SEGMENTS, LEVELS, METRICS
+from tidemark.session import cut_lineage
 
 FEATURE_PROPERTIES = (*ADMIN_COLUMNS, "boundary_source")
 
@@ -24,7 +25,9 @@ def write_table(df: DataFrame, path: str, *partitions: str) -> None:
 
 def write_geo(df: DataFrame, path: str, primary: str = "rings") -> None:
     """Parquet with a WKB ``geometry`` column and a sidecar document with the dataset's
-    extent and geometry types; an empty input still writes its schema."""
+    extent and geometry types; an empty input still writes its schema. Invalid geometry is
+    written repaired."""
+    df = valid_shapes(df, primary)
     rows = df.withColumn("geometry", wkb.encode_wkb(primary)).drop(primary, "edges", "extent")
     write_table(rows, f"{path}/data")
     s = dataset_stats(df.withColumnRenamed(primary, "rings"))
@@ -42,6 +45,13 @@ def write_geo(df: DataFrame, path: str, primary: str = "rings") -> None:
     write_document(s.select(doc.alias("doc")), f"{path}/geo", "doc")
 
 
+def valid_shapes(df: DataFrame, primary: str = "rings") -> DataFrame:
+    """``df`` with rings that are valid, invalid ones as their even-odd repair."""
+    own = [c for c in df.columns if c not in (primary, "edges", "extent", "valid")]
+    found = df.withColumn("_g", wkb.repair(primary)).select(*own, F.col("_g.rings").alias("rings"), F.col("_g.valid").alias("valid"))
+    return repaired(cut_lineage(found)).drop("valid").withColumnRenamed("rings", primary)
+
+
 def write_document(df: DataFrame, path: str, column: str = "doc") -> None:
     """A one-row JSON document."""
     df.select(F.to_json(column).alias("value")).coalesce(1).write.mode("overwrite").text(path)

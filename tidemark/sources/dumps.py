@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo, wkb
+from tidemark.operators import geometry
 from tidemark.operators.admin import classify, last_wins
 from tidemark.session import cut_lineage
 
@@ -137,17 +138,18 @@ def boundary_rows(tuples: DataFrame) -> DataFrame:
 
 
 def with_shapes(rows: DataFrame) -> DataFrame:
-    """Add oriented rings, directed edges and the extent to rows with ``rings``.
+    """Add valid, oriented rings, their directed edges and the extent to rows with ``rings``.
 
     Parsed rows are written first: they are read by every level's build, and the dump is
-    parsed once.
+    parsed once. Invalid rings become the outline of their even-odd repair.
     """
-    fixed = cut_lineage(rows).withColumn("g", wkb.repair("rings"))
-    return fixed.select(
-        *(c for c in rows.columns if c != "rings"),
-        "g.rings",
-        "g.edges",
-        geo.bounds(F.col("g.rings")).alias("extent"),
+    own = [c for c in rows.columns if c != "rings"]
+    found = cut_lineage(cut_lineage(rows).withColumn("g", wkb.repair("rings")).select(*own, "g.rings", "g.valid"))
+    return geometry.repaired(found).select(
+        *own,
+        "rings",
+        geo.ring_edges(F.col("rings")).alias("edges"),
+        geo.bounds(F.col("rings")).alias("extent"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -16,25 +17,39 @@ from tidemark.session import cut_lineage
 
 SIZE = 2048
 END_ID = 1
-RANKS = "byte_bpe_50k.tiktoken"
+RANKS, WHOLE = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = f"{PIECE}, sequence_id long, offset long"
 
-_encodings: dict[str, object] = {}
+_encodings: dict[tuple[str, str], object] = {}
 
 
-def encoding(path: str | None = None):
-    """The byte-level vocabulary in its rank form, read once per worker. It gives the ids of
-    the JSON form, with marker strings as ordinary text, at four times the speed."""
+def markers(path: str) -> dict[str, int]:
+    """Added tokens of the JSON form, which it finds in a text before all else."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that depend on their surroundings")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoding(path: str | None = None, whole: str | None = None):
+    """The byte-level vocabulary in its rank form, read once per worker, with the markers of the
+    JSON form (``whole``). It gives the ids of the JSON form at four times the speed."""
     import public_tokenizers
     import tiktoken
 
-    path = path or public_tokenizers.path(RANKS)
-    if path not in _encodings:
+    path, whole = path or public_tokenizers.path(RANKS), whole or public_tokenizers.path(WHOLE)
+    if (path, whole) not in _encodings:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _encodings[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[path]
+        _encodings[path, whole] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=markers(whole))
+    return _encodings[path, whole]
+
+
+def token_ids(codec, text: str | None) -> list[int]:
+    """Ids of a text; a marker's string is one id wherever it stands."""
+    return codec.encode(text or "", allowed_special="all")
 
 
 def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -49,7 +64,7 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
             out: dict[str, list] = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
             ids: list[np.ndarray] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                tokens = np.append(np.asarray(codec.encode_ordinary(text or ""), dtype="<u4"), np.uint32(end_id))
+                tokens = np.append(np.asarray(token_ids(codec, text), dtype="<u4"), np.uint32(end_id))
                 for start in range(0, len(tokens), size):
                     piece = tokens[start : start + size]
                     out["doc_id"].append(doc_id)

@@ -98,7 +98,11 @@ def test_near_duplicates_match_all_pairs(spark, texts):
     grams = {}
     for i in ids:
         w = WORD.findall(texts[i])
-        grams[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+        seen = collections.Counter()
+        grams[i] = set()
+        for g in (tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))):
+            grams[i].add((g, seen[g]))
+            seen[g] += 1
     parent = {i: i for i in ids}
 
     def top(x):

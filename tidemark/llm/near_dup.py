@@ -17,15 +17,17 @@ from tidemark.session import cut_lineage
 
 K = 5
 LEAST = 0.8
-#: Distinct k-mers sampled by a sketch in one order and in another, and sketches.
+#: Labelled k-mers sampled by a sketch in one order and in another, and sketches.
 SAMPLED, SAMPLED_OTHER, SKETCHES = 6, 3, 56
-#: Pairs whose smaller text has fewer distinct k-mers than ``LONG`` meet in sketches of
+#: Pairs whose smaller text has fewer k-mers than ``LONG`` meet in sketches of
 #: ``SAMPLED_SHORT`` of them, pairs whose smaller text has at most ``TINY`` as one set and the same
 #: set with one k-mer left out: with a similarity of 0.8 they can't differ by more.
 LONG, SAMPLED_SHORT, TINY = 64, 6, 7
 #: Words of 64 bits in a signature, and the bits in which two with similarity 0.8 may differ:
 #: one bit differs with chance 0.1, so 2048 bits exceed 252 with chance 0.0003.
 LONGS, DIFFER = 32, 252
+#: Tells a k-mer's occurrences apart.
+_LABEL = np.uint64(0xD6E8_FEB8_6659_FD93)
 #: Turns one order of hashes into another.
 _OTHER = np.uint64(0xA5C3_96E1_5B2D_784F)
 
@@ -40,10 +42,10 @@ def _hashed(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """One bucket per key: the smallest distinct k-mers under the key, in text order, as one hash.
+    """One bucket per key: the smallest labelled k-mers under the key, in text order, as one hash.
 
-    ``SAMPLED`` of the smallest come from one order and ``SAMPLED_OTHER`` from another. Repeats
-    don't count, as they don't in the similarity. A text with fewer gives all it has.
+    ``SAMPLED`` of the smallest come from one order and ``SAMPLED_OTHER`` from another. A text
+    with fewer gives all it has.
     """
     if not len(distinct):
         return np.zeros(0, np.int64)
@@ -67,7 +69,7 @@ def sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def short_sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """One bucket per key: ``SAMPLED_SHORT`` smallest distinct k-mers under the key, in text order."""
+    """One bucket per key: ``SAMPLED_SHORT`` smallest labelled k-mers under the key, in text order."""
     h = _hashed(mix(distinct), keys)
     places = np.sort(np.argpartition(h, SAMPLED_SHORT - 1, axis=1)[:, :SAMPLED_SHORT], axis=1)
     total = keys ^ _OTHER
@@ -77,7 +79,7 @@ def short_sketch(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def whole_key(distinct: np.ndarray) -> int:
-    """All distinct k-mers in text order as one hash."""
+    """All labelled k-mers in text order as one hash."""
     return int(np.frombuffer(xxhash.xxh3_64_digest(distinct.tobytes()), np.int64)[0])
 
 
@@ -89,7 +91,7 @@ def less_keys(distinct: np.ndarray) -> list[int]:
 def buckets(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, int | None, list[int]]:
     """Buckets of a text, its ``whole_key`` if it is tiny, and its ``less_keys`` if a tiny text may
     be alike. A text is in the sketches of every length that a text alike may have."""
-    distinct = first_occurrences(words)
+    distinct = labelled(words)
     n = len(distinct)
     least = math.ceil(LEAST * n - 1e-9)
     found, whole = [], None
@@ -104,11 +106,17 @@ def buckets(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, int | None
     return np.concatenate([np.zeros(0, np.int64), *found]), whole, less
 
 
-def first_occurrences(words: np.ndarray) -> np.ndarray:
-    """The distinct k-mers of a text, in text order."""
+def labelled(words: np.ndarray) -> np.ndarray:
+    """The k-mers of a text in its order, each with which occurrence of its kind it is: the
+    first keeps its hash, so that no two are alike."""
     grams = shingles(words, K)
-    _, at = np.unique(grams, return_index=True)
-    return grams[np.sort(at)]
+    order = np.argsort(grams, kind="stable")
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[order][1:] != grams[order][:-1]
+    place = np.arange(len(grams))
+    nth = np.empty(len(grams), np.uint64)
+    nth[order] = place - np.maximum.accumulate(np.where(new, place, 0))
+    return np.where(nth > 0, mix(grams + nth * _LABEL), grams)
 
 
 def signature(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -121,10 +129,10 @@ def signature(distinct: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def alignment(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
-    """Similarity of two sequences of distinct k-mers: aligned / (both - aligned).
+    """Similarity of two sequences of labelled k-mers: aligned / (both - aligned).
 
     ``least`` bounds how many k-mers may stay unaligned, hence how far apart the places of an
-    aligned pair may lie. Symbols are distinct, so the best alignment within that band is the
+    aligned pair may lie. Labels make symbols distinct, so the best alignment within that band is the
     longest run of rising places among shared symbols. Returns 0 once ``least`` is out of reach.
     """
     if not len(a) or not len(b):
@@ -177,13 +185,13 @@ _SIGNATURE = [f"s{i}" for i in range(LONGS)]
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """Node, word hashes of 32 bits, number of distinct k-mers and signature of each text."""
+    """Node, word hashes of 32 bits, number of k-mers and signature of each text."""
     keys = _keys(64 * LONGS, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [word_hashes(t).astype(np.uint32) for t in utf8(batch.column("text"))]
-            distinct = [first_occurrences(w.astype(np.uint64)) for w in words]
+            distinct = [labelled(w.astype(np.uint64)) for w in words]
             bits = np.array([signature(d, keys) for d in distinct], np.int64).reshape(-1, LONGS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([w.tobytes() for w in words], pa.binary()), pa.array([len(d) for d in distinct], pa.int32()), *(pa.array(c) for c in bits.T)],
@@ -211,7 +219,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                alignment(*(first_occurrences(np.frombuffer(w, np.uint32).astype(np.uint64)) for w in pair), least) >= least
+                alignment(*(labelled(np.frombuffer(w, np.uint32).astype(np.uint64)) for w in pair), least) >= least
                 for pair in zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist())
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -347,8 +355,8 @@ def _noded(docs: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The class of every document: doc_id, class_id, the smallest id of the class.
 
-    Two texts are linked if the distinct five-word k-mers, in text order, align to a similarity
-    of ``least`` or more; classes are connected links. Texts alike in their words are one text;
+    Two texts are linked if their five-word k-mers, labelled by occurrence and in text order,
+    align to a similarity of ``least`` or more; classes are connected links. Texts alike in their words are one text;
     a text of fewer than five words is one k-mer; null, empty and blank texts are alike. Repeated
     rows have a row each. A null id gets a class like others; the class id is null only if all
     of its ids are. An empty table gives an empty result.

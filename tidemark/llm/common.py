@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than blanks and the five ASCII line and tab controls.
@@ -29,6 +31,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def smallest_hashes(rows: DataFrame, n: int, share: Column, salt: str, group: Sequence[str] = ()) -> DataFrame:
+    """At most ``n`` distinct rows of each group, those of the smallest hashes.
+
+    ``share`` is about ``n`` divided by the group's rows; hashes beyond eight times that share
+    are passed over at the scan. Only hashes are compared; the rows of those chosen follow.
+    """
+    turns = 1 << 40
+    kept = [*rows.columns]
+    hashed = rows.withColumn("_hash", F.xxhash64(F.lit(salt), *kept))
+    place = F.pmod(F.col("_hash"), F.lit(turns))
+    low = hashed.where(place < F.least(share * 8, F.lit(1.0)) * turns)
+    keys = low.select(*group, "_hash").distinct()
+    first = Window.partitionBy(*group).orderBy(place, "_hash") if group else None
+    chosen = keys.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= n) if group else keys.orderBy(place, "_hash").limit(n)
+    return low.join(F.broadcast(chosen.select("_hash")), "_hash").dropDuplicates(["_hash"]).select(*kept)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts of a string column as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boosting
+from tidemark.llm.common import smallest_hashes
 from tidemark.llm.quality_zip import calibrate
 
 KINDS = ("email", "ip", "card", "phone")
@@ -208,34 +210,37 @@ class Model:
         if not places or self.trees is None:
             return out
         chances = self.chances(np.array([describe(texts[i], c) for i, c in places], dtype=float))
-        order = sorted(range(len(places)), key=lambda k: (places[k][0], -chances[k], places[k][1][1], places[k][1]))
-        ends: dict[int, list[tuple[int, int]]] = {}
-        for k in order:
+        likely = [k for k in range(len(places)) if chances[k] >= self.least[places[k][1][0]]]
+        taken: list[list[Span]] = [[] for _ in texts]
+        for k in sorted(likely, key=lambda k: (places[k][0], -chances[k], places[k][1][1], places[k][1])):
             i, c = places[k]
-            near = ends.setdefault(i, [])
-            if chances[k] >= self.least[c[0]] and all(c[2] <= a or c[1] >= b for a, b in near[-64:]) and not _meets(out[i], c):
-                near.append((c[1], c[2]))
+            if _insert(taken[i], c):
                 out[i].append(c)
         return out
 
 
-def _meets(spans: list[Span], c: Span) -> bool:
-    return any(c[1] < b and a < c[2] for _, a, b in spans)
+def _insert(spans: list[Span], c: Span) -> bool:
+    """Put a span among others sorted by place, unless it overlaps one of them."""
+    at = bisect_left(spans, c[1], key=lambda s: s[1])
+    if at and spans[at - 1][2] > c[1] or at < len(spans) and spans[at][1] < c[2]:
+        return False
+    spans.insert(at, c)
+    return True
 
 
 def train(docs: DataFrame, sample: int = 600, rounds: int = 4, precision: float = 0.98) -> Model:
     """Fit on made-up values and decoys set into whole texts of the corpus.
 
-    About ``sample`` texts, drawn by hash, come to the driver and lend contexts: a value is put
-    between two of their words. Candidates that the texts hold already and the fixed patterns
+    At most ``sample`` texts, those of the smallest hashes, come to the driver and lend contexts:
+    a value is put between two of their words. A row that repeats counts once. Candidates that the texts hold already and the fixed patterns
     refuse count as decoys. A third of the texts sets the calibration and, for each kind, the
     lowest chance at which at least ``precision`` of the candidates are personal.
     """
     total = docs.count()
     if not total:
         return Model()
-    draw = F.pmod(F.xxhash64(F.lit("personal"), "doc_id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    texts = sorted(r.text for r in docs.where((draw < min(1.0, sample / total)) & F.col("text").isNotNull()).select("text").collect())
+    drawn = smallest_hashes(docs.where("text is not null").select("doc_id", "text"), sample, F.lit(sample / total), "personal")
+    texts = sorted(r.text for r in drawn.collect())
     rng = random.Random(17)
     rows: list[tuple[list[float], int, int, str]] = []
     for i, text in enumerate(texts or [""]):

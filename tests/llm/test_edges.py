@@ -1,12 +1,13 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import collections
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import boosting, langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, vafile
+from tidemark.llm import boosting, common, langid, lattice_lm, licenses, mixing, near_dup, packing, pii, quality_zip, rules, vafile
 from tidemark.session import ship_package
 
 SCHEMA = "doc_id long, text string, lang string, source string, score string, size string, node string, _n string, held_out boolean"
@@ -210,7 +211,7 @@ def test_short_candidates_by_size(common, union):
         words = rng.integers(1, 1 << 63, union + 4, dtype=np.uint64)
         cut = rng.integers(0, union - common + 1) if union - common > 1 else 0
         for a, b in ((words, words[: common + 4]), (words[: union + 4 - cut], words[union - common - cut :])):
-            if near_dup.alignment(near_dup.first_occurrences(a), near_dup.first_occurrences(b)) < 0.8:
+            if near_dup.alignment(near_dup.labelled(a), near_dup.labelled(b)) < 0.8:
                 continue
             (x, whole_x, less_x), (y, whole_y, less_y) = near_dup.buckets(a, keys), near_dup.buckets(b, keys)
             assert set(x.tolist()) & set(y.tolist()) or whole_y in less_x or whole_x in less_y
@@ -223,7 +224,7 @@ def test_repeated_texts_are_linked(spark):
         line = text[:12]
         for words in (text, 2 * text, 3 * text, 5 * text, text[:30] + 9 * line + text[30:]):
             rows.append((len(rows), " ".join(words)))
-            texts.append(near_dup.first_occurrences(near_dup.word_hashes(rows[-1][1].encode())))
+            texts.append(near_dup.labelled(near_dup.word_hashes(rows[-1][1].encode())))
     ship_package(spark)
     found = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     least = list(range(len(texts)))
@@ -231,7 +232,54 @@ def test_repeated_texts_are_linked(spark):
         for a in range(b):
             if near_dup.alignment(texts[a], texts[b]) >= near_dup.LEAST:
                 least = [min(least[a], least[b]) if c in (least[a], least[b]) else c for c in least]
-    assert len(set(least)) < len(texts) / 2 and [found[i] for i in range(len(texts))] == least
+    assert [found[i] for i in range(len(texts))] == least
+    # a text and its repetition differ, two texts that repeat alike don't
+    assert all(least[5 * i] != least[5 * i + 1] for i in range(12))
+
+
+def test_labels_tell_occurrences_apart():
+    a = near_dup.labelled(near_dup.word_hashes(b"a b c d e a b c d e a b c d e"))
+    assert len(set(a.tolist())) == len(a) == 11
+    once = near_dup.labelled(near_dup.word_hashes(b"a b c d e a b c d"))
+    assert a[:5].tolist() == once.tolist()
+    longer = near_dup.labelled(near_dup.word_hashes(b"x " + b"a b c d e " * 3))
+    assert set(a.tolist()) <= set(longer.tolist())
+    assert len(near_dup.labelled(np.zeros(0, np.uint64))) == 0
+
+
+def test_markers_are_one_id():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    codec, whole = packing.encoding(), Tokenizer.from_file(public_tokenizers.path(packing.WHOLE))
+    mark = "<|endoftext|>"
+    texts = [mark, f"{mark}{mark}", f"before {mark} after", f"in{mark}side", f" {mark}\n\n{mark} ", f"<|endoftext{mark}|>", "<|endoftext|", f"é{mark}  x"]
+    for text in texts:
+        assert packing.token_ids(codec, text) == whole.encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(codec, f"a {mark}").count(50256) == 1 and packing.token_ids(codec, None) == []
+
+
+def test_spans_in_one_text_stay_apart():
+    import time
+
+    taken, began = [], time.time()
+    rng = np.random.default_rng(3)
+    offered = [("phone", int(a), int(a) + int(n)) for a, n in zip(rng.integers(0, 10**7, 60_000), rng.integers(1, 30, 60_000))]
+    kept = [s for s in offered if pii._insert(taken, s)]
+    assert time.time() - began < 5 and sorted(kept, key=lambda s: s[1]) == taken
+    assert all(a[2] <= b[1] for a, b in zip(taken, taken[1:]))
+    few = []
+    assert [pii._insert(few, s) for s in (("a", 5, 9), ("b", 9, 11), ("c", 8, 10), ("d", 0, 5), ("e", 0, 20), ("f", 6, 7))] == [True, True, False, True, False, False]
+
+
+def test_samples_are_bounded(spark):
+    """A row repeated often counts once, and the others are still drawn."""
+    rows = [(1, "same text", "en")] * 5000 + [(i, f"text {i}", "de" if i % 2 else "en") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = common.smallest_hashes(table, 50, F.lit(50 / 300), "x").collect()
+    assert len(drawn) == len(set(drawn)) == 50
+    per = collections.Counter(r.lang for r in common.smallest_hashes(table, 30, F.lit(1.0), "y", ["lang"]).collect())
+    assert per == {"en": 30, "de": 30}
 
 
 def test_alignment_sees_order():
@@ -339,3 +387,14 @@ def test_top_k(spark):
     assert got == want
     assert vafile.top_k(df.where("false"), F.lit(True)).count() == 0
     assert vafile.top_k(df.where("vec_id in (1, 2)"), F.lit(True)).count() == 2
+
+
+def test_language_counts_alike_by_both_ways(monkeypatch):
+    """Short texts sort their buckets, long ones count in a table; the counts are the same."""
+    texts = ["", "a", "aé", "Der Fuchs, der Fuchs", LONG[:5000], "\U0001f600 x" * 50]
+    short = [langid.gram_counts(t) for t in texts]
+    monkeypatch.setattr(langid, "FEW", 0)
+    monkeypatch.setattr(langid, "STRETCH", 700)
+    for (at, n), (same, also) in zip(short, (langid.gram_counts(t) for t in texts)):
+        assert at.tolist() == same.tolist() and n.tolist() == also.tolist()
+    assert sum(short[2][1]) == 3

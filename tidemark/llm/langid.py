@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import smallest_hashes
+
 BUCKETS = 1 << 16
 LONGEST = 3
 #: Characters hashed at once, so that a very long text needs no more memory than this.
@@ -17,10 +19,16 @@ STRETCH = 1 << 18
 UNKNOWN = "und"
 
 
-def gram_counts(text: str) -> np.ndarray:
-    """Occurrences of each hashed n-gram of one to three lower-cased characters."""
-    counts = np.zeros(BUCKETS, dtype=np.int64)
+#: Hashes up to which a text's buckets are sorted instead of counted in a table of all.
+FEW = 12_000
+
+
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets in use, ascending, and occurrences of the hashed n-grams of one to three
+    lower-cased characters."""
     text = text.lower()
+    counts = None
+    found: list[np.ndarray] = []
     for at in range(0, len(text), STRETCH):
         points = np.frombuffer(text[at : at + STRETCH + LONGEST - 1].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         h = np.zeros(len(points), dtype=np.uint32)
@@ -29,8 +37,17 @@ def gram_counts(text: str) -> np.ndarray:
                 break
             h = h[: len(points) - n + 1] * np.uint32(0x01000193) + points[n - 1 :] * np.uint32(0x9E3779B1) + np.uint32(n)
             mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-            counts += np.bincount(mixed[:STRETCH] >> np.uint32(16), minlength=BUCKETS)
-    return counts
+            found.append((mixed[:STRETCH] >> np.uint32(16)).astype(np.uint16))
+        if len(text) * LONGEST > FEW:
+            part = np.bincount(np.concatenate(found), minlength=BUCKETS)
+            counts, found = part if counts is None else counts + part, []
+    if counts is not None:
+        at = np.flatnonzero(counts)
+        return at, counts[at]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, n = np.unique(np.concatenate(found), return_counts=True)
+    return at.astype(np.int64), n
 
 
 @dataclass
@@ -44,16 +61,16 @@ class Model:
     temperature: float = 1.0
     trained_on: int = 0
 
-    def features(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets in use with their TF-IDF values of unit length; frequencies count by 1 + log."""
-        at = np.flatnonzero(counts)
-        x = (1 + np.log(counts[at])) * self.idf[at]
-        return at, x / (np.sqrt(x @ x) or 1.0)
+    def features(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """TF-IDF values of unit length of buckets in use; frequencies count by 1 + log."""
+        x = (1 + np.log(counts)) * self.idf[at]
+        return x / (np.sqrt(x @ x) or 1.0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        at, x = self.features(gram_counts(text))
+        at, counts = gram_counts(text)
+        x = self.features(at, counts)
         p = softmax((x @ self.weights[at] + self.bias) / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(p[best])
@@ -71,7 +88,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
         total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                total += gram_counts(text or "") > 0
+                total[gram_counts(text or "")[0]] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": total[at]})
 
@@ -83,26 +100,27 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def _sample(labelled: DataFrame, per_language: int) -> tuple[list[str], list[tuple[int, np.ndarray, np.ndarray]]]:
-    """Languages, and sparse counts of about ``per_language`` texts of each, drawn by hash."""
+    """Languages, and sparse counts of at most ``per_language`` texts of each, those of the
+    smallest hashes; a row that repeats counts once."""
     totals = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
     languages = sorted(totals)
     if not languages:
         return [], []
     shares = F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / totals[lang]))))
-    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    drawn = smallest_hashes(labelled.select("doc_id", "text", "lang"), per_language, shares[F.col("lang")], "language", ["lang"])
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, n = [], []
             for text in batch.column("text").to_pylist():
-                counts = gram_counts(text or "")
-                at.append(np.flatnonzero(counts).astype(np.uint16))
-                n.append(counts[at[-1]].astype(np.int32))
+                used, counts = gram_counts(text or "")
+                at.append(used.astype(np.uint16))
+                n.append(counts.astype(np.int32))
             yield pa.RecordBatch.from_pydict(
                 {"lang": batch.column("lang"), "at": pa.array([x.tobytes() for x in at], pa.binary()), "n": pa.array([x.tobytes() for x in n], pa.binary())}
             )
 
-    rows = labelled.where(draw < shares[F.col("lang")]).select("lang", "text").mapInArrow(grams, "lang string, at binary, n binary").collect()
+    rows = drawn.select("lang", "text").mapInArrow(grams, "lang string, at binary, n binary").collect()
     number = {lang: i for i, lang in enumerate(languages)}
     sample = [(number[r.lang], np.frombuffer(bytes(r["at"]), np.uint16).astype(np.int64), np.frombuffer(bytes(r["n"]), np.int32)) for r in rows]
     sample.sort(key=lambda r: (r[1].tobytes(), r[2].tobytes(), r[0]))
@@ -148,7 +166,7 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, per_language: int = 600) -> Model:
     """Fit on rows of ``docs`` (doc_id, text, lang) that have a language.
 
-    Document frequencies cover all rows given; weights are fitted on a sample of about
+    Document frequencies cover all rows given; weights are fitted on a sample of at most
     ``per_language`` whole texts of each language, drawn by hash, one in five of which sets
     the temperature only.
     """
@@ -161,8 +179,7 @@ def train(docs: DataFrame, per_language: int = 600) -> Model:
     model = Model(languages, np.log((1 + total) / (1 + frequency)) + 1, np.zeros((BUCKETS, len(languages))), np.zeros(len(languages)))
 
     def row(y: int, at: np.ndarray, n: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-        x = (1 + np.log(n)) * model.idf[at]
-        return y, at, x / (np.sqrt(x @ x) or 1.0)
+        return y, at, model.features(at, n)
 
     rows = [row(*r) for r in sample]
     order = np.random.default_rng(3).permutation(len(rows))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import admin, explore, overlap, release, validation
@@ -13,6 +14,7 @@ from tidemark.plans.catalog import overlap as overlap_queries
 from tidemark.schemas import ADMIN_COLUMNS
 from tidemark.session import work_path
 from tidemark.sinks import writers
+from tidemark.sources import assets as asset_files
 from tidemark.sources import footprints
 from tidemark.streaming import refresh
 
@@ -203,6 +205,52 @@ def refreshed_footprint_facts(spark, d):
     )
 
 
+def redelivered_footprint_facts(spark, d):
+    """The same footprints, part of whose files come again: under other names, and written anew
+    in another order."""
+    fragments = star.unit_fragments(spark, d)
+
+    def to_bridge(batch):
+        return overlap.overlap(footprints.decode_footprints(batch), fragments)
+
+    raw = geometry.raw_footprints(spark, d).withColumn("area_km2", F.lit(None).cast("double"))
+    day = refresh.replay(spark, raw, to_bridge, again=True)
+    return day.withColumns(
+        {
+            "sum_intersection_area_km2": F.round("sum_intersection_area_km2", 4),
+            "max_coverage_ratio": F.round("max_coverage_ratio", 5),
+        }
+    )
+
+
+def unit_month_spine(spark, d):
+    """A spine for each district, whose months have gaps whatever the size of the tables."""
+    monthly = facts.monthly(spark, d).filter("level = 'district'").withColumn("level", F.col("code"))
+    return release.month_spine(monthly).withColumnRenamed("level", "code")
+
+
+def collection_features(spark, d):
+    """Features per level of collection documents written and read back, with the lines around
+    them and the commas between."""
+    path = work_path(spark, "collections")
+    u = star.unit_shapes(spark, d).withColumn("boundary_source", F.lit("raw"))
+    writers.write_feature_collections(u, path)
+    lines = asset_files.read_collections(spark, path)
+    end = Window.partitionBy("level").orderBy("file", "line")
+    back = Window.partitionBy("level").orderBy(F.col("file").desc(), F.col("line").desc())
+    heads = lines.select("level", "value", F.row_number().over(end).alias("n"), F.row_number().over(back).alias("m"))
+    sides = heads.groupBy("level").agg(
+        F.max(F.when(F.col("n") == 1, F.col("value"))).alias("head"),
+        F.max(F.when(F.col("m") == 1, F.col("value"))).alias("foot"),
+        F.count_if(F.col("value").startswith(",")).alias("commas"),
+        F.max(F.when(F.col("n") == 2, ~F.col("value").startswith(","))).alias("first_without"),
+    )
+    codes = asset_files.read_collection_features(spark, path).groupBy("level").agg(
+        F.count(F.lit(1)).alias("features"), F.min(F.col("properties")["code"]).alias("least"), F.max(F.col("properties")["code"]).alias("most")
+    )
+    return sides.join(codes, "level")
+
+
 def gap_shards(spark, d):
     """Month folders of the few lines of quantity 1 and discount 0, gap months included."""
     few = facts.line_bridge(spark, d).filter("coverage_ratio = 0 AND intersection_area_km2 = 1")
@@ -245,6 +293,9 @@ QUERIES = {
     "check_totals": check_totals,
     "refreshed_daily_facts": refreshed_daily_facts,
     "refreshed_footprint_facts": refreshed_footprint_facts,
+    "redelivered_footprint_facts": redelivered_footprint_facts,
+    "unit_month_spine": unit_month_spine,
+    "collection_features": collection_features,
 }
 
 _LINES = sql.with_(sql.ADMIN, sql.LINES)
@@ -365,4 +416,19 @@ SELECT DISTINCT 'totals' AS check_id, level AS asset, 'error' AS severity, 'mont
 FROM alltime WHERE level = 'province'""",
     "refreshed_daily_facts": _LINES + "SELECT * FROM day",
     "refreshed_footprint_facts": overlap_queries.ORACLES["daily_facts"],
+    "redelivered_footprint_facts": overlap_queries.ORACLES["daily_facts"],
+    "unit_month_spine": _LINES
+    + """
+, umon AS (
+  SELECT code, strftime(CAST(event_date AS DATE), '%Y-%m') AS month FROM day WHERE level = 'district' GROUP BY ALL),
+ends AS (SELECT code, min(month) AS a, max(month) AS b FROM umon GROUP BY code),
+spine AS (
+  SELECT code, strftime(unnest(generate_series(CAST(a || '-01' AS DATE), CAST(b || '-01' AS DATE), INTERVAL 1 MONTH)), '%Y-%m') AS month
+  FROM ends)
+SELECT spine.code, spine.month, CASE WHEN umon.code IS NULL THEN 0 ELSE 1 END AS rows, umon.code IS NOT NULL AS observed
+FROM spine LEFT JOIN umon USING (code, month)""",
+    "collection_features": sql.with_(sql.ADMIN, sql.TILES)
+    + """
+SELECT level, '{"type":"FeatureCollection","features":[' AS head, ']}' AS foot, count(*) - 1 AS commas, true AS first_without,
+       count(*) AS features, min(code) AS least, max(code) AS most FROM tile GROUP BY level""",
 }

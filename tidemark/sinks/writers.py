@@ -75,18 +75,30 @@ def write_geojson(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
     lines.write.mode("overwrite").partitionBy("level").text(path)
 
 
-def feature_collections(df: DataFrame, tolerance: float = 0.0, levels: Sequence[str] = ("province", "regency")) -> DataFrame:
-    """``level, value``: one collection document per level, for levels of few features. A level
-    is one row here; levels of many features stay in lines (`write_geojson`)."""
-    thinned = simplify(df.filter(F.col("level").isin(*levels)), tolerance)
-    lines = thinned.select("level", F.struct("code", geojson_feature(df.columns).alias("f")).alias("s"))
-    listed = F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["f"]), ",")
-    whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), listed, F.lit("]}"))
-    return lines.groupBy("level").agg(whole.alias("value"))
-
-
-def write_feature_collections(df: DataFrame, path: str, tolerance: float = 0.0) -> None:
-    feature_collections(df, tolerance).write.mode("overwrite").partitionBy("level").text(path)
+def feature_collections(df: DataFrame, tolerance: float = 0.0, levels: Sequence[str] | None = None) -> DataFrame:
+    """``level, part, code, nth, value``: the lines of one collection document per level.
+
+    A document is its lines in the order of ``part``, ``code`` and ``nth``: a header, a feature a
+    line, each but the first behind a comma, and a footer. No row holds more than a feature, so
+    that a level may have any number of them.
+    """
+    thinned = simplify(df.filter(F.col("level").isin(*levels)) if levels else df, tolerance)
+    text = geojson_feature(df.columns).alias("value")
+    rows = cut_lineage(thinned.select("level", "code", text).withColumn("nth", F.monotonically_increasing_id()))
+    first = rows.groupBy("level").agg(F.min(F.struct("code", "nth"))["nth"].alias("_first"))
+    head, foot = '{"type":"FeatureCollection","features":[', "]}"
+    ends = F.explode(F.array(*(F.struct(F.lit(p).alias("part"), F.lit(v).alias("value")) for p, v in ((0, head), (2, foot)))))
+    line = F.when(F.col("nth") == F.col("_first"), F.col("value")).otherwise(F.concat(F.lit(","), F.col("value")))
+    features = rows.join(first, "level").select("level", F.lit(1).alias("part"), "code", "nth", line.alias("value"))
+    outer = first.select("level", ends.alias("e")).select("level", "e.part", F.lit("").alias("code"), F.lit(0).cast("long").alias("nth"), "e.value")
+    return features.unionByName(outer)
+
+
+def write_feature_collections(df: DataFrame, path: str, tolerance: float = 0.0, levels: Sequence[str] | None = None) -> None:
+    """A folder per level whose files, one after the other by name, are the document."""
+    order = ["level", "part", "code", "nth"]
+    rows = feature_collections(df, tolerance, levels).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.select("level", "value").write.mode("overwrite").partitionBy("level").text(path)
 
 
 def month_shards(monthly: DataFrame) -> DataFrame:

@@ -56,6 +56,22 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("level", found.alias("properties"))
 
 
+def read_collections(spark: SparkSession, path: str) -> DataFrame:
+    """``level, file, line, value`` of written collection documents: lines in the order of file
+    names and of places in a file (`sinks.writers.write_feature_collections`)."""
+    rows = spark.read.text(path)
+    return rows.select("level", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), "value")
+
+
+def read_collection_features(spark: SparkSession, path: str) -> DataFrame:
+    """``level, properties`` of the features of written collection documents, without the
+    header, the footer and the commas between them."""
+    lines = read_collections(spark, path).withColumn("text", F.regexp_replace("value", "^,", ""))
+    kept = lines.filter(F.get_json_object("text", "$.type") == "Feature")
+    found = F.from_json(F.get_json_object("text", "$.properties"), T.MapType(T.StringType(), T.StringType()))
+    return kept.select("level", found.alias("properties"))
+
+
 def bundle_files(spark: SparkSession, root: str) -> DataFrame:
     """``slug, kind, path, modified`` of the bundles written under ``root``, one folder for
     each kind; the time is that of the file that lists the slugs."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import wkb
-from tidemark.operators import arrangement, geometry
+from tidemark.operators import arrangement, geometry, thinning
 from tidemark.schemas import RINGS
 
 
@@ -177,3 +177,49 @@ def test_pieces_meet_at_ends_only(spark):
 def test_empty(spark, parity):
     none = spark.createDataFrame([], "key string, x0 double, y0 double, x1 double, y1 double")
     assert arrangement.outline(none, "key", parity).count() == 0
+
+
+def test_thinning_puts_back_only_what_crosses(spark):
+    """A narrow neck that thinning would close keeps its points, all else is thinned."""
+    rng = np.random.default_rng(7)
+
+    def wavy(a, b, n, amplitude):
+        t = np.linspace(0, 1, n, endpoint=False)
+        side = np.array([-(b[1] - a[1]), b[0] - a[0]]) / np.hypot(b[0] - a[0], b[1] - a[1])
+        off = rng.uniform(-amplitude, amplitude, n)
+        off[0] = 0
+        return [(a[0] + (b[0] - a[0]) * s + side[0] * o, a[1] + (b[1] - a[1]) * s + side[1] * o) for s, o in zip(t, off)]
+
+    # a channel whose two banks bend together, 0.01 apart, with a bend of 0.04
+    low = [(2 + i * 0.1, 1 + 0.04 * np.sin(i * np.pi / 10)) for i in range(1, 20)]
+    high = [(x, y + 0.01) for x, y in reversed(low)]
+    pts = wavy((0, 0), (4, 0), 60, 0.01) + [(4, 0), (4, 1)] + [(x, y) for x, y in reversed(low)] + [(2, 1), (2, 1.01)] + list(reversed(high)) + [(4, 1.01), (4, 2)] + wavy((4, 2), (0, 2), 60, 0.01)[1:] + [(0, 2)]
+    df = frame(spark, [("x", shape([ring(*pts)]), True)]).withColumnRenamed("target_code", "code")
+    assert df.select(wkb.is_simple("rings").alias("ok")).first()["ok"]
+    thin = thinning.simplify(df, 0.03, ["code"])
+    out = thin.select("rings", wkb.is_simple("rings").alias("ok")).first()
+    n = len(out["rings"][0]["pts"])
+    assert out["ok"] and 8 < n < len(pts) - 100
+
+
+def test_thinning_matches_plain_recursion(spark):
+    rng = np.random.default_rng(3)
+    pts = [(np.cos(a) * r, np.sin(a) * r) for a, r in zip(np.linspace(0, 2 * np.pi, 400, endpoint=False), rng.uniform(0.98, 1.02, 400))]
+    closed = ring(*pts)
+    xy = np.array([(p["x"], p["y"]) for p in closed])
+
+    def far(i, j, tolerance):
+        if j - i < 2:
+            return []
+        a, b, p = xy[i], xy[j], xy[i + 1 : j]
+        v = b - a
+        t = np.clip(((p - a) @ v) / (v @ v), 0, 1) if v @ v else np.zeros(len(p))
+        d = np.hypot(*(p - a - t[:, None] * v).T)
+        k = int(d.argmax())
+        return [*far(i, i + 1 + k, tolerance), i + 1 + k, *far(i + 1 + k, j, tolerance)] if d[k] > tolerance else []
+
+    m = int(np.hypot(*(xy - xy[0]).T).argmax())
+    last = len(xy) - 1
+    want = [0, *far(0, m, 0.01), m, *far(m, last, 0.01), last]
+    vertices = spark.createDataFrame([("x", i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "r string, pos int, x double, y double")
+    assert sorted(v["pos"] for v in thinning.kept_vertices(vertices, ["r"], 0.01).collect()) == want

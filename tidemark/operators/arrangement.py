@@ -107,6 +107,15 @@ def _cuts(edges: DataFrame, key: str) -> DataFrame:
     return pairs.select(F.explode(F.array_compact(F.array(*found))).alias("c")).select("c.*").distinct()
 
 
+def touched(edges: DataFrame, key: str) -> DataFrame:
+    """Ids of the edges (key, id, x0, y0, x1, y1) that another of their key crosses, or meets
+    with an end anywhere but at their ends."""
+    forward = F.struct("x0", "y0") < F.struct("x1", "y1")
+    a = [F.when(forward, F.col(c)).otherwise(F.col(d)).alias(c) for c, d in zip(ENDS, ("x1", "y1", "x0", "y0"))]
+    placed = _gridded(edges.filter("x0 <> x1 OR y0 <> y1").select(key, "id", *a), key)
+    return _cuts(placed, key).select("id").distinct()
+
+
 def pieces(edges: DataFrame, key: str, parity: bool = False) -> DataFrame:
     """Edges cut until they meet at their ends only: key, x0, y0, x1, y1, net, with an id and their grid.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import wkb
+from tidemark.operators import arrangement
 from tidemark.schemas import RINGS
 from tidemark.session import cut_lineage
 
@@ -27,53 +28,76 @@ def kept_vertices(vertices: DataFrame, ring: Sequence[str], tolerance: float) ->
 
     A ring keeps its start, its end and the vertex farthest from them. In each round every
     stretch between kept vertices keeps its farthest vertex if that lies beyond the tolerance,
-    all stretches of all rings at once; rounds end when none does. Ends of stretches come from
-    running windows along the ring, farthest vertices from maxima combined on the map side.
+    all stretches of all rings at once; rounds end when none does. A vertex carries the ends of
+    its stretch, so that a ring is dealt by stretch: farthest vertices are maxima combined on the
+    map side, and a stretch that keeps none is done with.
     """
     ring = list(ring)
-    origin = F.struct("x", "y")
-    along = Window.partitionBy(*ring).orderBy("pos")
-    placed = vertices.withColumn("o", F.first(origin).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = placed.groupBy(*ring).agg(
-        F.max("pos").alias("last"),
-        F.max(F.struct(F.hypot(F.col("x") - F.col("o.x"), F.col("y") - F.col("o.y")).alias("d"), (-F.col("pos")).alias("p"))).alias("m"),
+    start = vertices.filter("pos = 0").select(*ring, F.struct("pos", "x", "y").alias("o"))
+    here = F.struct("pos", "x", "y")
+    far_off = F.hypot(F.col("x") - F.col("o.x"), F.col("y") - F.col("o.y"))
+    ends = (
+        vertices.join(start, ring)
+        .groupBy(*ring)
+        .agg(F.first("o").alias("o"), F.max_by(here, "pos").alias("z"), F.max(F.struct(far_off.alias("d"), (-F.col("pos")).alias("p"), "x", "y")).alias("m"))
+        .select(*ring, "o", "z", F.struct((-F.col("m.p")).alias("pos"), "m.x", "m.y").alias("m"))
     )
+    ends = cut_lineage(ends)
+    kept = ends.select(*ring, F.explode(F.array_distinct(F.array("o", "m", "z"))).alias("v")).select(*ring, "v.*")
+    first = F.col("pos") < F.col("m.pos")
     state = cut_lineage(
-        vertices.join(ends, ring).select(
-            *ring, "pos", "x", "y", ((F.col("pos") == 0) | (F.col("pos") == F.col("last")) | (F.col("pos") == -F.col("m.p"))).alias("kept")
-        )
+        vertices.join(ends, ring)
+        .filter("pos <> o.pos AND pos <> m.pos AND pos <> z.pos")
+        .select(*ring, "pos", "x", "y", F.when(first, F.col("o")).otherwise(F.col("m")).alias("a"), F.when(first, F.col("m")).otherwise(F.col("z")).alias("b"))
     )
-    back = along.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*ring).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    anchor = F.when(F.col("kept"), F.struct("pos", "x", "y"))
-    while True:
-        spans = state.withColumn("a", F.last(anchor, ignorenulls=True).over(back)).withColumn(
-            "b", F.last(anchor, ignorenulls=True).over(ahead)
-        )
-        far = (
-            spans.filter("NOT kept")
-            .withColumn("d", _distance(*(F.col(c) for c in ("x", "y", "a.x", "a.y", "b.x", "b.y"))))
-            .groupBy(*ring, F.col("a.pos").alias("at"))
-            .agg(F.max(F.struct("d", (-F.col("pos")).alias("p"))).alias("m"))
+    while state.limit(1).count():
+        d = _distance(*(F.col(c) for c in ("x", "y", "a.x", "a.y", "b.x", "b.y")))
+        far = cut_lineage(
+            state.withColumn("at", F.col("a.pos"))
+            .groupBy(*ring, "at")
+            .agg(F.max(F.struct(d.alias("d"), (-F.col("pos")).alias("p"), "x", "y")).alias("m"))
             .filter(F.col("m.d") > tolerance)
-            .select(*ring, (-F.col("m.p")).alias("pos"), F.lit(True).alias("far"))
+            .select(*ring, "at", F.struct((-F.col("m.p")).alias("pos"), "m.x", "m.y").alias("m"))
+        )
+        kept = kept.unionByName(far.select(*ring, "m.*"))
+        before = F.col("pos") < F.col("m.pos")
+        state = cut_lineage(
+            state.withColumn("at", F.col("a.pos"))
+            .join(far, [*ring, "at"])
+            .filter("pos <> m.pos")
+            .select(*ring, "pos", "x", "y", F.when(before, F.col("a")).otherwise(F.col("m")).alias("a"), F.when(before, F.col("m")).otherwise(F.col("b")).alias("b"))
         )
-        new = cut_lineage(
-            state.join(far, [*ring, "pos"], "left").select(
-                *ring, "pos", "x", "y", (F.col("kept") | F.col("far").isNotNull()).alias("kept"), F.col("far").isNotNull().alias("far")
-            )
+    return kept
+
+
+def untangled(kept: DataFrame, vertices: DataFrame, keys: Sequence[str], ring: Sequence[str]) -> DataFrame:
+    """The kept vertices, and all vertices of the stretches that meet others of their geometry
+    somewhere else than at their ends, until no such stretch has a vertex left to put back."""
+    keys, ring = list(keys), list(ring)
+    kept = cut_lineage(kept)
+    while True:
+        next_ = F.lead(F.struct("pos", "x", "y")).over(Window.partitionBy(*ring).orderBy("pos"))
+        stretches = cut_lineage(
+            kept.withColumn("n", next_)
+            .filter("n IS NOT NULL")
+            .select(*ring, "pos", F.col("n.pos").alias("upto"), F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("n.x").alias("x1"), F.col("n.y").alias("y1"), F.struct(*keys).alias("_key"))
+            .withColumn("id", F.monotonically_increasing_id())
         )
-        more = new.filter("far").limit(1).count()
-        state = new.drop("far")
-        if not more:
-            return state.filter("kept").select(*ring, "pos", "x", "y")
+        met = arrangement.touched(stretches, "_key")
+        tangled = cut_lineage(stretches.filter("upto > pos + 1").join(met, "id", "left_semi").select(*ring, F.col("pos").alias("_from"), "upto"))
+        if not tangled.limit(1).count():
+            return kept
+        back = vertices.join(tangled, ring).filter("pos > _from AND pos < upto").select(*ring, "pos", "x", "y")
+        kept = cut_lineage(kept.unionByName(back))
 
 
 def simplify(df: DataFrame, tolerance: float, keys: Sequence[str] = ("level", "code")) -> DataFrame:
     """``df`` with its ``rings`` thinned to a tolerance in their own units; zero or less disables.
 
-    ``keys`` name a row; rows of one name are told apart by their rings. A ring that would fall
-    below four points, and a geometry that would no longer be simple, keep their points.
+    ``keys`` name a row; rows of one name are told apart by their rings. Where thinned stretches
+    cross, their vertices are put back and the rest stays thinned. A ring that would fall below
+    four points, and a geometry that is not simple even so, as a hole may come to lie outside
+    its shell, keep their points.
     """
     if tolerance <= 0:
         return df
@@ -86,7 +110,8 @@ def simplify(df: DataFrame, tolerance: float, keys: Sequence[str] = ("level", "c
         )
     )
     listed = F.sort_array(F.collect_list(F.struct("pos", F.struct("x", "y").alias("p"))))
-    thin = kept_vertices(vertices, ring, tolerance).groupBy(*ring).agg(F.transform(listed, lambda v: v["p"]).alias("pts"))
+    kept = untangled(kept_vertices(vertices, ring, tolerance), vertices, keys, ring)
+    thin = kept.groupBy(*ring).agg(F.transform(listed, lambda v: v["p"]).alias("pts"))
     row = F.struct(*PLACE, "pts")
     rings = (
         thin.filter(F.size("pts") >= 4).groupBy(*keys).agg(F.collect_list(row).cast(RINGS).alias("_thin"))

@@ -220,3 +220,20 @@ def test_wkb_of_both_byte_orders_and_types(spark):
     got = {r["k"]: r for r in df.select("k", wkb.decode_wkb("w").alias("g")).select("k", "g.*").collect()}
     assert got["b"]["rings"] == got["l"]["rings"] and got["p"]["rings"] == []
     assert got["b"]["rings"][0]["pts"][1]["x"] == 1.0  # clockwise input turned
+
+
+def test_dense_cell_is_divided(spark):
+    """Thousands of units inside one cell: no part holds more than its share, nothing changes."""
+    units = {f"u{i:05d}": shape([box(i % 100 * 0.01, i // 100 * 0.01, i % 100 * 0.01 + 0.01, i // 100 * 0.01 + 0.01)]) for i in range(10_000)}
+    prints = {f"f{i}": shape([box(0.1 * i + 0.005, 0.105, 0.1 * i + 0.045, 0.145)]) for i in range(8)}
+    fp = frame(spark, prints, "row_id")
+    fragments = overlap.unit_fragments(frame(spark, units, "code").withColumn("level", F.lit("district")), cell_m=1500.0)
+    dense = overlap.dense_cells(fragments, 500).collect()
+    assert len(dense) == 1 and dense[0]["parts"] >= 20
+    base = overlap.overlap(fp, fragments, carry=(), cell_m=1500.0).collect()
+    cut = overlap.overlap(fp, fragments, carry=(), cell_m=1500.0, broadcast_bytes=0, salt=2, unit_rows=500)
+    found = {(r["row_id"], r["code"]): r["intersection_area_km2"] for r in cut.collect()}
+    assert found == pytest.approx({(r["row_id"], r["code"]): r["intersection_area_km2"] for r in base}) and len(found) == 8 * 25
+    assert "ShuffledHashJoin" not in cut._jdf.queryExecution().toString()
+    part = F.pmod(F.xxhash64("level", "code", "l", "hl"), F.lit(dense[0]["parts"]))
+    assert fragments.groupBy(part.alias("p")).count().agg(F.max("count").alias("n")).first()["n"] < 1000

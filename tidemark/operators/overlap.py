@@ -25,6 +25,8 @@ from tidemark.session import BROADCAST_BYTES, broadcast_if_small, cut_lineage
 CELL_M = 20_000.0
 FRAGMENT_BYTES = 160
 UNIT_SALT = 16
+#: Unit pieces of one cell that one task meets.
+UNIT_ROWS = 50_000
 
 _PIECE = ("l", "hl", "r", "hr")
 
@@ -254,6 +256,13 @@ def hot_cells(footprints: DataFrame, cell_m: float = CELL_M, rows_per_task: int
     return counts.filter(F.col("n") > rows_per_task).select("cell", salt.alias("salt"))
 
 
+def dense_cells(fragments: DataFrame, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """``cell, parts`` of cells with more than ``unit_rows`` unit pieces, and into how many parts
+    these are divided."""
+    counts = fragments.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > unit_rows).select("cell", F.ceil(F.col("n") / unit_rows).cast("int").alias("parts"))
+
+
 def overlap(
     footprints: DataFrame,
     fragments: DataFrame,
@@ -263,6 +272,7 @@ def overlap(
     broadcast_bytes: int = BROADCAST_BYTES,
     salt: int = UNIT_SALT,
     hot: DataFrame | None = None,
+    unit_rows: int = UNIT_ROWS,
 ) -> DataFrame:
     """Bridge rows ``row_id, *carry, level, code, intersection_area_km2, unit_area_km2,
     coverage_ratio``; one per footprint row and unit whose overlap exceeds ``eps_m2``.
@@ -270,7 +280,10 @@ def overlap(
     A unit side proven small is broadcast, so footprints are not moved before the sum.
     Otherwise both sides are shuffled on (cell, salt): a crowded cell is spread over
     ``salt`` partitions and the unit side is repeated that many times. With ``hot`` (see
-    `hot_cells`) only those cells are salted, each by its own weight. Pieces of a cell reach
+    `hot_cells`) only those cells are salted, each by its own weight. A cell with more than
+    ``unit_rows`` unit pieces, as where thousands of borders meet, is divided: each part holds a
+    share of the units, and the cell's footprints meet every part. Both sides are sorted, not
+    built in memory. Pieces of a cell reach
     down to a common floor; a pair whose latitudes do not meet would sum to nothing and is
     left out of the join.
     """
@@ -310,7 +323,13 @@ def overlap(
             factor_a = factor_b = F.coalesce(F.col("salt"), F.lit(1))
         fa = fa.withColumn("a_salt", F.pmod(F.xxhash64("row_id"), factor_a).cast("int")).drop("salt")
         fb = fb.withColumn("b_salt", F.explode(F.sequence(F.lit(0), factor_b - 1))).drop("salt")
-        pairs = fa.join(fb.hint("shuffle_hash"), on & (F.col("a_salt") == F.col("b_salt")))
+        dense = cut_lineage(dense_cells(fragments, unit_rows))
+        dense = broadcast_if_small(dense, 16) or dense
+        parts = F.coalesce(F.col("parts"), F.lit(1))
+        fa = fa.join(dense, "cell", "left").withColumn("a_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        fb = fb.join(dense.withColumnRenamed("cell", "b_cell"), "b_cell", "left")
+        fb = fb.withColumn("b_part", F.pmod(F.xxhash64("level", "code", "b_l", "b_hl"), parts).cast("int")).drop("parts")
+        pairs = fa.join(fb, on & (F.col("a_salt") == F.col("b_salt")) & (F.col("a_part") == F.col("b_part")))
     by_pair = [*keys, "level", "code", "unit_area_km2"]
     return (
         _with_integral(pairs, by_pair)

@@ -52,3 +52,13 @@ def test_query_matches_sql(spark, name):
     names = [c[0] for c in got.description]
     assert sorted(df.columns) == sorted(names)
     assert _rows(df.columns, df.collect()) == _rows(names, got.fetchall())
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

@@ -2,6 +2,8 @@
 
 import collections
 import math
+import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -389,6 +391,24 @@ def test_top_k(spark):
     assert vafile.top_k(df.where("vec_id in (1, 2)"), F.lit(True)).count() == 2
 
 
+def test_top_k_of_huge_components(spark):
+    """Components whose products leave a long meet all others; scores beyond end at its ends."""
+    rng = random.Random(4)
+    vectors = [[rng.uniform(-3, 3) for _ in range(3)] for _ in range(60)]
+    vectors += [[rng.choice((-1, 1)) * 10.0 ** rng.uniform(3, 16) for _ in range(3)] for _ in range(40)]
+    vectors += [[1e13, 0.0, 1.0], [1e13, 1.0, -1.0], [-1e13, 0.5, 0.25], [1e300, 1.0, 1.0], [1e300, -1e300, 2.0], [2.0**52 + 1, 1.0, 0.0]]
+    ship_package(spark)
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vafile.top_k(df, F.col("vec_id") % 5 == 0, k=7).collect()}
+    cap = 2**480
+    whole = [[max(-cap, min(cap, math.floor(Fraction(x) * 1024))) for x in v] for v in vectors]
+    want = {}
+    for q in range(0, len(whole), 5):
+        scores = {i: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], v)))) for i, v in enumerate(whole) if i != q}
+        want |= {(q, n + 1): (i, scores[i]) for n, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:7])}
+    assert got == want
+
+
 def test_language_counts_alike_by_both_ways(monkeypatch):
     """Short texts sort their buckets, long ones count in a table; the counts are the same."""
     texts = ["", "a", "aé", "Der Fuchs, der Fuchs", LONG[:5000], "\U0001f600 x" * 50]

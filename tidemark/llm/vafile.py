@@ -5,59 +5,80 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import partitions
 from tidemark.session import cut_lineage, work_path
 
-BLOCK = "dim int, ids array<long>, cells binary"
+BLOCK = "dim int, wide boolean, ids array<long>, cells binary"
 QUERY_BLOCK = "dim int, ids array<long>, vectors binary"
 BOUND = "query_id long, vec_id long, low double, high double"
+VECTORS = "vec_id long, v array<double>, wide boolean, _query boolean"
+
+#: Vectors whose length times largest squared component stays below have inner products, among
+#: each other, that fit in a long.
+NARROW = 2.0**62
+#: Whole numbers beyond count as this one, so that sums of them stay finite.
+LARGEST = 2.0**480
+#: Scores beyond a long count as its ends.
+ENDS = (-(2**63), 2**63 - 1)
 
 
 def whole_numbers(embedding: Column, scale: int = 1024) -> Column:
-    """Components as floor(scale * x); null for a vector that is null or holds null or
-    non-finite components, an empty vector or a component beyond 2**40."""
-    wide = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale))
-    fine = F.forall(
+    """Components as floor(scale * x), exact as doubles; null for a vector that is null or holds
+    null or non-finite components and for an empty one."""
+
+    def floor(x: Column) -> Column:
+        y = F.greatest(F.least(x.cast("double") * scale, F.lit(LARGEST)), F.lit(-LARGEST))
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+
+    finite = F.forall(
         embedding,
-        lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < 2.0**40), F.lit(False)),
+        lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)),
     )
-    return F.when(fine & (F.size(embedding) > 0), wide)
+    return F.when(finite & (F.size(embedding) > 0), F.transform(embedding, floor))
+
+
+def is_wide(v: Column) -> Column:
+    largest = F.array_max(F.transform(v, F.abs))
+    return F.size(v) * largest * largest >= NARROW
 
 
-def _grids(vectors: DataFrame, bits: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Lower end and cell width per component, for each vector length; bounded by the
-    number of components."""
+def _grids(vectors: DataFrame, bits: int) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
+    """Lower end and cell width per component, for each vector length, wide vectors apart so
+    that they don't coarsen the cells of others; bounded by the number of components."""
     ends = (
-        vectors.select(F.size("v").alias("dim"), F.posexplode("v"))
-        .groupBy("dim", "pos")
+        vectors.select(F.size("v").alias("dim"), "wide", F.posexplode("v"))
+        .groupBy("dim", "wide", "pos")
         .agg(F.min("col").alias("low"), F.max("col").alias("high"))
-        .orderBy("dim", "pos")
+        .orderBy("dim", "wide", "pos")
         .collect()
     )
-    grids: dict[int, list[tuple[int, int]]] = {}
+    grids: dict[tuple[int, bool], list[tuple[float, float]]] = {}
     for r in ends:
-        grids.setdefault(r.dim, []).append((r.low, (r.high - r.low) // (1 << bits) + 1))
-    return {d: (np.array([x for x, _ in g], float), np.array([w for _, w in g], float)) for d, g in grids.items()}
+        width = (int(r.high) - int(r.low)) // (1 << bits) + 1
+        grids.setdefault((r.dim, r.wide), []).append((r.low, float(width)))
+    return {d: (np.array([x for x, _ in g]), np.array([w for _, w in g])) for d, g in grids.items()}
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1)
 
 
-def _by_length(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and matrix of at most ``rows`` vectors of one length."""
+def _by_length(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Ids and matrix of at most ``rows`` vectors of one length, all wide or none."""
     for batch in batches:
-        sizes = np.array(batch.column("dim"))
-        for dim in np.unique(sizes):
-            part = batch.filter(pa.array(sizes == dim))
+        kinds = 2 * np.array(batch.column("dim")) + np.array(batch.column("wide"))
+        for kind in np.unique(kinds):
+            part = batch.filter(pa.array(kinds == kind))
             for at in range(0, len(part), rows):
                 cut = part.slice(at, rows)
-                yield np.array(cut.column("vec_id")), _matrix(cut.column("v"))
+                yield np.array(cut.column("vec_id")), _matrix(cut.column("v")), bool(kind % 2)
 
 
 def approximations(vectors: DataFrame, grids: dict, k: int, rows: int = 4096) -> DataFrame:
@@ -68,7 +89,7 @@ def approximations(vectors: DataFrame, grids: dict, k: int, rows: int = 4096) ->
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, m in _by_length(batches, rows):
+        for ids, m, wide in _by_length(batches, rows):
             order = np.argsort(ids, kind="stable")
             ids, m = ids[order], m[order]
             _, group = np.unique(m, axis=0, return_inverse=True)
@@ -77,23 +98,28 @@ def approximations(vectors: DataFrame, grids: dict, k: int, rows: int = 4096) ->
             first = np.r_[True, np.diff(group[by]) > 0]
             nth = np.arange(len(by)) - np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
             keep = np.sort(by[nth <= k])
-            low, width = grids[m.shape[1]]
-            cells = ((m[keep] - low) // width).astype(np.uint8)
+            low, width = grids[m.shape[1], wide]
+            cells = np.minimum((m[keep] - low) // width, 255).astype(np.uint8)
             yield pa.RecordBatch.from_pydict(
-                {"dim": pa.array([m.shape[1]], pa.int32()), "ids": pa.array([ids[keep]], pa.list_(pa.int64())), "cells": pa.array([cells.tobytes()], pa.binary())}
+                {
+                    "dim": pa.array([m.shape[1]], pa.int32()),
+                    "wide": [wide],
+                    "ids": pa.array([ids[keep]], pa.list_(pa.int64())),
+                    "cells": pa.array([cells.tobytes()], pa.binary()),
+                }
             )
 
-    return vectors.select("vec_id", F.size("v").alias("dim"), "v").mapInArrow(pack, BLOCK)
+    return vectors.select("vec_id", F.size("v").alias("dim"), "wide", "v").mapInArrow(pack, BLOCK)
 
 
 def query_blocks(queries: DataFrame, rows: int = 512) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, m in _by_length(batches, rows):
+        for ids, m, _ in _by_length(batches, rows):
             yield pa.RecordBatch.from_pydict(
                 {"dim": pa.array([m.shape[1]], pa.int32()), "ids": pa.array([ids], pa.list_(pa.int64())), "vectors": pa.array([m.tobytes()], pa.binary())}
             )
 
-    return queries.select("vec_id", F.size("v").alias("dim"), "v").mapInArrow(pack, QUERY_BLOCK)
+    return queries.select("vec_id", F.size("v").alias("dim"), "wide", "v").mapInArrow(pack, QUERY_BLOCK)
 
 
 def _bounds(pairs: DataFrame, grids: dict, k: int) -> DataFrame:
@@ -106,7 +132,7 @@ def _bounds(pairs: DataFrame, grids: dict, k: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                low, width = grids[r["dim"]]
+                low, width = grids[r["dim"], r["wide"]]
                 q_ids, ids = np.array(r["q_ids"]), np.array(r["ids"])
                 q = np.frombuffer(r["vectors"]).reshape(len(q_ids), -1)
                 cells = np.frombuffer(r["cells"], np.uint8).reshape(len(ids), -1).astype(np.float64)
@@ -115,26 +141,39 @@ def _bounds(pairs: DataFrame, grids: dict, k: int) -> DataFrame:
                 # a cell holds width whole numbers, so a component is at most width - 1 above its lower end
                 span = q * (width - 1)
                 slack = 1e-9 * (1 + np.abs(q) @ (np.abs(low) + 256 * width))
-                at_least = base + (np.minimum(span, 0).sum(1) - slack)[:, None]
-                reach = (np.maximum(span, 0).sum(1) + slack - np.minimum(span, 0).sum(1) + slack)[:, None]
-                at_least[q_ids[:, None] == ids[None, :]] = -np.inf
+                at_least = np.clip(base + (np.minimum(span, 0).sum(1) - slack)[:, None], *map(float, ENDS))
+                at_most = np.clip(base + (np.maximum(span, 0).sum(1) + slack)[:, None], *map(float, ENDS))
+                own = q_ids[:, None] == ids[None, :]
+                at_least[own] = -np.inf
                 n = min(k, len(ids))
                 kth = -np.partition(-at_least, n - 1, axis=1)[:, n - 1 : n]
-                row, col = np.nonzero((at_least + reach >= kth) & (at_least > -np.inf))
+                row, col = np.nonzero((at_most >= kth) & ~own)
                 yield pa.RecordBatch.from_pydict(
-                    {"query_id": q_ids[row], "vec_id": ids[col], "low": at_least[row, col], "high": at_least[row, col] + reach[row, 0]}
+                    {"query_id": q_ids[row], "vec_id": ids[col], "low": at_least[row, col], "high": at_most[row, col]}
                 )
 
     return pairs.mapInArrow(scan, BOUND)
 
 
 def _exact(candidates: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Inner product of each candidate pair, from the exact vectors; null on overflow."""
+    """Inner product of each candidate pair, from the exact vectors."""
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("v").alias("_q"), F.col("wide").alias("_qw"))
+    pairs = candidates.join(vectors, "vec_id").join(queries, "query_id")
+    wide = F.col("wide") | F.col("_qw")
     product = F.aggregate(
-        F.zip_with("_q", "v", lambda a, b: F.try_multiply(a, b)), F.lit(0).cast("long"), lambda s, x: F.try_add(s, x)
+        F.zip_with("_q", "v", lambda a, b: a.cast("long") * b.cast("long")), F.lit(0).cast("long"), lambda s, x: s + x
     )
-    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("v").alias("_q"))
-    return candidates.join(vectors, "vec_id").join(queries, "query_id").select("query_id", "vec_id", product.alias("score"))
+    exact = F.pandas_udf(_wide_product, T.LongType())(F.when(wide, F.col("_q")), F.when(wide, F.col("v")))
+    return pairs.select("query_id", "vec_id", F.when(wide, exact).otherwise(product).alias("score"))
+
+
+def _wide_product(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Products of vectors whose sums need not fit in a long; null pairs cost nothing."""
+
+    def product(u: np.ndarray, v: np.ndarray) -> int:
+        return max(ENDS[0], min(ENDS[1], sum(int(x) * int(y) for x, y in zip(u, v))))
+
+    return pd.Series([None if u is None else product(u, v) for u, v in zip(a, b)], dtype="Int64")
 
 
 def top_k(
@@ -154,7 +193,8 @@ def top_k(
     upper bound lies below it, and the rest are read. Ties go to the smaller id.
 
     Null ids, null vectors and vectors with null or non-finite components take no part, nor do
-    empty ones. Vectors of different length do not meet. If an id repeats, its smallest vector
+    empty ones. Scores are exact; one beyond a long counts as the end of the range of a long, and
+    whole numbers beyond 2**480 count as 2**480. Vectors of different length do not meet. If an id repeats, its smallest vector
     (component by component) counts. Other columns are ignored.
     """
     spark = embeddings.sparkSession
@@ -162,8 +202,9 @@ def top_k(
         F.col(key).cast("long").alias("vec_id"), whole_numbers(F.col(vector), scale).alias("v"), is_query.alias("_query")
     ).where("vec_id is not null and v is not null")
     path = work_path(spark, "vectors")
-    kept.groupBy("vec_id").agg(F.min(F.struct("v", "_query")).alias("r")).select("vec_id", "r.v", "r._query").write.parquet(path)
-    rows = spark.read.schema("vec_id long, v array<long>, _query boolean").parquet(path)
+    once = kept.groupBy("vec_id").agg(F.min(F.struct("v", "_query")).alias("r"))
+    once.select("vec_id", "r.v", is_wide(F.col("r.v")).alias("wide"), "r._query").write.parquet(path)
+    rows = spark.read.schema(VECTORS).parquet(path)
     vectors, queries = rows.drop("_query"), rows.where("_query").drop("_query")
     grids = _grids(vectors, bits)
     n = partitions(spark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -101,8 +102,8 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, fl
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, most_stretches: int = 8000) -> Model:
     """Fit on rows of ``docs`` (doc_id, text) with a quality in ``labels``.
 
-    About ``per_class`` labelled ids of each quality are drawn by hash and broadcast; their
-    whole texts come to the driver. Half of them build the dictionaries, the others, weighted
+    Of each quality the ``per_class`` labelled ids of the smallest hashes are drawn and broadcast;
+    one whole text of each, the smallest if an id repeats, comes to the driver. Half of them build the dictionaries, the others, weighted
     back to the shares in ``labels``, set the calibration. Null ids and qualities are left out;
     if an id repeats in ``labels``, its lowest quality counts. Without both classes the score
     is the share of good labels, one half without labels.
@@ -114,10 +115,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, most_stretc
     if not good or not bad:
         prior = prior if good or bad else 0.0
         return Model(shift=prior, prior=prior)
-    share = F.when(F.col("quality") == 1, min(1.0, per_class / good)).when(F.col("quality") == 0, min(1.0, per_class / bad))
-    draw = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    drawn = known.where(draw < share)
-    rows = sorted((r.doc_id, (r.text or "").encode(), r.quality) for r in docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").collect())
+    by_hash = (F.xxhash64(F.lit("quality"), "doc_id"), F.col("doc_id"))
+    drawn = reduce(DataFrame.unionByName, (known.where(F.col("quality") == q).orderBy(*by_hash).limit(per_class) for q in (1, 0)))
+    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = sorted((r.doc_id, (r.text or "").encode(), r.quality) for r in texts.collect())
     order = np.random.default_rng(5).permutation(len(rows)).tolist()
     build, rest = [rows[i] for i in order[::2]], [rows[i] for i in order[1::2]]
     texts = {q: [t for _, t, quality in build if quality == q] for q in (0, 1)}

@@ -101,6 +101,43 @@ def test_license_templates_are_told_apart():
             assert set(names(f"{text} {between} {second}")) == {name, other}, (text, second)
 
 
+def test_band_index_finds_what_comparing_all_finds():
+    rng = np.random.default_rng(3)
+    minima = rng.integers(0, 1 << 63, (5, 200), dtype=np.uint64)
+    minima[:, 50:60] = minima[:, 40:50]
+    windows = rng.integers(0, 1 << 63, (5, 900), dtype=np.uint64)
+    windows[:, ::7] = minima[:, rng.integers(0, 200, windows[:, ::7].shape[1])]
+    windows[2:, 1::7] = rng.integers(0, 1 << 63, windows[2:, 1::7].shape, dtype=np.uint64)
+    members = list(range(1000, 1200))
+    want = {(members[t], w) for t in range(200) for w in np.flatnonzero((windows == minima[:, t, None]).any(axis=0)).tolist()}
+    assert set(licenses.BandIndex(minima, members).lookup(windows)) == want and len(want) > 100
+
+
+def test_whole_license_bodies():
+    known = licenses.Templates(licenses.NOTICES)
+    bodies = {name: text for name, text in licenses.NOTICES if text.endswith(("IN THE SOFTWARE.", "OF THIS SOFTWARE."))}
+    assert set(bodies) == {"MIT", "MIT-0", "ISC", "0BSD"}
+    for name, text in bodies.items():
+        whole = f"Copyright (c) 2020 Someone\n\n{text}\n\nint main() {{ return 0; }}"
+        [(found, first, end, share)] = known.matches(whole.encode())
+        assert found == name and share == 1.0 and whole[first:end].split()[0] == "Permission" and whole[:end].endswith("SOFTWARE")
+
+
+def test_altered_notice_before_a_whole_one():
+    """Both are found, though the second has more shingles and starts within reach of the first."""
+    known = licenses.Templates(licenses.NOTICES)
+    body = next(text for name, text in licenses.NOTICES if name == "MIT" and len(text) > 600)
+    altered = body.replace("TORT OR OTHERWISE", "TORT OR ELSE")
+    found = known.matches(f"{altered} one two three {body}".encode())
+    assert [(m[0], m[3] == 1.0) for m in found] == [("MIT", False), ("MIT", True)]
+
+
+def test_many_notices_in_one_text():
+    known = licenses.Templates(licenses.NOTICES)
+    line = "Licensed under the MIT License. " + " ".join(f"w{i}" for i in range(20)) + " "
+    assert len(known.matches((line * 3000).encode())) == 3000
+
+
 def test_near_forms_of_license_notices():
     known = licenses.Templates(licenses.NOTICES)
     gnu = (
@@ -163,6 +200,25 @@ def test_quality_by_compression(spark, docs, none):
     assert quality_zip.predict(none, quality_zip.train(none, known)).count() == 0
 
 
+def test_quality_draw_is_bounded(spark):
+    """An id that repeats comes once, and no more ids than asked for."""
+    docs = spark.range(4000).select((F.col("id") % 40).alias("doc_id"), F.concat(F.lit("some text "), F.col("id") % 40, F.lit(" of words")).alias("text"))
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    seen = []
+
+    class Drawn(quality_zip.Model):
+        def difference(self, text):
+            seen.append(text)
+            return float(len(text))
+
+    model, quality_zip.Model = quality_zip.Model, Drawn
+    try:
+        quality_zip.train(docs, labels, per_class=6)
+    finally:
+        quality_zip.Model = model
+    assert len(seen) == len(set(seen)) == 6
+
+
 def test_near_duplicates(spark, docs, none):
     found = {r.doc_id: r.class_id for r in near_dup.classes(docs).collect()}
     assert near_dup.classes(docs).count() == len(TEXTS)

@@ -18,7 +18,33 @@ CONTAINED = 0.8
 #: Chance that a contained template meets no band.
 MISSED = 0.001
 
-#: Fixed texts: usual notices of public licenses, by SPDX id.
+# Fixed texts: what the bodies of the MIT and ISC families share.
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so"
+)
+_MIT_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+)
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted"
+)
+_ISC_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING '
+    "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+    "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+    "USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+
+#: Fixed texts: usual notices of public licenses and bodies of the short ones, by SPDX id.
 NOTICES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -158,6 +184,24 @@ NOTICES: tuple[tuple[str, str], ...] = (
         "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
     ),
     ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    *(
+        (name, f"{_MIT_GRANT}{condition} {_MIT_WARRANTY}")
+        for name, condition in (
+            (
+                "MIT",
+                ", subject to the following conditions: The above copyright notice and this permission notice shall be "
+                "included in all copies or substantial portions of the Software.",
+            ),
+            ("MIT-0", "."),
+        )
+    ),
+    *(
+        (name, f"{_ISC_GRANT}{condition} {_ISC_WARRANTY}")
+        for name, condition in (
+            ("ISC", ", provided that the above copyright notice and this permission notice appear in all copies."),
+            ("0BSD", "."),
+        )
+    ),
 )
 
 _PLAIN = bytes.maketrans(b",.;:()\"'", b"        ")
@@ -179,6 +223,30 @@ def bands(contained: float = CONTAINED, missed: float = MISSED) -> int:
     return math.ceil(math.log(missed) / math.log(1 - alike))
 
 
+class BandIndex:
+    """Templates by band and minimum: a table of the minima's low bits lets most windows pass,
+    the others are searched in the band's sorted minima."""
+
+    BITS = np.uint64((1 << 12) - 1)
+
+    def __init__(self, minima: np.ndarray, members: Sequence[int]) -> None:
+        order = np.argsort(minima, axis=1, kind="stable")
+        self.values = np.take_along_axis(minima, order, axis=1)
+        self.members = np.asarray(members)[order]
+        self.seen = np.zeros((len(minima), int(self.BITS) + 1), bool)
+        np.put_along_axis(self.seen, (minima & self.BITS).astype(np.intp), True, axis=1)
+
+    def lookup(self, windows: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Template and window of each shared minimum; ``windows`` holds a row per band."""
+        for values, members, seen, row in zip(self.values, self.members, self.seen, windows):
+            may = np.flatnonzero(seen[(row & self.BITS).astype(np.intp)])
+            first = np.searchsorted(values, row[may])
+            end = np.searchsorted(values, row[may], side="right")
+            for at, a, b in zip(may.tolist(), first.tolist(), end.tolist()):
+                for member in members[a:b].tolist():
+                    yield member, at
+
+
 class Templates:
     """Shingles and minima of each template, by block size."""
 
@@ -197,8 +265,8 @@ class Templates:
                 self.names.append(name)
                 self.grams.append(grams)
                 self.places.append(places)
-        self.minima = {
-            block: np.stack([self.hashed(self.grams[i]).min(axis=1) for i in members])
+        self.index = {
+            block: BandIndex(np.stack([self.hashed(self.grams[i]).min(axis=1) for i in members], axis=1), members)
             for block, members in self.by_block.items()
         }
 
@@ -206,10 +274,10 @@ class Templates:
         h = (grams[None, :] ^ self.keys[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
         return h ^ (h >> np.uint64(32))
 
-    def retrieved(self, grams: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+    def retrieved(self, grams: np.ndarray) -> dict[int, set[tuple[int, int]]]:
         """Windows, as shingle ranges, in which each template may lie. Blocks double from size
         to size, so each shingle is hashed once a band."""
-        found: dict[int, list[tuple[int, int]]] = {}
+        found: dict[int, set[tuple[int, int]]] = {}
         if not len(grams) or not self.by_block:
             return found
         step = 1 << 15
@@ -218,9 +286,8 @@ class Templates:
         while True:
             if block in self.by_block:
                 window = np.minimum(low[:, :-1], low[:, 1:]) if low.shape[1] > 1 else low
-                for member, minima in zip(self.by_block[block], self.minima[block]):
-                    for at in np.flatnonzero((window == minima[:, None]).any(axis=0)).tolist():
-                        found.setdefault(member, []).append((at * block, min(len(grams), (at + 2) * block)))
+                for member, at in self.index[block].lookup(window):
+                    found.setdefault(member, set()).add((at * block, min(len(grams), (at + 2) * block)))
             if block >= max(self.by_block):
                 return found
             if low.shape[1] % 2:
@@ -246,29 +313,46 @@ class Templates:
             own = self.grams[member]
             inside = np.unique(np.concatenate([np.arange(a, b) for a, b in windows]))
             places = inside[np.isin(grams[inside], own)]
-            reach, i = math.ceil(1.25 * len(own)), 0
-            while i < len(places):
-                j = int(np.searchsorted(places, places[i] + reach))
-                if len(np.unique(grams[places[i:j]])) / len(own) < self.contained:
-                    i += 1
-                    continue
-                # shingles before and after a notice may be its own as well: of all starts within
-                # reach take that with the most in order, then at all, then in the least space, and end
-                # with the last new one
-                best, at, to = (0, 0, 0), i, j
-                for k in range(i, j):
-                    _, new = np.unique(grams[places[k : np.searchsorted(places, places[k] + reach)]], return_index=True)
-                    end = k + int(new.max()) + 1
-                    wide = int(places[end - 1] - places[k])
-                    held = (_rising(self.places[member][np.searchsorted(own, grams[places[k:end]])]), len(new), -wide)
-                    if held > best and len(new) / len(own) >= self.contained:
-                        best, at, to = held, k, end
+            for at, to, new, rising in self._placed(member, grams, places):
                 last = min(int(places[to - 1]) + K, len(ends)) - 1
-                out.add((self.names[member], int(starts[places[at]]), int(ends[last]), best[1] / len(own), best[0]))
-                i = to
+                out.add((self.names[member], int(starts[places[at]]), int(ends[last]), new / len(own), rising))
         kept = _strongest(out)
         return sorted({m[:4] for m in kept}, key=lambda m: (m[1], m[2], m[0]))
 
+    def _placed(self, member: int, grams: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """First and end of each match as positions in ``places``, its distinct shingles and those
+        in order."""
+        own = self.grams[member]
+        reach, enough = math.ceil(1.25 * len(own)), self.contained * len(own)
+        parts = [(0, len(places))]
+        while parts:
+            i, hi = parts.pop()
+            if hi - i < enough:
+                continue
+            if len(np.unique(grams[places[i : self._end(places, i, hi, reach)]])) < enough:
+                parts.append((i + 1, hi))
+                continue
+            # shingles before and after a notice may be its own as well: of all starts within
+            # reach take that with the most in order, then at all, then in the least space, and end
+            # with the last new one; look again from there, as a better one may be in its reach
+            best, at, to, k, j = (0, 0, 0), i, i, i, self._end(places, i, hi, reach)
+            while k < j:
+                _, new = np.unique(grams[places[k : self._end(places, k, hi, reach)]], return_index=True)
+                end = k + int(new.max()) + 1
+                wide = int(places[end - 1] - places[k])
+                held = (_rising(self.places[member][np.searchsorted(own, grams[places[k:end]])]), len(new), -wide)
+                if held > best and len(new) >= enough:
+                    best, at, to = held, k, end
+                    j = self._end(places, k, hi, reach)
+                k += 1
+            yield at, to, best[1], best[0]
+            # what lies before may be a weaker match of its own
+            parts += [(to, hi), (i, at)]
+
+    @staticmethod
+    def _end(places: np.ndarray, at: int, hi: int, reach: int) -> int:
+        return min(hi, int(np.searchsorted(places, places[at] + reach)))
+
 
 def _rising(places: np.ndarray) -> int:
     """Length of the longest rising run of places, others left out."""
@@ -282,9 +366,23 @@ def _rising(places: np.ndarray) -> int:
 def _strongest(found: set[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
     """Matches from most to least shingles in order, without those that overlap a kept one of the
     same license, or share most of their place with kept ones of other licenses which have more,
-    or as many and the larger share, or most of the place of one."""
+    or as many and the larger share, or most of the place of one. Only matches of one stretch
+    that they cover without a gap are compared."""
+    kept: list[tuple[str, int, int, float, int]] = []
+    stretch: list[tuple[str, int, int, float, int]] = []
+    reach = 0
+    for m in sorted(found, key=lambda m: (m[1], m[2], m[0])):
+        if m[1] >= reach:
+            kept += _settled(stretch)
+            stretch = []
+        stretch.append(m)
+        reach = max(reach, m[2])
+    return kept + _settled(stretch)
+
+
+def _settled(stretch: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
     kept: list[tuple[str, int, int, float, int]] = []
-    for m in sorted(found, key=lambda m: (-m[4], -m[3], m[1] - m[2], m[1], m[0])):
+    for m in sorted(stretch, key=lambda m: (-m[4], -m[3], m[1] - m[2], m[1], m[0])):
         over = [(k, min(k[2], m[2]) - max(k[1], m[1])) for k in kept if k[1] < m[2] and m[1] < k[2]]
         other = [(k, n) for k, n in over if k[0] != m[0] and (k[4], k[3]) > (m[4], m[3])]
         same = any(k[0] == m[0] for k, _ in over)
@@ -308,9 +406,11 @@ def scan(docs: DataFrame, texts: Sequence[tuple[str, str]] = NOTICES, contained:
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text"))):
-                for name, first, end, share in shared.value.matches(text):
-                    begin = len(text[:first].decode())
-                    rows.append((doc_id, name, begin, begin + len(text[first:end].decode()), share))
+                found = shared.value.matches(text)
+                # code points before each byte: all bytes but those that continue one
+                before = np.cumsum(np.frombuffer(text, np.uint8) & 0xC0 != 0x80) if found else None
+                for name, first, end, share in found:
+                    rows.append((doc_id, name, int(before[first]) - 1, int(before[end - 1]), share))
             columns = list(zip(*rows)) or [[], [], [], [], []]
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "license", "first", "end", "share"])

@@ -225,26 +225,36 @@ def bands(contained: float = CONTAINED, missed: float = MISSED) -> int:
 
 class BandIndex:
     """Templates by band and minimum: a table of the minima's low bits lets most windows pass,
-    the others are searched in the band's sorted minima."""
+    the others are searched in the sorted minima. All bands are looked up at once."""
 
     BITS = np.uint64((1 << 12) - 1)
 
     def __init__(self, minima: np.ndarray, members: Sequence[int]) -> None:
-        order = np.argsort(minima, axis=1, kind="stable")
-        self.values = np.take_along_axis(minima, order, axis=1)
-        self.members = np.asarray(members)[order]
-        self.seen = np.zeros((len(minima), int(self.BITS) + 1), bool)
-        np.put_along_axis(self.seen, (minima & self.BITS).astype(np.intp), True, axis=1)
+        count, n = minima.shape
+        order = np.argsort(minima, axis=None, kind="stable")
+        self.values = minima.ravel()[order]
+        self.bands = order // n
+        self.members = np.asarray(members)[order % n]
+        self.start = (np.arange(count, dtype=np.uint64) * (self.BITS + np.uint64(1)))[:, None]
+        self.seen = np.zeros(count * (int(self.BITS) + 1), bool)
+        self.seen[self._slots(minima)] = True
+
+    def _slots(self, minima: np.ndarray) -> np.ndarray:
+        return ((minima & self.BITS) + self.start).view(np.int64)
 
     def lookup(self, windows: np.ndarray) -> Iterator[tuple[int, int]]:
         """Template and window of each shared minimum; ``windows`` holds a row per band."""
-        for values, members, seen, row in zip(self.values, self.members, self.seen, windows):
-            may = np.flatnonzero(seen[(row & self.BITS).astype(np.intp)])
-            first = np.searchsorted(values, row[may])
-            end = np.searchsorted(values, row[may], side="right")
-            for at, a, b in zip(may.tolist(), first.tolist(), end.tolist()):
-                for member in members[a:b].tolist():
-                    yield member, at
+        may = np.flatnonzero(self.seen[self._slots(windows)])
+        if not len(may):
+            return
+        band, at = np.divmod(may, windows.shape[1])
+        x = windows[band, at]
+        first, end = np.searchsorted(self.values, x), np.searchsorted(self.values, x, side="right")
+        some = end > first
+        for band, at, a, b in zip(*(c[some].tolist() for c in (band, at, first, end))):
+            for i in range(a, b):
+                if self.bands[i] == band:
+                    yield int(self.members[i]), at
 
 
 class Templates:
@@ -285,9 +295,15 @@ class Templates:
         block = 1
         while True:
             if block in self.by_block:
-                window = np.minimum(low[:, :-1], low[:, 1:]) if low.shape[1] > 1 else low
-                for member, at in self.index[block].lookup(window):
-                    found.setdefault(member, set()).add((at * block, min(len(grams), (at + 2) * block)))
+                last = max(low.shape[1] - 1, 1)
+                for left in range(0, last, step):
+                    right = min(last, left + step)
+                    window = low[:, left:right]
+                    if low.shape[1] > 1:
+                        window = np.minimum(window, low[:, left + 1 : right + 1])
+                    for member, at in self.index[block].lookup(window):
+                        first = (left + at) * block
+                        found.setdefault(member, set()).add((first, min(len(grams), first + 2 * block)))
             if block >= max(self.by_block):
                 return found
             if low.shape[1] % 2:

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.functions import codes, text
 from tidemark.functions.dates import normalize_date
 from tidemark.operators import qualitative as q
+from tidemark.operators.ranking import staged_rank
 from tidemark.plans import star
 from tidemark.plans.catalog import sql
 from tidemark.schemas import REPORT_COLUMNS
+from tidemark.session import cut_lineage, work_path
+from tidemark.sinks import writers
+from tidemark.sources import assets
+from tidemark.sources.reports import SUFFIX, read_reports
 
 REVIEWED_AT = "2024-01-01T00:00:00+00:00"
 
@@ -245,7 +250,46 @@ def related_positions(spark, d):
     return q.related_positions(items).select("level", "code", "kind", "event_id", "source_date", "position")
 
 
+def report_files(spark, d):
+    """Reports through reviewed CSV files of two headers, one reversed and without a level, whose
+    summaries hold quotes, commas and line ends; rows are numbered in the order of the files."""
+    raw = raw_reports(spark, d).withColumn("summary_en", F.concat(F.lit('"'), "event_id", F.lit('",\n"'), F.coalesce("summary_en", F.lit(""))))
+    named = raw.withColumn("part", F.concat("slug", F.lit(SUFFIX))).filter("slug IS NOT NULL")
+    rows = cut_lineage(named)
+    path = work_path(spark, "reviewed")
+    short = [c for c in reversed(REPORT_COLUMNS) if c != "admin_level"]
+    for kind, columns in ((0, REPORT_COLUMNS), (1, short)):
+        some = rows.filter(F.length("slug") % 2 == kind).repartitionByRange("slug", "source_row").sortWithinPartitions("slug", "source_row")
+        write = some.select("part", *columns).write.partitionBy("part").option("header", True).option("escape", '"')
+        write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{kind}")
+    read = read_reports(spark, path).select(
+        "slug", "source_row", "event_id", "admin_level", "admin_code", "review_status",
+        F.coalesce("time_window_start", F.lit("")).alias("time_window_start"), F.md5("summary_en").alias("summary_md5"),
+    )
+    row = F.col("source_row")
+    return staged_rank(read, ["slug"], split=[F.floor(row / 10_000)], order=[row]).drop("source_row")
+
+
+def bundle_times(spark, d):
+    """The registry from bundle folders as written: paths and freshness from the files listed,
+    slugs without rows included, absent kinds left out."""
+    e, s = published(spark, d)
+    root = work_path(spark, "bundles")
+    slugs = reports(spark, d).select("slug").distinct()
+    e, s = cut_lineage(e.filter("page = 0")), cut_lineage(s)
+    writers.write_bundles(e, slugs, f"{root}/events")
+    writers.write_bundles(s, slugs.filter("length(slug) % 2 = 0"), f"{root}/states")
+    listed = assets.bundle_files(spark, root)
+    kept = listed.withColumn("fresh", F.col("modified") > F.lit("2020-01-01").cast("timestamp")).groupBy("slug").agg(
+        F.array_join(F.sort_array(F.collect_set("path")), ",").alias("paths"), F.min("fresh").alias("fresh")
+    )
+    written = assets.read_bundle_rows(spark, f"{root}/events").groupBy("slug").agg(F.count(F.lit(1)).alias("events"))
+    return kept.join(written, "slug", "left").select("slug", "paths", "fresh", F.coalesce("events", F.lit(0)).alias("events"))
+
+
 QUERIES = {
+    "report_files": report_files,
+    "bundle_times": bundle_times,
     "publication_positions": publication_positions,
     "related_positions": related_positions,
     "normalized_reports": normalized_reports,
@@ -429,6 +473,16 @@ _BASE = sql.with_(sql.ADMIN, _REPORTS, _NORM)
 _SHOW = sql.with_(sql.ADMIN, _REPORTS, _NORM, _DISPLAY)
 
 ORACLES = {
+    "report_files": _BASE
+    + """
+SELECT slug, event_id, admin_level, admin_code, review_status, time_window_start,
+       md5('"' || event_id || '",' || chr(10) || '"' || coalesce(summary_en, '')) AS summary_md5,
+       row_number() OVER (PARTITION BY slug ORDER BY source_row) AS position FROM raw""",
+    "bundle_times": _BASE
+    + """
+SELECT slug, 'regencies/events/rows/slug=' || slug || CASE WHEN length(slug) % 2 = 0 THEN ',regencies/states/rows/slug=' || slug ELSE '' END AS paths,
+       true AS fresh, (SELECT count(*) FROM ev WHERE ev.slug = s.slug) AS events
+FROM (SELECT DISTINCT slug FROM norm) AS s""",
     "normalized_reports": _BASE + "SELECT * EXCLUDE (summary_id, summary_en) FROM norm",
     "publishable_reports": _BASE + "SELECT slug, event_id, period_start, period_end, event_group FROM pub",
     "report_positions": _BASE

@@ -92,6 +92,13 @@ def bundle_files(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_bundle_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``slug`` of each row of written bundles; slugs whose bundle is empty have none."""
+    if not path_exists(spark, f"{path}/rows"):
+        return spark.createDataFrame([], "slug string")
+    return spark.read.schema("value string, slug string").text(f"{path}/rows").select("slug")
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON rows of an asset, or an empty typed table when it is absent."""
     if not path_exists(spark, path):

@@ -11,7 +11,7 @@ from tidemark.operators import qualitative as q
 from tidemark.operators.ranking import staged_rank
 from tidemark.plans import star
 from tidemark.plans.catalog import sql
-from tidemark.schemas import REPORT_COLUMNS
+from tidemark.schemas import REGISTRY_ROW, REPORT_COLUMNS, STATE
 from tidemark.session import cut_lineage, work_path
 from tidemark.sinks import writers
 from tidemark.sources import assets
@@ -287,7 +287,29 @@ def bundle_times(spark, d):
     return kept.join(written, "slug", "left").select("slug", "paths", "fresh", F.coalesce("events", F.lit(0)).alias("events"))
 
 
+def optional_inputs(spark, d):
+    """Events read from a written release without headlines of one kind, defaults filled, beside
+    the rows of its states, which are absent, of an index kept from the release before, and of an
+    input that neither has."""
+    root = work_path(spark, "release")
+    e, _ = published(spark, d)
+    found = e.filter("page = 0").withColumn("headline", F.when(F.col("headline") != "News", F.col("headline")))
+    found.withColumn("impact_tags", F.when(F.size("impact_tags") > 0, F.col("impact_tags"))).write.json(f"{root}/qualitative_events")
+    star.regencies(spark, d).select(F.col("code").alias("admin_code")).write.json(f"{root}/regencies/index")
+    read = assets.read_qualitative(spark, root)
+    index = assets.first_existing(spark, [f"{root}/new/index", f"{root}/regencies/index"], REGISTRY_ROW)
+    neither = assets.first_existing(spark, [f"{root}/new/states", f"{root}/states"], STATE)
+    rows = {"states_rows": q.fill_states(read["states"]), "index_rows": index, "default_rows": neither}
+    counts = {n: r.agg(F.count(F.lit(1))).scalar() for n, r in rows.items()}
+    return q.fill_events(read["events"]).select(
+        "event_id", "headline", "source_date", "source_url", "media_url", "canonical_event_group",
+        F.array_join("impact_tags", "~").alias("impact_tags"), F.size("supporting_records").alias("records"),
+        *(c.alias(n) for n, c in counts.items()),
+    )
+
+
 QUERIES = {
+    "optional_inputs": optional_inputs,
     "report_files": report_files,
     "bundle_times": bundle_times,
     "publication_positions": publication_positions,
@@ -473,6 +495,11 @@ _BASE = sql.with_(sql.ADMIN, _REPORTS, _NORM)
 _SHOW = sql.with_(sql.ADMIN, _REPORTS, _NORM, _DISPLAY)
 
 ORACLES = {
+    "optional_inputs": _BASE
+    + """
+SELECT event_id, CASE WHEN headline = 'News' THEN '' ELSE headline END AS headline, source_date, source_url, media_url,
+       canonical_event_group, impact_tags, CAST(supporting_count AS INTEGER) AS records, 0 AS states_rows,
+       (SELECT count(*) FROM nat) AS index_rows, 0 AS default_rows FROM ev""",
     "report_files": _BASE
     + """
 SELECT slug, event_id, admin_level, admin_code, review_status, time_window_start,

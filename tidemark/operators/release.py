@@ -76,7 +76,7 @@ def _levels(df: DataFrame, name: str) -> DataFrame:
 
 
 def reference_manifest(boundaries: DataFrame, gate: DataFrame, generated_at: str) -> DataFrame:
-    """One row: levels present, artifact names, gate."""
+    """One row: levels present, artifact names and paths under the build's folder, gate."""
     present = _levels(boundaries, "available_levels").scalar()
     out = gate.select(
         F.lit("reference").alias("dataset"),
@@ -86,7 +86,9 @@ def reference_manifest(boundaries: DataFrame, gate: DataFrame, generated_at: str
     )
     fixed = F.array(F.lit("dim_admin_unit"), F.lit("bridge_village_postal_code"), F.lit("coverage_report"))
     named = F.transform("available_levels", lambda lv: F.concat(F.lit("dim_boundary_"), lv))
-    return out.withColumn("artifacts", F.concat(fixed, named))
+    folders = F.transform("available_levels", lambda lv: F.concat(F.lit("boundary_shapes/level="), lv))
+    paths = F.concat(F.array(F.lit("dim_admin_unit"), F.lit("bridge_village_postal_code"), F.lit("coverage")), folders)
+    return out.withColumn("artifacts", F.concat(fixed, named)).withColumn("artifact_paths", F.map_from_arrays("artifacts", paths))
 
 
 def facts_manifest(

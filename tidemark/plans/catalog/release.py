@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import geo
 from tidemark.operators import admin, explore, overlap, release, validation
 from tidemark.operators import facts as fact_ops
-from tidemark.plans import star
+from tidemark.plans import pipelines, star
 from tidemark.plans.catalog import admin as admin_queries
 from tidemark.plans.catalog import facts, geometry, reports, sql
 from tidemark.plans.catalog import overlap as overlap_queries
 from tidemark.schemas import ADMIN_COLUMNS
-from tidemark.session import work_path
+from tidemark.session import cut_lineage, work_path
 from tidemark.sinks import writers
 from tidemark.sources import assets as asset_files
 from tidemark.sources import footprints
@@ -55,6 +56,7 @@ def reference_manifest(spark, d):
     return m.select(
         "dataset", "generated_at", F.array_join("available_levels", ",").alias("available_levels"),
         "release_gate.warning_code", F.array_join("artifacts", ",").alias("artifacts"),
+        F.array_join(F.map_values("artifact_paths"), ",").alias("paths"),
     )
 
 
@@ -83,6 +85,58 @@ def facts_manifest(spark, d):
     )
 
 
+def footprint_manifest(spark, d):
+    """Facts manifest of the footprints: events that meet a district, each once however many units
+    it meets, and the sample of them."""
+    prints = star.footprints(spark, d).withColumn("footprint_area_km2", F.lit(0.0))
+    pairs = cut_lineage(overlap.overlap(prints, star.unit_fragments(spark, d)))
+    daily = cut_lineage(fact_ops.daily_facts(pairs))
+    counts = fact_ops.row_counts(daily, fact_ops.monthly_facts(daily))
+    rows = prints.agg(F.count(F.lit(1)).alias("n"))
+    gate = fact_ops.enabled_levels(False, admin_queries.coverage_overall(spark, d)).select("warning")
+    m = release.facts_manifest(counts, rows, fact_ops.distinct_events(pairs), fact_ops.event_sample(prints, pairs), gate, STAMP)
+    per = F.transform("level_row_counts", lambda r: F.concat_ws(":", r["level"], r["day_rows"], r["month_rows"]))
+    return m.select("status", "source_rows", "intersecting_events", "event_sample_size", F.array_join(per, ",").alias("level_row_counts"))
+
+
+def gated_builds(spark, d):
+    """Whether a build stops at the district gate, for thresholds that any, this and no coverage meets."""
+    overall = cut_lineage(admin_queries.coverage_overall(spark, d))
+    out = []
+    for threshold in (0.0, 0.5, 2.0):
+        try:
+            admin.assert_release_ready(admin.release_gate(overall, threshold))
+            stopped = False
+        except RuntimeError:
+            stopped = True
+        out.append((threshold, stopped))
+    district = overall.filter("level = 'district'")
+    return spark.createDataFrame(out, "threshold double, stopped boolean").select(
+        "*", *(district.select(c).scalar().alias(c) for c in ("coverage_ratio", "admin_total"))
+    )
+
+
+def derived_regencies(spark, d):
+    """Regencies dissolved from districts and joined to the units of all provinces but two; outlines
+    of the others are rejected as unknown."""
+    members = star.unit_shapes(spark, d).filter("level = 'district'").withColumn("target_code", F.substring_index("code", ".", 2))
+    units = admin_queries.admin_units(spark, d).filter("province_code NOT IN ('11', '13')")
+    postal = units.filter("level = 'village'").select(F.col("code").alias("village_code"), F.lit("").alias("postal_code"))
+    found, rejects = pipelines.derive_levels(members, units, postal)
+    shown = found.select("code", "level", "name", "boundary_source", F.round(geo.area_km2(F.col("rings")), 3).alias("area_km2"), F.lit(None).cast("string").alias("reason"))
+    none = (F.lit(None).cast(t).alias(n) for n, t in (("level", "string"), ("name", "string"), ("boundary_source", "string"), ("area_km2", "double")))
+    return shown.unionByName(rejects.select("code", "reason", *none))
+
+
+def replaced_table(spark, d):
+    """A partitioned table written whole and then anew from two of its levels."""
+    path = work_path(spark, "replaced")
+    daily = facts.written(spark, d)[0]
+    writers.write_table(daily, path, "level")
+    writers.write_table(daily.filter("level <> 'province'"), path, "level")
+    return spark.read.parquet(path).groupBy("level").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _release(spark, d):
     """All assets of one release."""
     daily, monthly, summary = facts.written(spark, d)
@@ -277,6 +331,10 @@ def broken_release(spark, d):
 
 
 QUERIES = {
+    "footprint_manifest": footprint_manifest,
+    "gated_builds": gated_builds,
+    "derived_regencies": derived_regencies,
+    "replaced_table": replaced_table,
     "gap_shards": gap_shards,
     "broken_release": broken_release,
     "month_spine": month_spine,
@@ -312,6 +370,28 @@ rmon AS (SELECT level, month, count(DISTINCT code) AS n FROM rare GROUP BY ALL)
 """
 
 ORACLES = {
+    "footprint_manifest": overlap_queries._BASE
+    + """
+, c AS (SELECT level, k, (SELECT count(DISTINCT (start_date, code)) FROM pairs p WHERE p.level = l.level) AS dn,
+               (SELECT count(DISTINCT (start_date[1:7], code)) FROM pairs p WHERE p.level = l.level) AS mn
+        FROM (VALUES ('province', 1), ('regency', 2), ('district', 3)) l(level, k)),
+n AS (SELECT count(DISTINCT row_id) AS n FROM pairs WHERE level = 'district')
+SELECT 'ok' AS status, (SELECT count(*) FROM sq) AS source_rows, (SELECT n FROM n) AS intersecting_events,
+       (SELECT least(n, 500) FROM n) AS event_sample_size, string_agg(level || ':' || dn || ':' || mn, ',' ORDER BY k) AS level_row_counts
+FROM c""",
+    "gated_builds": admin_queries._COV
+    + """
+SELECT t.threshold, coverage_ratio < t.threshold AS stopped, coverage_ratio, admin_total
+FROM cov, (VALUES (0.0::double), (0.5::double), (2.0::double)) t(threshold) WHERE level = 'district'""",
+    "derived_regencies": geometry._TILES
+    + f"""
+, r AS (SELECT split_part(code, '.', 1) || '.' || split_part(code, '.', 2) AS code, round(sum({geometry._TILE_AREA}), 3) AS area_km2
+        FROM tile WHERE level = 'district' GROUP BY 1)
+SELECT r.code, CASE WHEN known THEN 'regency' END AS level, CASE WHEN known THEN name END AS name,
+       CASE WHEN known THEN 'derived' END AS boundary_source, CASE WHEN known THEN area_km2 END AS area_km2,
+       CASE WHEN NOT known THEN 'unknown unit' END AS reason
+FROM (SELECT *, split_part(code, '.', 1) NOT IN ('11', '13') AS known FROM r) AS r JOIN adm ON adm.code = r.code""",
+    "replaced_table": _LINES + "SELECT level, count(*) AS rows FROM day WHERE level <> 'province' GROUP BY level",
     "month_spine": _LINES
     + _RARE
     + """
@@ -361,7 +441,8 @@ UNION ALL SELECT 'max_coverage_ratio', 'Greatest part of the unit that any one f
 SELECT 'reference' AS dataset, '{STAMP}' AS generated_at, string_agg(level, ',' ORDER BY k) AS available_levels,
        {_GATE} AS warning_code,
        'dim_admin_unit,bridge_village_postal_code,coverage_report,'
-       || string_agg('dim_boundary_' || level, ',' ORDER BY k) AS artifacts
+       || string_agg('dim_boundary_' || level, ',' ORDER BY k) AS artifacts,
+       'dim_admin_unit,bridge_village_postal_code,coverage,' || string_agg('boundary_shapes/level=' || level, ',' ORDER BY k) AS paths
 FROM (VALUES ('province', 1), ('regency', 2), ('district', 3), ('village', 4)) v(level, k)
 WHERE level IN (SELECT level FROM bnd)""",
     "facts_manifest": _LINES

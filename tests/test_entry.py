@@ -22,7 +22,8 @@ CHECKED = (
     "summaries", "media_candidates", "dump_rows", "month_spine", "unit_files", "postal_files", "boundary_files",
     "footprint_files", "gap_shards", "fact_positions", "publication_positions",
     "related_positions", "level_extent", "number_display", "regency_registry", "refreshed_daily_facts",
-    "outline_edges", "release_manifest", "facts_manifest",
+    "outline_edges", "release_manifest", "facts_manifest", "report_files", "bundle_times", "optional_inputs",
+    "footprint_manifest", "gated_builds", "derived_regencies", "replaced_table", "reference_manifest",
 )
 
 

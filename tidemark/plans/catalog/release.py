@@ -381,7 +381,8 @@ SELECT 'ok' AS status, (SELECT count(*) FROM sq) AS source_rows, (SELECT n FROM
 FROM c""",
     "gated_builds": admin_queries._COV
     + """
-SELECT t.threshold, coverage_ratio < t.threshold AS stopped, coverage_ratio, admin_total
+SELECT t.threshold, coverage_ratio < t.threshold OR coalesce((SELECT warning_code FROM gate) = 'missing_required_levels', false) AS stopped,
+       coverage_ratio, admin_total
 FROM cov, (VALUES (0.0::double), (0.5::double), (2.0::double)) t(threshold) WHERE level = 'district'""",
     "derived_regencies": geometry._TILES
     + f"""

@@ -474,3 +474,24 @@ def test_language_counts_alike_by_both_ways(monkeypatch):
     for (at, n), (same, also) in zip(short, (langid.gram_counts(t) for t in texts)):
         assert at.tolist() == same.tolist() and n.tolist() == also.tolist()
     assert sum(short[2][1]) == 3
+
+
+@pytest.mark.parametrize("held", [1 << 18, 40])
+def test_floors_run_over_the_blocks_of_a_lane(spark, held):
+    ship_package(spark)
+    draw = np.random.default_rng(5)
+    m = draw.integers(-900, 900, (400, 12)).astype(float)
+    m[200:240] = m[:40]
+    df = spark.createDataFrame([(i, v.tolist(), False) for i, v in enumerate(m)], "vec_id long, v array<double>, wide boolean")
+    grids = vafile._grids(df, 8)
+    cells = vafile.approximations(df.coalesce(1), grids, 5, rows=25)
+    asked = vafile.query_blocks(df.where("vec_id % 10 = 0").coalesce(1), rows=7).withColumnRenamed("ids", "q_ids")
+    pairs = asked.join(cells.hint("merge"), "dim")
+    found = vafile._bounds(pairs, grids, 5, held).collect()
+    scores = m @ m.T
+    assert all(r.low <= scores[r.query_id, r.vec_id] <= r.high for r in found)
+    kept = {(r.query_id, r.vec_id) for r in found}
+    assert len(kept) == len(found) < 40 * (12 if held > 40 else 60)
+    for q in range(0, 400, 10):
+        best = sorted((-s, i) for i, s in enumerate(scores[q]) if i != q)[:5]
+        assert {(q, i) for _, i in best} <= kept

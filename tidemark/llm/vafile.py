@@ -122,16 +122,34 @@ def query_blocks(queries: DataFrame, rows: int = 512) -> DataFrame:
     return queries.select("vec_id", F.size("v").alias("dim"), "wide", "v").mapInArrow(pack, QUERY_BLOCK)
 
 
-def _bounds(pairs: DataFrame, grids: dict, k: int) -> DataFrame:
+def _bounds(pairs: DataFrame, grids: dict, k: int, held: int = 1 << 18) -> DataFrame:
     """Score bounds of the vectors that may be among the k best of a query.
 
-    For one query block after another the cells of each vector block are scanned; a vector
-    stays if its upper bound reaches the k-th largest lower bound within the block.
+    The cells of each vector block are scanned for a query block. A merge join hands a task all
+    vector blocks of a lane for one query block after another, so the k best lower bounds of each
+    query run on from block to block: a vector stays if its upper bound reaches the k-th of
+    them. What stays waits, about ``held`` vectors at most, until the floors of the lane are known.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, floors, waiting = None, None, []
+
+        def settled() -> tuple[np.ndarray, ...]:
+            row, *rest = (np.concatenate(c) for c in zip(*waiting))
+            stays = rest[2] >= floors[row, 0]
+            return row[stays], *(c[stays] for c in rest)
+
+        def written(q_ids: np.ndarray) -> pa.RecordBatch:
+            row, ids, low, high = settled()
+            return pa.RecordBatch.from_pydict({"query_id": q_ids[row], "vec_id": ids, "low": low, "high": high})
+
         for batch in batches:
             for r in batch.to_pylist():
+                if block is None or (r["q_ids"], r["vectors"]) != (block["q_ids"], block["vectors"]):
+                    if waiting:
+                        yield written(np.array(block["q_ids"]))
+                    # the first column holds the k-th best of each query
+                    block, floors, waiting = r, np.full((len(r["q_ids"]), k), -np.inf), []
                 low, width = grids[r["dim"], r["wide"]]
                 q_ids, ids = np.array(r["q_ids"]), np.array(r["ids"])
                 q = np.frombuffer(r["vectors"]).reshape(len(q_ids), -1)
@@ -145,12 +163,16 @@ def _bounds(pairs: DataFrame, grids: dict, k: int) -> DataFrame:
                 at_most = np.clip(base + (np.maximum(span, 0).sum(1) + slack)[:, None], *map(float, ENDS))
                 own = q_ids[:, None] == ids[None, :]
                 at_least[own] = -np.inf
-                n = min(k, len(ids))
-                kth = -np.partition(-at_least, n - 1, axis=1)[:, n - 1 : n]
-                row, col = np.nonzero((at_most >= kth) & ~own)
-                yield pa.RecordBatch.from_pydict(
-                    {"query_id": q_ids[row], "vec_id": ids[col], "low": at_least[row, col], "high": at_most[row, col]}
-                )
+                floors = np.partition(np.concatenate([floors, at_least], axis=1), -k, axis=1)[:, -k:]
+                row, col = np.nonzero((at_most >= floors[:, :1]) & ~own)
+                waiting.append((row, ids[col], at_least[row, col], at_most[row, col]))
+                if sum(len(w[0]) for w in waiting) > held:
+                    waiting = [settled()]
+                    if len(waiting[0][0]) > held // 2:
+                        yield written(q_ids)
+                        waiting = []
+        if waiting:
+            yield written(np.array(block["q_ids"]))
 
     return pairs.mapInArrow(scan, BOUND)
 
@@ -188,7 +210,8 @@ def top_k(
     """The k rows of highest inner product for each query row: query_id, rank, vec_id, score.
 
     Vectors become whole numbers, then cells of ``2**bits`` steps per component (at most 8
-    bits). Each query block meets each block of cells once and yields bounds. The 2k best by
+    bits). Each query block meets each block of cells once; a lane of blocks yields little more
+    than the k best bounds of each query. The 2k best by
     bound are read exactly first; their k-th score closes the search for all candidates whose
     upper bound lies below it, and the rest are read. Ties go to the smaller id.
 
@@ -214,7 +237,8 @@ def top_k(
         .withColumnRenamed("ids", "q_ids")
         .withColumn("_lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
     )
-    bounds = cut_lineage(_bounds(lanes.join(cells, ["_lane", "dim"]), grids, k))
+    # merged, so that the blocks of a lane follow each other for each query block
+    bounds = cut_lineage(_bounds(lanes.join(cells.hint("merge"), ["_lane", "dim"]), grids, k))
 
     low = Window.partitionBy("query_id").orderBy(F.col("low").desc(), "vec_id")
     high = Window.partitionBy("query_id").orderBy(F.col("high").desc(), "vec_id")

@@ -19,6 +19,8 @@ SIZE = 2048
 END_ID = 1
 RANKS, WHOLE = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: A number drawn by hash from the whole document, the same for all of its pieces.
+DRAWN = f"{PIECE}, draw long"
 PLACED = f"{PIECE}, sequence_id long, offset long"
 
 _encodings: dict[tuple[str, str], object] = {}
@@ -61,9 +63,9 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoding(path)
         for batch in batches:
-            out: dict[str, list] = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
+            out: dict[str, list] = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "draw")}
             ids: list[np.ndarray] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text, draw in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "text", "draw"))):
                 tokens = np.append(np.asarray(token_ids(codec, text), dtype="<u4"), np.uint32(end_id))
                 for start in range(0, len(tokens), size):
                     piece = tokens[start : start + size]
@@ -72,6 +74,7 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
                     out["length"].append(len(piece))
                     out["ids_crc32"].append(zlib.crc32(piece.tobytes()))
                     out["doc_tokens"].append(len(tokens))
+                    out["draw"].append(draw)
                     if with_ids:
                         ids.append(piece.astype(np.int32))
             columns = {name: pa.array(values, pa.int64()) for name, values in out.items()}
@@ -79,8 +82,9 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str |
                 columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(cut, PIECE + (", ids array<int>" if with_ids else ""))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), "text", F.xxhash64(doc_id, "text").alias("draw"))
+    return rows.mapInArrow(cut, DRAWN + (", ids array<int>" if with_ids else ""))
 
 
 def first_fit_decreasing(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -140,8 +144,9 @@ def _runs(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[int,
 def placed(cut: DataFrame, size: int = SIZE, group_rows: int = 4096) -> DataFrame:
     """Sequence and offset of each piece of a written table of pieces.
 
-    Groups are drawn by hash and hold about ``group_rows`` pieces. A group that repeated rows
-    make larger is packed in runs of twice that, so that a task holds one run at a time.
+    Groups of whole documents are drawn by hash and hold about ``group_rows`` pieces. A group that
+    repeated rows or a very long document make larger is packed in runs of twice that, so that
+    a task holds one run at a time.
     """
     groups = max(1, -(-cut.count() // group_rows))
     limit = 2 * group_rows
@@ -150,16 +155,15 @@ def placed(cut: DataFrame, size: int = SIZE, group_rows: int = 4096) -> DataFram
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, run, rows in _runs(batches, limit):
             bins, offsets = first_fit_decreasing(rows.column("length").to_numpy(), size)
-            rows = rows.drop_columns(["_group", "_order"])
+            rows = rows.drop_columns(["_group", "_order", "draw"])
             rows = rows.append_column("sequence_id", pa.array((group * (1 << 24) + run) * step + bins, pa.int64()))
             rows = rows.append_column("offset", pa.array(offsets, pa.int64()))
             yield from rows.to_batches()
 
-    drawn = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens")
     return (
-        cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-        .withColumn("_group", F.pmod(drawn, F.lit(groups)))
-        .withColumn("_order", F.xxhash64(drawn))
+        cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "draw")
+        .withColumn("_group", F.pmod("draw", F.lit(groups)))
+        .withColumn("_order", F.xxhash64("draw", "start"))
         .repartition(partitions(cut.sparkSession), "_group")
         .sortWithinPartitions("_group", "_order")
         .mapInArrow(pack, PLACED)

@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import catalog, licenses, pii
 from tidemark.session import ship_package
@@ -195,3 +196,20 @@ def test_pipeline_keeps_one_of_each_class(spark, con):
     mixed = p.mix_sources(spark, docs, DATA)
     assert mixed.columns == columns and collections.Counter(r.doc_id for r in mixed.collect()) == taken
     assert p.run(spark, DATA).count() > 0
+
+
+def test_pipeline_rejects_what_no_learned_language_has(spark):
+    """Texts of other scripts and noise go; short, mixed and clean ones stay."""
+    import corpus_pipeline as p
+
+    ship_package(spark)
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    gone = ["Это русский текст о погоде и природе", "这是一个关于天气的中文文本", "καλημέρα σας, τι κάνετε σήμερα", "日本語のテキスト " * 50, "a" * 40, "12 34", "", None]
+    stays = ["ok", "The cat sat", "Der Hund", "the end and the es que un der die und"]
+    texts = [(-1 - i, t) for i, t in enumerate(gone + stays)]
+    others = [f for f in docs.schema if f.name not in ("doc_id", "text")]
+    more = spark.createDataFrame(texts, "doc_id long, text string").select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in others))
+    kept = p.identify_language(spark, docs.unionByName(more.select(*docs.columns)), LARGER)
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    assert sorted(i for i in ids if i < 0) == sorted(-1 - i for i in range(len(gone), len(texts)))
+    assert sum(i >= 0 for i in ids) == docs.where("text rlike '\\\\p{L}'").count()

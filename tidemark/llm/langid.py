@@ -17,6 +17,9 @@ LONGEST = 3
 #: Characters hashed at once, so that a very long text needs no more memory than this.
 STRETCH = 1 << 18
 UNKNOWN = "und"
+#: A text may be rejected whose share of known n-grams is less than this part of that of nearly
+#: all texts of the learned languages, which no language has but a text of another script or none.
+LEAST_KNOWN = 1 / 7
 
 
 #: Hashes up to which a text's buckets are sorted instead of counted in a table of all.
@@ -60,17 +63,24 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     trained_on: int = 0
+    least_known: float = 0.0
 
     def features(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """TF-IDF values of unit length of buckets in use; frequencies count by 1 + log."""
         x = (1 + np.log(counts)) * self.idf[at]
         return x / (np.sqrt(x @ x) or 1.0)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def known(self, at: np.ndarray, x: np.ndarray) -> float:
+        """Share of the squared TF-IDF values in buckets with a weight for any language."""
+        return float((x * x) @ (self.weights[at] != 0).any(axis=1))
+
+    def predict(self, text: str | None, reject: bool = False) -> tuple[str, float]:
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         at, counts = gram_counts(text)
         x = self.features(at, counts)
+        if reject and self.known(at, x) < self.least_known:
+            return UNKNOWN, 0.0
         p = softmax((x @ self.weights[at] + self.bias) / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(p[best])
@@ -157,9 +167,11 @@ def follow_the_leader(
 
 
 def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The divisor of the logits with the least log loss on rows kept out of training."""
+    """The divisor of the logits with the least log loss on rows kept out of training. Each class
+    counts as seen once more than it was, so that rows without an error don't claim certainty."""
     grid = np.exp(np.linspace(np.log(0.02), np.log(20), 140))
-    loss = [-np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
+    aims = (len(y) * np.eye(logits.shape[1])[y] + 1) / (len(y) + logits.shape[1])
+    loss = [-(aims * np.log(softmax(logits / t) + 1e-12)).sum(axis=1).mean() for t in grid]
     return float(grid[int(np.argmin(loss))])
 
 
@@ -168,7 +180,7 @@ def train(docs: DataFrame, per_language: int = 600) -> Model:
 
     Document frequencies cover all rows given; weights are fitted on a sample of at most
     ``per_language`` whole texts of each language, drawn by hash, one in five of which sets
-    the temperature only.
+    the temperature and the least share of known n-grams only.
     """
     labelled = docs.where("lang is not null").select("doc_id", "text", "lang")
     languages, sample = _sample(labelled, per_language)
@@ -189,16 +201,18 @@ def train(docs: DataFrame, per_language: int = 600) -> Model:
     if kept_out:
         logits = np.array([x @ model.weights[at] + model.bias for _, at, x in kept_out])
         model.temperature = _temperature(logits, np.array([y for y, _, _ in kept_out]))
+        model.least_known = LEAST_KNOWN * float(np.quantile([model.known(at, x) for _, at, x in kept_out], 0.01))
     model.trained_on = len(fitted)
     model.weights = model.weights.astype(np.float32)
     return model
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, reject: bool = False) -> DataFrame:
     """The columns of ``docs`` with lang_pred and score, from the text alone.
 
     A null text, one without a letter, and every text if nothing was learned, is ``und`` with
-    score 0. Equal chances go to the first language in alphabetical order. Columns of these two
+    score 0; with ``reject`` so is one that hardly has an n-gram of the learned languages
+    (``LEAST_KNOWN``). Equal chances go to the first language in alphabetical order. Columns of these two
     names are replaced. The model holds buckets times languages numbers and is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -210,7 +224,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(text) for text in batch.column("text").to_pylist()]
+            found = [shared.value.predict(text, reject) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],

@@ -13,21 +13,16 @@ from tidemark.session import cut_lineage, ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A document is rejected whose best language is less than this many times as likely as under
-#: even odds: short clean texts keep well above it.
-LEAST_LANGUAGE = 1.1
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; texts without a letter go, and those with no
-    language ahead of the others (``LEAST_LANGUAGE``). The model learns from the rows that name
-    one; if none does, or all name the same, only texts without a letter go."""
+    """Documents whose language is recognised; texts without a letter go, and those that hardly
+    have an n-gram of the learned languages, as by other scripts or noise. Texts that mix learned
+    languages stay. The model learns from the rows that name one; if none does, or all name the
+    same, only texts without a letter go."""
     model = langid.train(docs)
     if len(model.languages) < 2:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(docs, model)
-    least = LEAST_LANGUAGE / len(model.languages)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    return langid.predict(docs, model, reject=True).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

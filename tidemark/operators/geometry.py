@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import geo
+from tidemark.functions import geo, outlines
 from tidemark.functions.text import let
 from tidemark.operators import arrangement, overlap
 from tidemark.operators.ranking import staged_rank
@@ -15,10 +15,18 @@ from tidemark.schemas import RINGS
 from tidemark.session import cut_lineage
 
 
+#: Edges of a key up to which its outline is found in one task, with others by the batch; the
+#: edges of longer ones are rows.
+SMALL_EDGES = 128
+
+
+def _edges_of(members: DataFrame) -> Column:
+    return geo.ring_edges(F.col("rings")) if "rings" in members.columns else F.col("edges")
+
+
 def member_edges(members: DataFrame, key: str) -> DataFrame:
     """Directed edges of all members' rings."""
-    edges = geo.ring_edges(F.col("rings")) if "rings" in members.columns else F.col("edges")
-    return members.select(key, F.explode(edges).alias("e")).select(key, "e.x0", "e.y0", "e.x1", "e.y1")
+    return members.select(key, F.explode(_edges_of(members)).alias("e")).select(key, "e.x0", "e.y0", "e.x1", "e.y1")
 
 
 def outline(members: DataFrame, key: str) -> DataFrame:
@@ -182,13 +190,18 @@ def repaired(rows: DataFrame, valid: str = "valid") -> DataFrame:
     """``rows`` with the rings of those that aren't ``valid`` replaced by the outline of what
     they run around an odd number of times, shells with holes. Rings without such area become
     empty. ``rows`` should be a written table, as it is read twice."""
-    kept = rows.filter(F.coalesce(F.col(valid), F.lit(False)))
-    wrong = cut_lineage(rows.filter(~F.coalesce(F.col(valid), F.lit(False))).withColumn("_row", F.monotonically_increasing_id()))
+    sound = F.coalesce(F.col(valid), F.lit(False))
+    edges = F.aggregate("rings", F.lit(0), lambda n, r: n + F.coalesce(F.size(r["pts"]), F.lit(0)))
+    long = F.coalesce(edges > SMALL_EDGES, F.lit(False))
+    drawn = outlines.even_odd_outline(geo.ring_edges(F.col("rings")))["rings"]
+    near = cut_lineage(rows.filter(~sound & ~long).withColumn("rings", drawn))
+    done = rows.filter(sound).unionByName(near)
+    wrong = cut_lineage(rows.filter(~sound & long).withColumn("_row", F.monotonically_increasing_id()))
     if not wrong.limit(1).count():
-        return kept
+        return done
     found = shapes(ring_rows(arrangement.outline(member_edges(wrong, "_row"), "_row", parity=True), "_row"), "_row")
     mended = wrong.drop("rings").join(found, "_row", "left").withColumn("rings", F.coalesce("rings", F.array().cast(RINGS)))
-    return kept.unionByName(mended.select(*rows.columns))
+    return done.unionByName(mended.select(*rows.columns))
 
 
 def sibling_overlaps(units: DataFrame) -> DataFrame:

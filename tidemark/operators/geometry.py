@@ -173,12 +173,26 @@ def dissolve_with_rejects(members: DataFrame, key: str = "target_code") -> tuple
     A key is rejected if its members have no area (``no area``), or if an outline doesn't close
     (``open outline``), which sound rings can't give; its closed rings aren't published then.
     """
-    rows = ring_rows(outline(members, key), key)
+    drawn = cut_lineage(members.select(key, _edges_of(members).alias("edges")))
+    long = drawn.groupBy(key).agg(F.sum(F.size("edges")).alias("n")).filter(F.col("n") > SMALL_EDGES)
+    long = cut_lineage(long.filter(F.col(key).isNotNull()).select(key))
+    some = long.limit(1).count() > 0
+    short = drawn.join(long, key, "left_anti") if some else drawn
+    # a null key names no outline
+    listed = F.when(F.col(key).isNotNull(), F.flatten(F.collect_list("edges")))
+    near = cut_lineage(short.groupBy(key).agg(listed.alias("edges")).select(key, outlines.union_outline("edges").alias("g")))
+    none, broken = F.lit("no area"), F.lit("open outline")
+    reason = F.when(F.col("g.open"), broken).when(F.size("g.rings") == 0, none)
+    near = near.select(key, "g.rings", reason.alias("reason"))
+    found, rejects = near.filter("reason IS NULL").select(key, "rings"), near.filter("reason IS NOT NULL").select(key, "reason")
+    if not some:
+        return found, rejects
+    rows = ring_rows(outline(drawn.join(long, key, "left_semi"), key), key)
     opened = cut_lineage(rows.filter("open").select(key).distinct())
-    found = cut_lineage(shapes(rows.join(opened, key, "left_anti"), key))
-    none = members.select(key).distinct().join(found, key, "left_anti").join(opened, key, "left_anti")
-    rejects = opened.withColumn("reason", F.lit("open outline")).unionByName(none.withColumn("reason", F.lit("no area")))
-    return found, rejects
+    far = cut_lineage(shapes(rows.join(opened, key, "left_anti"), key))
+    empty = long.join(far, key, "left_anti").join(opened, key, "left_anti")
+    rejects = rejects.unionByName(opened.withColumn("reason", broken)).unionByName(empty.withColumn("reason", none))
+    return found.unionByName(far), rejects
 
 
 def dissolve(members: DataFrame, key: str = "target_code") -> DataFrame:

@@ -1,13 +1,16 @@
 """Unions and repairs against coverage of a fine grid, and rings that must not be lost."""
 
+import contextlib
+import io
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import wkb
+from tidemark.functions import geo, wkb
 from tidemark.operators import arrangement, geometry, thinning
 from tidemark.schemas import RINGS
 
@@ -223,3 +226,82 @@ def test_thinning_matches_plain_recursion(spark):
     want = [0, *far(0, m, 0.01), m, *far(m, last, 0.01), last]
     vertices = spark.createDataFrame([("x", i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "r string, pos int, x double, y double")
     assert sorted(v["pos"] for v in thinning.kept_vertices(vertices, ["r"], 0.01).collect()) == want
+
+
+def plan(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def random_ring(rng, n, whole):
+    return ring(*(rng.integers(0, 9, (n, 2)) if whole else rng.uniform(0, 9, (n, 2))))
+
+
+def test_repairs_of_short_rings_are_not_shuffled(spark):
+    rng = np.random.default_rng(7)
+    rows = [(str(k), shape([random_ring(rng, int(rng.integers(3, 9)), k % 2)], [random_ring(rng, 5, k % 3)]), False) for k in range(60)]
+    found = geometry.repaired(frame(spark, rows))
+    assert "Exchange" not in plan(found)
+    got = {r["target_code"]: [x.asDict(recursive=True) for x in r["rings"]] for r in found.collect()}
+    for k, g, _ in rows:
+        if got[k]:
+            same_cover(got[k], [g], parity=True, n=3000)
+
+
+def areas(df):
+    total = F.aggregate("rings", F.lit(0.0), lambda s, r: s + geo.twice_ring_area(r["pts"]))
+    lists = df.select("target_code", F.round(total, 6).alias("area"), F.transform("rings", lambda r: F.struct(r["part"], r["ring"], F.size(r["pts"]))).alias("r"))
+    return {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in lists.collect()}
+
+
+def test_unions_of_few_edges_like_those_of_many(spark, monkeypatch):
+    """Groups taken whole and groups as rows of edges give the same rings; few jobs suffice for the first."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(40):
+        for _ in range(int(rng.integers(1, 7))):
+            a, b, w, h = rng.integers(0, 12, 4)
+            rows.append((f"k{k}", shape([box(a, b, a + w + 1, b + h + 1)] + ([hole(a + 0.25, b + 0.25, a + 0.5, b + 0.5)] if w % 2 else [])), True))
+    rows.append((None, shape([box(0, 0, 1, 1)]), True))
+    m = frame(spark, rows)
+    monkeypatch.setattr(arrangement, "outline", None)
+    found, rejects = geometry.dissolve_with_rejects(m)
+    short = areas(found)
+    assert [tuple(r) for r in rejects.collect()] == [(None, "no area")]
+    monkeypatch.undo()
+    monkeypatch.setattr(geometry, "SMALL_EDGES", 0)
+    found, rejects = geometry.dissolve_with_rejects(m)
+    assert areas(found) == short and rejects.count() == 1
+
+
+def test_many_parts_are_checked_in_time():
+    """Nesting of many parts is checked in one pass, not part by part."""
+    def parts(inner):
+        return [[np.array(pts, float)] for pts in ([(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)] for x, y, w in [*((i % 70, i // 70, 0.5) for i in range(4900)), *inner])]
+
+    start = time.process_time()
+    found = wkb._decoded([parts([]), parts([(0.1, 0.1, 0.2)])], [None, None]).field("valid").to_pylist()
+    assert found == [True, False] and time.process_time() - start < 20
+
+
+def test_many_bow_ties_are_repaired_in_time():
+    tie = np.array([(0, 0), (1, 1), (1, 0), (0, 1), (0, 0)], float)
+    start = time.process_time()
+    found = wkb._decoded([[[tie + k]] for k in range(100_000)], [None] * 100_000)
+    assert time.process_time() - start < 6
+    assert set(found.field("valid").to_pylist()) == {False} and len(found.field("edges").flatten()) == 400_000
+
+
+def test_representative_point_of_many_parts(spark):
+    """Linear in the parts; parts out of order are found as well."""
+    many = shape(*([box(i, 0, i + 0.5 + (i == 1234) * 0.25, 1)] for i in range(4000)))
+    mixed = [{**r, "part": p} for r, p in zip(shape([box(0, 0, 1, 1)], [box(5, 0, 9, 1)], [box(2, 0, 3, 1)]), (2, 0, 1))]
+    start = time.time()
+    df = frame(spark, [("many", many, True), ("mixed", mixed, True), ("none", [], True), ("null", None, True)])
+    points = {r[0]: r[1] for r in df.select("target_code", geometry.representative_point(F.col("rings")).alias("p")).collect()}
+    assert (points["many"]["x"], points["mixed"]["x"], points["none"]) == (1234.375, 7.0, None)
+    assert time.time() - start < 20
+    back = df.select("target_code", F.size(geo.geojson_geometry(F.col("rings"))["coordinates"]).alias("n")).collect()
+    assert {r[0]: r[1] for r in back} == {"many": 4000, "mixed": 3, "none": 0, "null": None}

@@ -171,14 +171,29 @@ def coordinates_to_rings(path: Column) -> Column:
     )
 
 
+def parts_of(rings: Column) -> Column:
+    """Rings of each part. Rings in the order of their parts are cut where a part begins, one
+    look at each; those in another order are looked through for every part."""
+
+    def cut(starts: Column) -> Column:
+        stops = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(rings) + 1))
+        return F.zip_with(starts, F.slice(stops, 1, F.size(starts)), lambda a, b: F.slice(rings, a, b - a))
+
+    before = lambda i: F.get(rings, i - 2)["part"]
+    part = lambda i: F.get(rings, i - 1)["part"]
+    # no sequence counts down to an empty array's size
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(rings), F.lit(1))), lambda i: i <= F.size(rings))
+    ordered = F.forall(places, lambda i: F.coalesce((i == 1) | (before(i) <= part(i)), F.lit(False)) & part(i).isNotNull())
+    starts = F.filter(places, lambda i: (i == 1) | (before(i) != part(i)))
+    parts = F.array_distinct(F.transform(rings, lambda r: r["part"]))
+    searched = F.transform(parts, lambda p: F.filter(rings, lambda r: r["part"] == p))
+    return F.when(rings.isNotNull() & ordered, F.transform(F.array(starts), cut)[0]).otherwise(searched)
+
+
 def geojson_geometry(rings: Column) -> Column:
     """MultiPolygon struct ready for ``to_json``."""
-    parts = F.array_distinct(F.transform(rings, lambda r: r["part"]))
     coords = F.transform(
-        parts,
-        lambda p: F.transform(
-            F.filter(rings, lambda r: r["part"] == p),
-            lambda r: F.transform(r["pts"], lambda c: F.array(c["x"], c["y"])),
-        ),
+        parts_of(rings),
+        lambda p: F.transform(p, lambda r: F.transform(r["pts"], lambda c: F.array(c["x"], c["y"]))),
     )
     return F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates"))

@@ -274,9 +274,7 @@ def _widest(rings: Column) -> Column:
 def representative_point(rings: Column) -> Column:
     """``struct(width, x, y, ...)`` of the widest stretch over all parts; x and y are a point
     inside the geometry."""
-    parts = F.array_distinct(F.transform(rings, lambda r: r["part"]))
-    best = F.transform(parts, lambda p: _widest(F.filter(rings, lambda r: r["part"] == p)))
-    return F.array_max(best)
+    return F.array_max(F.transform(geo.parts_of(rings), _widest))
 
 
 def with_centroids(units: DataFrame) -> DataFrame:

@@ -237,3 +237,28 @@ def test_dense_cell_is_divided(spark):
     assert "ShuffledHashJoin" not in cut._jdf.queryExecution().toString()
     part = F.pmod(F.xxhash64("level", "code", "l", "hl"), F.lit(dense[0]["parts"]))
     assert fragments.groupBy(part.alias("p")).count().agg(F.max("count").alias("n")).first()["n"] < 1000
+
+
+def test_cells_shrink_with_the_units(spark):
+    """A cell holds as many units however small they are, and areas don't depend on it."""
+    held = []
+    for n in (12, 48):
+        side = 4.0 / n
+        tiles = spark.range(n * n).select(
+            F.lit("district").alias("level"), F.col("id").cast("string").alias("code"),
+            (F.col("id") % n * side + 100).alias("xmin"), (F.floor(F.col("id") / n) * side).alias("ymin"),
+        )
+        a, b = F.col("xmin"), F.col("ymin")
+        rings = geo.box(a, b, a + side, b + side)
+        units = tiles.select("level", "code", rings.alias("rings"), geo.ring_edges(rings).alias("edges"), geo.bounds(rings).alias("extent"))
+        fragments = overlap.unit_fragments(units)
+        per_cell = fragments.groupBy("cell").agg(F.countDistinct("code").alias("n")).agg(F.max("n")).first()[0]
+        held.append(per_cell)
+        own = units.limit(40).withColumn("row_id", F.col("code").cast("long"))
+        areas = {r["row_id"]: r["intersection_area_km2"] for r in overlap.overlap(own, fragments, carry=()).collect() if str(r["row_id"]) == r["code"]}
+        small = overlap.overlap(own, fragments, carry=(), broadcast_bytes=0).collect()
+        fixed = overlap.overlap(own, overlap.unit_fragments(units, cell_m=20_000.0), carry=(), cell_m=20_000.0).collect()
+        for found in (small, fixed):
+            again = {r["row_id"]: r["intersection_area_km2"] for r in found if str(r["row_id"]) == r["code"]}
+            assert again.keys() == areas.keys() and all(abs(again[k] - areas[k]) < 1e-6 for k in areas)
+    assert held[1] <= held[0] + 2

@@ -13,6 +13,7 @@ interior of a unit hold a single fragment whatever the detail of its border.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,9 +23,9 @@ from tidemark.functions import geo
 from tidemark.schemas import AREA_EPS_M2
 from tidemark.session import BROADCAST_BYTES, broadcast_if_small, cut_lineage
 
-CELL_M = 20_000.0
+#: Widest and narrowest cells, and the width of a cell in widths of a mean unit.
+CELL_M, LEAST_CELL_M, CELL_UNITS = 20_000.0, 100.0, 1.25
 FRAGMENT_BYTES = 160
-UNIT_SALT = 16
 #: Unit pieces of one cell that one task meets.
 UNIT_ROWS = 50_000
 
@@ -175,16 +176,29 @@ def merge_ceilings(fragments: DataFrame, keys: Sequence[str], cell_m: float = CE
     return sloped.unionByName(flat)
 
 
-def unit_fragments(units: DataFrame, cell_m: float = CELL_M) -> DataFrame:
-    """The join-ready side of all levels at once: ``units(level, code, edges, extent)``.
+def cell_size(units: DataFrame) -> float:
+    """Cell width for units of some size: cells shrink with the units, so that one holds as many
+    of them however fine the hierarchy is; `CELL_M` at most."""
+    wide = geo.project_x(F.col("extent.xmax")) - geo.project_x(F.col("extent.xmin"))
+    high = geo.project_y(F.col("extent.ymax")) - geo.project_y(F.col("extent.ymin"))
+    mean = units.agg(F.avg(wide * high).alias("m2")).first()["m2"]
+    if mean is None or not math.isfinite(mean):
+        return CELL_M
+    return float(round(min(CELL_M, max(LEAST_CELL_M, CELL_UNITS * math.sqrt(mean)))))
+
+
+def unit_fragments(units: DataFrame, cell_m: float | None = None) -> DataFrame:
+    """The join-ready side of all levels at once: ``units(level, code, edges, extent)``, in cells
+    of ``cell_m`` or of `cell_size`, which a column tells.
 
     The result depends on the hierarchy only; callers write it once and reuse it.
     """
+    cell_m = cell_m or cell_size(units)
     keys = ["level", "code", "unit_area_km2", "u_south", "u_north"]
     area = plane_area_km2(F.col("edges"), F.col("extent.ymin")).alias("unit_area_km2")
     reach = (F.col("extent.ymin").alias("u_south"), F.col("extent.ymax").alias("u_north"))
     edges = projected_edges(units.select("level", "code", "edges", "extent", area, *reach), keys)
-    return merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m)
+    return merge_ceilings(cell_fragments(edges, keys, cell_m), keys, cell_m).withColumn("cell_m", F.lit(float(cell_m)))
 
 
 def _with_integral(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -267,10 +281,10 @@ def overlap(
     footprints: DataFrame,
     fragments: DataFrame,
     carry: Sequence[str] = ("start_date",),
-    cell_m: float = CELL_M,
+    cell_m: float | None = None,
     eps_m2: float = AREA_EPS_M2,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salt: int = UNIT_SALT,
+    salt: int | None = None,
     hot: DataFrame | None = None,
     unit_rows: int = UNIT_ROWS,
 ) -> DataFrame:
@@ -278,15 +292,19 @@ def overlap(
     coverage_ratio``; one per footprint row and unit whose overlap exceeds ``eps_m2``.
 
     A unit side proven small is broadcast, so footprints are not moved before the sum.
-    Otherwise both sides are shuffled on (cell, salt): a crowded cell is spread over
-    ``salt`` partitions and the unit side is repeated that many times. With ``hot`` (see
-    `hot_cells`) only those cells are salted, each by its own weight. A cell with more than
+    Otherwise both sides are shuffled on (cell, salt): a crowded cell is spread over several
+    partitions and its unit side is repeated that many times. Crowded are the cells ``hot``, by
+    default `hot_cells`, each by its own weight; with ``salt`` alone every cell is spread by it.
+    Cells are those of ``fragments``. A cell with more than
     ``unit_rows`` unit pieces, as where thousands of borders meet, is divided: each part holds a
     share of the units, and the cell's footprints meet every part. Both sides are sorted, not
     built in memory. Pieces of a cell reach
     down to a common floor; a pair whose latitudes do not meet would sum to nothing and is
     left out of the join.
     """
+    if cell_m is None:
+        own = fragments.select("cell_m").first() if "cell_m" in fragments.columns else None
+        cell_m = own["cell_m"] if own else CELL_M
     keys = ["row_id", *carry]
     sided = [*keys, "f_south", "f_north"]
     reach = {"f_south": F.col("extent.ymin"), "f_north": F.col("extent.ymax")}
@@ -314,8 +332,9 @@ def overlap(
     if small is not None:
         pairs = fa.join(small, on)
     else:
-        factor_a = factor_b = F.lit(salt)
-        if hot is not None:
+        factor_a = factor_b = F.lit(salt or 1)
+        if hot is not None or salt is None:
+            hot = hot_cells(footprints, cell_m) if hot is None else hot
             known = cut_lineage(hot)
             known = broadcast_if_small(known, 16) or known
             fa = fa.join(known, "cell", "left")

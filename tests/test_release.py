@@ -144,3 +144,25 @@ def test_evidence_month_rules(spark):
 
 def test_metric_contract_names():
     assert METRICS[0] == "unique_event_count" and len(METRICS) == 4
+
+
+def test_collection_sides_are_limited_before_they_are_shuffled(spark, tmp_path):
+    """No task gets a level's lines whole: the first and last ones are picked in each task."""
+    import contextlib
+    import io
+
+    from tidemark.plans.catalog import release as queries
+
+    spark.sql("SELECT 0L AS r_regionkey, 'A' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.sql("SELECT 0L AS n_nationkey, 'N' AS n_name, 0L AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT id AS c_custkey, 'c' AS c_name, 0L AS c_nationkey, 1D AS c_acctbal FROM range(30)").write.parquet(f"{tmp_path}/customer.parquet")
+    found = queries.collection_features(spark, str(tmp_path))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        found.explain()
+    assert out.getvalue().count("WindowGroupLimit") == 4
+    rows = {r["level"]: r for r in found.collect()}
+    assert {k: (r["commas"], r["features"], r["first_without"], r["foot"]) for k, r in rows.items()} == {
+        "province": (0, 1, True, "]}"), "regency": (0, 1, True, "]}"), "district": (29, 30, True, "]}"),
+    }
+    assert {r["head"] for r in rows.values()} == {'{"type":"FeatureCollection","features":['}

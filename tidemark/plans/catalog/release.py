@@ -292,13 +292,14 @@ def collection_features(spark, d):
     lines = asset_files.read_collections(spark, path)
     end = Window.partitionBy("level").orderBy("file", "line")
     back = Window.partitionBy("level").orderBy(F.col("file").desc(), F.col("line").desc())
-    heads = lines.select("level", "value", F.row_number().over(end).alias("n"), F.row_number().over(back).alias("m"))
-    sides = heads.groupBy("level").agg(
+    # limits on the row numbers hold in each task before the shuffle, so that no task gets a level whole
+    heads = lines.select("level", "value", F.row_number().over(end).alias("n")).filter("n <= 2").groupBy("level").agg(
         F.max(F.when(F.col("n") == 1, F.col("value"))).alias("head"),
-        F.max(F.when(F.col("m") == 1, F.col("value"))).alias("foot"),
-        F.count_if(F.col("value").startswith(",")).alias("commas"),
         F.max(F.when(F.col("n") == 2, ~F.col("value").startswith(","))).alias("first_without"),
     )
+    feet = lines.select("level", F.col("value").alias("foot"), F.row_number().over(back).alias("m")).filter("m = 1").drop("m")
+    commas = lines.groupBy("level").agg(F.count_if(F.col("value").startswith(",")).alias("commas"))
+    sides = heads.join(feet, "level").join(commas, "level").select("level", "head", "foot", "commas", "first_without")
     codes = asset_files.read_collection_features(spark, path).groupBy("level").agg(
         F.count(F.lit(1)).alias("features"), F.min(F.col("properties")["code"]).alias("least"), F.max(F.col("properties")["code"]).alias("most")
     )

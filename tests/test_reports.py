@@ -209,3 +209,20 @@ def test_records_over_splits_equal_the_csv_module(spark, tmp_path):
         own = sorted((r for r in rows if r["slug"] == slug), key=lambda r: r["source_row"])
         assert len({r["source_row"] for r in own}) == len(own)
         assert [tuple(r[n] or "" for n in names) for r in own] == lines
+
+
+def test_long_texts_are_compared_once(spark):
+    """A headline needs a text's start only, a summary's comparison its comparable form once."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import text
+
+    assert str(text.show_summary(F.col("whole"), F.col("h"), F.col("l"))).count("whole") == 2
+    assert str(text.headline_from_summary(F.col("whole"))).count("substring(whole") == 1
+    words = "word " * 600
+    rows = [
+        ("First one. " + words, "First one."), (words, words[:89].strip() + "..."), ("a" + " " * 1500 + "b. c", "a b."),
+        (None, ""), ("One. " + words + "\u0085 x", ("One. " + words)[:89].strip() + "..."), ("Short", "Short"),
+    ]
+    df = spark.createDataFrame(rows, "t string, want string").withColumn("got", text.headline_from_summary(F.col("t")))
+    assert [(r["want"], r["got"]) for r in df.collect() if r["want"] != r["got"]] == []

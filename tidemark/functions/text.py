@@ -47,6 +47,10 @@ ENGLISH_MARKERS = (
 HEADLINE_MAX = 92
 HEADLINE_CUT = 89
 
+# A text's first characters that are looked at for its first sentence, and how many of them must
+# be left without runs of white space to tell a headline whatever follows.
+HEADLINE_START, HEADLINE_SURE = 1000, 200
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind a value used several times, so that the expression tree stays small."""
@@ -137,15 +141,25 @@ def headline_from_summary(value: Column) -> Column:
         head = F.regexp_replace(F.substring(first, 1, HEADLINE_CUT), f"{SPACE}+$", "")
         return F.when(F.length(first) <= HEADLINE_MAX, first).otherwise(F.concat(head, F.lit("...")))
 
-    sentence = F.regexp_replace(squeeze(value), r"^(.*?[.!?]) .*$", "$1")
-    return let(sentence, shorten)
+    def sentence(start: Column) -> Column:
+        # the pattern stops at a next-line sign, which isn't among the blanks, anywhere in the text
+        sure = (F.length(start) >= HEADLINE_SURE) & ~F.contains(value, F.lit("\u0085"))
+        return F.regexp_replace(F.when(sure, start).otherwise(squeeze(value)), r"^(.*?[.!?]) .*$", "$1")
+
+    return let(let(squeeze(F.substring(value, 1, HEADLINE_START)), sentence), shorten)
+
+
+def _starts_with(summary: Column, headline: Column) -> Column:
+    return (summary != "") & (headline != "") & F.startswith(summary, headline)
+
+
+def _comparable_headline(headline: Column) -> Column:
+    return comparable(F.regexp_replace(or_empty(headline), r"\.\.\.$", ""))
 
 
 def summary_matches_headline(summary: Column, headline: Column) -> Column:
-    s = comparable(summary)
-    h = comparable(F.regexp_replace(or_empty(headline), r"\.\.\.$", ""))
-    both = F.struct(s.alias("s"), h.alias("h"))
-    return let(both, lambda v: (v["s"] != "") & (v["h"] != "") & F.startswith(v["s"], v["h"]))
+    both = F.struct(comparable(summary).alias("s"), _comparable_headline(headline).alias("h"))
+    return let(both, lambda v: _starts_with(v["s"], v["h"]))
 
 
 def preferred_headline(
@@ -177,11 +191,8 @@ def show_headline(headline: Column, location: Column) -> Column:
 
 
 def show_summary(summary: Column, headline: Column, location: Column) -> Column:
-    return (
-        (or_empty(summary) != "")
-        & ~summary_matches_headline(summary, headline)
-        & (comparable(summary) != comparable(location))
-    )
+    all_ = F.struct(comparable(summary).alias("s"), _comparable_headline(headline).alias("h"), comparable(location).alias("l"))
+    return (or_empty(summary) != "") & let(all_, lambda v: ~_starts_with(v["s"], v["h"]) & (v["s"] != v["l"]))
 
 
 def state_label_key(state: Column) -> Column:

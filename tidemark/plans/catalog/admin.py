@@ -11,8 +11,9 @@ from tidemark.plans.catalog import sql
 from tidemark.schemas import ADMIN_COLUMNS
 
 
-def boundaries(spark, d):
-    """Boundary rows present per level, by plain predicates on the star tables."""
+def boundaries(spark, d, public=False):
+    """Boundary rows present per level, by plain predicates on the star tables; with ``public``
+    those whose code is of a public level."""
     rich = star.table(spark, d, "supplier").filter("s_acctbal > 9000").select("s_nationkey")
     reg = star.table(spark, d, "region").select(
         F.lit("province").alias("level"),
@@ -32,10 +33,8 @@ def boundaries(spark, d):
         )
 
     o = star.table(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
-    vil = o.join(dis, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.lit("village").alias("level"),
-        F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)).alias("code"),
-        F.lit("raw").alias("boundary_source"),
+    vil = star.village_orders(o, dis.select("c_custkey", "code"), public).select(
+        F.lit("village").alias("level"), "code", F.lit("raw").alias("boundary_source")
     )
     return (
         reg.unionByName(nat)
@@ -59,8 +58,8 @@ def postal(spark, d):
     return admin.last_wins(rows, ["village"], ["l_linenumber", "l_partkey", "l_suppkey"])
 
 
-def admin_units(spark, d):
-    return admin.classify(star.admin_codes(spark, d))
+def admin_units(spark, d, public=False):
+    return admin.classify(star.admin_codes(spark, d, public=public))
 
 
 def parent_codes(spark, d):

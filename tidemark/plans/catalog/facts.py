@@ -12,34 +12,42 @@ from tidemark.plans import star
 from tidemark.plans.catalog import sql
 
 
-def line_bridge(spark: SparkSession, d: str) -> DataFrame:
-    """One bridge row per line item and level: quantity as area, discount as coverage."""
+def located_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Line items with their supplier's regency and their customer's district. Orders, fewer and
+    narrower than lines, get their customer's regency first, so that lines move once, without text."""
     li = star.table(spark, d, "lineitem").select(
-        "l_suppkey", "l_orderkey", "l_quantity", "l_discount", "l_shipdate"
+        "l_suppkey", "l_orderkey", "l_quantity", "l_discount", F.col("l_shipdate").cast("date").alias("day")
     )
     sup = star.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     reg = star.regencies(spark, d).select("n_nationkey", F.col("code").alias("regency"))
     orders = star.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    dis = star.district_codes(spark, d).select("c_custkey", F.col("code").alias("district"))
-    wide = (
+    dis = star.customer_regencies(spark, d).select("c_custkey", "_r")
+    homes = orders.join(dis, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey", "_r")
+    return (
         li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(homes, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(reg, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(dis, F.col("o_custkey") == F.col("c_custkey"))
-    )
-    units = F.array(
-        F.struct(F.lit("province").alias("level"), prefix(F.col("regency"), 1).alias("code")),
-        F.struct(F.lit("regency").alias("level"), F.col("regency").alias("code")),
-        F.struct(F.lit("district").alias("level"), F.col("district").alias("code")),
-    )
-    return wide.select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("start_date"),
-        F.col("l_quantity").alias("intersection_area_km2"),
-        F.col("l_discount").alias("coverage_ratio"),
-        F.inline(units),
+        .select(
+            "day",
+            F.col("l_quantity").alias("intersection_area_km2"),
+            F.col("l_discount").alias("coverage_ratio"),
+            "regency",
+            star.district_code(F.col("_r"), F.col("c_custkey")).alias("district"),
+        )
     )
 
 
+def _bridge(lines: DataFrame, *levels: str) -> DataFrame:
+    units = {"province": prefix(F.col("regency"), 1), "regency": F.col("regency"), "district": F.col("district")}
+    structs = F.array(*(F.struct(F.lit(lv).alias("level"), units[lv].alias("code")) for lv in levels))
+    return lines.select(F.col("day").cast("string").alias("start_date"), "intersection_area_km2", "coverage_ratio", F.inline(structs))
+
+
+def line_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """One bridge row per line item and level: quantity as area, discount as coverage."""
+    return _bridge(located_lines(spark, d), "province", "regency", "district")
+
+
 def daily(spark: SparkSession, d: str) -> DataFrame:
     return facts.daily_facts(line_bridge(spark, d))
 
@@ -52,10 +60,34 @@ def all_time(spark: SparkSession, d: str) -> DataFrame:
     return facts.all_time(monthly(spark, d))
 
 
+def _written_lines(spark: SparkSession, d: str) -> DataFrame:
+    return star.prepared("located_lines", spark, d, lambda: located_lines(spark, d))
+
+
+def written_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """`line_bridge` over written lines."""
+    return _bridge(_written_lines(spark, d), "province", "regency", "district")
+
+
+def _written_daily(spark: SparkSession, d: str) -> DataFrame:
+    """`daily` over written lines. Districts have about a row per line, which no combining before
+    the shuffle makes fewer: their lines are dealt by code as they are, and no task holds a hash
+    table of what it sends."""
+    lines = _written_lines(spark, d)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    districts = (
+        lines.select("day", "intersection_area_km2", "coverage_ratio", F.col("district").alias("code"))
+        .repartition(parts, "code")
+        .withColumns({"level": F.lit("district"), "start_date": F.col("day").cast("string")})
+    )
+    return facts.daily_facts(_bridge(lines, "province", "regency")).unionByName(facts.daily_facts(districts))
+
+
 def written(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Day, month and all-time facts as the build stage leaves them for later stages."""
-    day = star.prepared("line_daily", spark, d, lambda: daily(spark, d))
-    month = star.prepared("line_monthly", spark, d, lambda: facts.monthly_facts(day))
+    """Day, month and all-time facts as the build stage leaves them for later stages, bucketed by
+    code: a unit's rows lie together, so that months and windows are folded where they are."""
+    day = star.prepared("line_daily", spark, d, lambda: _written_daily(spark, d), "code")
+    month = star.prepared("line_monthly", spark, d, lambda: facts.monthly_facts(day), "code")
     total = star.prepared("line_all_time", spark, d, lambda: facts.all_time(month))
     return day, month, total
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import codes, geo
 from tidemark.operators import overlap
-from tidemark.session import cut_lineage, spread
+from tidemark.session import broadcast_if_small, cut_by_key, cut_lineage, spread
 
 WEST, SOUTH = 100.0, -5.0
 
@@ -41,20 +41,43 @@ def regencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("n_nationkey", code.alias("code"), F.col("n_name").alias("name"))
 
 
-def district_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer key to district code; nations are a dimension of fixed size."""
-    c = table(spark, sf_dir, "customer")
+def district_code(regency: Column, key: Column) -> Column:
+    return F.concat_ws(".", regency, codes.padded(key, 7))
+
+
+def customer_regencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with the code of their regency; nations are a dimension of fixed size."""
     r = regencies(spark, sf_dir).select("n_nationkey", F.col("code").alias("_r"))
-    return c.join(r, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey",
-        "c_name",
-        "c_acctbal",
-        F.concat_ws(".", "_r", codes.padded(F.col("c_custkey"), 7)).alias("code"),
-    )
+    return table(spark, sf_dir, "customer").join(r, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def district_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer key to district code."""
+    code = district_code(F.col("_r"), F.col("c_custkey")).alias("code")
+    return customer_regencies(spark, sf_dir).select("c_custkey", "c_name", "c_acctbal", code)
 
 
-def admin_codes(spark: SparkSession, sf_dir: str, village: bool = True) -> DataFrame:
-    """``code, name`` of the whole hierarchy."""
+def village_orders(orders: DataFrame, districts: DataFrame, public: bool = False) -> DataFrame:
+    """Orders with their district and their village's code in place of the district's.
+
+    With ``public`` only those whose code is of a public level, found before the join: a code of
+    four segments takes an order's key and a district of three, so that an order without a key and
+    one of a shorter district remain, which are few.
+    """
+    at = F.col("o_custkey") == F.col("c_custkey")
+    if public:
+        keyless = orders.filter("o_orderkey IS NULL")
+        short = districts.filter(codes.segments(F.col("code")) < 3)
+        joined = (broadcast_if_small(keyless, 128) or keyless).join(districts, at).unionByName(
+            orders.filter("o_orderkey IS NOT NULL").join(broadcast_if_small(short, 128) or short, at)
+        )
+    else:
+        joined = orders.join(districts, at)
+    return joined.withColumn("code", F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)))
+
+
+def admin_codes(spark: SparkSession, sf_dir: str, village: bool = True, public: bool = False) -> DataFrame:
+    """``code, name`` of the whole hierarchy, or of its ``public`` levels."""
     reg = table(spark, sf_dir, "region")
     parts = [
         reg.select(province_code(F.col("r_regionkey")).alias("code"), F.col("r_name").alias("name")),
@@ -64,14 +87,8 @@ def admin_codes(spark: SparkSession, sf_dir: str, village: bool = True) -> DataF
     parts.append(d.select("code", F.col("c_name").alias("name")))
     if village:
         o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-        parts.append(
-            o.join(d.select("c_custkey", "code"), F.col("o_custkey") == F.col("c_custkey")).select(
-                F.concat_ws(".", "code", codes.padded(F.col("o_orderkey"), 9)).alias(
-                    "code"
-                ),
-                F.col("o_orderpriority").alias("name"),
-            )
-        )
+        v = village_orders(o, d.select("c_custkey", "code"), public)
+        parts.append(v.select("code", F.col("o_orderpriority").alias("name")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -147,11 +164,14 @@ def _state(spark: SparkSession, sf_dir: str) -> int:
     return max((s.getModificationTime() for s in found), default=0)
 
 
-def prepared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A written hand-off table between stages, made once per application and state of the input."""
+def prepared(
+    name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame], by: str | None = None
+) -> DataFrame:
+    """A written hand-off table between stages, made once per application and state of the input;
+    bucketed by a column when one is named."""
     key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), name)
     if key not in _prepared:
-        _prepared[key] = cut_lineage(build())
+        _prepared[key] = cut_by_key(build(), by) if by else cut_lineage(build())
     return _prepared[key]
 
 

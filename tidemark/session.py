@@ -68,6 +68,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_by_key(df: DataFrame, key: str) -> DataFrame:
+    """`cut_lineage` into a table bucketed and sorted by a key: later groupings by the key, alone or
+    among others, read each bucket in a task of its own and shuffle nothing."""
+    spark = df.sparkSession
+    name = f"stage_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", work_path(spark, "stage")).bucketBy(buckets, key).sortBy(key).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def broadcast_if_small(
     df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame | None:

@@ -44,8 +44,9 @@ def trend_axis(spark, d):
 
 
 def _features(spark, d):
-    a = admin_queries.admin_units(spark, d)
-    b = admin_queries.boundaries(spark, d).select("code", "boundary_source")
+    """Features of the public levels, district facts of the window and the units."""
+    a = admin_queries.admin_units(spark, d, public=True)
+    b = admin_queries.boundaries(spark, d, public=True).select("code", "boundary_source")
     feats = b.join(a, "code")
     lookup = explore.window_rollup(facts.written(spark, d)[1], "district", FROM, TO)
     return feats, lookup, a
@@ -61,16 +62,16 @@ def map_features(spark, d):
 
 def selection_cards(spark, d):
     """Cards of every regency; the single-card form filters the same plan by code."""
-    a = admin_queries.admin_units(spark, d)
-    b = admin_queries.boundaries(spark, d).select("code", "boundary_source").join(a, "code")
+    a = admin_queries.admin_units(spark, d, public=True)
+    b = admin_queries.boundaries(spark, d, public=True).select("code", "boundary_source").join(a, "code")
     lookup = explore.window_rollup(facts.written(spark, d)[1], "regency", FROM, TO)
     out = explore.map_features(b, lookup, a, "regency", "unique_event_count", "id")
     return out.select("name", "code", "parent_name", "boundary_source", "metric_display")
 
 
 def selection_card(spark, d):
-    a = admin_queries.admin_units(spark, d)
-    b = admin_queries.boundaries(spark, d).select("code", "boundary_source").join(a, "code")
+    a = admin_queries.admin_units(spark, d, public=True)
+    b = admin_queries.boundaries(spark, d, public=True).select("code", "boundary_source").join(a, "code")
     lookup = explore.window_rollup(facts.written(spark, d)[1], "province", FROM, TO)
     return explore.selection_card(b, lookup, a, "province", METRIC, "12")
 

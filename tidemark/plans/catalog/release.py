@@ -64,9 +64,10 @@ def _facts_manifest(spark, d):
     daily, monthly, _ = facts.written(spark, d)
     counts = fact_ops.row_counts(daily, monthly)
     rows = star.table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
-    hits = facts.line_bridge(spark, d).filter("level = 'district'").agg(F.count(F.lit(1)).alias("n"))
+    pairs = facts.written_bridge(spark, d)
+    hits = pairs.filter("level = 'district'").agg(F.count(F.lit(1)).alias("n"))
     sample = (
-        facts.line_bridge(spark, d)
+        pairs
         .filter("level = 'district'")
         .orderBy("start_date", "code", "intersection_area_km2", "coverage_ratio")
         .limit(fact_ops.EVENT_SAMPLE_LIMIT)

@@ -226,3 +226,33 @@ def test_long_texts_are_compared_once(spark):
     ]
     df = spark.createDataFrame(rows, "t string, want string").withColumn("got", text.headline_from_summary(F.col("t")))
     assert [(r["want"], r["got"]) for r in df.collect() if r["want"] != r["got"]] == []
+
+
+def test_optional_inputs_count_records_of_all_pages(spark, tmp_path):
+    """A group of more records than a page holds, beside one of a page and an event alone."""
+    from tidemark.plans.catalog.reports import optional_inputs
+
+    sizes = {"crowded": 2300, "full": 1001, "alone": 1}
+    docs = [(s, n) for s, k in sizes.items() for n in range(k)]
+    d = str(tmp_path)
+    spark.createDataFrame(
+        [(i, "t", "en", s, 5) for i, (s, _) in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars long"
+    ).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(len(docs))], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(0, "n", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{d}/nation.parquet")
+    got = {r["canonical_event_group"]: r["records"] for r in optional_inputs(spark, d).collect()}
+    assert got == {f"ceg-{s}": k - 1 for s, k in sizes.items()}
+
+
+def test_pages_of_a_release_are_counted_once(spark, tmp_path):
+    """Rows that repeat an event, slugs with the same event, and a row of a release without pages."""
+    def page(slug, number, size):
+        return {"slug": slug, "event_id": "e", "page": number, "supporting_records": [{"event_id": f"{number}-{i}"} for i in range(size)]}
+
+    rows = [page("a", 0, 3), page("a", 0, 3), page("a", 1, 3), page("a", 1, 3), page("a", 2, 3), page("a", 2, 3)]
+    rows += [page("b", 0, 3), page("b", 1, 1), page(None, 0, 2), page(None, 1, 2), {"event_id": "old", "slug": "a"}]
+    (tmp_path / "qualitative_events").mkdir()
+    (tmp_path / "qualitative_events" / "p.json").write_text("\n".join(json.dumps(r) for r in rows))
+    out = q.whole_events(q.fill_events(assets.read_qualitative(spark, str(tmp_path))["events"]))
+    got = sorted((r["slug"], r["event_id"], r["records"]) for r in out.collect())
+    assert got == [("", "e", 4), ("a", "e", 9), ("a", "e", 9), ("a", "old", 0), ("b", "e", 4)]

@@ -497,7 +497,8 @@ def qualitative_summary(
 
 
 def fill_events(raw: DataFrame) -> DataFrame:
-    """Event columns with missing values defaulted and links made public."""
+    """Event columns with missing values defaulted and links made public; rows with a ``page``
+    keep it, beside the slug and period that tell events apart."""
     names = (
         "event_id", "event_date", "admin_level", "admin_code", "location_label", "source_name",
         "source_date", "headline", "summary_id", "summary_en", "media_type", "claim_type",
@@ -514,8 +515,13 @@ def fill_events(raw: DataFrame) -> DataFrame:
             )
         ),
     )
+    paged = []
+    if "page" in raw.columns:
+        paged = [text.or_empty(c(n)).alias(n) for n in ("slug", "period_start", "period_end")]
+        paged.append(F.coalesce("page", F.lit(0)).alias("page"))
     return raw.select(
         *(text.or_empty(c(n)).alias(n) for n in names),
+        *paged,
         media.public_url(c("source_url")).alias("source_url"),
         media.public_url(c("media_url")).alias("media_url"),
         tags.alias("impact_tags"),
@@ -523,6 +529,17 @@ def fill_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def whole_events(pages: DataFrame) -> DataFrame:
+    """First pages of filled events (see `nest_supporting`) with ``records``, the number of
+    supporting records on all pages. Equal pages of rows that repeat an event count once."""
+    event = ["slug", "admin_code", "period_start", "period_end", "canonical_event_group", "event_id"]
+    size = F.size("supporting_records")
+    continued = pages.filter("page > 0").select(*event, "page", size.alias("_n")).distinct()
+    more = continued.groupBy(*event).agg(F.sum("_n").alias("_more"))
+    records = (size + F.coalesce("_more", F.lit(0))).cast("int")
+    return pages.filter("page = 0").join(more, event, "left").withColumn("records", records).drop("_more")
+
+
 def fill_states(raw: DataFrame) -> DataFrame:
     names = (
         "admin_code", "admin_level", "featured_event_id", "geography_period_id", "period_start",

@@ -172,6 +172,11 @@ EVENT = T.StructType(
     ]
 )
 
+# A row of written events: one with many supporting records continues on further pages.
+EVENT_PAGE = T.StructType(
+    [*EVENT.fields, T.StructField("slug", T.StringType()), T.StructField("page", T.IntegerType())]
+)
+
 STATE = T.StructType(
     [
         *_strings(

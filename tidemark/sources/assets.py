@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import EVENT, METRIC_FIELDS, REGISTRY_ROW, STATE
+from tidemark.schemas import EVENT_PAGE, METRIC_FIELDS, REGISTRY_ROW, STATE
 
 MONTH_SHARD = T.StructType(
     [
@@ -184,7 +184,7 @@ def read_trend(spark: SparkSession, trend_path: str, month_path: str) -> DataFra
 def read_qualitative(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The three optional inputs, each falling back to empty on its own."""
     return {
-        "events": read_optional(spark, f"{root}/qualitative_events", EVENT),
+        "events": read_optional(spark, f"{root}/qualitative_events", EVENT_PAGE),
         "states": read_optional(spark, f"{root}/geography_review_states", STATE),
         "index": read_optional(spark, f"{root}/regencies/index", REGISTRY_ROW),
     }
